@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import gold, silver
+from strata.operators import quality as Q
+from strata.sources import variants as V
 from strata.plans.layers import build_layers, decimals_as_double
 from strata.sources.adapters import load_bronze
 
@@ -75,3 +77,103 @@ QUERIES: dict[str, Query] = {
     "report_customer_year": report_customer_year,
     "report_silver_category": report_silver_category,
 }
+
+
+# ------------------------------------------------------------------ checks
+# Each check runs over a whole layer; where the clean layer would give no
+# rows, a planted variant (strata.sources.variants) guarantees violations.
+
+
+def dq_pk_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.pk_null_rows(V.customers_null_key(silver_customer(spark, sf_dir)), "customer_id")
+
+
+def dq_pk_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.duplicate_keys(V.customers_dup_key(silver_customer(spark, sf_dir)), "customer_id")
+
+
+def dq_date_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decimals_as_double(Q.unparsed_date_rows(load_bronze(spark, sf_dir).orders))
+
+
+def dq_decimal_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = Q.excess_decimal_rows(load_bronze(spark, sf_dir).orders, "Profit")
+    return decimals_as_double(rows.select("Row_ID", "Order_ID", "Profit"))
+
+
+def dq_non_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = build_layers(spark, sf_dir)
+    return (Q.empty_table_row(L.silver_customer, "silver_customer")
+            .unionByName(Q.empty_table_row(L.silver_products, "silver_products"))
+            .unionByName(Q.empty_table_row(L.silver_orders, "silver_orders")))
+
+
+def dq_profit_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = build_layers(spark, sf_dir)
+    return decimals_as_double(Q.profit_totals(L.bronze.orders, L.silver_orders, L.gold))
+
+
+def dq_category_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = build_layers(spark, sf_dir)
+    return Q.category_counts(V.products_lost(L.silver_products), L.bronze.products)
+
+
+def dq_gold_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.gold_grouping_violations(V.gold_dup(build_layers(spark, sf_dir).gold))
+
+
+def dq_name_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = load_bronze(spark, sf_dir).customer
+    return Q.name_format_rows(raw).select("customer_id", "customer_name")
+
+
+def dq_year_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = V.gold_bad_year(build_layers(spark, sf_dir).gold)
+    return decimals_as_double(Q.year_range_rows(g))
+
+
+def dq_fk_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = build_layers(spark, sf_dir)
+    return Q.missing_keys(L.silver_orders, "Customer_ID", L.silver_customer, "customer_id")
+
+
+def dq_fk_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = build_layers(spark, sf_dir)
+    return Q.missing_keys(L.silver_orders, "Product_ID", L.silver_products, "Product_ID")
+
+
+def dq_gold_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = build_layers(spark, sf_dir)
+    return decimals_as_double(Q.gold_mismatches(L.silver_orders, V.gold_dup(L.gold)))
+
+
+def dq_gold_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = build_layers(spark, sf_dir)
+    return decimals_as_double(Q.gold_total_accuracy(L.silver_orders, L.gold))
+
+
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    L = build_layers(spark, sf_dir)
+    return Q.quality_report(spark, Q.LayerFrames(
+        bronze_orders=L.bronze.orders, bronze_customer=L.bronze.customer,
+        bronze_products=L.bronze.products, silver_customer=L.silver_customer,
+        silver_products=L.silver_products, silver_orders=L.silver_orders, gold=L.gold))
+
+
+QUERIES.update({
+    "dq_pk_null": dq_pk_null,
+    "dq_pk_unique": dq_pk_unique,
+    "dq_date_type": dq_date_type,
+    "dq_decimal_places": dq_decimal_places,
+    "dq_non_empty": dq_non_empty,
+    "dq_profit_layers": dq_profit_layers,
+    "dq_category_sets": dq_category_sets,
+    "dq_gold_grouping": dq_gold_grouping,
+    "dq_name_format": dq_name_format,
+    "dq_year_range": dq_year_range,
+    "dq_fk_customer": dq_fk_customer,
+    "dq_fk_product": dq_fk_product,
+    "dq_gold_accuracy": dq_gold_accuracy,
+    "dq_gold_total": dq_gold_total,
+    "dq_report": dq_report,
+})

@@ -109,3 +109,160 @@ SELECT CAST(sum(Profit) AS DOUBLE) AS profit, CAST(year(Order_Date) AS INTEGER)
        Category, Sub_Category
 FROM silver_orders GROUP BY ALL"""),
 }
+
+# Day-first parse, as used by the orders_parsed CTE.
+_PARSE = (r"CAST(CASE WHEN regexp_full_match({c}, '\d{{1,2}}/\d{{1,2}}/\d{{4}}') "
+          r"THEN try_strptime({c}, '%d/%m/%Y') END AS DATE)")
+
+_GOLD_DUP = {"gold_dup": "SELECT * FROM gold UNION ALL SELECT * FROM gold WHERE Customer_ID % 97 = 0"}
+
+
+def _non_empty(table: str) -> str:
+    return (f"SELECT 'non_empty' AS check_name, '{table}' AS table_name, "
+            f"CAST(NULL AS VARCHAR) AS column_name, "
+            f"CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS violations, "
+            f"count(*) > 0 AS passed FROM (SELECT 1 FROM {table} LIMIT 1)")
+
+
+def _distinct_counts(table: str, alias: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) "
+        f"+ max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS {alias} FROM {table}"
+        for c in ("Category", "Sub_Category"))
+
+
+_PROFIT_TOTALS = """
+SELECT CAST(b.bronze_profit AS DOUBLE) AS bronze_profit,
+       CAST(b.bronze_rounded_profit AS DOUBLE) AS bronze_rounded_profit,
+       CAST(s.t AS DOUBLE) AS silver_profit, CAST(g.t AS DOUBLE) AS gold_profit,
+       (b.bronze_rounded_profit IS NOT DISTINCT FROM s.t AND s.t IS NOT DISTINCT FROM g.t) AS passed,
+       (b.bronze_profit IS NOT DISTINCT FROM s.t AND s.t IS NOT DISTINCT FROM g.t) AS passed_raw
+FROM (SELECT round(sum(Profit), 2) AS bronze_profit,
+             round(sum(CAST(round(Profit, 2) AS DECIMAL(18,2))), 2) AS bronze_rounded_profit
+      FROM (SELECT DISTINCT * FROM bronze_orders)) b,
+     (SELECT round(sum(Profit), 2) AS t FROM (SELECT DISTINCT * FROM silver_orders)) s,
+     (SELECT round(sum(Profit), 2) AS t FROM (SELECT DISTINCT * FROM gold)) g"""
+
+_GOLD_MISMATCH = """
+u AS (
+  SELECT CAST(year(Order_Date) AS INTEGER) AS Year, Category AS Product_Category,
+         Sub_Category AS Product_Sub_Category, Customer_ID, customer_name,
+         CAST(Profit AS DECIMAL(38,2)) AS e, CAST(NULL AS DECIMAL(38,2)) AS a, 0 AS g
+  FROM silver_orders
+  UNION ALL
+  SELECT Year, Product_Category, Product_Sub_Category, Customer_ID, customer_name,
+         CAST(NULL AS DECIMAL(38,2)), CAST(Profit AS DECIMAL(38,2)), 1
+  FROM {gold})
+SELECT Year, Product_Category, Product_Sub_Category, Customer_ID, customer_name,
+       CAST(round(sum(e), 2) AS DOUBLE) AS expected_profit, CAST(sum(a) AS DOUBLE) AS actual_profit,
+       CAST(sum(g) AS BIGINT) AS gold_rows
+FROM u GROUP BY Year, Product_Category, Product_Sub_Category, Customer_ID, customer_name
+HAVING round(sum(e), 2) IS DISTINCT FROM sum(a) OR sum(g) <> 1"""
+
+
+def _count_rows(check: str, table: str, column: str | None, violations_sql: str) -> str:
+    col = "CAST(NULL AS VARCHAR)" if column is None else f"'{column}'"
+    return (f"SELECT '{check}' AS check_name, '{table}' AS table_name, {col} AS column_name, "
+            f"CAST(count(*) AS BIGINT) AS violations, count(*) = 0 AS passed FROM ({violations_sql})")
+
+
+def _rule(check: str, table: str, column: str, predicate: str) -> str:
+    return (f"SELECT '{check}' AS check_name, '{table}' AS table_name, '{column}' AS column_name, "
+            f"CAST(count(*) FILTER (WHERE {predicate}) AS BIGINT) AS violations, "
+            f"count(*) FILTER (WHERE {predicate}) = 0 AS passed FROM {table}")
+
+
+_NOT_LETTERS = "NOT regexp_matches(customer_name, '^[A-Za-z]+$')"
+_BAD_YEAR = "Year IS NULL OR Year < 1990 OR Year > 2026 OR length(CAST(Year AS VARCHAR)) <> 4"
+
+_REPORT = "\nUNION ALL\n".join([
+    # schema checks: literal rows in the SQL, computed from schemas in Spark
+    "SELECT 'date_type' AS check_name, 'silver_orders' AS table_name, 'Order_Date' AS column_name, "
+    "CAST(0 AS BIGINT) AS violations, true AS passed",
+    "SELECT 'string_type', 'bronze_customer', 'customer_name', CAST(0 AS BIGINT), true",
+    "SELECT 'string_type', 'bronze_customer', 'country', CAST(0 AS BIGINT), true",
+    "SELECT 'columns', 'silver_customer', NULL, CAST(0 AS BIGINT), true",
+    "SELECT 'columns', 'silver_products', NULL, CAST(0 AS BIGINT), true",
+    "SELECT 'columns', 'silver_orders', NULL, CAST(0 AS BIGINT), true",
+    _rule("pk_null", "silver_customer", "customer_id", "customer_id IS NULL"),
+    _rule("name_format", "silver_customer", "customer_name", _NOT_LETTERS),
+    _rule("null_name", "silver_customer", "customer_name", "customer_name IS NULL"),
+    _rule("pk_null", "silver_products", "Product_ID", "Product_ID IS NULL"),
+    _rule("date_unparsed", "bronze_orders", "Order_Date",
+          "Order_Date IS NOT NULL AND " + _PARSE.format(c="Order_Date") + " IS NULL"),
+    _rule("decimal_places", "bronze_orders", "Profit", "round(Profit, 2) <> Profit"),
+    _rule("decimal_places", "silver_orders", "Profit", "round(Profit, 2) <> Profit"),
+    _rule("year_range", "gold", "Year", _BAD_YEAR),
+    _count_rows("pk_unique", "silver_customer", "customer_id",
+                "SELECT customer_id FROM silver_customer GROUP BY customer_id HAVING count(*) > 1"),
+    _count_rows("pk_unique", "silver_products", "Product_ID",
+                "SELECT Product_ID FROM silver_products GROUP BY Product_ID HAVING count(*) > 1"),
+    _count_rows("fk_customer", "silver_orders", "Customer_ID",
+                "SELECT DISTINCT Customer_ID FROM silver_orders EXCEPT SELECT customer_id FROM silver_customer"),
+    _count_rows("fk_product", "silver_orders", "Product_ID",
+                "SELECT DISTINCT Product_ID FROM silver_orders EXCEPT SELECT Product_ID FROM silver_products"),
+    _count_rows("gold_grouping", "gold", None,
+                "SELECT 1 FROM gold GROUP BY Year, Product_Category, Product_Sub_Category, Customer_ID, "
+                "customer_name HAVING count(*) > 1"),
+    _count_rows("gold_accuracy", "gold", "Profit", "WITH " + _GOLD_MISMATCH.format(gold="gold")),
+    _count_rows("category_sets", "silver_products", "Category,Sub_Category",
+                "SELECT * FROM (" + _distinct_counts("silver_products", "s") + ") s JOIN ("
+                + _distinct_counts("bronze_products", "b") + ") b USING (column_name) WHERE s <> b"),
+    _count_rows("profit_layers", "gold", "Profit",
+                "SELECT * FROM (" + _PROFIT_TOTALS + ") WHERE NOT passed"),
+    _non_empty("silver_customer"),
+    _non_empty("silver_products"),
+    _non_empty("silver_orders"),
+])
+
+ORACLE.update({
+    "dq_pk_null": with_layers("SELECT * FROM v WHERE customer_id IS NULL", {
+        "v": "SELECT CASE WHEN customer_id % 300 = 0 THEN NULL ELSE customer_id END AS customer_id, "
+             "customer_name, country FROM silver_customer"}),
+    "dq_pk_unique": with_layers(
+        "SELECT customer_id, count(*) AS n FROM v GROUP BY customer_id HAVING count(*) > 1", {
+            "v": "SELECT * FROM silver_customer UNION ALL "
+                 "SELECT customer_id, customer_name, 'X' AS country FROM silver_customer "
+                 "WHERE customer_id % 200 = 0"}),
+    "dq_date_type": with_layers(
+        "SELECT Row_ID, Order_ID, Order_Date, Ship_Date, Ship_Mode, Customer_ID, Product_ID, Quantity, "
+        "Price, Discount, CAST(Profit AS DOUBLE) AS Profit FROM bronze_orders "
+        "WHERE Order_Date IS NOT NULL AND " + _PARSE.format(c="Order_Date") + " IS NULL"),
+    "dq_decimal_places": with_layers(
+        "SELECT Row_ID, Order_ID, CAST(Profit AS DOUBLE) AS Profit FROM bronze_orders "
+        "WHERE round(Profit, 2) <> Profit"),
+    "dq_non_empty": with_layers("\nUNION ALL\n".join(
+        _non_empty(t) for t in ("silver_customer", "silver_products", "silver_orders"))),
+    "dq_profit_layers": with_layers(_PROFIT_TOTALS),
+    "dq_category_sets": with_layers(
+        "SELECT column_name, silver_distinct, bronze_distinct, silver_distinct = bronze_distinct AS passed "
+        "FROM (" + _distinct_counts("v", "silver_distinct") + ") s JOIN ("
+        + _distinct_counts("bronze_products", "bronze_distinct") + ") b USING (column_name)",
+        {"v": "SELECT * FROM silver_products WHERE Category <> 'ECONOMY'"}),
+    "dq_gold_grouping": with_layers(
+        "SELECT Year, Product_Category, Product_Sub_Category, Customer_ID, customer_name, count(*) AS n "
+        "FROM gold_dup GROUP BY ALL HAVING count(*) > 1", _GOLD_DUP),
+    "dq_name_format": with_layers(
+        "SELECT customer_id, customer_name FROM bronze_customer WHERE " + _NOT_LETTERS),
+    "dq_year_range": with_layers(
+        "SELECT Year, Product_Category, Product_Sub_Category, Customer_ID, customer_name, "
+        "CAST(Profit AS DOUBLE) AS Profit FROM v WHERE " + _BAD_YEAR, {
+            "v": "SELECT CASE WHEN Customer_ID < 30 THEN (CASE WHEN Customer_ID % 3 = 0 THEN NULL "
+                 "WHEN Customer_ID % 3 = 1 THEN 1989 ELSE 12000 END) ELSE Year END AS Year, "
+                 "Product_Category, Product_Sub_Category, Customer_ID, customer_name, Profit FROM gold"}),
+    "dq_fk_customer": with_layers(
+        "SELECT DISTINCT Customer_ID FROM silver_orders EXCEPT SELECT customer_id FROM silver_customer"),
+    "dq_fk_product": with_layers(
+        "SELECT DISTINCT Product_ID FROM silver_orders EXCEPT SELECT Product_ID FROM silver_products"),
+    "dq_gold_accuracy": with_layers(
+        "SELECT * FROM mismatch",
+        {**_GOLD_DUP, "mismatch": "WITH " + _GOLD_MISMATCH.format(gold="gold_dup")}),
+    "dq_gold_total": with_layers("""
+SELECT CAST(e.t AS DOUBLE) AS expected_profit, CAST(a.t AS DOUBLE) AS actual_profit,
+       e.t IS NOT DISTINCT FROM a.t AS passed
+FROM (SELECT CAST(sum(p) AS DECIMAL(38,2)) AS t
+      FROM (SELECT round(sum(Profit), 2) AS p FROM silver_orders
+            GROUP BY Category, Sub_Category, Customer_ID)) e,
+     (SELECT CAST(sum(Profit) AS DECIMAL(38,2)) AS t FROM gold) a"""),
+    "dq_report": with_layers(_REPORT),
+})
