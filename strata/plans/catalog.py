@@ -7,15 +7,22 @@ engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import gold, silver
 from strata.operators import quality as Q
-from strata.sources import variants as V
+from strata.operators.naming import clean_column_names
 from strata.plans.layers import build_layers, decimals_as_double
+from strata.plans.pipeline import MedallionSources, ingest_table, prepare_schemas, run_medallion
+from strata.session import scratch_dir
+from strata.settings import LayerNames, SourceSpec
+from strata.sources import variants as V
 from strata.sources.adapters import load_bronze
+from strata.sources.readers import read_csv, read_json, read_table
+from strata.sources.sinks import write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -177,3 +184,93 @@ QUERIES.update({
     "dq_gold_total": dq_gold_total,
     "dq_report": dq_report,
 })
+
+
+# ------------------------------------------------------------ sources/sinks
+# These write under the shared scratch folder (spark.checkpoint.dir) and read
+# the result back, each call in its own sub-folder and schema.
+
+
+# Headers as a raw products CSV carries them (spaces and hyphens).
+RAW_PRODUCT_HEADERS = ("Product ID", "Category", "Sub-Category", "Product Name", "Price per product")
+RAW_PRODUCT_DDL = ("`Product ID` BIGINT, Category STRING, `Sub-Category` STRING, "
+                   "`Product Name` STRING, `Price per product` DOUBLE")
+ORDERS_DDL = ("Row_ID BIGINT, Order_ID BIGINT, Order_Date STRING, Ship_Date STRING, Ship_Mode STRING, "
+              "Customer_ID BIGINT, Product_ID BIGINT, Quantity DOUBLE, Price DOUBLE, Discount DOUBLE, "
+              "Profit DECIMAL(18,4)")
+
+
+def _run_names(tag: str) -> LayerNames:
+    uid = uuid.uuid4().hex[:10]
+    return LayerNames(bronze_schema=f"bronze_{tag}_{uid}", silver_schema=f"silver_{tag}_{uid}",
+                      gold_schema=f"gold_{tag}_{uid}")
+
+
+def _land_files(spark: SparkSession, sf_dir: str, root: str) -> MedallionSources:
+    """Write the raw inputs as the reference receives them: products CSV with
+    raw headers, orders as JSON Lines, customers as a landed table."""
+    b = load_bronze(spark, sf_dir)
+    b.products.toDF(*RAW_PRODUCT_HEADERS).write.mode("overwrite").option("header", True).csv(
+        f"{root}/raw/products")
+    b.orders.write.mode("overwrite").json(f"{root}/raw/orders")
+    landing = _run_names("landing")
+    prepare_schemas(spark, landing, f"{root}/landing")
+    landing_table = landing.bronze("customer_worksheet")
+    write_table(b.customer, landing_table, dedup=False)
+    return MedallionSources(
+        orders=SourceSpec(f"{root}/raw/orders", "json", ORDERS_DDL),
+        products=SourceSpec(f"{root}/raw/products", "csv", RAW_PRODUCT_DDL),
+        customer=SourceSpec(landing_table, "table"),
+    )
+
+
+def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = load_bronze(spark, sf_dir).products.toDF(*RAW_PRODUCT_HEADERS)
+    return clean_column_names(raw)
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "csv")
+    load_bronze(spark, sf_dir).products.toDF(*RAW_PRODUCT_HEADERS).write.mode("overwrite") \
+        .option("header", True).csv(f"{root}/products")
+    return clean_column_names(read_csv(spark, f"{root}/products", schema=RAW_PRODUCT_DDL))
+
+
+def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "json")
+    load_bronze(spark, sf_dir).orders.write.mode("overwrite").json(f"{root}/orders")
+    return decimals_as_double(read_json(spark, f"{root}/orders", schema=ORDERS_DDL).dropDuplicates())
+
+
+def table_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "tables")
+    names = _run_names("copy")
+    prepare_schemas(spark, names, root)
+    landing = names.bronze("customer_worksheet")
+    write_table(load_bronze(spark, sf_dir).customer, landing, dedup=False)
+    return ingest_table(spark, landing, names.bronze(names.bronze_customer))
+
+
+def dedup_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "tables")
+    names = _run_names("dedup")
+    prepare_schemas(spark, names, root)
+    target = names.bronze(names.bronze_orders)
+    write_table(V.orders_dup(load_bronze(spark, sf_dir).orders), target)
+    return decimals_as_double(read_table(spark, target))
+
+
+def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "medallion")
+    sources = _land_files(spark, sf_dir, root)
+    return decimals_as_double(run_medallion(spark, sources, _run_names("run"), root=root))
+
+
+QUERIES.update({
+    "clean_names": clean_names,
+    "csv_roundtrip": csv_roundtrip,
+    "json_roundtrip": json_roundtrip,
+    "table_copy": table_copy,
+    "dedup_overwrite": dedup_overwrite,
+    "medallion_run": medallion_run,
+})

@@ -266,3 +266,18 @@ FROM (SELECT CAST(sum(p) AS DECIMAL(38,2)) AS t
      (SELECT CAST(sum(Profit) AS DECIMAL(38,2)) AS t FROM gold) a"""),
     "dq_report": with_layers(_REPORT),
 })
+
+_PRODUCTS_OUT = ("SELECT Product_ID, Category, Sub_Category, Product_Name, Price_per_product "
+                 "FROM bronze_products")
+_BRONZE_ORDERS_DISTINCT = (
+    "SELECT DISTINCT Row_ID, Order_ID, Order_Date, Ship_Date, Ship_Mode, Customer_ID, Product_ID, "
+    "Quantity, Price, Discount, CAST(Profit AS DOUBLE) AS Profit FROM bronze_orders")
+
+ORACLE.update({
+    "clean_names": with_layers(_PRODUCTS_OUT),
+    "csv_roundtrip": with_layers(_PRODUCTS_OUT),
+    "json_roundtrip": with_layers(_BRONZE_ORDERS_DISTINCT),
+    "table_copy": with_layers("SELECT DISTINCT * FROM bronze_customer"),
+    "dedup_overwrite": with_layers(_BRONZE_ORDERS_DISTINCT),
+    "medallion_run": ORACLE["gold_profit"],
+})
