@@ -1,0 +1,79 @@
+"""End-to-end: land files, run bronze -> silver -> gold, reconcile the layers."""
+
+import pytest
+
+from conftest import SF_SMALL
+from strata.operators import quality as Q
+from strata.plans import catalog
+from strata.plans.pipeline import process_silver, prepare_schemas
+from strata.session import scratch_dir
+
+
+@pytest.fixture(scope="module")
+def medallion(spark):
+    root = scratch_dir(spark, "t-medallion")
+    sources = catalog._land_files(spark, SF_SMALL, root)
+    names = catalog._run_names("t")
+    from strata.plans.pipeline import run_medallion
+    gold = run_medallion(spark, sources, names, root=root)
+    return names, gold
+
+
+def test_layers_written(spark, medallion):
+    names, gold = medallion
+    for t in (names.bronze(names.bronze_orders), names.bronze(names.bronze_customer),
+              names.bronze(names.bronze_products), names.silver(names.silver_orders),
+              names.silver(names.silver_customer), names.silver(names.silver_products),
+              names.gold(names.gold_profit)):
+        assert spark.catalog.tableExists(t), t
+    # raw CSV headers were cleaned in bronze
+    assert "Sub_Category" in spark.table(names.bronze(names.bronze_products)).columns
+    assert gold.count() > 0
+
+
+def test_layers_reconcile(spark, medallion):
+    names, gold = medallion
+    t = Q.LayerFrames(
+        bronze_orders=spark.table(names.bronze(names.bronze_orders)),
+        bronze_customer=spark.table(names.bronze(names.bronze_customer)),
+        bronze_products=spark.table(names.bronze(names.bronze_products)),
+        silver_customer=spark.table(names.silver(names.silver_customer)),
+        silver_products=spark.table(names.silver(names.silver_products)),
+        silver_orders=spark.table(names.silver(names.silver_orders)),
+        gold=gold)
+    totals = Q.profit_totals(t.bronze_orders, t.silver_orders, t.gold).first()
+    assert totals["passed"]
+    assert Q.gold_mismatches(t.silver_orders, t.gold).count() == 0
+    assert Q.gold_total_accuracy(t.silver_orders, t.gold).first()["passed"]
+    report = {(r["check_name"], r["table_name"], r["column_name"]): r
+              for r in Q.quality_report(spark, t).collect()}
+    # checks that hold on the adapters' data ...
+    for key in [("pk_null", "silver_customer", "customer_id"), ("pk_unique", "silver_customer", "customer_id"),
+                ("name_format", "silver_customer", "customer_name"), ("gold_grouping", "gold", None),
+                ("gold_accuracy", "gold", "Profit"), ("profit_layers", "gold", "Profit"),
+                ("category_sets", "silver_products", "Category,Sub_Category"),
+                ("date_type", "silver_orders", "Order_Date"), ("columns", "silver_orders", None),
+                ("non_empty", "silver_orders", None)]:
+        assert report[key]["passed"], key
+    # ... and the ones its planted noise trips
+    for key in [("fk_customer", "silver_orders", "Customer_ID"), ("fk_product", "silver_orders", "Product_ID"),
+                ("year_range", "gold", "Year"), ("null_name", "silver_customer", "customer_name"),
+                ("date_unparsed", "bronze_orders", "Order_Date"), ("decimal_places", "bronze_orders", "Profit")]:
+        assert not report[key]["passed"], key
+    assert report[("decimal_places", "silver_orders", "Profit")]["passed"]
+
+
+def test_silver_refuses_empty_bronze(spark):
+    root = scratch_dir(spark, "t-empty")
+    names = catalog._run_names("empty")
+    prepare_schemas(spark, names, root)
+    spark.createDataFrame([], "customer_id bigint, customer_name string, email string, country string") \
+        .write.saveAsTable(names.bronze(names.bronze_customer))
+    spark.createDataFrame([(1, "C", "S")], "Product_ID bigint, Category string, Sub_Category string") \
+        .write.saveAsTable(names.bronze(names.bronze_products))
+    spark.createDataFrame([(1, "1/1/2020", 1, 1, 1.0)],
+                          "Row_ID bigint, Order_Date string, Customer_ID bigint, Product_ID bigint, Profit double") \
+        .write.saveAsTable(names.bronze(names.bronze_orders))
+    with pytest.raises(ValueError, match=names.bronze_customer):
+        process_silver(spark, names)
+    assert not spark.catalog.tableExists(names.silver(names.silver_products))

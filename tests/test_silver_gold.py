@@ -1,0 +1,102 @@
+import datetime as dt
+from decimal import Decimal
+
+from strata.operators import gold, silver
+
+CUST = "customer_id bigint, customer_name string, email string, country string, phone string"
+PROD = "Product_ID bigint, Category string, Sub_Category string, Product_Name string, Price double"
+ORD = ("Row_ID bigint, Order_ID bigint, Order_Date string, Ship_Date string, Ship_Mode string, "
+       "Customer_ID bigint, Product_ID bigint, Quantity double, Price double, Discount double, "
+       "Profit double")
+
+
+def _orders(rows):
+    return rows([
+        (1, 10, "3/1/2016", "5/1/2016", "A", 1, 100, 1.0, 10.0, 0.0, 1.005),
+        (1, 10, "3/1/2016", "5/1/2016", "A", 1, 100, 1.0, 10.0, 0.0, 1.005),  # full-row copy
+        (2, 11, "21/08/2017", "x", "A", 2, 100, 1.0, 10.0, 0.0, 2.0),
+        (3, 12, "n/a", "x", "A", 99, 999, 1.0, 10.0, 0.0, 3.0),  # orphan keys, bad date
+    ], ORD)
+
+
+def test_enrich_customers_strips_and_prunes(rows):
+    df = rows([(1, "Ann 1", "a.b9@x", "DE", "555"), (1, "Ann 1", "a.b9@x", "DE", "555"),
+               (2, None, "bo.b@x", "FR", "1")], CUST)
+    out = silver.enrich_customers(df)
+    assert out.columns == ["customer_id", "customer_name", "country"]
+    assert sorted(map(tuple, out.collect()), key=lambda r: r[0]) == [(1, "Ann", "DE"), (2, None, "FR")]
+
+
+def test_enrich_customers_email_fallback(rows):
+    df = rows([(2, None, "bo.b7@x", "FR", "1")], CUST)
+    assert silver.enrich_customers(df, email_fallback=True).collect()[0]["customer_name"] == "bob"
+
+
+def test_enrich_products(rows):
+    df = rows([(1, "C", "S", "n", 1.0), (1, "C", "S", "other name", 2.0)], PROD)
+    out = silver.enrich_products(df)
+    assert out.columns == ["Product_ID", "Category", "Sub_Category"]
+    assert out.count() == 1
+
+
+def test_parse_orders_moves_date_last_and_rounds(rows):
+    out = silver.parse_orders(_orders(rows))
+    assert out.columns[-1] == "Order_Date"
+    r = out.filter("Row_ID = 1").first()
+    assert r["Order_Date"] == dt.date(2016, 1, 3)
+    assert r["Profit"] == Decimal("1.01")
+
+
+def test_enrich_orders_left_joins_and_dedups(rows):
+    cust = silver.enrich_customers(rows([(1, "Ann", "a@x", "DE", ""), (2, "Bob", "b@x", "FR", "")], CUST))
+    prod = silver.enrich_products(rows([(100, "C1", "S1", "n", 1.0)], PROD))
+    out = silver.enrich_orders(_orders(rows), cust, prod)
+    assert out.count() == 3  # the copy is gone, the orphan is kept
+    orphan = out.filter("Row_ID = 3").first()
+    assert orphan["customer_name"] is None and orphan["Category"] is None
+    assert orphan["Order_Date"] is None
+    assert set(out.columns) == {"Product_ID", "Customer_ID", "Discount", "Order_ID", "Price", "Profit",
+                                "Quantity", "Row_ID", "Ship_Date", "Ship_Mode", "Order_Date",
+                                "customer_name", "country", "Category", "Sub_Category"}
+
+
+def test_dimension_key_fan_out_is_visible(rows):
+    """Two rows for one customer key multiply that customer's orders (the
+    pk_unique check exists to catch this before the join)."""
+    cust = silver.enrich_customers(rows([(1, "Ann", "a@x", "DE", ""), (1, "Ann", "a@x", "XX", "")], CUST))
+    prod = silver.enrich_products(rows([(100, "C1", "S1", "n", 1.0)], PROD))
+    out = silver.enrich_orders(_orders(rows), cust, prod)
+    assert out.filter("Customer_ID = 1").count() == 2
+
+
+def _gold(rows):
+    cust = silver.enrich_customers(rows([(1, "Ann", "a@x", "DE", ""), (2, "Bob", "b@x", "FR", "")], CUST))
+    prod = silver.enrich_products(rows([(100, "C1", "S1", "n", 1.0)], PROD))
+    return gold.gold_profit(silver.enrich_orders(_orders(rows), cust, prod))
+
+
+def test_gold_profit_groups_and_null_groups(rows):
+    g = _gold(rows)
+    assert g.columns == ["Year", "Product_Category", "Product_Sub_Category", "Customer_ID",
+                         "customer_name", "Profit"]
+    got = {(r["Year"], r["Customer_ID"]): r["Profit"] for r in g.collect()}
+    assert got == {(2016, 1): Decimal("1.01"), (2017, 2): Decimal("2.00"), (None, 99): Decimal("3.00")}
+
+
+def test_reports(rows):
+    g = _gold(rows)
+    by_year = gold.profit_by_year(g).collect()
+    assert [r["Year"] for r in by_year] == [2017, 2016, None]  # DESC, nulls last
+    assert by_year[0]["total_profit_by_year"] == Decimal("2.00")
+    assert gold.profit_by_customer(g).first()["Customer_ID"] == 99
+    assert gold.profit_by_year_category(g).count() == 3
+    assert gold.profit_by_customer_year(g).count() == 3
+
+
+def test_silver_category_profit(rows):
+    cust = silver.enrich_customers(rows([(1, "Ann", "a@x", "DE", "")], CUST))
+    prod = silver.enrich_products(rows([(100, "C1", "S1", "n", 1.0)], PROD))
+    so = silver.enrich_orders(_orders(rows), cust, prod)
+    out = {(r["order_year"], r["Category"]): r["profit"] for r in gold.silver_category_profit(so).collect()}
+    assert out[(2016, "C1")] == Decimal("1.01")
+    assert out[(None, None)] == Decimal("3.00")
