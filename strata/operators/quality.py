@@ -115,9 +115,8 @@ def missing_keys(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -
 
 # ----------------------------------------------------------- reconciliations
 
-def _layer_total(df: DataFrame, column: str = "Profit", per_row_round: bool = False) -> Column:
-    value = round_money(column) if per_row_round else F.col(column)
-    return F.round(F.sum(value), 2)
+def _rounded_sum(value: Column) -> Column:
+    return F.round(F.sum(value), 2).cast("decimal(38,2)")
 
 
 def profit_totals(bronze_orders: DataFrame, silver_orders: DataFrame, gold: DataFrame) -> DataFrame:
@@ -126,26 +125,23 @@ def profit_totals(bronze_orders: DataFrame, silver_orders: DataFrame, gold: Data
     ``bronze_profit`` sums the raw values as the reference does; because
     silver rounds every row to cents first, ``round(sum(x)) <> sum(round(x))``
     in general, so ``passed`` compares the per-row-rounded bronze total with
-    silver and gold.  ``passed_raw`` is the reference's comparison.
+    silver and gold.  ``passed_raw`` is the reference's comparison.  Each
+    layer is aggregated once (both bronze totals in the same pass); the three
+    one-row results are stacked and folded into one row, with no cross join.
     """
-    b = bronze_orders.dropDuplicates()
-    parts = [
-        b.agg(_layer_total(b, "Profit").cast("decimal(38,2)").alias("t")).select(
-            F.lit("bronze_profit").alias("layer"), "t"),
-        b.agg(_layer_total(b, "Profit", per_row_round=True).cast("decimal(38,2)").alias("t")).select(
-            F.lit("bronze_rounded_profit").alias("layer"), "t"),
-        silver_orders.dropDuplicates().agg(
-            _layer_total(silver_orders).cast("decimal(38,2)").alias("t")).select(
-            F.lit("silver_profit").alias("layer"), "t"),
-        gold.dropDuplicates().agg(_layer_total(gold).cast("decimal(38,2)").alias("t")).select(
-            F.lit("gold_profit").alias("layer"), "t"),
-    ]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    # One-row pivot of the four single-row totals (no cross join).
+    null = F.lit(None).cast("decimal(38,2)")
+    b = bronze_orders.dropDuplicates().agg(
+        _rounded_sum(F.col("Profit")).alias("bronze_profit"),
+        _rounded_sum(round_money("Profit")).alias("bronze_rounded_profit"),
+        null.alias("silver_profit"), null.alias("gold_profit"))
+    s = silver_orders.dropDuplicates().agg(
+        null.alias("bronze_profit"), null.alias("bronze_rounded_profit"),
+        _rounded_sum(F.col("Profit")).alias("silver_profit"), null.alias("gold_profit"))
+    g = gold.dropDuplicates().agg(
+        null.alias("bronze_profit"), null.alias("bronze_rounded_profit"),
+        null.alias("silver_profit"), _rounded_sum(F.col("Profit")).alias("gold_profit"))
     names = ("bronze_profit", "bronze_rounded_profit", "silver_profit", "gold_profit")
-    wide = u.agg(*[F.max(F.when(F.col("layer") == n, F.col("t"))).alias(n) for n in names])
+    wide = b.unionByName(s).unionByName(g).agg(*[F.max(n).alias(n) for n in names])
     eq = F.col("silver_profit").eqNullSafe(F.col("gold_profit"))
     return wide.select(
         *names,

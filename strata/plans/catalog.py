@@ -89,6 +89,8 @@ QUERIES: dict[str, Query] = {
 # ------------------------------------------------------------------ checks
 # Each check runs over a whole layer; where the clean layer would give no
 # rows, a planted variant (strata.sources.variants) guarantees violations.
+# Checks that read a layer more than once use stored layers (written once to
+# the shared scratch folder), as they would read the pipeline's tables.
 
 
 def dq_pk_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +118,7 @@ def dq_non_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_profit_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    L = build_layers(spark, sf_dir)
+    L = build_layers(spark, sf_dir, stored=True)
     return decimals_as_double(Q.profit_totals(L.bronze.orders, L.silver_orders, L.gold))
 
 
@@ -150,17 +152,17 @@ def dq_fk_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_gold_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    L = build_layers(spark, sf_dir)
+    L = build_layers(spark, sf_dir, stored=True)
     return decimals_as_double(Q.gold_mismatches(L.silver_orders, V.gold_dup(L.gold)))
 
 
 def dq_gold_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    L = build_layers(spark, sf_dir)
+    L = build_layers(spark, sf_dir, stored=True)
     return decimals_as_double(Q.gold_total_accuracy(L.silver_orders, L.gold))
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    L = build_layers(spark, sf_dir)
+    L = build_layers(spark, sf_dir, stored=True)
     return Q.quality_report(spark, Q.LayerFrames(
         bronze_orders=L.bronze.orders, bronze_customer=L.bronze.customer,
         bronze_products=L.bronze.products, silver_customer=L.silver_customer,

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from strata.operators import gold, silver
 from strata.sources.adapters import Bronze, load_bronze
+from strata.sources.sinks import materialize
 
 
 @dataclass(frozen=True)
@@ -25,13 +26,26 @@ class Layers:
     gold: DataFrame
 
 
-def build_layers(spark: SparkSession, sf_dir: str) -> Layers:
+def build_layers(spark: SparkSession, sf_dir: str, stored: bool = False) -> Layers:
+    """All layers as lazy plans over the given tables.
+
+    ``stored=True`` writes bronze orders, silver orders and gold once to the
+    shared scratch folder and reads them back, for callers (the quality
+    checks) that consume each layer several times.
+    """
     b = load_bronze(spark, sf_dir)
+    if stored:
+        b = Bronze(orders=materialize(b.orders, "bronze-orders"), customer=b.customer,
+                   products=b.products)
     sc = silver.enrich_customers(b.customer)
     sp = silver.enrich_products(b.products)
     so = silver.enrich_orders(b.orders, sc, sp)
-    return Layers(bronze=b, silver_customer=sc, silver_products=sp, silver_orders=so,
-                  gold=gold.gold_profit(so))
+    if stored:
+        so = materialize(so, "silver-orders")
+    g = gold.gold_profit(so)
+    if stored:
+        g = materialize(g, "gold")
+    return Layers(bronze=b, silver_customer=sc, silver_products=sp, silver_orders=so, gold=g)
 
 
 def decimals_as_double(df: DataFrame) -> DataFrame:

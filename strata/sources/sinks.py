@@ -40,3 +40,20 @@ def require_rows(frames: Mapping[str, DataFrame], what: str = "input") -> None:
     empty = [name for name, df in frames.items() if df.isEmpty()]
     if empty:
         raise ValueError(f"No data in {what}: {', '.join(empty)}")
+
+
+def materialize(df: DataFrame, purpose: str = "frame") -> DataFrame:
+    """Write ``df`` once as parquet under the shared scratch folder and read it back.
+
+    For a frame that several later computations consume (the quality checks
+    all read silver orders): they scan the stored copy instead of each
+    recomputing its joins.  This also cuts the lineage, so a lost executor
+    re-reads the copy rather than recomputing from the raw inputs.  Unlike
+    ``DataFrame.checkpoint`` the plan runs once (no count-then-write).
+    """
+    from strata.session import scratch_dir
+
+    spark = df.sparkSession
+    path = scratch_dir(spark, purpose)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
