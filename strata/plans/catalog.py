@@ -268,7 +268,23 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_as_double(run_medallion(spark, sources, _run_names("run"), root=root))
 
 
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed as several JSON files, ingested as a file stream in
+    several micro-batches; the bronze table's distinct rows are the orders."""
+    from strata.streaming import INGEST_BATCH_COLUMN, ingest_files
+
+    root = scratch_dir(spark, "stream")
+    load_bronze(spark, sf_dir).orders.write.mode("overwrite").json(f"{root}/landing")
+    names = _run_names("stream")
+    prepare_schemas(spark, names, root)
+    table = ingest_files(spark, SourceSpec(f"{root}/landing", "json", ORDERS_DDL),
+                         names.bronze(names.bronze_orders), f"{root}/_checkpoint",
+                         max_files_per_trigger=2)
+    return decimals_as_double(table.drop(INGEST_BATCH_COLUMN).dropDuplicates())
+
+
 QUERIES.update({
+    "stream_ingest": stream_ingest,
     "clean_names": clean_names,
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,

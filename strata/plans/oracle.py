@@ -279,5 +279,6 @@ ORACLE.update({
     "json_roundtrip": with_layers(_BRONZE_ORDERS_DISTINCT),
     "table_copy": with_layers("SELECT DISTINCT * FROM bronze_customer"),
     "dedup_overwrite": with_layers(_BRONZE_ORDERS_DISTINCT),
+    "stream_ingest": with_layers(_BRONZE_ORDERS_DISTINCT),
     "medallion_run": ORACLE["gold_profit"],
 })
