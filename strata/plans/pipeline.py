@@ -50,7 +50,8 @@ class SilverTables:
 
 
 def process_silver(spark: SparkSession, names: LayerNames = LayerNames(), fmt: str = "parquet",
-                   email_fallback: bool = False, broadcast_dimensions: bool = False) -> SilverTables:
+                   email_fallback: bool = False,
+                   broadcast_max_rows: int | None = None) -> SilverTables:
     """Build and write the three silver tables from the bronze tables.
 
     The non-empty guard runs on the bronze inputs, reading one row of each.
@@ -70,7 +71,7 @@ def process_silver(spark: SparkSession, names: LayerNames = LayerNames(), fmt: s
     write_table(sp, names.silver(names.silver_products), fmt, dedup=False)
     sc_t = read_table(spark, names.silver(names.silver_customer))
     sp_t = read_table(spark, names.silver(names.silver_products))
-    so = enrich_orders(bo, sc_t, sp_t, broadcast_dimensions=broadcast_dimensions)
+    so = enrich_orders(bo, sc_t, sp_t, broadcast_max_rows=broadcast_max_rows)
     write_table(so, names.silver(names.silver_orders), fmt, dedup=False)
     return SilverTables(customer=sc_t, products=sp_t,
                         orders=read_table(spark, names.silver(names.silver_orders)))

@@ -54,3 +54,30 @@ def scratch_dir(spark: SparkSession, purpose: str = "scratch") -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def scale_conf(shuffle_bytes: int, cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings sized for a job that shuffles about ``shuffle_bytes``.
+
+    The initial shuffle partition count keeps each partition near
+    ``target_partition_bytes`` (so sorts and hash maps fit in task memory and
+    spill rarely), never below three tasks per core; AQE then coalesces small
+    partitions and splits skewed ones.  Example: 30 TB shuffled on 8,000
+    cores -> 245,760 initial partitions, coalesced at run time.
+    """
+    parts = max(3 * cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(2 * target_partition_bytes),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
