@@ -1,0 +1,61 @@
+"""A customer holding a third of all orders: AQE splits the join, results stay exact."""
+
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from strata.operators import gold, silver
+from strata.plans.inspect import physical_plan
+
+ORD = ("Row_ID bigint, Order_ID bigint, Order_Date string, Ship_Date string, Ship_Mode string, "
+       "Customer_ID bigint, Product_ID bigint, Quantity double, Price double, Discount double, "
+       "Profit double")
+
+
+def _orders(spark, n=30000):
+    ids = spark.range(n)
+    hot = F.col("id") % 3 == 0  # a third of all rows on customer 7, a few with null keys
+    return ids.select(
+        F.col("id").alias("Row_ID"), F.col("id").alias("Order_ID"), F.lit("1/2/2020").alias("Order_Date"),
+        F.lit("x").alias("Ship_Date"), F.lit("m").alias("Ship_Mode"),
+        F.when(hot, F.lit(7)).when(F.col("id") % 101 == 0, F.lit(None)).otherwise(F.col("id") % 500 + 1000)
+        .cast("bigint").alias("Customer_ID"),
+        (F.col("id") % 50).alias("Product_ID"), F.lit(1.0).alias("Quantity"), F.lit(2.0).alias("Price"),
+        F.lit(0.0).alias("Discount"), F.lit(0.01).alias("Profit"))
+
+
+def test_hot_customer_join_is_split_and_exact(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        cust = silver.enrich_customers(spark.range(1500).select(
+            F.col("id").alias("customer_id"), F.lit("Ann").alias("customer_name"),
+            F.lit("DE").alias("country")))
+        prod = silver.enrich_products(spark.range(50).select(
+            F.col("id").alias("Product_ID"), F.lit("C").alias("Category"), F.lit("S").alias("Sub_Category")))
+        orders = spark.createDataFrame(_orders(spark).collect(), ORD)  # a plain scan, not a range plan
+        so = silver.enrich_orders(orders, cust, prod)
+        g = gold.gold_profit(so)
+        total = g.agg(F.sum("Profit")).first()[0]
+        hot = g.filter("Customer_ID = 7").agg(F.sum("Profit")).first()[0]
+        assert total == Decimal("300.00") and hot == Decimal("100.00")
+        assert so.filter(F.col("Customer_ID").isNull()).count() == so.filter("customer_name is null").count()
+        plan = physical_plan(so)  # after execution: the final adaptive plan
+        assert "isFinalPlan=true" in plan
+        assert "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
