@@ -266,18 +266,19 @@ class RowRule:
 
 
 def row_rule_counts(df: DataFrame, table_name: str, rules: Sequence[RowRule]) -> DataFrame:
-    """All row rules of one table in one scan: ``agg(count_if ...)`` then stacked."""
+    """All row rules of one table in one scan: ``agg(count_if ...)``, then the
+    one-row result is unfolded into a row per rule (a generator on one row,
+    so the table is scanned once whatever the number of rules)."""
     wide = df.agg(*[F.count_if(r.violation).alias(f"r{i}") for i, r in enumerate(rules)])
-    stacked = [
-        wide.select(F.lit(r.check).alias("check_name"), F.lit(table_name).alias("table_name"),
-                    F.lit(r.column).cast("string").alias("column_name"),
-                    F.col(f"r{i}").cast("long").alias("violations"))
+    per_rule = F.array(*[
+        F.struct(F.lit(r.check).alias("check_name"),
+                 F.lit(r.column).cast("string").alias("column_name"),
+                 F.col(f"r{i}").cast("long").alias("violations"))
         for i, r in enumerate(rules)
-    ]
-    out = stacked[0]
-    for s in stacked[1:]:
-        out = out.unionByName(s)
-    return out.withColumn("passed", F.col("violations") == 0)
+    ])
+    return wide.select(F.inline(per_rule)).select(
+        "check_name", F.lit(table_name).alias("table_name"), "column_name", "violations",
+        (F.col("violations") == 0).alias("passed"))
 
 
 def count_rows(df: DataFrame, check: str, table_name: str, column: str | None) -> DataFrame:

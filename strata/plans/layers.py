@@ -6,6 +6,7 @@ parquet tables to its result, so Catalyst optimises it end to end.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,24 +27,32 @@ class Layers:
     gold: DataFrame
 
 
-def build_layers(spark: SparkSession, sf_dir: str, stored: bool = False) -> Layers:
+STORABLE = ("bronze_orders", "silver_orders", "gold")
+
+
+def build_layers(spark: SparkSession, sf_dir: str, store: Collection[str] = ()) -> Layers:
     """All layers as lazy plans over the given tables.
 
-    ``stored=True`` writes bronze orders, silver orders and gold once to the
-    shared scratch folder and reads them back, for callers (the quality
-    checks) that consume each layer several times.
+    ``store`` names layers (of ``STORABLE``) to write once to the shared
+    scratch folder and read back, for callers that consume them several
+    times.  Store only what is read more than once: each stored layer costs
+    one full write, and a layer read once is cheaper recomputed in the plan
+    of its single consumer.
     """
+    unknown = set(store) - set(STORABLE)
+    if unknown:
+        raise ValueError(f"cannot store {sorted(unknown)}; storable layers are {STORABLE}")
     b = load_bronze(spark, sf_dir)
-    if stored:
+    if "bronze_orders" in store:
         b = Bronze(orders=materialize(b.orders, "bronze-orders"), customer=b.customer,
                    products=b.products)
     sc = silver.enrich_customers(b.customer)
     sp = silver.enrich_products(b.products)
     so = silver.enrich_orders(b.orders, sc, sp)
-    if stored:
+    if "silver_orders" in store:
         so = materialize(so, "silver-orders")
     g = gold.gold_profit(so)
-    if stored:
+    if "gold" in store:
         g = materialize(g, "gold")
     return Layers(bronze=b, silver_customer=sc, silver_products=sp, silver_orders=so, gold=g)
 
