@@ -2,20 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# Broadcast payload allowed by default: well below the driver's result-size
+# limit and Spark's 8 GB broadcast ceiling, and small enough to copy to a
+# thousand executors without dominating the stage.
+DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it holds at most ``max_rows`` rows.
 
-    The bound is counted, not estimated: ``limit(max_rows + 1).count()``
-    reads at most ``max_rows + 1`` rows, so the check stays cheap however
-    large the frame is.  Beyond the bound the frame is returned unhinted and
-    the join falls back to Spark's own choice (sort-merge with AQE skew
-    splitting, or an AQE broadcast if the shuffled size turns out small).
+def _row_bytes(schema: T.StructType) -> Column:
+    """Upper estimate of one row's in-memory size (Spark's UnsafeRow layout):
+    a null bitmap word per 64 fields, an 8-byte slot per field, and the
+    variable-length part of strings, binaries and nested values rounded up to
+    whole words."""
+    n = len(schema.fields)
+    fixed = 8 * ((n + 63) // 64) + 8 * n
+    extra = []
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = F.octet_length(c)
+        elif isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18:
+            size = F.lit(16)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = F.octet_length(F.to_json(c))
+        else:
+            continue
+        padded = size + 7 - F.pmod(size + 7, F.lit(8))
+        extra.append(F.coalesce(padded, F.lit(0)))
+    total = F.lit(fixed)
+    for e in extra:
+        total = total + e
+    return total
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int,
+                         max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when it holds at most ``max_rows`` rows and about
+    ``max_bytes`` bytes.
+
+    Both bounds are measured, not estimated: one job reads at most
+    ``max_rows + 1`` rows (``limit``) and returns their count and summed row
+    size, so the check stays cheap however large the frame is.  Beyond either
+    bound the frame is returned unhinted and the join falls back to Spark's
+    own choice (sort-merge with AQE skew splitting, or an AQE broadcast if
+    the shuffled size turns out small).
     """
     if max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    probe = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0)).alias("bytes")).first()
+    if probe["n"] <= max_rows and probe["bytes"] <= max_bytes:
+        return F.broadcast(df)
+    return df

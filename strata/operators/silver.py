@@ -16,8 +16,9 @@ check), AQE converts to broadcast when the shuffled size turns out small, and
 otherwise the join is a sort-merge join whose skewed partitions (one hot or
 null Customer_ID holding a third of the orders) AQE splits
 (``spark.sql.adaptive.skewJoin.enabled``).  Pass
-``broadcast_max_rows=N`` to broadcast a dimension after *counting* that it
-has at most N rows (``operators.joins.broadcast_if_bounded``).
+``broadcast_max_rows=N`` to broadcast a dimension after *measuring* that it
+has at most N rows and at most ``broadcast_max_bytes`` bytes
+(``operators.joins.broadcast_if_bounded``).
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from strata.functions.dates import DAY_FIRST_FORMATS, parse_day_first_date
 from strata.functions.money import round_money
 from strata.functions.text import email_local_part, strip_non_letters
-from strata.operators.joins import broadcast_if_bounded
+from strata.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_bounded
 
 CUSTOMER_COLUMNS = ("customer_id", "customer_name", "country")
 PRODUCT_COLUMNS = ("Product_ID", "Category", "Sub_Category")
@@ -69,22 +70,24 @@ def parse_orders(order_df: DataFrame, date_formats: Sequence[str] = DAY_FIRST_FO
     return order_df.select(*cols, parse_day_first_date("Order_Date", date_formats).alias("Order_Date"))
 
 
-def _dimension(df: DataFrame, broadcast_max_rows: int | None) -> DataFrame:
-    return broadcast_if_bounded(df, broadcast_max_rows) if broadcast_max_rows else df
+def _dimension(df: DataFrame, max_rows: int | None, max_bytes: int) -> DataFrame:
+    return broadcast_if_bounded(df, max_rows, max_bytes) if max_rows else df
 
 
 def join_dimensions(orders: DataFrame, customers: DataFrame, products: DataFrame,
-                    broadcast_max_rows: int | None = None) -> DataFrame:
+                    broadcast_max_rows: int | None = None,
+                    broadcast_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Left outer joins USING Customer_ID then Product_ID; unmatched keys get nulls."""
     cust = customers.withColumnRenamed("customer_id", "Customer_ID")
     return (orders
-            .join(_dimension(cust, broadcast_max_rows), "Customer_ID", "left")
-            .join(_dimension(products, broadcast_max_rows), "Product_ID", "left"))
+            .join(_dimension(cust, broadcast_max_rows, broadcast_max_bytes), "Customer_ID", "left")
+            .join(_dimension(products, broadcast_max_rows, broadcast_max_bytes), "Product_ID", "left"))
 
 
 def enrich_orders(order_df: DataFrame, customer_df: DataFrame, product_df: DataFrame,
                   date_formats: Sequence[str] = DAY_FIRST_FORMATS,
-                  broadcast_max_rows: int | None = None) -> DataFrame:
+                  broadcast_max_rows: int | None = None,
+                  broadcast_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Silver orders: parsed, rounded, de-duplicated, joined to both dimensions.
 
     The dimensions are de-duplicated again here; when they come from
@@ -93,4 +96,4 @@ def enrich_orders(order_df: DataFrame, customer_df: DataFrame, product_df: DataF
     """
     orders = parse_orders(order_df, date_formats).dropDuplicates()
     return join_dimensions(orders, customer_df.dropDuplicates(), product_df.dropDuplicates(),
-                           broadcast_max_rows)
+                           broadcast_max_rows, broadcast_max_bytes)

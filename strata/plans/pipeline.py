@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.gold import gold_profit
+from strata.operators.joins import DEFAULT_MAX_BROADCAST_BYTES
 from strata.operators.naming import clean_column_names
 from strata.operators.silver import enrich_customers, enrich_orders, enrich_products
 from strata.settings import LayerNames, SourceSpec
@@ -51,7 +52,8 @@ class SilverTables:
 
 def process_silver(spark: SparkSession, names: LayerNames = LayerNames(), fmt: str = "parquet",
                    email_fallback: bool = False,
-                   broadcast_max_rows: int | None = None) -> SilverTables:
+                   broadcast_max_rows: int | None = None,
+                   broadcast_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> SilverTables:
     """Build and write the three silver tables from the bronze tables.
 
     The non-empty guard runs on the bronze inputs, reading one row of each.
@@ -71,7 +73,8 @@ def process_silver(spark: SparkSession, names: LayerNames = LayerNames(), fmt: s
     write_table(sp, names.silver(names.silver_products), fmt, dedup=False)
     sc_t = read_table(spark, names.silver(names.silver_customer))
     sp_t = read_table(spark, names.silver(names.silver_products))
-    so = enrich_orders(bo, sc_t, sp_t, broadcast_max_rows=broadcast_max_rows)
+    so = enrich_orders(bo, sc_t, sp_t, broadcast_max_rows=broadcast_max_rows,
+                       broadcast_max_bytes=broadcast_max_bytes)
     write_table(so, names.silver(names.silver_orders), fmt, dedup=False)
     return SilverTables(customer=sc_t, products=sp_t,
                         orders=read_table(spark, names.silver(names.silver_orders)))

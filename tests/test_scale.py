@@ -2,6 +2,7 @@
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from strata.operators import silver
 from strata.operators.joins import broadcast_if_bounded
@@ -56,3 +57,25 @@ def test_dedup_before_join_equals_dedup_after_join(spark, o, c, p):
     naive = silver.join_dimensions(silver.parse_orders(orders), cust, prod).dropDuplicates()
     assert ours.count() == naive.count()
     assert ours.exceptAll(naive).count() == 0 and naive.exceptAll(ours).count() == 0
+
+
+def test_broadcast_refused_over_byte_bound(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = spark.range(100).withColumnRenamed("id", "k")
+        dim = spark.range(10).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 1000).alias("s"))
+        # 10 rows of ~1 KB each: under a 64 KB bound, over a 4 KB one
+        ok = physical_plan(fact.join(broadcast_if_bounded(dim, 10, max_bytes=64 << 10), "k", "left"))
+        assert operator_count(ok, "BroadcastHashJoin") == 1
+        big = physical_plan(fact.join(broadcast_if_bounded(dim, 10, max_bytes=4 << 10), "k", "left"))
+        assert operator_count(big, "BroadcastHashJoin") == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_row_bytes_counts_strings_and_slots(spark):
+    from strata.operators.joins import _row_bytes
+
+    df = spark.createDataFrame([(1, "abcdefghij"), (2, None)], "k bigint, s string")
+    # bitmap word + 2 slots = 24 bytes a row; "abcdefghij" pads to 16 bytes
+    assert df.agg(F.sum(_row_bytes(df.schema))).first()[0] == 24 + 16 + 24
