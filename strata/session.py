@@ -39,13 +39,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def scratch_dir(spark: SparkSession, purpose: str = "scratch") -> str:
     """A fresh sub-folder of the shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir); sets a
-    local one only when neither is configured, which happens in tests.
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  When
+    neither is configured, a local session (tests) gets a folder of its own;
+    any other master is refused, since a folder on the driver's disk is not
+    visible to the executors and does not survive losing one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a folder on the cluster's "
+                "shared file system before running jobs that store intermediate layers")
         base = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)

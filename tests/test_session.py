@@ -1,0 +1,50 @@
+"""The shared scratch folder comes from the session; only local runs get a default."""
+
+import pytest
+
+from strata.session import scratch_dir
+
+
+class _Conf:
+    def __init__(self, values):
+        self.values = dict(values)
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+    def set(self, key, value):
+        self.values[key] = value
+
+
+class _Context:
+    def __init__(self):
+        self.dir = None
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, d):
+        self.dir = d
+
+
+class _Session:
+    def __init__(self, **conf):
+        self.conf = _Conf(conf)
+        self.sparkContext = _Context()
+
+
+def test_uses_configured_checkpoint_dir(tmp_path):
+    s = _Session(**{"spark.master": "yarn", "spark.checkpoint.dir": str(tmp_path)})
+    path = scratch_dir(s, "x")
+    assert path.startswith(str(tmp_path) + "/x-")
+
+
+def test_cluster_without_checkpoint_dir_is_refused():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(_Session(**{"spark.master": "spark://host:7077"}), "x")
+
+
+def test_local_session_gets_its_own_folder():
+    s = _Session(**{"spark.master": "local[2]"})
+    path = scratch_dir(s, "x")
+    assert s.conf.get("spark.checkpoint.dir") and path.startswith(s.conf.get("spark.checkpoint.dir"))
