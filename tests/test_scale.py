@@ -79,3 +79,7 @@ def test_row_bytes_counts_strings_and_slots(spark):
     df = spark.createDataFrame([(1, "abcdefghij"), (2, None)], "k bigint, s string")
     # bitmap word + 2 slots = 24 bytes a row; "abcdefghij" pads to 16 bytes
     assert df.agg(F.sum(_row_bytes(df.schema))).first()[0] == 24 + 16 + 24
+
+
+def test_scale_conf_lets_aqe_split_hot_keys_behind_an_aggregation():
+    assert scale_conf(10**12, cores=800)["spark.sql.adaptive.forceOptimizeSkewedJoin"] == "true"

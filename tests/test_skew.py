@@ -2,6 +2,7 @@
 
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import gold, silver
@@ -24,42 +25,70 @@ def _orders(spark, n=30000):
         F.lit(0.0).alias("Discount"), F.lit(0.01).alias("Profit"))
 
 
-def test_hot_customer_join_is_split_and_exact(spark):
-    conf = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def skew_conf(spark):
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
         spark.conf.set(k, v)
-    try:
-        cust = silver.enrich_customers(spark.range(1500).select(
-            F.col("id").alias("customer_id"), F.lit("Ann").alias("customer_name"),
-            F.lit("DE").alias("country")))
-        prod = silver.enrich_products(spark.range(50).select(
-            F.col("id").alias("Product_ID"), F.lit("C").alias("Category"), F.lit("S").alias("Sub_Category")))
-        orders = spark.createDataFrame(_orders(spark).collect(), ORD)  # a plain scan, not a range plan
-        so = silver.enrich_orders(orders, cust, prod)
-        g = gold.gold_profit(so)
-        total = g.agg(F.sum("Profit")).first()[0]
-        hot = g.filter("Customer_ID = 7").agg(F.sum("Profit")).first()[0]
-        assert total == Decimal("300.00") and hot == Decimal("100.00")
-        # Run the silver plan itself (a 30,000-row fixture), so its explain
-        # shows the final adaptive plan with the split partitions.
-        out = so.collect()
-        null_keys = sum(r["Customer_ID"] is None for r in out)
-        assert null_keys == sum(r["customer_name"] is None for r in out) > 0
-        plan = physical_plan(so)
-        assert "isFinalPlan=true" in plan
-        assert "skew=true" in plan
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def _dimensions(spark):
+    cust = silver.enrich_customers(spark.range(1500).select(
+        F.col("id").alias("customer_id"), F.lit("Ann").alias("customer_name"),
+        F.lit("DE").alias("country")))
+    prod = silver.enrich_products(spark.range(50).select(
+        F.col("id").alias("Product_ID"), F.lit("C").alias("Category"), F.lit("S").alias("Sub_Category")))
+    return cust, prod
+
+
+def test_hot_customer_join_is_split_and_exact(spark, skew_conf):
+    cust, prod = _dimensions(spark)
+    orders = spark.createDataFrame(_orders(spark).collect(), ORD)  # a plain scan, not a range plan
+    so = silver.enrich_orders(orders, cust, prod)
+    g = gold.gold_profit(so)
+    total = g.agg(F.sum("Profit")).first()[0]
+    hot = g.filter("Customer_ID = 7").agg(F.sum("Profit")).first()[0]
+    assert total == Decimal("300.00") and hot == Decimal("100.00")
+    # Run the silver plan itself (a 30,000-row fixture), so its explain
+    # shows the final adaptive plan with the split partitions.
+    out = so.collect()
+    null_keys = sum(r["Customer_ID"] is None for r in out)
+    assert null_keys == sum(r["customer_name"] is None for r in out) > 0
+    plan = physical_plan(so)
+    assert "isFinalPlan=true" in plan
+    assert "skew=true" in plan
+
+
+def test_hot_customer_split_when_gold_reuses_the_join_partitioning(spark, skew_conf):
+    """With the product dimension broadcast, the gold aggregation (grouped by
+    Customer_ID among others) could run in the customer join's partitions
+    with no exchange of its own, and AQE then would not split the hot
+    customer (that needs an extra shuffle).  forceOptimizeSkewedJoin lets it
+    split and add the exchange, with partial aggregation before it."""
+    cust, prod = _dimensions(spark)
+    orders = spark.createDataFrame(_orders(spark).collect(), ORD)
+    g = gold.gold_profit(silver.join_dimensions(
+        silver.parse_orders(orders).dropDuplicates(), cust, F.broadcast(prod)))
+    out = g.collect()
+    assert sum(r["Profit"] for r in out) == Decimal("300.00")
+    plan = physical_plan(g)
+    assert "isFinalPlan=true" in plan and "skew=true" in plan
+    assert "BroadcastHashJoin LeftOuter" in plan
