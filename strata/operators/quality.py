@@ -159,7 +159,7 @@ def category_counts(silver_products: DataFrame, bronze_products: DataFrame,
     """
     def counts(df: DataFrame, side: str) -> DataFrame:
         distinct = df.select(*columns).distinct()
-        aggs = [(F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(c)
+        aggs = [(F.count_distinct(c) + (F.count_if(F.col(c).isNull()) > 0).cast("int")).alias(c)
                 for c in columns]
         wide = distinct.agg(*aggs)
         return wide.unpivot([], list(columns), "column_name", side)

@@ -127,7 +127,7 @@ def _non_empty(table: str) -> str:
 def _distinct_counts(table: str, alias: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(DISTINCT {c}) "
-        f"+ max(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS {alias} FROM {table}"
+        f"+ CASE WHEN count(*) FILTER (WHERE {c} IS NULL) > 0 THEN 1 ELSE 0 END AS {alias} FROM {table}"
         for c in ("Category", "Sub_Category"))
 
 

@@ -123,6 +123,13 @@ def test_category_counts(rows):
     assert {(r[0], r[1]) for r in diff.collect()} == {("B", "silver"), (None, "silver")}
 
 
+def test_category_counts_empty_silver_fails(rows):
+    bronze = rows([(1, "A", "x")], "Product_ID int, Category string, Sub_Category string")
+    out = Q.category_counts(bronze.filter("false"), bronze).collect()
+    assert {r["silver_distinct"] for r in out} == {0}
+    assert all(r["passed"] is False for r in out)
+
+
 def test_profit_totals_rounding_grain(rows):
     bronze = rows([(1, Decimal("0.125")), (2, Decimal("0.125")), (3, Decimal("0.125"))],
                   "Row_ID int, Profit decimal(18,4)")
