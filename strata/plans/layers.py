@@ -27,7 +27,7 @@ class Layers:
     gold: DataFrame
 
 
-STORABLE = ("bronze_orders", "silver_orders", "gold")
+STORABLE = ("bronze_orders", "silver_customer", "silver_products", "silver_orders", "gold")
 
 
 def build_layers(spark: SparkSession, sf_dir: str, store: Collection[str] = ()) -> Layers:
@@ -47,7 +47,11 @@ def build_layers(spark: SparkSession, sf_dir: str, store: Collection[str] = ())
         b = Bronze(orders=materialize(b.orders, "bronze-orders"), customer=b.customer,
                    products=b.products)
     sc = silver.enrich_customers(b.customer)
+    if "silver_customer" in store:
+        sc = materialize(sc, "silver-customer")
     sp = silver.enrich_products(b.products)
+    if "silver_products" in store:
+        sp = materialize(sp, "silver-products")
     so = silver.enrich_orders(b.orders, sc, sp)
     if "silver_orders" in store:
         so = materialize(so, "silver-orders")
