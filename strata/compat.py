@@ -96,7 +96,7 @@ def process_silver(spark: SparkSession, customer_df: DataFrame, orders_df: DataF
     write_table(sp, f"{prefix}.{silver_products_dst_table_name}", fmt, dedup=False)
     sc_t = spark.table(f"{prefix}.{silver_customer_dst_table_name}")
     sp_t = spark.table(f"{prefix}.{silver_products_dst_table_name}")
-    write_table(_silver.enrich_orders(orders_df, sc_t, sp_t),
+    write_table(_silver.enrich_orders(orders_df, sc_t, sp_t, dimensions_distinct=True),
                 f"{prefix}.{silver_orders_dst_table_name}", fmt, dedup=False)
     return sc_t, sp_t, spark.table(f"{prefix}.{silver_orders_dst_table_name}")
 

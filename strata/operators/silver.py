@@ -87,13 +87,18 @@ def join_dimensions(orders: DataFrame, customers: DataFrame, products: DataFrame
 def enrich_orders(order_df: DataFrame, customer_df: DataFrame, product_df: DataFrame,
                   date_formats: Sequence[str] = DAY_FIRST_FORMATS,
                   broadcast_max_rows: int | None = None,
-                  broadcast_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
+                  broadcast_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                  dimensions_distinct: bool = False) -> DataFrame:
     """Silver orders: parsed, rounded, de-duplicated, joined to both dimensions.
 
-    The dimensions are de-duplicated again here; when they come from
-    ``enrich_customers``/``enrich_products`` the optimizer drops that second
-    de-dup, and when they do not it guarantees the distinct output.
+    Distinct output needs distinct dimensions, so by default they are
+    de-duplicated here.  When they are plans ending in ``enrich_customers`` /
+    ``enrich_products`` the optimizer drops that second de-dup by itself; it
+    cannot when they are *tables* written from those functions, so callers
+    holding such tables pass ``dimensions_distinct=True`` and save a full
+    shuffle of each dimension.
     """
     orders = parse_orders(order_df, date_formats).dropDuplicates()
-    return join_dimensions(orders, customer_df.dropDuplicates(), product_df.dropDuplicates(),
-                           broadcast_max_rows, broadcast_max_bytes)
+    if not dimensions_distinct:
+        customer_df, product_df = customer_df.dropDuplicates(), product_df.dropDuplicates()
+    return join_dimensions(orders, customer_df, product_df, broadcast_max_rows, broadcast_max_bytes)

@@ -52,7 +52,7 @@ def build_layers(spark: SparkSession, sf_dir: str, store: Collection[str] = ())
     sp = silver.enrich_products(b.products)
     if "silver_products" in store:
         sp = materialize(sp, "silver-products")
-    so = silver.enrich_orders(b.orders, sc, sp)
+    so = silver.enrich_orders(b.orders, sc, sp, dimensions_distinct=True)
     if "silver_orders" in store:
         so = materialize(so, "silver-orders")
     g = gold.gold_profit(so)

@@ -73,8 +73,10 @@ def process_silver(spark: SparkSession, names: LayerNames = LayerNames(), fmt: s
     write_table(sp, names.silver(names.silver_products), fmt, dedup=False)
     sc_t = read_table(spark, names.silver(names.silver_customer))
     sp_t = read_table(spark, names.silver(names.silver_products))
+    # The dimension tables were just written from enrich_customers /
+    # enrich_products, so they are distinct: no second de-dup shuffle.
     so = enrich_orders(bo, sc_t, sp_t, broadcast_max_rows=broadcast_max_rows,
-                       broadcast_max_bytes=broadcast_max_bytes)
+                       broadcast_max_bytes=broadcast_max_bytes, dimensions_distinct=True)
     write_table(so, names.silver(names.silver_orders), fmt, dedup=False)
     return SilverTables(customer=sc_t, products=sp_t,
                         orders=read_table(spark, names.silver(names.silver_orders)))

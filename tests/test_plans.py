@@ -65,3 +65,16 @@ def test_report_on_gold_table_is_one_aggregate_and_sort(spark, tmp_path):
     assert schema.startswith("struct<Year:int,Profit:decimal(") and schema.count(":") == 2
     assert operator_count(plan, "HashAggregate") == 2
     assert operator_count(plan, "Sort") == 1
+
+
+def test_stored_distinct_dimensions_are_not_deduplicated_again(spark, tmp_path, no_auto_broadcast):
+    b = load_bronze(spark, SF_SMALL)
+    silver.enrich_customers(b.customer).write.parquet(str(tmp_path / "c"))
+    silver.enrich_products(b.products).write.parquet(str(tmp_path / "p"))
+    cust, prod = spark.read.parquet(str(tmp_path / "c")), spark.read.parquet(str(tmp_path / "p"))
+    default = physical_plan(silver.enrich_orders(b.orders, cust, prod))
+    trusted = silver.enrich_orders(b.orders, cust, prod, dimensions_distinct=True)
+    plan = physical_plan(trusted)
+    assert operator_count(default, "HashAggregate") == 6  # orders, customers, products
+    assert operator_count(plan, "HashAggregate") == 2  # the orders de-dup only
+    assert trusted.exceptAll(silver.enrich_orders(b.orders, cust, prod)).isEmpty()
