@@ -141,3 +141,36 @@ def test_profit_totals_rounding_grain(rows):
     assert r["passed"] and not r["passed_raw"]
     wrong_gold = rows([(Decimal("0.40"),)], "Profit decimal(28,2)")
     assert not Q.profit_totals(bronze, silver, wrong_gold).first()["passed"]
+
+
+def test_quality_report_flags_planted_defects(spark):
+    """The fused report over the sf0.001 layers: clean layers fail only the
+    checks the adapter noise trips; planted defects fail their own checks."""
+    from conftest import SF_SMALL
+    from strata.plans.layers import build_layers
+    from strata.sources import variants as V
+
+    L = build_layers(spark, SF_SMALL)
+
+    def failed(**overrides):
+        frames = dict(bronze_orders=L.bronze.orders, bronze_customer=L.bronze.customer,
+                      bronze_products=L.bronze.products, silver_customer=L.silver_customer,
+                      silver_products=L.silver_products, silver_orders=L.silver_orders, gold=L.gold)
+        frames.update(overrides)
+        rep = Q.quality_report(spark, Q.LayerFrames(**frames))
+        return {(r["check_name"], r["table_name"]) for r in rep.filter("not passed").collect()}
+
+    # adapter noise: unparseable dates, 4-decimal bronze profit, orphan keys, null names, null years
+    base = {("date_unparsed", "bronze_orders"), ("decimal_places", "bronze_orders"),
+            ("fk_customer", "silver_orders"), ("fk_product", "silver_orders"),
+            ("null_name", "silver_customer"), ("year_range", "gold")}
+    assert failed() == base
+    assert failed(silver_customer=V.customers_dup_key(L.silver_customer)) >= base | {
+        ("pk_unique", "silver_customer")}
+    assert ("pk_null", "silver_customer") in failed(silver_customer=V.customers_null_key(L.silver_customer))
+    assert ("category_sets", "silver_products") in failed(silver_products=V.products_lost(L.silver_products))
+    dup = failed(gold=V.gold_dup(L.gold))
+    assert {("gold_grouping", "gold"), ("gold_accuracy", "gold")} <= dup
+    # the layer totals de-duplicate each layer first, so exact copies of gold
+    # rows leave them equal: only the grouping and accuracy checks see copies
+    assert ("profit_layers", "gold") not in dup
