@@ -64,17 +64,23 @@ def scratch_dir(spark: SparkSession, purpose: str = "scratch") -> str:
     return path
 
 
-def scale_conf(shuffle_bytes: int, cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+def scale_conf(shuffle_bytes: int, cores: int, target_partition_bytes: int = 128 << 20,
+               max_partitions: int = 65_536) -> dict[str, str]:
     """Settings sized for a job that shuffles about ``shuffle_bytes``.
 
     The initial shuffle partition count keeps each partition near
     ``target_partition_bytes`` (so sorts and hash maps fit in task memory and
-    spill rarely), never below three tasks per core; AQE then coalesces small
-    partitions and splits skewed ones, also where the split needs an extra
-    shuffle.  Example: 30 TB shuffled on 8,000
-    cores -> 245,760 initial partitions, coalesced at run time.
+    spill rarely), never below three tasks per core.  It is capped at
+    ``max_partitions``: every map task writes one block per partition, so the
+    block count (map tasks x partitions) and the reducers' fetch requests
+    grow with both; past the cap partitions grow beyond the target and spill
+    a little instead.  AQE then coalesces small partitions and splits skewed
+    ones, also where the split needs an extra shuffle.  Example: 30 TB
+    shuffled on 8,000 cores -> 223,517 partitions wanted, 65,536 used
+    (about 460 MB each).
     """
-    parts = max(3 * cores, -(-shuffle_bytes // target_partition_bytes))
+    wanted = -(-shuffle_bytes // target_partition_bytes)
+    parts = max(3 * cores, min(max_partitions, wanted))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
