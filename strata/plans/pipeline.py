@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strata.operators.gold import gold_profit
 from strata.operators.joins import DEFAULT_MAX_BROADCAST_BYTES
 from strata.operators.naming import clean_column_names
+from strata.operators.quality import LayerFrames, quality_report
 from strata.operators.silver import enrich_customers, enrich_orders, enrich_products
 from strata.settings import LayerNames, SourceSpec
 from strata.sources.readers import read_source, read_table
@@ -111,3 +112,24 @@ def run_medallion(spark: SparkSession, sources: MedallionSources,
         process_bronze(spark, sources.customer, names.bronze(names.bronze_customer), fmt)
     process_silver(spark, names, fmt)
     return process_gold(spark, names, fmt)
+
+
+def layer_tables(spark: SparkSession, names: LayerNames = LayerNames()) -> LayerFrames:
+    """The seven written layer tables, as the quality checks take them."""
+    return LayerFrames(
+        bronze_orders=read_table(spark, names.bronze(names.bronze_orders)),
+        bronze_customer=read_table(spark, names.bronze(names.bronze_customer)),
+        bronze_products=read_table(spark, names.bronze(names.bronze_products)),
+        silver_customer=read_table(spark, names.silver(names.silver_customer)),
+        silver_products=read_table(spark, names.silver(names.silver_products)),
+        silver_orders=read_table(spark, names.silver(names.silver_orders)),
+        gold=read_table(spark, names.gold(names.gold_profit)))
+
+
+def check_tables(spark: SparkSession, names: LayerNames = LayerNames()) -> DataFrame:
+    """All checks over the written layers (one report DataFrame, lazily).
+
+    Every layer is a stored table here, so each check scans a table and no
+    layer is recomputed, however many checks read it.
+    """
+    return quality_report(spark, layer_tables(spark, names))

@@ -5,7 +5,7 @@ import pytest
 from conftest import SF_SMALL
 from strata.operators import quality as Q
 from strata.plans import catalog
-from strata.plans.pipeline import process_silver, prepare_schemas
+from strata.plans.pipeline import check_tables, layer_tables, prepare_schemas, process_silver
 from strata.session import scratch_dir
 
 
@@ -33,20 +33,13 @@ def test_layers_written(spark, medallion):
 
 def test_layers_reconcile(spark, medallion):
     names, gold = medallion
-    t = Q.LayerFrames(
-        bronze_orders=spark.table(names.bronze(names.bronze_orders)),
-        bronze_customer=spark.table(names.bronze(names.bronze_customer)),
-        bronze_products=spark.table(names.bronze(names.bronze_products)),
-        silver_customer=spark.table(names.silver(names.silver_customer)),
-        silver_products=spark.table(names.silver(names.silver_products)),
-        silver_orders=spark.table(names.silver(names.silver_orders)),
-        gold=gold)
+    t = layer_tables(spark, names)
     totals = Q.profit_totals(t.bronze_orders, t.silver_orders, t.gold).first()
     assert totals["passed"]
     assert Q.gold_mismatches(t.silver_orders, t.gold).count() == 0
     assert Q.gold_total_accuracy(t.silver_orders, t.gold).first()["passed"]
     report = {(r["check_name"], r["table_name"], r["column_name"]): r
-              for r in Q.quality_report(spark, t).collect()}
+              for r in check_tables(spark, names).collect()}
     # checks that hold on the adapters' data ...
     for key in [("pk_null", "silver_customer", "customer_id"), ("pk_unique", "silver_customer", "customer_id"),
                 ("name_format", "silver_customer", "customer_name"), ("gold_grouping", "gold", None),
