@@ -43,9 +43,12 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int,
     """Broadcast ``df`` only when it holds at most ``max_rows`` rows and about
     ``max_bytes`` bytes.
 
-    Both bounds are measured, not estimated: one job reads at most
-    ``max_rows + 1`` rows (``limit``) and returns their count and summed row
-    size, so the check stays cheap however large the frame is.  Beyond either
+    Both bounds are measured, not estimated: one job takes at most
+    ``max_rows + 1`` rows of ``df`` (``limit``) and returns their count and
+    summed row size.  On a table, or a narrow plan over one, that reads a few
+    rows however large the table is; a plan ending in a shuffle (a de-dup)
+    has to run that shuffle to produce them, so probe the stored dimension
+    table rather than the plan that builds it.  Beyond either
     bound the frame is returned unhinted and the join falls back to Spark's
     own choice (sort-merge with AQE skew splitting, or an AQE broadcast if
     the shuffled size turns out small).
