@@ -111,6 +111,20 @@ def test_missing_keys_null_safe(rows):
     assert Q.missing_keys(rows([(1,)], "k bigint"), "k", dim, "id").count() == 0
 
 
+def test_missing_key_counts_match_one_check_per_key(rows):
+    fact = rows([(1, "a"), (None, "a"), (3, None), (3, "b"), (None, None)], "c bigint, p string")
+    cust = rows([(1,), (2,)], "id bigint")
+    prod = rows([("a",), (None,)], "pid string")
+    fks = [Q.ForeignKey("fk_c", "c", cust, "id"), Q.ForeignKey("fk_p", "p", prod, "pid")]
+    got = {r["check_name"]: (r["column_name"], r["violations"])
+           for r in Q.missing_key_counts(fact, fks).collect()}
+    assert got == {"fk_c": ("c", Q.missing_keys(fact, "c", cust, "id").count()),
+                   "fk_p": ("p", Q.missing_keys(fact, "p", prod, "pid").count())}
+    assert got == {"fk_c": ("c", 2), "fk_p": ("p", 1)}  # c: 3 and null; p: "b" (null is in prod)
+    clean = Q.missing_key_counts(rows([(1, "a")], "c bigint, p string"), fks).collect()
+    assert {r["violations"] for r in clean} == {0}
+
+
 def test_category_counts(rows):
     bronze = rows([(1, "A", "x"), (2, "B", "y"), (3, None, "y")], "Product_ID int, Category string, Sub_Category string")
     same = Q.category_counts(bronze, bronze)
