@@ -34,19 +34,33 @@ def _load(path: str, load: Callable[[], DataFrame]) -> DataFrame:
         raise
 
 
+def _infer(reader, sampling_ratio: float | None):
+    """Inference reads the whole input once before the real read; a sampling
+    ratio below 1 makes that pass read only a fraction of the rows (a type
+    seen only in unsampled rows then fails or nulls at read time)."""
+    if sampling_ratio is not None:
+        if not 0 < sampling_ratio <= 1:
+            raise ValueError(f"sampling_ratio must be in (0, 1], got {sampling_ratio}")
+        reader = reader.option("samplingRatio", sampling_ratio)
+    return reader
+
+
 def read_csv(spark: SparkSession, path: str, header: bool = True, infer_schema: bool = True,
-             delimiter: str = ",", schema: Schema = None) -> DataFrame:
+             delimiter: str = ",", schema: Schema = None,
+             sampling_ratio: float | None = None) -> DataFrame:
     """CSV file or directory of CSV files.  With ``schema`` no inference pass runs."""
     reader = spark.read.option("header", header).option("delimiter", delimiter)
     if schema is not None:
         reader = reader.schema(schema)
     else:
         reader = reader.option("inferSchema", infer_schema)
+        if infer_schema:
+            reader = _infer(reader, sampling_ratio)
     return _load(path, lambda: reader.csv(path))
 
 
 def read_json(spark: SparkSession, path: str, multi_line: bool = False,
-              schema: Schema = None) -> DataFrame:
+              schema: Schema = None, sampling_ratio: float | None = None) -> DataFrame:
     """JSON file or directory.
 
     ``multi_line=False`` (JSON Lines) is the default because it splits into
@@ -57,6 +71,8 @@ def read_json(spark: SparkSession, path: str, multi_line: bool = False,
     reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
+    else:
+        reader = _infer(reader, sampling_ratio)
     return _load(path, lambda: reader.json(path))
 
 

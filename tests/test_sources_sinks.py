@@ -16,6 +16,19 @@ def test_csv_infers_schema_and_reads_directory(spark):
     assert df.count() == 2
 
 
+def test_inference_sampling_ratio(spark):
+    root = scratch_dir(spark, "t-csv")
+    with open(f"{root}/a.csv", "w") as f:
+        f.write("k,v\n" + "".join(f"{i},{i * 0.5}\n" for i in range(200)))
+    df = read_csv(spark, root, sampling_ratio=0.5)
+    assert dict(df.dtypes) == {"k": "int", "v": "double"} and df.count() == 200
+    with open(f"{root}/b.json", "w") as f:
+        f.write("".join(f'{{"k": {i}}}\n' for i in range(50)))
+    assert read_json(spark, f"{root}/b.json", sampling_ratio=0.2).count() == 50
+    with pytest.raises(ValueError):
+        read_csv(spark, root, sampling_ratio=0)
+
+
 def test_csv_with_schema_and_delimiter(spark):
     root = scratch_dir(spark, "t-csv")
     with open(f"{root}/a.csv", "w") as f:
