@@ -10,6 +10,7 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from strata.plans.inspect import physical_plan
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -45,6 +46,11 @@ def test_query_matches_oracle(spark, con, name):
     want = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert _bag(df.columns, got) == _bag(rel.columns, want)
+    # every registered query stays in the JVM: no Python evaluation in its plan
+    plan = physical_plan(df)
+    for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                 "PythonUDF", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan, (name, node)
 
 
 def test_entry_smoke(spark):
