@@ -132,6 +132,13 @@ def dq_category_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.category_counts(V.products_lost(L.silver_products), L.bronze.products)
 
 
+def dq_category_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9, stronger form: the categories themselves, not only their counts."""
+    L = build_layers(spark, sf_dir)
+    return Q.category_value_differences(V.products_lost(L.silver_products), L.bronze.products,
+                                        "Category")
+
+
 def dq_gold_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.gold_grouping_violations(V.gold_dup(build_layers(spark, sf_dir).gold))
 
@@ -182,6 +189,7 @@ QUERIES.update({
     "dq_non_empty": dq_non_empty,
     "dq_profit_layers": dq_profit_layers,
     "dq_category_sets": dq_category_sets,
+    "dq_category_values": dq_category_values,
     "dq_gold_grouping": dq_gold_grouping,
     "dq_name_format": dq_name_format,
     "dq_year_range": dq_year_range,

@@ -239,6 +239,12 @@ ORACLE.update({
         "FROM (" + _distinct_counts("v", "silver_distinct") + ") s JOIN ("
         + _distinct_counts("bronze_products", "bronze_distinct") + ") b USING (column_name)",
         {"v": "SELECT * FROM silver_products WHERE Category <> 'ECONOMY'"}),
+    "dq_category_values": with_layers(
+        "SELECT Category, 'silver' AS missing_from FROM "
+        "(SELECT Category FROM bronze_products EXCEPT SELECT Category FROM v) "
+        "UNION ALL SELECT Category, 'bronze' AS missing_from FROM "
+        "(SELECT Category FROM v EXCEPT SELECT Category FROM bronze_products)",
+        {"v": "SELECT * FROM silver_products WHERE Category <> 'ECONOMY'"}),
     "dq_gold_grouping": with_layers(
         "SELECT Year, Product_Category, Product_Sub_Category, Customer_ID, customer_name, count(*) AS n "
         "FROM gold_dup GROUP BY ALL HAVING count(*) > 1", _GOLD_DUP),
