@@ -148,6 +148,12 @@ def dq_name_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.name_format_rows(raw).select("customer_id", "customer_name")
 
 
+def dq_null_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned customers whose name is null: the name-format check lets them
+    through, and they reach gold as a null-name group (README D10)."""
+    return Q.null_name_rows(silver_customer(spark, sf_dir))
+
+
 def dq_year_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = V.gold_bad_year(build_layers(spark, sf_dir).gold)
     return decimals_as_double(Q.year_range_rows(g))
@@ -192,6 +198,7 @@ QUERIES.update({
     "dq_category_values": dq_category_values,
     "dq_gold_grouping": dq_gold_grouping,
     "dq_name_format": dq_name_format,
+    "dq_null_names": dq_null_names,
     "dq_year_range": dq_year_range,
     "dq_fk_customer": dq_fk_customer,
     "dq_fk_product": dq_fk_product,

@@ -250,6 +250,7 @@ ORACLE.update({
         "FROM gold_dup GROUP BY ALL HAVING count(*) > 1", _GOLD_DUP),
     "dq_name_format": with_layers(
         "SELECT customer_id, customer_name FROM bronze_customer WHERE " + _NOT_LETTERS),
+    "dq_null_names": with_layers("SELECT * FROM silver_customer WHERE customer_name IS NULL"),
     "dq_year_range": with_layers(
         "SELECT Year, Product_Category, Product_Sub_Category, Customer_ID, customer_name, "
         "CAST(Profit AS DOUBLE) AS Profit FROM v WHERE " + _BAD_YEAR, {
