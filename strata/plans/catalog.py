@@ -139,6 +139,16 @@ def dq_category_values(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         "Category")
 
 
+def silver_orders_dup_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver orders against a customer table with duplicated keys (README
+    D12): left joins keep every match, so the orders of such a key appear
+    once per customer row.  The pk_unique check is the guard against this."""
+    b = load_bronze(spark, sf_dir)
+    customers = V.customers_dup_key(silver.enrich_customers(b.customer))
+    return decimals_as_double(
+        silver.enrich_orders(b.orders, customers, silver.enrich_products(b.products)))
+
+
 def dq_gold_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.gold_grouping_violations(V.gold_dup(build_layers(spark, sf_dir).gold))
 
@@ -196,6 +206,7 @@ QUERIES.update({
     "dq_profit_layers": dq_profit_layers,
     "dq_category_sets": dq_category_sets,
     "dq_category_values": dq_category_values,
+    "silver_orders_dup_customers": silver_orders_dup_customers,
     "dq_gold_grouping": dq_gold_grouping,
     "dq_name_format": dq_name_format,
     "dq_null_names": dq_null_names,

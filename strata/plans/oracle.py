@@ -245,6 +245,16 @@ ORACLE.update({
         "UNION ALL SELECT Category, 'bronze' AS missing_from FROM "
         "(SELECT Category FROM v EXCEPT SELECT Category FROM bronze_products)",
         {"v": "SELECT * FROM silver_products WHERE Category <> 'ECONOMY'"}),
+    "silver_orders_dup_customers": with_layers("""
+SELECT o.Row_ID, o.Order_ID, o.Ship_Date, o.Ship_Mode, o.Customer_ID, o.Product_ID, o.Quantity, o.Price,
+       o.Discount, CAST(o.Profit AS DOUBLE) AS Profit, o.Order_Date, c.customer_name, c.country,
+       p.Category, p.Sub_Category
+FROM (SELECT DISTINCT * FROM orders_parsed) o
+LEFT JOIN cust_dup c ON o.Customer_ID = c.customer_id
+LEFT JOIN silver_products p ON o.Product_ID = p.Product_ID""", {
+        "cust_dup": "SELECT * FROM silver_customer UNION ALL "
+                    "SELECT customer_id, customer_name, 'X' AS country FROM silver_customer "
+                    "WHERE customer_id % 200 = 0"}),
     "dq_gold_grouping": with_layers(
         "SELECT Year, Product_Category, Product_Sub_Category, Customer_ID, customer_name, count(*) AS n "
         "FROM gold_dup GROUP BY ALL HAVING count(*) > 1", _GOLD_DUP),
