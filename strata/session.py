@@ -37,6 +37,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The session's SparkContext, or None where there is none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def scratch_dir(spark: SparkSession, purpose: str = "scratch") -> str:
     """A fresh sub-folder of the shared checkpoint folder.
 
@@ -46,8 +54,9 @@ def scratch_dir(spark: SparkSession, purpose: str = "scratch") -> str:
     visible to the executors and does not survive losing one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    context = _context(spark)
+    if not base and context is not None:
+        base = context.getCheckpointDir()
     if not base:
         master = spark.conf.get("spark.master", "") or ""
         if not master.startswith("local"):
@@ -56,7 +65,8 @@ def scratch_dir(spark: SparkSession, purpose: str = "scratch") -> str:
                 "shared file system before running jobs that store intermediate layers")
         base = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        if context is not None:
+            context.setCheckpointDir(base)
     base = base.rstrip("/")
     path = f"{base}/{purpose}-{uuid.uuid4().hex[:12]}"
     if "://" not in path or path.startswith("file:"):
