@@ -133,6 +133,8 @@ def missing_key_counts(fact: DataFrame, fks: Sequence[ForeignKey]) -> DataFrame:
     their keys cast to the fact key's type, and one EXCEPT DISTINCT removes
     the present keys.
     """
+    if not fks:
+        raise ValueError("missing_key_counts needs at least one foreign key")
     types = [fact.schema[fk.fact_key].dataType for fk in fks]
 
     def tagged(i: int, key: Column) -> Column:
