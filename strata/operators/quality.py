@@ -130,8 +130,9 @@ def missing_key_counts(fact: DataFrame, fks: Sequence[ForeignKey]) -> DataFrame:
     row per foreign key, ``(check, k0, k1, ...)`` with only its own slot set
     (each of its own type), and partial aggregation reduces them to distinct
     tuples before the one shuffle.  The dimensions are tagged the same way,
-    their keys cast to the fact key's type, and one EXCEPT DISTINCT removes
-    the present keys.
+    each key in its own type, and one EXCEPT DISTINCT removes the present
+    keys; the set operation widens a slot's fact and dimension types to a
+    common type, as ``missing_keys`` does.
     """
     if not fks:
         raise ValueError("missing_key_counts needs at least one foreign key")
@@ -139,7 +140,7 @@ def missing_key_counts(fact: DataFrame, fks: Sequence[ForeignKey]) -> DataFrame:
 
     def tagged(i: int, key: Column) -> Column:
         return F.struct(F.lit(fks[i].name).alias("check"), *[
-            (key.cast(t) if j == i else F.lit(None).cast(t)).alias(f"k{j}")
+            (key if j == i else F.lit(None).cast(t)).alias(f"k{j}")
             for j, t in enumerate(types)])
 
     fact_keys = (fact.select(F.explode(F.array(*[tagged(i, F.col(fk.fact_key))

@@ -124,6 +124,12 @@ def test_missing_key_counts_match_one_check_per_key(rows):
     clean = Q.missing_key_counts(rows([(1, "a")], "c bigint, p string"), fks).collect()
     assert {r["violations"] for r in clean} == {0}
 
+    # a dimension key wider than the fact key: compared in the wider type
+    wide = rows([(1,), (2**40,)], "id bigint")
+    narrow = rows([(1,), (2,)], "c int")
+    (r,) = Q.missing_key_counts(narrow, [Q.ForeignKey("fk", "c", wide, "id")]).collect()
+    assert r["violations"] == 1 == Q.missing_keys(narrow, "c", wide, "id").count()
+
 
 def test_category_counts(rows):
     bronze = rows([(1, "A", "x"), (2, "B", "y"), (3, None, "y")], "Product_ID int, Category string, Sub_Category string")
