@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from strata.operators import gold, silver
 from strata.plans.inspect import physical_plan
 
-ORD = ("Row_ID bigint, Order_ID bigint, Order_Date string, Ship_Date string, Ship_Mode string, "
-       "Customer_ID bigint, Product_ID bigint, Quantity double, Price double, Discount double, "
-       "Profit double")
-
 
 def _orders(spark, n=30000):
     ids = spark.range(n)
@@ -59,9 +55,16 @@ def _dimensions(spark):
     return cust, prod
 
 
-def test_hot_customer_join_is_split_and_exact(spark, skew_conf):
+def _orders_scan(spark, tmp_path):
+    """The fixture as a parquet scan (not a range plan), like a real table."""
+    path = str(tmp_path / "orders")
+    _orders(spark).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_hot_customer_join_is_split_and_exact(spark, skew_conf, tmp_path):
     cust, prod = _dimensions(spark)
-    orders = spark.createDataFrame(_orders(spark).collect(), ORD)  # a plain scan, not a range plan
+    orders = _orders_scan(spark, tmp_path)
     so = silver.enrich_orders(orders, cust, prod)
     g = gold.gold_profit(so)
     total = g.agg(F.sum("Profit")).first()[0]
@@ -77,14 +80,14 @@ def test_hot_customer_join_is_split_and_exact(spark, skew_conf):
     assert "skew=true" in plan
 
 
-def test_hot_customer_split_when_gold_reuses_the_join_partitioning(spark, skew_conf):
+def test_hot_customer_split_when_gold_reuses_the_join_partitioning(spark, skew_conf, tmp_path):
     """With the product dimension broadcast, the gold aggregation (grouped by
     Customer_ID among others) could run in the customer join's partitions
     with no exchange of its own, and AQE then would not split the hot
     customer (that needs an extra shuffle).  forceOptimizeSkewedJoin lets it
     split and add the exchange, with partial aggregation before it."""
     cust, prod = _dimensions(spark)
-    orders = spark.createDataFrame(_orders(spark).collect(), ORD)
+    orders = _orders_scan(spark, tmp_path)
     g = gold.gold_profit(silver.join_dimensions(
         silver.parse_orders(orders).dropDuplicates(), cust, F.broadcast(prod)))
     out = g.collect()
