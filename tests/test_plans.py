@@ -78,3 +78,20 @@ def test_stored_distinct_dimensions_are_not_deduplicated_again(spark, tmp_path,
     assert operator_count(default, "HashAggregate") == 6  # orders, customers, products
     assert operator_count(plan, "HashAggregate") == 2  # the orders de-dup only
     assert trusted.exceptAll(silver.enrich_orders(b.orders, cust, prod)).isEmpty()
+
+
+def test_shuffle_counts_do_not_grow(spark, no_auto_broadcast):
+    """The large-scale shape (no dimension broadcast), from the raw tables:
+    2 shuffles join lineitem to orders (the order de-dup reuses them), 2 join
+    customer to nation, 2 de-dup the dimensions, 4 feed the two dimension
+    joins; gold adds 1."""
+    import sys
+    from pathlib import Path
+
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
+    from plan_shapes import shape
+
+    import __spark_entry__ as E
+
+    assert shape(physical_plan(E.queries()["silver_orders"](spark, SF_SMALL)))["shuffles"] == 10
+    assert shape(physical_plan(E.queries()["gold_profit"](spark, SF_SMALL)))["shuffles"] == 11
