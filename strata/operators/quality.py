@@ -312,18 +312,28 @@ class RowRule:
     violation: Column  # true on a violating row; null counts as no violation
 
 
-def row_rule_counts(df: DataFrame, table_name: str, rules: Sequence[RowRule]) -> DataFrame:
+def row_rule_counts(df: DataFrame, table_name: str, rules: Sequence[RowRule],
+                    non_empty: bool = False) -> DataFrame:
     """All row rules of one table in one scan: ``agg(count_if ...)``, then the
     one-row result is unfolded into a row per rule (a generator on one row,
-    so the table is scanned once whatever the number of rules)."""
-    wide = df.agg(*[F.count_if(r.violation).alias(f"r{i}") for i, r in enumerate(rules)])
-    per_rule = F.array(*[
+    so the table is scanned once whatever the number of rules).
+
+    ``non_empty=True`` adds the non-empty check (K7) to the same pass: the
+    row count comes free with the scan the rules make anyway.
+    """
+    aggs = [F.count_if(r.violation).alias(f"r{i}") for i, r in enumerate(rules)]
+    entries = [
         F.struct(F.lit(r.check).alias("check_name"),
                  F.lit(r.column).cast("string").alias("column_name"),
                  F.col(f"r{i}").cast("long").alias("violations"))
         for i, r in enumerate(rules)
-    ])
-    return wide.select(F.inline(per_rule)).select(
+    ]
+    if non_empty:
+        aggs.append(F.count(F.lit(1)).alias("row_count"))
+        entries.append(F.struct(F.lit("non_empty").alias("check_name"),
+                                F.lit(None).cast("string").alias("column_name"),
+                                (F.col("row_count") == 0).cast("long").alias("violations")))
+    return df.agg(*aggs).select(F.inline(F.array(*entries))).select(
         "check_name", F.lit(table_name).alias("table_name"), "column_name", "violations",
         (F.col("violations") == 0).alias("passed"))
 
@@ -372,7 +382,8 @@ SILVER_ORDER_COLUMNS = ("Product_ID", "Customer_ID", "Discount", "Order_ID", "Pr
 def quality_report(spark: SparkSession, t: LayerFrames) -> DataFrame:
     """All fifteen checks (plus the null-name count) as one DataFrame.
 
-    One action evaluates everything; row rules share a scan per table.
+    One action evaluates everything; row rules share a scan per table, and
+    the non-empty checks ride on those scans.
     """
     meta = metadata_rows(spark, [
         ("date_type", "silver_orders", "Order_Date", 0 if is_date_column(t.silver_orders, "Order_Date") else 1),
@@ -388,17 +399,17 @@ def quality_report(spark: SparkSession, t: LayerFrames) -> DataFrame:
             RowRule("pk_null", "customer_id", F.col("customer_id").isNull()),
             RowRule("name_format", "customer_name", is_not_letters_only("customer_name")),
             RowRule("null_name", "customer_name", F.col("customer_name").isNull()),
-        ]),
+        ], non_empty=True),
         row_rule_counts(t.silver_products, "silver_products", [
             RowRule("pk_null", "Product_ID", F.col("Product_ID").isNull()),
-        ]),
+        ], non_empty=True),
         row_rule_counts(t.bronze_orders, "bronze_orders", [
             RowRule("date_unparsed", "Order_Date", unparsed_date("Order_Date")),
             RowRule("decimal_places", "Profit", has_more_than_2_decimals("Profit")),
         ]),
         row_rule_counts(t.silver_orders, "silver_orders", [
             RowRule("decimal_places", "Profit", has_more_than_2_decimals("Profit")),
-        ]),
+        ], non_empty=True),
         row_rule_counts(t.gold, "gold", [
             RowRule("year_range", "Year", year_out_of_range("Year")),
         ]),
@@ -415,9 +426,6 @@ def quality_report(spark: SparkSession, t: LayerFrames) -> DataFrame:
                    "category_sets", "silver_products", "Category,Sub_Category"),
         count_rows(profit_totals(t.bronze_orders, t.silver_orders, t.gold).filter(~F.col("passed")),
                    "profit_layers", "gold", "Profit"),
-        empty_table_row(t.silver_customer, "silver_customer"),
-        empty_table_row(t.silver_products, "silver_products"),
-        empty_table_row(t.silver_orders, "silver_orders"),
     ]
     out = meta
     for p in parts:

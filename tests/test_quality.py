@@ -194,3 +194,14 @@ def test_quality_report_flags_planted_defects(spark):
     # the layer totals de-duplicate each layer first, so exact copies of gold
     # rows leave them equal: only the grouping and accuracy checks see copies
     assert ("profit_layers", "gold") not in dup
+
+
+def test_row_rules_carry_the_non_empty_check(rows):
+    df = rows([(1,), (None,)], "k bigint")
+    out = {r["check_name"]: (r["violations"], r["passed"])
+           for r in Q.row_rule_counts(df, "t", [Q.RowRule("pk_null", "k", df.k.isNull())],
+                                      non_empty=True).collect()}
+    assert out == {"pk_null": (1, False), "non_empty": (0, True)}
+    empty = {r["check_name"]: (r["violations"], r["passed"])
+             for r in Q.row_rule_counts(df.filter("false"), "t", [], non_empty=True).collect()}
+    assert empty == {"non_empty": (1, False)}
