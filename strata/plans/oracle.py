@@ -19,8 +19,8 @@ SELECT l_orderkey * 10 + l_linenumber AS Row_ID,
             ELSE strftime(o_orderdate, '%-d/%-m/%Y') END AS Order_Date,
        strftime(l_shipdate, '%-d/%-m/%Y') AS Ship_Date,
        l_linestatus AS Ship_Mode,
-       CASE WHEN l_orderkey % 101 = 0 THEN o_custkey + 1000000000 ELSE o_custkey END AS Customer_ID,
-       CASE WHEN l_orderkey % 103 = 0 THEN l_partkey + 1000000000 ELSE l_partkey END AS Product_ID,
+       CASE WHEN l_orderkey % 101 = 0 THEN o_custkey + 1000000000000000 ELSE o_custkey END AS Customer_ID,
+       CASE WHEN l_orderkey % 103 = 0 THEN l_partkey + 1000000000000000 ELSE l_partkey END AS Product_ID,
        l_quantity AS Quantity, l_extendedprice AS Price, l_discount AS Discount,
        CAST(CAST(l_extendedprice AS DECIMAL(12,2))
             * (CAST(0.05 AS DECIMAL(4,2)) - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4)) AS Profit
