@@ -85,3 +85,10 @@ def test_row_bytes_counts_strings_and_slots(spark):
 
 def test_scale_conf_lets_aqe_split_hot_keys_behind_an_aggregation():
     assert scale_conf(10**12, cores=800)["spark.sql.adaptive.forceOptimizeSkewedJoin"] == "true"
+
+
+def test_scale_conf_keys_are_session_settings(spark):
+    """Spark accepts unknown keys silently, so check each is a real,
+    session-modifiable SQL setting (a typo would be ignored at run time)."""
+    for key in scale_conf(10**12, cores=800):
+        assert spark.conf.isModifiable(key), key
