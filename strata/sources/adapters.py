@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 BAD_DATE_EVERY = 97          # Order_Date 'n/a' when l_orderkey % 97 == 0
 ORPHAN_CUSTOMER_EVERY = 101  # Customer_ID pushed out of range when l_orderkey % 101 == 0
 ORPHAN_PRODUCT_EVERY = 103   # Product_ID pushed out of range when l_orderkey % 103 == 0
-ORPHAN_KEY_OFFSET = 1_000_000_000_000_000  # above any real key: TPC-H keys stay
-                                         # below 10^11 even at 100 TB (SF 100,000)
+ORPHAN_KEY_OFFSET = 1_000_000_000_000_000  # above any real key: customer and part
+                                         # keys stay below 10^11 at SF 100,000
 NULL_NAME_EVERY = 10         # customer_name null when c_custkey % 10 == 0
 PROFIT_MARGIN = "0.05"       # Profit = price * (0.05 - discount)
 
