@@ -85,6 +85,20 @@ def test_gold_mismatches(rows):
     assert Q.gold_mismatches(_silver(rows), wrong).count() == 2
 
 
+def test_gold_group_counts_match_the_separate_checks(rows):
+    def counts(gold):
+        return {r["check_name"]: r["violations"]
+                for r in Q.gold_group_counts(_silver(rows), gold).collect()}
+
+    good = _good_gold(rows)
+    assert counts(good) == {"gold_grouping": 0, "gold_accuracy": 0}
+    doubled = good.unionByName(good.limit(1))
+    assert counts(doubled) == {
+        "gold_grouping": Q.gold_grouping_violations(doubled).count(),
+        "gold_accuracy": Q.gold_mismatches(_silver(rows), doubled).count()} == {
+        "gold_grouping": 1, "gold_accuracy": 1}
+
+
 def test_gold_total_accuracy(rows):
     assert Q.gold_total_accuracy(_silver(rows), _good_gold(rows)).first()["passed"]
     wrong = rows([(2016, "C", "S", 1, "Ann", Decimal("0.25"))], GOLD)
