@@ -348,6 +348,8 @@ def row_rule_counts(df: DataFrame, table_name: str, rules: Sequence[RowRule],
     ``non_empty=True`` adds the non-empty check (K7) to the same pass: the
     row count comes free with the scan the rules make anyway.
     """
+    if not rules and not non_empty:
+        raise ValueError("row_rule_counts needs at least one rule or non_empty=True")
     aggs = [F.count_if(r.violation).alias(f"r{i}") for i, r in enumerate(rules)]
     entries = [
         F.struct(F.lit(r.check).alias("check_name"),
