@@ -70,3 +70,19 @@ def test_silver_refuses_empty_bronze(spark):
     with pytest.raises(ValueError, match=names.bronze_customer):
         process_silver(spark, names)
     assert not spark.catalog.tableExists(names.silver(names.silver_products))
+
+
+def test_sql_reports_over_the_gold_table(spark, medallion):
+    """SQL users query the written gold table directly; the DataFrame reports
+    give the same rows."""
+    from strata.operators import gold as G
+
+    names, gold = medallion
+    table = names.gold(names.gold_profit)
+    by_year = spark.sql(f"SELECT Year, round(sum(Profit), 2) AS total_profit_by_year "
+                        f"FROM {table} GROUP BY Year ORDER BY Year DESC")
+    assert by_year.collect() == G.profit_by_year(spark.table(table)).collect()
+    by_customer = spark.sql(f"SELECT Customer_ID, customer_name, round(sum(Profit), 2) AS total_profit_by_year "
+                            f"FROM {table} GROUP BY Customer_ID, customer_name")
+    assert by_customer.exceptAll(G.profit_by_customer(spark.table(table))).isEmpty()
+    assert by_customer.count() == G.profit_by_customer(spark.table(table)).count()
