@@ -85,7 +85,8 @@ def process_silver(spark: SparkSession, names: LayerNames = LayerNames(), fmt: s
 
 def process_gold(spark: SparkSession, names: LayerNames = LayerNames(), fmt: str = "parquet",
                  partition_by: tuple[str, ...] | None = None) -> DataFrame:
-    """Aggregate the silver orders table into the gold profit table."""
+    """Aggregate the silver orders table into the gold profit table
+    (optionally partitioned, e.g. by Year, for partition pruning)."""
     silver_orders = read_table(spark, names.silver(names.silver_orders))
     target = names.gold(names.gold_profit)
     write_table(gold_profit(silver_orders), target, fmt, dedup=False, partition_by=partition_by)
@@ -101,8 +102,13 @@ class MedallionSources:
 
 def run_medallion(spark: SparkSession, sources: MedallionSources,
                   names: LayerNames = LayerNames(), fmt: str = "parquet",
-                  root: str | None = None) -> DataFrame:
-    """All three layers; returns the gold table."""
+                  root: str | None = None,
+                  gold_partition_by: tuple[str, ...] | None = None) -> DataFrame:
+    """All three layers; returns the gold table.
+
+    ``gold_partition_by=("Year",)`` lays gold out by year, so a report or
+    query that filters on Year reads only the matching folders.
+    """
     prepare_schemas(spark, names, root)
     process_bronze(spark, sources.products, names.bronze(names.bronze_products), fmt)
     process_bronze(spark, sources.orders, names.bronze(names.bronze_orders), fmt)
@@ -111,7 +117,7 @@ def run_medallion(spark: SparkSession, sources: MedallionSources,
     else:
         process_bronze(spark, sources.customer, names.bronze(names.bronze_customer), fmt)
     process_silver(spark, names, fmt)
-    return process_gold(spark, names, fmt)
+    return process_gold(spark, names, fmt, partition_by=gold_partition_by)
 
 
 def layer_tables(spark: SparkSession, names: LayerNames = LayerNames()) -> LayerFrames:

@@ -86,3 +86,19 @@ def test_sql_reports_over_the_gold_table(spark, medallion):
                             f"FROM {table} GROUP BY Customer_ID, customer_name")
     assert by_customer.exceptAll(G.profit_by_customer(spark.table(table))).isEmpty()
     assert by_customer.count() == G.profit_by_customer(spark.table(table)).count()
+
+
+def test_gold_partitioned_by_year_prunes(spark, medallion):
+    from strata.plans.inspect import physical_plan
+    from strata.plans.pipeline import process_gold
+
+    import dataclasses
+
+    names, _ = medallion
+    names = dataclasses.replace(names, gold_profit="profit_by_year_folders")  # leave the shared table
+    gold = process_gold(spark, names, partition_by=("Year",))
+    plan = physical_plan(gold.filter("Year = 1995"))
+    assert "PartitionFilters: [isnotnull(Year" in plan and "(Year#" in plan
+    assert gold.filter("Year = 1995").count() == spark.table(names.silver(names.silver_orders)) \
+        .selectExpr("year(Order_Date) AS y", "Category", "Sub_Category", "Customer_ID", "customer_name") \
+        .filter("y = 1995").distinct().count()
