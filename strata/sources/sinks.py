@@ -21,8 +21,16 @@ def write_table(df: DataFrame, table: str, fmt: str = "parquet", dedup: bool = T
     row copied into a third of the input reaches the shuffle once per map
     task.  Overwriting a table that the same plan reads from is refused by
     Spark (UNSUPPORTED_OVERWRITE.TABLE); write to a new table instead.
+
+    A partitioned write is rebalanced on the partition columns first
+    (``REBALANCE`` hint): without it every task writes a file into every
+    partition folder it holds (tasks x folders small files); with it each
+    folder's rows meet in a few tasks, and AQE splits a folder holding a
+    large share of the rows into advisory-size pieces instead of one task.
     """
     out = df.dropDuplicates() if dedup else df
+    if partition_by:
+        out = out.hint("rebalance", *partition_by)
     writer = out.write.format(fmt).mode(mode)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")

@@ -96,7 +96,17 @@ def test_gold_partitioned_by_year_prunes(spark, medallion):
 
     names, _ = medallion
     names = dataclasses.replace(names, gold_profit="profit_by_year_folders")  # leave the shared table
-    gold = process_gold(spark, names, partition_by=("Year",))
+    # keep all 8 aggregation tasks (no coalescing), so an unbalanced write
+    # would scatter every Year over up to 8 files
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        gold = process_gold(spark, names, partition_by=("Year",))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    # rebalanced before the write: one file per Year folder at this size,
+    # not one per (task, folder)
+    files = gold.inputFiles()
+    assert len(files) == len({f.rsplit("/", 1)[0] for f in files})
     plan = physical_plan(gold.filter("Year = 1995"))
     assert "PartitionFilters: [isnotnull(Year" in plan and "(Year#" in plan
     assert gold.filter("Year = 1995").count() == spark.table(names.silver(names.silver_orders)) \
