@@ -95,3 +95,22 @@ def test_hot_customer_split_when_gold_reuses_the_join_partitioning(spark, skew_c
     plan = physical_plan(g)
     assert "isFinalPlan=true" in plan and "skew=true" in plan
     assert "BroadcastHashJoin LeftOuter" in plan
+
+
+def test_third_of_orders_with_null_customer_is_split(spark, skew_conf, tmp_path):
+    """Null keys all hash to one partition of the left join; with a third of
+    the orders keyless, AQE splits that partition and every order is kept,
+    unmatched, with a null name."""
+    hot_null = _orders(spark).withColumn(
+        "Customer_ID", F.when(F.col("Row_ID") % 3 == 0, F.lit(None).cast("bigint"))
+        .otherwise(F.col("Customer_ID")))
+    path = str(tmp_path / "orders_null")
+    hot_null.write.parquet(path)
+    cust, prod = _dimensions(spark)
+    so = silver.enrich_orders(spark.read.parquet(path), cust, prod)
+    out = so.collect()
+    assert len(out) == 30000
+    keyless = [r for r in out if r["Customer_ID"] is None]
+    assert len(keyless) >= 10000 and all(r["customer_name"] is None for r in keyless)
+    plan = physical_plan(so)
+    assert "isFinalPlan=true" in plan and "skew=true" in plan
