@@ -42,3 +42,13 @@ def test_replayed_batch_replaces_its_own_partition(spark):
     write(spark.createDataFrame([(3, "c", 3.0)], DDL), 1)
     write(batch, 0)  # retry of batch 0
     assert spark.table(table).count() == 3
+
+
+def test_stream_needs_a_schema_and_a_file_format(spark):
+    import pytest
+
+    root = scratch_dir(spark, "t-stream")
+    with pytest.raises(ValueError, match="schema"):
+        ingest_files(spark, SourceSpec(f"{root}/x", "csv"), "t", f"{root}/ckpt")
+    with pytest.raises(ValueError, match="Invalid source file type"):
+        ingest_files(spark, SourceSpec(f"{root}/x", "xlsx", DDL), "t", f"{root}/ckpt")
