@@ -31,7 +31,12 @@ from pyspark.sql import functions as F
 from strata.functions.dates import DAY_FIRST_FORMATS, parse_day_first_date
 from strata.functions.money import round_money
 from strata.functions.text import email_local_part, strip_non_letters
-from strata.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, broadcast_if_bounded
+from strata.operators.joins import (
+    DEFAULT_MAX_BROADCAST_BYTES,
+    broadcast_if_bounded,
+    hot_keys,
+    salted_left_join,
+)
 
 CUSTOMER_COLUMNS = ("customer_id", "customer_name", "country")
 PRODUCT_COLUMNS = ("Product_ID", "Category", "Sub_Category")
@@ -76,19 +81,30 @@ def _dimension(df: DataFrame, max_rows: int | None, max_bytes: int) -> DataFrame
 
 def join_dimensions(orders: DataFrame, customers: DataFrame, products: DataFrame,
                     broadcast_max_rows: int | None = None,
-                    broadcast_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
-    """Left outer joins USING Customer_ID then Product_ID; unmatched keys get nulls."""
-    cust = customers.withColumnRenamed("customer_id", "Customer_ID")
-    return (orders
-            .join(_dimension(cust, broadcast_max_rows, broadcast_max_bytes), "Customer_ID", "left")
-            .join(_dimension(products, broadcast_max_rows, broadcast_max_bytes), "Product_ID", "left"))
+                    broadcast_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                    salt_buckets: int = 0, hot_customers: Sequence = (),
+                    hot_products: Sequence = ()) -> DataFrame:
+    """Left outer joins USING Customer_ID then Product_ID; unmatched keys get nulls.
+
+    With ``salt_buckets`` > 1 each join is salted (``joins.salted_left_join``):
+    orders of the listed hot keys, and of null keys, spread over that many
+    tasks without relying on AQE.  The rows are the same either way.
+    """
+    cust = _dimension(customers.withColumnRenamed("customer_id", "Customer_ID"),
+                      broadcast_max_rows, broadcast_max_bytes)
+    prod = _dimension(products, broadcast_max_rows, broadcast_max_bytes)
+    if salt_buckets > 1:
+        with_cust = salted_left_join(orders, cust, "Customer_ID", list(hot_customers), salt_buckets)
+        return salted_left_join(with_cust, prod, "Product_ID", list(hot_products), salt_buckets)
+    return orders.join(cust, "Customer_ID", "left").join(prod, "Product_ID", "left")
 
 
 def enrich_orders(order_df: DataFrame, customer_df: DataFrame, product_df: DataFrame,
                   date_formats: Sequence[str] = DAY_FIRST_FORMATS,
                   broadcast_max_rows: int | None = None,
                   broadcast_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                  dimensions_distinct: bool = False) -> DataFrame:
+                  dimensions_distinct: bool = False,
+                  salt_buckets: int = 0, hot_key_share: float = 0.01) -> DataFrame:
     """Silver orders: parsed, rounded, de-duplicated, joined to both dimensions.
 
     Distinct output needs distinct dimensions, so by default they are
@@ -97,8 +113,16 @@ def enrich_orders(order_df: DataFrame, customer_df: DataFrame, product_df: DataF
     cannot when they are *tables* written from those functions, so callers
     holding such tables pass ``dimensions_distinct=True`` and save a full
     shuffle of each dimension.
+
+    ``salt_buckets=N`` salts both joins for the customer and product keys
+    that hold at least ``hot_key_share`` of the raw orders (found by one
+    counting aggregation each, before the joins), for clusters where AQE's
+    skew split is off or does not apply.
     """
     orders = parse_orders(order_df, date_formats).dropDuplicates()
     if not dimensions_distinct:
         customer_df, product_df = customer_df.dropDuplicates(), product_df.dropDuplicates()
-    return join_dimensions(orders, customer_df, product_df, broadcast_max_rows, broadcast_max_bytes)
+    hot_c = hot_keys(order_df, "Customer_ID", hot_key_share) if salt_buckets > 1 else []
+    hot_p = hot_keys(order_df, "Product_ID", hot_key_share) if salt_buckets > 1 else []
+    return join_dimensions(orders, customer_df, product_df, broadcast_max_rows, broadcast_max_bytes,
+                           salt_buckets, hot_c, hot_p)

@@ -54,7 +54,8 @@ class SilverTables:
 def process_silver(spark: SparkSession, names: LayerNames = LayerNames(), fmt: str = "parquet",
                    email_fallback: bool = False,
                    broadcast_max_rows: int | None = None,
-                   broadcast_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> SilverTables:
+                   broadcast_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                   salt_buckets: int = 0) -> SilverTables:
     """Build and write the three silver tables from the bronze tables.
 
     The non-empty guard runs on the bronze inputs, reading one row of each.
@@ -77,7 +78,8 @@ def process_silver(spark: SparkSession, names: LayerNames = LayerNames(), fmt: s
     # The dimension tables were just written from enrich_customers /
     # enrich_products, so they are distinct: no second de-dup shuffle.
     so = enrich_orders(bo, sc_t, sp_t, broadcast_max_rows=broadcast_max_rows,
-                       broadcast_max_bytes=broadcast_max_bytes, dimensions_distinct=True)
+                       broadcast_max_bytes=broadcast_max_bytes, dimensions_distinct=True,
+                       salt_buckets=salt_buckets)
     write_table(so, names.silver(names.silver_orders), fmt, dedup=False)
     return SilverTables(customer=sc_t, products=sp_t,
                         orders=read_table(spark, names.silver(names.silver_orders)))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import gold, silver
+from strata.operators.joins import hot_keys, salted_left_join
 from strata.plans.inspect import physical_plan
 
 
@@ -114,3 +115,43 @@ def test_third_of_orders_with_null_customer_is_split(spark, skew_conf, tmp_path)
     assert len(keyless) >= 10000 and all(r["customer_name"] is None for r in keyless)
     plan = physical_plan(so)
     assert "isFinalPlan=true" in plan and "skew=true" in plan
+
+
+def test_hot_keys_finds_the_heavy_customer(spark, tmp_path):
+    orders = _orders_scan(spark, tmp_path)
+    assert hot_keys(orders, "Customer_ID", 0.05) == [7]  # a third of the rows; nulls are not keys
+    assert hot_keys(orders.filter("Customer_ID <> 7"), "Customer_ID", 0.05) == []
+
+
+def test_salted_join_equals_plain_left_join(spark, rows):
+    fact = rows([(1, "a"), (1, "b"), (1, "b"), (2, "c"), (None, "d"), (3, "e")], "k bigint, v string")
+    dim = rows([(1, "x"), (1, "y"), (2, "z"), (None, "n")], "k bigint, d string")
+    plain = fact.join(dim, "k", "left")
+    for hot in ([], [1], [1, 2, 99]):
+        salted = salted_left_join(fact, dim, "k", hot, 4)
+        assert salted.columns == plain.columns
+        assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
+
+
+def test_salted_silver_spreads_the_hot_customer_without_aqe(spark, tmp_path):
+    """AQE off: the salted plan joins on (key, salt), the hot customer's
+    orders land in every salt bucket, and silver is row for row the same."""
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cust, prod = _dimensions(spark)
+        orders = _orders_scan(spark, tmp_path)
+        salted = silver.enrich_orders(orders, cust, prod, salt_buckets=8, hot_key_share=0.05)
+        plain = silver.enrich_orders(orders, cust, prod)
+        plan = physical_plan(salted)
+        assert "_salt" in plan and "SortMergeJoin" in plan
+        assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
+        fact = silver.parse_orders(orders).dropDuplicates()  # what the customer join salts
+        per_task = (fact.filter("Customer_ID = 7")
+                    .select(F.pmod(F.xxhash64(*fact.columns), F.lit(8)).alias("s"))
+                    .groupBy("s").count().collect())
+        assert len(per_task) == 8 and max(r["count"] for r in per_task) < 10000 / 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
