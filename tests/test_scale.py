@@ -92,3 +92,21 @@ def test_scale_conf_keys_are_session_settings(spark):
     session-modifiable SQL setting (a typo would be ignored at run time)."""
     for key in scale_conf(10**12, cores=800):
         assert spark.conf.isModifiable(key), key
+
+
+small_keys = st.one_of(st.none(), st.integers(0, 4))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(small_keys, st.integers(0, 3)), max_size=15),
+       st.lists(st.tuples(small_keys, st.sampled_from(["x", "y"])), max_size=6),
+       st.lists(st.integers(0, 5), max_size=3, unique=True),
+       st.integers(1, 5))
+def test_salted_join_equals_plain_join_property(spark, fact_rows, dim_rows, hot, buckets):
+    from strata.operators.joins import salted_left_join
+
+    fact = spark.createDataFrame(fact_rows, "k bigint, v int")
+    dim = spark.createDataFrame(dim_rows, "k bigint, d string")
+    plain = fact.join(dim, "k", "left")
+    salted = salted_left_join(fact, dim, "k", hot, buckets)
+    assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
