@@ -105,11 +105,14 @@ class MedallionSources:
 def run_medallion(spark: SparkSession, sources: MedallionSources,
                   names: LayerNames = LayerNames(), fmt: str = "parquet",
                   root: str | None = None,
-                  gold_partition_by: tuple[str, ...] | None = None) -> DataFrame:
+                  gold_partition_by: tuple[str, ...] | None = None,
+                  salt_buckets: int = 0) -> DataFrame:
     """All three layers; returns the gold table.
 
     ``gold_partition_by=("Year",)`` lays gold out by year, so a report or
     query that filters on Year reads only the matching folders.
+    ``salt_buckets=N`` salts the silver joins for hot keys (see
+    ``silver.enrich_orders``).
     """
     prepare_schemas(spark, names, root)
     process_bronze(spark, sources.products, names.bronze(names.bronze_products), fmt)
@@ -118,7 +121,7 @@ def run_medallion(spark: SparkSession, sources: MedallionSources,
         ingest_table(spark, sources.customer.path, names.bronze(names.bronze_customer), fmt)
     else:
         process_bronze(spark, sources.customer, names.bronze(names.bronze_customer), fmt)
-    process_silver(spark, names, fmt)
+    process_silver(spark, names, fmt, salt_buckets=salt_buckets)
     return process_gold(spark, names, fmt, partition_by=gold_partition_by)
 
 
