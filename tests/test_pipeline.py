@@ -112,3 +112,13 @@ def test_gold_partitioned_by_year_prunes(spark, medallion):
     assert gold.filter("Year = 1995").count() == spark.table(names.silver(names.silver_orders)) \
         .selectExpr("year(Order_Date) AS y", "Category", "Sub_Category", "Customer_ID", "customer_name") \
         .filter("y = 1995").distinct().count()
+
+
+def test_salted_pipeline_gives_the_same_gold(spark, medallion):
+    from strata.plans.pipeline import run_medallion
+
+    names, gold = medallion
+    root = scratch_dir(spark, "t-medallion-salted")
+    sources = catalog._land_files(spark, SF_SMALL, root)
+    salted = run_medallion(spark, sources, catalog._run_names("ts"), root=root, salt_buckets=4)
+    assert salted.exceptAll(gold).isEmpty() and gold.exceptAll(salted).isEmpty()
