@@ -18,7 +18,9 @@ null Customer_ID holding a third of the orders) AQE splits
 (``spark.sql.adaptive.skewJoin.enabled``).  Pass
 ``broadcast_max_rows=N`` to broadcast a dimension after *measuring* that it
 has at most N rows and at most ``broadcast_max_bytes`` bytes
-(``operators.joins.broadcast_if_bounded``).
+(``operators.joins.broadcast_if_bounded``), and ``salt_buckets=N`` to salt
+both joins for hot and null keys where AQE's split is off or cannot apply
+(``operators.joins.salted_left_join``).
 """
 
 from __future__ import annotations
