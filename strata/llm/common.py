@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +33,26 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python workers, once a session."""
+    context = spark.sparkContext
+    if getattr(context, "_strata_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = os.path.join(tempfile.mkdtemp(prefix="strata-ship-"), "strata_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    context.addPyFile(archive)
+    context._strata_shipped = True
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; the executors can import this package from here on."""
+    ship(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The rows, written to the shared folder and read again: lineage ends here, and every reader sees the same rows."""
     spark = df.sparkSession

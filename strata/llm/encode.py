@@ -221,9 +221,16 @@ class ChunkEncoder:
 
     def entries(self, texts: list[bytes]) -> tuple[np.ndarray | None, np.ndarray]:
         """(cache entry of each chunk of all texts, chunks before each text)."""
+        buffer, starts, ends, chunks_before = self.chunks(texts)
+        return self.lookup(buffer, starts, ends), chunks_before
+
+    def chunks(self, texts: list[bytes]):
+        """(buffer, starts, ends, chunks before each text)."""
         whole = [bool(ODD_SPACE.search(t)) or any(s in t for s in self.special) for t in texts]
-        texts = self._prepared(texts, whole)
-        buffer, starts, ends, chunks_before = cut_chunks(texts, whole, self.keep_space)
+        return cut_chunks(self._prepared(texts, whole), whole, self.keep_space)
+
+    def lookup(self, buffer, starts, ends) -> np.ndarray | None:
+        """Cache entry of each chunk, new ones encoded; None if two chunks have one hash."""
         hashes, identity = chunk_keys(buffer, starts, ends)
         codes, distinct = pd.factorize(hashes)
         first = np.empty(len(distinct), np.int64)
@@ -246,8 +253,8 @@ class ChunkEncoder:
             self.used += len(ids)
         own = entries[codes]
         if not all((self.identity[k][own] == identity[k]).all() for k in range(LANES + 1)):
-            return None, chunks_before
-        return own, chunks_before
+            return None
+        return own
 
 
 def gather(pool: np.ndarray, at: np.ndarray, counts: np.ndarray) -> np.ndarray:

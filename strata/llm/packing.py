@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import WORD_BPE, utf8, vocabulary
+from strata.llm.common import WORD_BPE, table, utf8, vocabulary
 from strata.llm.encode import WordEncoder, groups_of
 
 WINDOW = 2048
@@ -150,4 +150,4 @@ def _encoder(path: str) -> WordEncoder:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary(WORD_BPE)).drop("ids")
+    return pack(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE)).drop("ids")

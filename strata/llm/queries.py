@@ -1,10 +1,14 @@
 """Registered queries of the operators; SQL twins where SQL can say the same."""
 
 from strata.llm.packing import op7_packing
+from strata.llm.simhash import op5_simhash
 from strata.llm.tokencounts import op9_token_counts
 from strata.llm.tokenfiles import op6_token_files
+from strata.llm.wordtable import op4_word_table
 
 QUERIES = {
+    "op4_word_table": op4_word_table,
+    "op5_simhash": op5_simhash,
     "op6_token_files": op6_token_files,
     "op7_packing": op7_packing,
     "op9_token_counts": op9_token_counts,

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import BYTE_BPE, utf8, vocabulary
+from strata.llm.common import BYTE_BPE, table, utf8, vocabulary
 from strata.llm.encode import groups_of
 from strata.llm.tokenfiles import encoder_of
 
@@ -128,5 +128,5 @@ def token_counts(docs: DataFrame, tokenizer: str, sections: str | None = None, r
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of all documents: tokens by the ``first`` rule, which gives whole numbers."""
-    counts = token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"), vocabulary(BYTE_BPE))
+    counts = token_counts(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
     return counts.withColumn("n_tokens", F.col("n_tokens").cast("bigint"))

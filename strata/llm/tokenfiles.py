@@ -27,7 +27,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import BYTE_BPE, shared_folder, utf8, vocabulary
+from strata.llm.common import BYTE_BPE, shared_folder, table, utf8, vocabulary
 from strata.llm.encode import ByteLevelEncoder, groups_of
 
 MANIFEST = "part bigint, file string, dtype string, n_docs bigint, null_docs bigint, n_tokens bigint"
@@ -139,5 +139,5 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "token-files")
-    write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), folder, vocabulary(BYTE_BPE))
+    write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary(BYTE_BPE))
     return read_token_files(spark, folder)
