@@ -42,13 +42,13 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def cut_chunks(texts: list[bytes], whole: list[bool], keep_space: bool):
+def cut_chunks(texts: list[bytes], whole: list[bool], keep_space: bool, stops: bool = True):
     """(buffer, starts, ends, chunks before each text): the chunks of all texts.
 
     With ``keep_space`` a chunk is a run of white space and the visible run after
     it, and a text's last white space is a chunk too; else a visible run only.
-    A stop or comma that ends such a run after an ASCII letter is a chunk of its
-    own (no pre-token holds both). A text marked ``whole`` is one chunk.
+    With ``stops``, a stop or comma that ends such a run after an ASCII letter is a
+    chunk of its own (no pre-token holds both). A text marked ``whole`` is one chunk.
     """
     sizes = np.array([len(t) for t in texts], np.int64)
     base = np.concatenate([[0], np.cumsum(sizes + 1)])  # a line end after each text
@@ -60,7 +60,7 @@ def cut_chunks(texts: list[bytes], whole: list[bool], keep_space: bool):
     if len(visible) and visible[0]:
         edges = np.concatenate([[0], edges])
     starts, ends = edges[::2], edges[1::2]
-    if len(ends):  # a letter's own stop or comma before white space
+    if stops and len(ends):  # a letter's own stop or comma before white space
         cut = np.flatnonzero(STOP[buffer[ends - 1]] & LETTER[buffer[ends - 2]] & (ends - starts > 1))
         ends = ends.copy()
         ends[cut] -= 1

@@ -2,6 +2,7 @@
 
 from strata.llm.packing import op7_packing
 from strata.llm.simhash import op5_simhash
+from strata.llm.substring import op8_substring
 from strata.llm.tokencounts import op9_token_counts
 from strata.llm.tokenfiles import op6_token_files
 from strata.llm.wordtable import op4_word_table
@@ -11,6 +12,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_token_files": op6_token_files,
     "op7_packing": op7_packing,
+    "op8_substring": op8_substring,
     "op9_token_counts": op9_token_counts,
 }
 
