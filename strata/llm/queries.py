@@ -1,5 +1,6 @@
 """Registered queries of the operators; SQL twins where SQL can say the same."""
 
+from strata.llm.langid import op3_language
 from strata.llm.packing import op7_packing
 from strata.llm.simhash import op5_simhash
 from strata.llm.substring import op8_substring
@@ -8,6 +9,7 @@ from strata.llm.tokenfiles import op6_token_files
 from strata.llm.wordtable import op4_word_table
 
 QUERIES = {
+    "op3_language": op3_language,
     "op4_word_table": op4_word_table,
     "op5_simhash": op5_simhash,
     "op6_token_files": op6_token_files,
