@@ -2,6 +2,7 @@
 
 from strata.llm.langid import op3_language
 from strata.llm.packing import op7_packing
+from strata.llm.postings import op1_postings
 from strata.llm.simhash import op5_simhash
 from strata.llm.substring import op8_substring
 from strata.llm.tokencounts import op9_token_counts
@@ -9,6 +10,7 @@ from strata.llm.tokenfiles import op6_token_files
 from strata.llm.wordtable import op4_word_table
 
 QUERIES = {
+    "op1_postings": op1_postings,
     "op3_language": op3_language,
     "op4_word_table": op4_word_table,
     "op5_simhash": op5_simhash,
