@@ -147,18 +147,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     def graph_of(d: int) -> CentroidGraph:
         return graphs[d] if d in graphs else CentroidGraph(np.zeros((1, d)))
 
-    keys = "dim int, list int, first boolean, vec_id bigint, v array<double>"
+    keys = f"dim int, list int, first boolean, vec_id bigint, v {vectors.schema['v'].dataType.simpleString()}"
 
     def index(batches):
         for batch in batches:
             ids = batch.column("vec_id")
             for own, x in matrices(batch):
                 rows, lists, first = lists_of(x, graph_of(x.shape[1]))
-                flat = pa.array(x[rows].ravel())
-                v = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * x.shape[1], pa.int32()), flat)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(rows), x.shape[1], np.int32)), pa.array(lists.astype(np.int32)),
-                     pa.array(first), ids.take(pa.array(own[rows])), v], names=["dim", "list", "first", "vec_id", "v"])
+                     pa.array(first), ids.take(pa.array(own[rows])), batch.column("v").take(pa.array(own[rows]))], names=["dim", "list", "first", "vec_id", "v"])
 
     postings = written(vectors.mapInArrow(index, keys), "postings")
     # at most MAX_LISTS rows a vector length: bounded
@@ -181,11 +179,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                         break
                     least *= 4
                 r, lists = np.nonzero(chosen)
-                flat = pa.array(q[r].ravel())
-                v = pa.ListArray.from_arrays(pa.array(np.arange(len(r) + 1) * d, pa.int32()), flat)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(r), d, np.int32)), pa.array(lists.astype(np.int32)),
-                     pa.array(np.zeros(len(r), bool)), ids.take(pa.array(own[r])), v],
+                     pa.array(np.zeros(len(r), bool)), ids.take(pa.array(own[r])),
+                     batch.column("v").take(pa.array(own[r]))],
                     names=["dim", "list", "first", "vec_id", "v"])
 
     asked = queries.mapInArrow(select, keys).join(parts, ["dim", "list"]).select(

@@ -1,5 +1,6 @@
 """Registered queries of the operators; SQL twins where SQL can say the same."""
 
+from strata.llm.capfilters import op10_cap_filters
 from strata.llm.langid import op3_language
 from strata.llm.packing import op7_packing
 from strata.llm.postings import op1_postings
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_substring": op8_substring,
     "op9_token_counts": op9_token_counts,
+    "op10_cap_filters": op10_cap_filters,
 }
 
 ORACLE: dict[str, str] = {}

@@ -7,23 +7,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def valid_vectors(rows: DataFrame, column: str = "embedding") -> DataFrame:
-    """(vec_id, v array<double>) of rows whose vector is not null, empty or zero and has only finite components."""
+def is_valid(column: str) -> F.Column:
+    """Whether a vector is not null, empty or zero and has only finite components; never null."""
+    v = F.col(column).cast("array<double>")
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    v = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col(column).cast("array<double>").alias("v"))
-    return v.where(F.col("v").isNotNull() & F.col("vec_id").isNotNull() & F.forall("v", finite)
-                   & F.exists("v", lambda x: x != 0))
+    return F.coalesce(v.isNotNull() & F.forall(v, finite) & F.exists(v, lambda x: x != 0), F.lit(False))
+
+
+def valid_vectors(rows: DataFrame, column: str = "embedding") -> DataFrame:
+    """(vec_id, v) of the rows with an id and a valid vector; v keeps single precision, else it is double."""
+    found = rows.where(F.col("vec_id").isNotNull() & is_valid(column))
+    kind = "array<float>" if rows.schema[column].dataType.simpleString() == "array<float>" else "array<double>"
+    return found.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col(column).cast(kind).alias("v"))
 
 
 def matrices(batch, column: str = "v"):
-    """(rows of the batch, their vectors as a matrix) for each length of vector."""
+    """(rows of the batch, their vectors as a double matrix) for each length of vector."""
     lists = batch.column(column)
     flat = lists.flatten().to_numpy(zero_copy_only=False)
     sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     starts = np.cumsum(sizes) - sizes
     for d in np.unique(sizes):
         rows = np.flatnonzero(sizes == d)
-        yield rows, flat[starts[rows][:, None] + np.arange(d)]
+        yield rows, flat[starts[rows][:, None] + np.arange(d)].astype(np.float64)
 
 
 def exact_distance(q: np.ndarray, x: np.ndarray) -> np.ndarray:
