@@ -2,6 +2,7 @@
 
 from strata.llm.capfilters import op10_cap_filters
 from strata.llm.langid import op3_language
+from strata.llm.mainparts import op2_host_paths
 from strata.llm.packing import op7_packing
 from strata.llm.postings import op1_postings
 from strata.llm.simhash import op5_simhash
@@ -12,6 +13,7 @@ from strata.llm.wordtable import op4_word_table
 
 QUERIES = {
     "op1_postings": op1_postings,
+    "op2_host_paths": op2_host_paths,
     "op3_language": op3_language,
     "op4_word_table": op4_word_table,
     "op5_simhash": op5_simhash,
