@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import table, utf8
 from strata.llm.encode import groups_of
@@ -224,8 +225,8 @@ def train_on(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Tagger:
 
 def identify(docs: DataFrame, tagger: Tagger, keep: tuple[str, ...] = ()) -> DataFrame:
     """``keep`` columns of every row with lang_pred and score."""
-    schema = [docs.schema[c] for c in keep]
-    out = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), "lang_pred string", "score double"])
+    out = T.StructType([*(docs.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()),
+                        T.StructField("score", T.DoubleType())])
 
     def run(batches):
         for batch in batches:

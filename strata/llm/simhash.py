@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import table, utf8, written
 from strata.llm.graph import components
@@ -52,16 +53,16 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp): signed 64-bit fingerprints of whole texts."""
+def fingerprints(docs: DataFrame, words: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns of ``keep`` and fp, the signed 64-bit fingerprint of the whole text."""
+    schema = T.StructType([*docs.select(*keep).schema, T.StructField("fp", T.LongType())])
 
     def run(batches):
         for batch in batches:
-            fps = [fingerprint(shingle_hashes(t, words)) for t in utf8(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            fps = [fingerprint(shingle_hashes(t, words)) for t in utf8(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fps, pa.int64())], names=[*keep, "fp"])
 
-    columns = [F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")]
-    return docs.select(*columns).mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.select(F.col("text").cast("string").alias("_text"), *keep).mapInArrow(run, schema)
 
 
 def signature(fp) -> F.Column:
@@ -140,20 +141,39 @@ def sig_of(fps: np.ndarray) -> np.ndarray:
     return parts @ (PART_BITS + 3) ** np.arange(PARTS)
 
 
-def simhash_groups(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
-    """(doc_id, fingerprint as 16 hex digits, component_id) of every row."""
-    rows = written(fingerprints(docs, words), "simhash")
+def grouped(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, component_id) of every fingerprint in ``rows`` (doc_id, fp): its group's smallest id."""
     distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     joined = components(links(distinct, radius))
-    # every linked fingerprint's smallest id over its group
     member = distinct.join(joined, distinct["fp"] == joined["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("component"))
     member = written(member, "simhash-members")
     smallest = member.groupBy("component").agg(F.min("first").alias("component_id"))
-    ids = written(member.join(smallest, "component").select("fp", "component_id"), "simhash-ids")
-    return rows.join(ids, "fp").select(
+    return written(member.join(smallest, "component").select("fp", "component_id"), "simhash-ids")
+
+
+def simhash_groups(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
+    """(doc_id, fingerprint as 16 hex digits, component_id) of every row."""
+    rows = written(fingerprints(docs.withColumn("doc_id", F.col("doc_id").cast("bigint")), words), "simhash")
+    return rows.join(grouped(rows, radius), "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def one_of_each_group(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of ``docs``, one of each group: the smallest id's (of several such rows, any one)."""
+    # the row travels as one column, whatever its columns are called
+    rows = docs.select("text", "doc_id", F.struct(*docs.columns).alias("doc"))
+    rows = fingerprints(rows, words, ("doc_id", "doc")).withColumn("_row", F.monotonically_increasing_id())
+    rows = written(rows, "simhash-rows")  # rows are numbered once and for all
+    order = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id").cast("bigint").alias("id"), F.col("_row").alias("row"))
+    # groups by row number, so that rows without an id or with one id are told apart
+    numbered = rows.select(F.col("_row").alias("doc_id"), "fp")
+    group = grouped(numbered, radius).withColumnRenamed("component_id", "group")
+    first = rows.select("doc_id", "_row", "fp").groupBy("fp").agg(F.min(order).alias("first"))
+    kept = first.join(group, "fp").groupBy("group").agg(F.min("first").alias("first"))
+    kept = written(kept.select(F.col("first")["row"].alias("_row")), "simhash-kept")
+    return rows.join(kept, "_row", "left_semi").select("doc.*")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))

@@ -298,10 +298,11 @@ def _each_block(batches, window: int, buckets: int):
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, keep: tuple[str, ...] = (), buckets: int | None = None,
-                   digest: bool = False) -> DataFrame:
+                   digest: bool = False, as_is: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept, columns of ``keep``) of every row.
 
-    ``kept`` is the kept words joined by one space; with ``digest``, kept_sha256 instead.
+    ``kept`` is the kept words joined by one space; with ``digest``, kept_sha256 instead. With
+    ``as_is``, a text that loses no word is kept as it is, white space too.
     """
     if window < K:
         raise ValueError(f"window must be at least {K}")
@@ -335,7 +336,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, keep: tuple[str, ...] = ()
                 n = int(dropped.sum())
                 if n:
                     words = [words[k] for k in np.flatnonzero(~dropped)]
-                kept = b" ".join(words)
+                kept = block.texts[i] if as_is and not n else b" ".join(words)
                 kept = hashlib.sha256(kept).hexdigest() if digest else kept.decode()
                 out.append((block.doc_ids[i], b - a, n, kept, block.meta[i]))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
