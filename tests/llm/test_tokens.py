@@ -1,0 +1,176 @@
+"""Encoding, packing, token files, token counts and the word table against the plain library."""
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from strata.llm.common import BYTE_BPE, WORD_BPE, shared_folder, vocabulary
+from strata.llm.encode import ByteLevelEncoder, WordEncoder, load_tokenizer
+from strata.llm.packing import SumOfSquares, pack
+from strata.llm.tokencounts import share, token_counts
+from strata.llm.tokenfiles import read_token_files, write_token_files
+from strata.llm.wordtable import encode_decode
+
+ENCODERS = {BYTE_BPE: ByteLevelEncoder, WORD_BPE: WordEncoder}
+
+
+@pytest.fixture(scope="module")
+def made():
+    return {name: (kind(vocabulary(name), max_entries=2000), load_tokenizer(vocabulary(name))) for name, kind in ENCODERS.items()}
+
+
+def plain(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def check_encoder(made, name, texts):
+    encoder, tokenizer = made[name]
+    ids, before = encoder.encode([t.encode() for t in texts])
+    for t, a, b in zip(texts, before, before[1:]):
+        assert ids[a:b].tolist() == plain(tokenizer, t), t
+
+
+@pytest.mark.parametrize("name", list(ENCODERS))
+def test_encoder_edges(made, name, edge_rows):
+    check_encoder(made, name, [t or "" for _, t in edge_rows])
+    check_encoder(made, name, [])
+
+
+@settings(max_examples=60, deadline=None)
+@given(texts=st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\r.,'a bZé  ßÉ|<>1\x01\x1c"), st.characters(exclude_categories=["Cs"])),
+                              max_size=40), max_size=6))
+@pytest.mark.parametrize("name", list(ENCODERS))
+def test_encoder_property(made, name, texts):
+    check_encoder(made, name, texts)
+
+
+def test_packing(made, spark, edge_docs, edge_rows, no_docs):
+    _, tokenizer = made[WORD_BPE]
+    rows = pack(edge_docs, vocabulary(WORD_BPE)).collect()
+    want = sorted((d is None, d or 0, tuple([*plain(tokenizer, t), 1])) for d, t in edge_rows)
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in rows:
+        ids = np.frombuffer(r["ids"], "<u4")
+        assert len(ids) == r["length"] > 0 and zlib.crc32(r["ids"]) == r["ids_crc32"]
+        pieces[r["doc_id"], r["doc_tokens"]].append((r["start"], ids.tolist()))
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    got = []
+    for (d, total), parts in pieces.items():
+        whole = [x for _, ids in sorted(parts) for x in ids]
+        copies = len(whole) // total
+        if copies == 1:
+            got.append((d is None, d or 0, tuple(whole)))
+        else:  # rows of one id: their ids together
+            same = [x for x in want if x[:2] == (d is None, d or 0)]
+            assert sorted(whole) == sorted(i for x in same for i in x[2])
+            got += same
+    assert sorted(got) == want
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048 and (at & (at - 1)) == 0  # whole, or a power of two: no padding
+    assert pack(no_docs, vocabulary(WORD_BPE)).count() == 0
+
+
+def test_sum_of_squares_level():
+    p = SumOfSquares(10, 0, lambda *a: None)
+    p.levels[[4, 7]] = [3, 1]
+    change = {h: (2 * p.levels[3] + 1 if h == 0 else 1 - 2 * p.levels[7] if h == 7 else 2 * (p.levels[h + 3] - p.levels[h]) + 2)
+              for h in (0, 4, 7)}
+    assert p.best_level(3) == min(change, key=lambda h: (change[h], -h)) == 4
+
+
+def test_token_files(made, spark, edge_docs, edge_rows, no_docs):
+    _, tokenizer = made[BYTE_BPE]
+    folder = shared_folder(spark, "test-files")
+    manifest = write_token_files(edge_docs, folder, vocabulary(BYTE_BPE))
+    got = sorted(read_token_files(spark, folder).collect(), key=lambda r: r["start"])
+    ids = [[*plain(tokenizer, t), 2] for _, t in edge_rows]
+    want = sorted((d is not None, d or 0, len(i), zlib.crc32(np.array(i, "<u4").tobytes())) for (d, _), i in zip(edge_rows, ids))
+    assert [r["doc_id"] for r in got] == [w[1] if w[0] else None for w in want]
+    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["n_tokens"], r["ids_crc32"]) for r in got) == want
+    assert [r["start"] for r in got] == np.cumsum([0, *(r["n_tokens"] for r in got)])[:-1].tolist()
+    assert sum(m["n_tokens"] for m in manifest) == sum(map(len, ids)) and {m["dtype"] for m in manifest} == {"<u2"}
+    empty = shared_folder(spark, "test-files")
+    assert write_token_files(no_docs, empty, vocabulary(BYTE_BPE)) == []
+    assert read_token_files(spark, empty).count() == 0
+
+
+def brute_share(bounds, spans, rule):
+    counts = [0.0] * len(spans)
+    for a, b in zip(bounds, bounds[1:]):
+        held = [max(0, min(b, y) - max(a, x)) for x, y in spans]
+        if rule == "split":
+            counts = [c + h / (b - a) for c, h in zip(counts, held)]
+        elif rule == "majority" and any(held):
+            counts[held.index(max(held))] += 1
+        elif rule == "first":
+            for k, (x, y) in enumerate(spans):
+                counts[k] += x <= a < y
+    return counts
+
+
+@settings(max_examples=100, deadline=None)
+@given(sizes=st.lists(st.integers(1, 5), max_size=12), cuts=st.lists(st.integers(0, 40), max_size=8, unique=True),
+       rule=st.sampled_from(["first", "majority", "split"]))
+def test_share(sizes, cuts, rule):
+    bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(int)
+    cuts = sorted(cuts)
+    spans = list(zip(cuts[::2], cuts[1::2]))
+    got, _ = share(bounds, np.array(spans, np.int64).reshape(-1, 2), rule)
+    assert np.allclose(got, brute_share(bounds.tolist(), spans, rule))
+
+
+def test_token_counts(made, spark, edge_docs, edge_rows, no_docs):
+    encoder, tokenizer = made[BYTE_BPE]
+    rows = token_counts(edge_docs, vocabulary(BYTE_BPE)).collect()
+    got = defaultdict(list)
+    for r in rows:
+        got[r["doc_id"]].append((r["section"], r["start"], r["end"], r["n_tokens"], r["doc_tokens"]))
+    want = defaultdict(list)
+    for d, t in edge_rows:
+        t = t or ""
+        ids = plain(tokenizer, t)
+        bounds = np.concatenate([[0], np.cumsum(encoder.piece_bytes[ids])]).astype(int).tolist() if ids else [0]
+        lines = t.split("\n")
+        lines = [x + "\n" for x in lines[:-1]] + ([lines[-1]] if lines[-1] or len(lines) == 1 else [])
+        at = at_bytes = 0
+        for k, line in enumerate(lines):
+            n = len(line.encode())
+            tokens = sum(at_bytes <= b < at_bytes + n for b in bounds[:-1])
+            want[d].append((k, at, at + len(line), tokens, len(ids)))
+            at, at_bytes = at + len(line), at_bytes + n
+    assert {d: sorted(x) for d, x in got.items()} == {d: sorted(x) for d, x in want.items()}
+    assert token_counts(no_docs, vocabulary(BYTE_BPE)).count() == 0
+    with pytest.raises(ValueError):
+        token_counts(no_docs, vocabulary(BYTE_BPE), rule="last")
+
+
+def test_token_counts_given_sections(made, spark):
+    docs = spark.createDataFrame([(1, "déjà vu encore", [(0, 4), (5, 7)]), (2, "abc", None), (3, "xy", [(1, 99)])],
+                                 "doc_id long, text string, parts array<struct<start:int,end:int>>")
+    rows = token_counts(docs, vocabulary(BYTE_BPE), sections="parts", rule="split").collect()
+    assert sorted((r["doc_id"], r["start"], r["end"]) for r in rows) == [(1, 0, 4), (1, 5, 7), (3, 1, 2)]
+    assert sum(r["n_tokens"] for r in rows if r["doc_id"] == 1) < rows[0]["doc_tokens"]
+
+
+@pytest.mark.parametrize("stable", [True, False])
+def test_word_table(made, spark, edge_docs, edge_rows, no_docs, stable):
+    _, tokenizer = made[BYTE_BPE]
+    docs = spark.createDataFrame(edge_docs.collect(), edge_docs.schema)
+    got = encode_decode(docs, vocabulary(BYTE_BPE), stable=stable).collect()
+    key = lambda x: (x[0] is not None, x[0] or 0, x[1])
+    ids = [plain(tokenizer, t) for _, t in edge_rows]
+    want = [(d, np.array(i, "<u4").tobytes(), tokenizer.decode(i, skip_special_tokens=False).encode()) for (d, _), i in zip(edge_rows, ids)]
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    digest = encode_decode(docs, vocabulary(BYTE_BPE), digest=True, stable=stable).where("doc_id = 15").first()
+    own = next(w for w in want if w[0] == 15)
+    assert tuple(digest)[1:] == (len(own[1]) // 4, hashlib.sha256(own[1]).hexdigest(), hashlib.sha256(own[2]).hexdigest())
+    assert encode_decode(no_docs, vocabulary(BYTE_BPE), stable=stable).count() == 0
