@@ -100,10 +100,18 @@ def chunk_keys(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         identity[0, i], identity[1, i] = divmod(xxhash.xxh3_128_intdigest(data, 1), 1 << 64)
         identity[2, i], identity[3, i] = divmod(xxhash.xxh3_128_intdigest(data, 2), 1 << 64)
     h = identity[LANES] * _MIX[0]
-    for k in range(LANES if top > 16 else 2):
+    for k in range(2):
         h ^= identity[k]
         h *= _MIX[k]
         h ^= h >> np.uint64(29)
+    # the longer chunks' other lanes; a chunk's hash never depends on the chunks beside it
+    long = np.flatnonzero(size > 16)
+    rest = h[long]
+    for k in range(2, LANES):
+        rest ^= identity[k, long]
+        rest *= _MIX[k]
+        rest ^= rest >> np.uint64(29)
+    h[long] = rest
     return h, identity
 
 
