@@ -6,14 +6,16 @@ shorter k-mers in a window, leftmost among equals): equal windows always have
 equal minimisers, so equal edges lie in paths of one minimiser, and a path's
 windows all differ.
 
-1. The documents are written once, in compressed blocks. Each block sends its
-   distinct paths (minimiser, hash of all words of the path) to buckets by the
-   minimiser, one row per block and bucket, so a passage that stands everywhere
-   travels once per block.
-2. A bucket's task compacts: a minimiser met once has no repeated edge; a path met
-   twice repeats with all its edges; where one minimiser has different paths
-   (a branch), one path of each kind must be opened. The answers join the blocks.
-3. Opened paths send their single windows the same way; a window met twice repeats.
+1. The documents are written once, in compressed blocks. Each block sends the
+   minimisers of its paths to buckets, with a hash of all words of the path or, if
+   the block has several paths of one minimiser, a sign that there are many: one
+   row per block and bucket, so a passage that stands everywhere travels once per
+   block, whatever stands around it.
+2. A bucket's task compacts: a minimiser met once has no repeated edge; if all its
+   paths are one, that path repeats with all its edges; where one minimiser has
+   different paths (a branch), they must be opened. The answers join the blocks.
+3. Opened paths send their single windows the same way, to buckets by the window; a
+   window met twice repeats.
 4. Both answers join the blocks again by source coordinates: each repeated window
    covers its words there, and covered words go.
 
@@ -51,6 +53,7 @@ ROW_SCHEMA = pa.schema([("block", pa.int64()), ("step", pa.int32()), ("bucket",
 _R = np.uint64(0xD6E8FEB86659FD93)  # odd, so it has an inverse modulo 2 ** 64
 _RINV = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 WHOLE, OPEN = 1, 2  # answers about a path
+MANY = 3  # count of a minimiser with several contents in one block
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -111,23 +114,37 @@ class Words:
         return at[first], np.diff(np.append(first, len(at))), kmers[owner[at[first]]]
 
 
-def bucket_of(minimiser: np.ndarray, buckets: int) -> np.ndarray:
-    return ((mixed(minimiser) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
+def bucket_of(key: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mixed(key) >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
 
 
-def dealt(minimiser: np.ndarray, content: np.ndarray, buckets: int):
-    """The distinct (minimiser, content) in order of bucket, how often each stands here (2: more than
-    once), where each first stands, each row's number among them, and the cuts between buckets."""
-    bucket = bucket_of(minimiser, buckets)
-    order = np.lexsort((content, minimiser, bucket))
-    m, c = minimiser[order], content[order]
-    new = np.concatenate([[True], (m[1:] != m[:-1]) | (c[1:] != c[:-1])]) if len(m) else np.empty(0, bool)
-    at = np.flatnonzero(new)
-    number = np.empty(len(m), np.int64)
-    number[order] = np.cumsum(new) - 1
-    count = np.minimum(np.diff(np.append(at, len(m))), 2).astype(np.uint8)
-    cuts = np.searchsorted(bucket[order][at], np.arange(buckets + 1))
-    return m[at], c[at], count, order[at], number, cuts
+class Dealt:
+    """The distinct (minimiser, content) of some rows, in order of bucket.
+
+    m, c: theirs; count: how often each stands here (2: more than once); at: the
+    row where each first stands; number: each row's place among them; cuts:
+    places between the buckets.
+    """
+
+    def __init__(self, minimiser: np.ndarray, content: np.ndarray, bucket: np.ndarray, buckets: int):
+        order = np.lexsort((content, minimiser, bucket))
+        m, c = minimiser[order], content[order]
+        new = np.ones(len(m), bool)
+        new[1:] = (m[1:] != m[:-1]) | (c[1:] != c[:-1])
+        first = np.flatnonzero(new)
+        self.m, self.c, self.at = m[first], c[first], order[first]
+        self.number = np.empty(len(m), np.int64)
+        self.number[order] = np.cumsum(new) - 1
+        self.count = np.minimum(np.diff(np.append(first, len(m))), 2).astype(np.uint8)
+        self.cuts = np.searchsorted(bucket[self.at], np.arange(buckets + 1))
+
+    def by_minimiser(self):
+        """(minimiser, content, count; kind of each of these): one row a minimiser, MANY if it has several contents."""
+        new = np.ones(len(self.m), bool)
+        new[1:] = self.m[1:] != self.m[:-1]
+        first = np.flatnonzero(new)
+        several = np.diff(np.append(first, len(new))) > 1
+        return self.m[first], self.c[first], np.where(several, MANY, self.count[first]).astype(np.uint8), np.cumsum(new) - 1
 
 
 def row_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -149,15 +166,15 @@ def answers(step: int, rows: list[tuple[int, int, bytes]]) -> list[tuple]:
     c = np.concatenate([x[n:] for (x, _), n in zip(parts, sizes)])
     count = np.concatenate([y for _, y in parts]).astype(np.int64)
     order = np.lexsort((c, m))
-    m, c = m[order], c[order]
-    new_m = np.concatenate([[True], m[1:] != m[:-1]])
-    new_c = new_m | np.concatenate([[True], c[1:] != c[:-1]])
-    kind = np.cumsum(new_c) - 1  # the distinct (minimiser, content)
-    total = np.bincount(kind, count[order])
-    reply = np.where(total[kind] >= 2, WHOLE, 0)
-    if step == 1:  # a minimiser with several contents: open the first of each
-        kinds_of = np.bincount(np.cumsum(new_m)[new_c] - 1)
-        reply |= np.where(new_c & (kinds_of[np.cumsum(new_m) - 1] > 1), OPEN, 0)
+    m, c, count = m[order], c[order], count[order]
+    new_m, new_c = np.ones(len(m), bool), np.ones(len(m), bool)
+    new_m[1:] = m[1:] != m[:-1]
+    new_c[1:] = new_m[1:] | (c[1:] != c[:-1])
+    kind, group = np.cumsum(new_c) - 1, np.cumsum(new_m) - 1
+    reply = np.where(np.bincount(kind, count)[kind] >= 2, WHOLE, 0)
+    if step == 1:  # a minimiser with several contents, here or in one block
+        branch = (np.bincount(group, new_c) > 1) | (np.bincount(group, count == MANY) > 0)
+        reply = np.where(branch[group], OPEN, reply)
     out = np.empty(len(reply), np.uint8)
     out[order] = reply
     ends = np.cumsum(sizes)
@@ -177,11 +194,12 @@ class Block:
         self.window, self.buckets = window, buckets
         self.first, self.count, self.minimiser = self.words.paths(window)
         content = self.words.run_hash(self.first, self.first + self.count + window - 1)
-        self.dealt = dealt(self.minimiser, content, buckets)
+        self.paths = Dealt(self.minimiser, content, bucket_of(self.minimiser, buckets), buckets)
+        self.m, self.c, self.kinds, self.group = self.paths.by_minimiser()
 
     def questions(self) -> list[tuple]:
-        m, c, count, _, _, cuts = self.dealt
-        return questions(self.block, 1, m, c, count, cuts)
+        starts = np.flatnonzero(np.diff(self.group, prepend=-1))
+        return questions(self.block, 1, self.m, self.c, self.kinds, np.searchsorted(starts, self.paths.cuts))
 
     def _reply(self, parts: list[tuple[int, bytes]], n: int) -> np.ndarray:
         reply = np.frombuffer(b"".join(p for _, p in sorted(parts)), np.uint8)
@@ -190,31 +208,27 @@ class Block:
         return reply
 
     def opened(self, parts):
-        """(paths' answers, windows of the opened paths, those dealt out)."""
-        _, _, _, at, number, _ = self.dealt
-        reply = self._reply(parts, len(at))
-        first_here = np.zeros(len(number), bool)
-        first_here[at] = True
-        whole = (reply[number] & WHOLE) > 0
-        # the path that is opened for its kind, and every single path beside a branch
-        own = first_here & ((reply[number] & OPEN) > 0)
+        """(which paths repeat whole, windows of the opened paths, those dealt out)."""
+        reply = self._reply(parts, len(self.m))[self.group]  # of each distinct path
+        whole = ((reply & WHOLE) > 0) | (self.paths.count > 1)
+        own = self.paths.at[(reply & OPEN) > 0]
         n = self.count[own]
         windows = np.repeat(self.first[own], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        content = self.words.run_hash(windows, windows + self.window)
-        return whole, windows, dealt(np.repeat(self.minimiser[own], n), content, self.buckets)
+        minimiser, content = np.repeat(self.minimiser[own], n), self.words.run_hash(windows, windows + self.window)
+        dealt = Dealt(minimiser, content, bucket_of(minimiser ^ mixed(content), self.buckets), self.buckets)
+        return whole[self.paths.number], windows, dealt
 
     def window_questions(self, parts) -> list[tuple]:
-        _, _, (m, c, count, _, _, cuts) = self.opened(parts)
-        return questions(self.block, 2, m, c, count, cuts)
+        _, _, d = self.opened(parts)
+        return questions(self.block, 2, d.m, d.c, d.count, d.cuts)
 
     def removed(self, parts, window_parts) -> np.ndarray:
         """Which words are covered by a repeated window."""
-        whole, windows, (m, _, _, _, number, _) = self.opened(parts)
+        whole, windows, d = self.opened(parts)
         edges = np.zeros(self.words.n + 1, np.int64)
         np.add.at(edges, self.first[whole], 1)
         np.add.at(edges, self.first[whole] + self.count[whole] + self.window - 1, -1)
-        reply = self._reply(window_parts, len(m))
-        repeated = windows[(reply[number] & WHOLE) > 0]
+        repeated = windows[(self._reply(window_parts, len(d.m))[d.number] & WHOLE) > 0]
         np.add.at(edges, repeated, 1)
         np.add.at(edges, repeated + self.window, -1)
         return np.cumsum(edges[:-1]) > 0
