@@ -1,6 +1,6 @@
 """Drop-in names for callers of the original notebook utilities.
 
-Same function names and argument order, implemented with this library.
+The function and parameter names are fixed values (callers use them).  Same function names and argument order, implemented with this library.
 Differences, on purpose:
 * every check really checks: it raises ``AssertionError`` with the number of
   violations (the originals could pass whatever the data);
@@ -76,7 +76,8 @@ def enrich_gold_profit_df(silver_orders_df: DataFrame) -> DataFrame:
 def process_bronze(source_file_path: str, source_file_type: str, target_table_name: str,
                    catalogue_name: str, schema_name: str, spark: SparkSession,
                    fmt: str = "parquet") -> DataFrame:
-    df = clean_column_names(read_source(spark, SourceSpec(source_file_path, source_file_type)))
+    options = {"multi_line": True} if source_file_type.lower() == "json" else {}
+    df = clean_column_names(read_source(spark, SourceSpec(source_file_path, source_file_type, options=options)))
     write_table(df, f"{catalogue_name}.{schema_name}.{target_table_name}", fmt=fmt)
     return df
 

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.sinks import materialize
+
 # Broadcast payload allowed by default: well below the driver's result-size
 # limit and Spark's 8 GB broadcast ceiling, and small enough to copy to a
 # thousand executors without dominating the stage.
 DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
+MAX_PROBED_ROWS = 5_000_000
+MIN_HOT_SHARE = 0.001  # so at most 1,000 keys of a column can be hot
 
 
 def _row_bytes(schema: T.StructType) -> Column:
@@ -57,6 +62,8 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int,
     """
     if max_rows <= 0:
         return df
+    if max_rows > MAX_PROBED_ROWS:  # the probe's limit gathers that many rows in one task
+        raise ValueError(f"max_rows must be at most {MAX_PROBED_ROWS}, got {max_rows}")
     probe = df.limit(max_rows + 1).agg(
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0)).alias("bytes")).first()
@@ -68,23 +75,36 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int,
 SALT_COLUMN = "_salt"
 
 
-def hot_keys(df: DataFrame, key: str, min_share: float = 0.01) -> list:
-    """Non-null values of ``key`` that hold at least ``min_share`` of the rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.01) -> dict[str, list]:
+    """For each key column, its non-null values that hold at least ``min_share`` of the rows.
 
-    One count and one aggregation with map-side partial counts; at most
-    ``1 / min_share`` values can qualify, so the list brought to the driver
-    is bounded whatever the size of ``df``.
+    One pass over ``df`` for all columns: every row gives one tagged row a
+    column (its own slot set, each slot of its column's type), and partial
+    counts reduce them before the shuffle.  The counts are stored once; the
+    row total and the hot values come from them.  At most ``1 / min_share``
+    values a column can qualify, and ``min_share`` has a floor, so the lists
+    brought to the driver are bounded whatever the size of ``df``.
     """
-    if not 0 < min_share <= 1:
-        raise ValueError(f"min_share must be in (0, 1], got {min_share}")
-    total = df.count()
-    if total == 0:
-        return []
-    threshold = max(1, math.ceil(min_share * total))
-    k = F.col(key)
-    rows = (df.filter(k.isNotNull()).groupBy(k.alias("k")).count()
-            .filter(F.col("count") >= threshold).select("k").collect())
-    return [r["k"] for r in rows]
+    if not MIN_HOT_SHARE <= min_share <= 1:
+        raise ValueError(f"min_share must be in [{MIN_HOT_SHARE}, 1], got {min_share}")
+    slots = [f"k{i}" for i in range(len(keys))]
+    types = [df.schema[k].dataType for k in keys]
+
+    def tagged(i: int) -> Column:
+        return F.struct(F.lit(i).alias("tag"), *[
+            (F.col(keys[i]) if j == i else F.lit(None).cast(t)).alias(slots[j]) for j, t in enumerate(types)])
+
+    counts = (df.select(F.explode(F.array(*[tagged(i) for i in range(len(keys))])).alias("r"))
+              .select("r.*").groupBy("tag", *slots).count())
+    counts = materialize(counts, "key-counts")
+    total = counts.where("tag = 0").agg(F.sum("count")).first()[0]
+    found: dict[str, list] = {k: [] for k in keys}
+    if total:
+        threshold = max(1, math.ceil(min_share * total))
+        for r in counts.where(F.col("count") >= threshold).collect():
+            if r[slots[r["tag"]]] is not None:
+                found[keys[r["tag"]]].append(r[slots[r["tag"]]])
+    return found
 
 
 def salted_left_join(fact: DataFrame, dim: DataFrame, key: str, hot: list, buckets: int) -> DataFrame:

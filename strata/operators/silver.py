@@ -118,13 +118,12 @@ def enrich_orders(order_df: DataFrame, customer_df: DataFrame, product_df: DataF
 
     ``salt_buckets=N`` salts both joins for the customer and product keys
     that hold at least ``hot_key_share`` of the raw orders (found by one
-    counting aggregation each, before the joins), for clusters where AQE's
+    pass over the raw orders for both, before the joins), for clusters where AQE's
     skew split is off or does not apply.
     """
     orders = parse_orders(order_df, date_formats).dropDuplicates()
     if not dimensions_distinct:
         customer_df, product_df = customer_df.dropDuplicates(), product_df.dropDuplicates()
-    hot_c = hot_keys(order_df, "Customer_ID", hot_key_share) if salt_buckets > 1 else []
-    hot_p = hot_keys(order_df, "Product_ID", hot_key_share) if salt_buckets > 1 else []
+    hot = hot_keys(order_df, ("Customer_ID", "Product_ID"), hot_key_share) if salt_buckets > 1 else {}
     return join_dimensions(orders, customer_df, product_df, broadcast_max_rows, broadcast_max_bytes,
-                           salt_buckets, hot_c, hot_p)
+                           salt_buckets, hot.get("Customer_ID", ()), hot.get("Product_ID", ()))

@@ -3,12 +3,13 @@
 On a cluster the session comes from the platform; the library never builds
 one itself.  ``scratch_dir`` is where jobs write intermediate tables: the
 shared folder named by ``spark.checkpoint.dir``.  Only when that setting is
-absent (local tests) do we create one.
+absent (local tests) do we create one.  ``release_scratch`` drops what a
+session has stored there.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -37,60 +38,89 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def _context(spark: SparkSession):
-    """The session's SparkContext, or None where there is none (Spark Connect)."""
-    try:
-        return spark.sparkContext
-    except Exception:
-        return None
+def _is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process on one machine."""
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
-def scratch_dir(spark: SparkSession, purpose: str = "scratch") -> str:
-    """A fresh sub-folder of the shared checkpoint folder.
+def _shared_base(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, or the context's; a local session without either gets its own.
 
-    Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir).  When
-    neither is configured, a local session (tests) gets a folder of its own;
-    any other master is refused, since a folder on the driver's disk is not
-    visible to the executors and does not survive losing one.
+    ``spark.checkpoint.dir`` is a setting of the context, so it is never set
+    here.  A path without a scheme means the default file system; off local
+    mode that must not be the machine's own disk.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    context = _context(spark)
-    if not base and context is not None:
-        base = context.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        master = spark.conf.get("spark.master", "") or ""
-        if not master.startswith("local"):
+        if not _is_local(spark):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: point it at a folder on the cluster's "
                 "shared file system before running jobs that store intermediate layers")
-        base = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        if context is not None:
-            context.setCheckpointDir(base)
-    base = base.rstrip("/")
-    path = f"{base}/{purpose}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="strata-ckpt-"))
+        base = context.getCheckpointDir()
+    elif "://" not in base and not base.startswith("file:") and not _is_local(spark):
+        default = context._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+        if default.startswith("file:"):
+            raise RuntimeError(
+                f"spark.checkpoint.dir {base!r} names no file system and the default one is the "
+                "machine's own disk: give the full address of a shared folder")
+    return base.rstrip("/")
+
+
+# What this process stored per application, so that it can be dropped again.
+_STORED: dict[str, list[tuple[str, str]]] = {}
+
+
+def _remember(spark: SparkSession, kind: str, name: str) -> None:
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append((kind, name))
+
+
+def scratch_dir(spark: SparkSession, purpose: str = "scratch") -> str:
+    """A fresh sub-folder's path under the shared folder; ``release_scratch`` drops it."""
+    path = f"{_shared_base(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+    _remember(spark, "folder", path)
     return path
 
 
+def scratch_schema(spark: SparkSession, name: str) -> None:
+    """Marks a catalogue schema (``catalog.schema``) as temporary: ``release_scratch`` drops it with its tables."""
+    _remember(spark, "schema", name)
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Drops every scratch folder and schema of this application; returns how many.
+
+    A frame that reads from them is lazy, so the caller says when its results
+    are consumed.  Names that are already gone are skipped.
+    """
+    stored = _STORED.pop(spark.sparkContext.applicationId, [])
+    for kind, name in reversed(stored):
+        if kind == "schema":
+            spark.sql(f"DROP NAMESPACE IF EXISTS {name} CASCADE")
+            continue
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(stored)
+
+
 def scale_conf(shuffle_bytes: int, cores: int, target_partition_bytes: int = 128 << 20,
-               max_partitions: int = 65_536) -> dict[str, str]:
+               max_partitions: int | None = None) -> dict[str, str]:
     """Settings sized for a job that shuffles about ``shuffle_bytes``.
 
     The initial shuffle partition count keeps each partition near
     ``target_partition_bytes`` (so sorts and hash maps fit in task memory and
-    spill rarely), never below three tasks per core.  It is capped at
-    ``max_partitions``: every map task writes one block per partition, so the
-    block count (map tasks x partitions) and the reducers' fetch requests
-    grow with both; past the cap partitions grow beyond the target and spill
-    a little instead.  AQE then coalesces small partitions and splits skewed
-    ones, also where the split needs an extra shuffle.  Example: 30 TB
-    shuffled on 8,000 cores -> 223,517 partitions wanted, 65,536 used
-    (about 460 MB each).
+    spill rarely), never below three tasks per core.  AQE then coalesces small
+    partitions and splits skewed ones, also where the split needs an extra
+    shuffle.  Example: 30 TB shuffled on 8,000 cores -> 223,518 partitions.
+
+    There is no cap unless the caller sets one: with ``max_partitions`` the
+    partitions of a larger job grow beyond the target (and spill), in return
+    for fewer shuffle blocks (map tasks x partitions) and fetch requests.
     """
-    wanted = -(-shuffle_bytes // target_partition_bytes)
-    parts = max(3 * cores, min(max_partitions, wanted))
+    parts = max(3 * cores, -(-shuffle_bytes // target_partition_bytes))
+    if max_partitions is not None:
+        parts = min(parts, max_partitions)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -6,7 +6,8 @@ globals, so two pipelines can run in one session with different names.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 
 @dataclass(frozen=True)
@@ -45,3 +46,5 @@ class SourceSpec:
     path: str
     kind: str
     schema: str | None = None  # optional DDL string; skips the inference pass
+    # arguments of the reader: header, delimiter, multi_line, bad_records ...
+    options: Mapping[str, object] = field(default_factory=dict)

@@ -10,7 +10,6 @@ FIXTURES.md section 2.
 
 from __future__ import annotations
 
-import weakref
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,18 +27,9 @@ PROFIT_MARGIN = "0.05"       # Profit = price * (0.05 - discount)
 TPCH_TABLES = ("lineitem", "orders", "customer", "nation", "part")
 
 
-# The given tables are immutable inputs: resolve each parquet relation (file
-# listing + footer schema) once per session instead of once per query.  Only
-# the unresolved-relation handle is kept; every query still scans the files.
-_RELATIONS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
-
-
 def read_tpch(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    per_session = _RELATIONS.setdefault(spark, {})
-    if path not in per_session:
-        per_session[path] = spark.read.parquet(path)
-    return per_session[path]
+    """A given table; its files are listed anew on every call."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def bronze_orders_frame(lineitem: DataFrame, orders: DataFrame) -> DataFrame:

@@ -34,45 +34,41 @@ def _load(path: str, load: Callable[[], DataFrame]) -> DataFrame:
         raise
 
 
-def _infer(reader, sampling_ratio: float | None):
-    """Inference reads the whole input once before the real read; a sampling
-    ratio below 1 makes that pass read only a fraction of the rows (a type
-    seen only in unsampled rows then fails or nulls at read time)."""
-    if sampling_ratio is not None:
-        if not 0 < sampling_ratio <= 1:
-            raise ValueError(f"sampling_ratio must be in (0, 1], got {sampling_ratio}")
-        reader = reader.option("samplingRatio", sampling_ratio)
-    return reader
+BAD_RECORDS = {"fail": "FAILFAST", "null": "PERMISSIVE"}
+
+
+def _with_schema(reader, schema: Schema, bad_records: str):
+    """Declares the schema.  A record that does not fit it fails the read by
+    default; ``bad_records="null"`` lets Spark put nulls in its place."""
+    if bad_records not in BAD_RECORDS:
+        raise ValueError(f"bad_records must be one of {sorted(BAD_RECORDS)}, got {bad_records!r}")
+    return reader.schema(schema).option("mode", BAD_RECORDS[bad_records])
 
 
 def read_csv(spark: SparkSession, path: str, header: bool = True, infer_schema: bool = True,
-             delimiter: str = ",", schema: Schema = None,
-             sampling_ratio: float | None = None) -> DataFrame:
+             delimiter: str = ",", schema: Schema = None, bad_records: str = "fail") -> DataFrame:
     """CSV file or directory of CSV files.  With ``schema`` no inference pass runs."""
     reader = spark.read.option("header", header).option("delimiter", delimiter)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = _with_schema(reader, schema, bad_records)
     else:
         reader = reader.option("inferSchema", infer_schema)
-        if infer_schema:
-            reader = _infer(reader, sampling_ratio)
     return _load(path, lambda: reader.csv(path))
 
 
 def read_json(spark: SparkSession, path: str, multi_line: bool = False,
-              schema: Schema = None, sampling_ratio: float | None = None) -> DataFrame:
+              schema: Schema = None, bad_records: str = "fail") -> DataFrame:
     """JSON file or directory.
 
     ``multi_line=False`` (JSON Lines) is the default because it splits into
     many tasks per file; ``True`` reads whole files (pretty-printed objects or
     top-level arrays) as one task each, and on a JSON Lines file would return
-    only its first record.
+    only its first record.  Pretty-printed files read as JSON Lines under a
+    schema fail (their lines are no records) instead of becoming null rows.
     """
     reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = _infer(reader, sampling_ratio)
+        reader = _with_schema(reader, schema, bad_records)
     return _load(path, lambda: reader.json(path))
 
 
@@ -86,8 +82,12 @@ def read_catalogue_table(spark: SparkSession, catalog: str, schema: str, table:
 
 
 def read_source(spark: SparkSession, source: SourceSpec, **options) -> DataFrame:
-    """Dispatch on ``source.kind``: csv, json or table; anything else is refused."""
+    """Dispatch on ``source.kind``: csv, json or table; anything else is refused.
+
+    ``source.options`` go to the reader; ``options`` override them.
+    """
     kind = source.kind.lower()
+    options = {**source.options, **options}
     if kind == "csv":
         return read_csv(spark, source.path, schema=source.schema, **options)
     if kind == "json":

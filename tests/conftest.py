@@ -14,11 +14,9 @@ def spark(tmp_path_factory):
     from strata.session import local_session
 
     s = local_session("*", shuffle_partitions=8, app="strata-tests", driver_memory="4g")
-    # Tests own the session, so they set the shared folder (unset here).
+    # Tests own the session, so they set the shared folder where it is unset.
     if not s.conf.get("spark.checkpoint.dir", None):
-        ckpt = str(tmp_path_factory.mktemp("ckpt"))
-        s.conf.set("spark.checkpoint.dir", ckpt)
-        s.sparkContext.setCheckpointDir(ckpt)
+        s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("ckpt")))
     yield s
     s.stop()
 

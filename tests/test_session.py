@@ -1,50 +1,90 @@
 """The shared scratch folder comes from the session; only local runs get a default."""
 
+import os
+import subprocess
+import sys
+import tempfile
+from pathlib import Path
+
 import pytest
 
-from strata.session import scratch_dir
+from strata import session
+from strata.session import release_scratch, scale_conf, scratch_dir, scratch_schema
 
+ROOT = str(Path(__file__).resolve().parents[1])
 
-class _Conf:
-    def __init__(self, values):
-        self.values = dict(values)
 
-    def get(self, key, default=None):
-        return self.values.get(key, default)
+def run(code: str, **env) -> str:
+    """Output of a script in a session of its own, without this machine's Spark settings."""
+    with tempfile.TemporaryDirectory() as empty:
+        done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True,
+                              env=os.environ | {"SPARK_CONF_DIR": empty, "PYTHONPATH": ROOT} | env)
+    assert done.returncode == 0, done.stderr[-2000:]
+    return done.stdout
 
-    def set(self, key, value):
-        self.values[key] = value
 
+LOCAL = """
+from strata.session import local_session, release_scratch, scratch_dir
+spark = local_session(2, shuffle_partitions=2, driver_memory="1g")
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+a, b = scratch_dir(spark, "x"), scratch_dir(spark, "y")
+spark.range(3).write.parquet(a)
+assert spark.read.parquet(a).count() == 3 and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0]
+import __spark_entry__ as E
+print(E.queries()["csv_roundtrip"](spark, "/root/testdata/sf0.001").count())
+print(release_scratch(spark))
+"""
 
-class _Context:
-    def __init__(self):
-        self.dir = None
 
-    def getCheckpointDir(self):
-        return self.dir
+def test_local_session_without_settings_gets_its_own_folder():
+    rows, dropped = run(LOCAL).split()
+    assert int(rows) > 0 and int(dropped) == 3
 
-    def setCheckpointDir(self, d):
-        self.dir = d
 
+class _Context:
+    """What ``scratch_dir`` asks of a context, for masters that a test cannot start."""
 
-class _Session:
-    def __init__(self, **conf):
-        self.conf = _Conf(conf)
-        self.sparkContext = _Context()
+    applicationId = "t"
 
+    def __init__(self, master, checkpoint=None, default="hdfs://n:8020"):
+        self.master, self._dir, self._jsc, self._default = master, checkpoint, self, default
 
-def test_uses_configured_checkpoint_dir(tmp_path):
-    s = _Session(**{"spark.master": "yarn", "spark.checkpoint.dir": str(tmp_path)})
-    path = scratch_dir(s, "x")
-    assert path.startswith(str(tmp_path) + "/x-")
+    def getCheckpointDir(self):
+        return self._dir
 
+    def hadoopConfiguration(self):
+        return {"fs.defaultFS": self._default}
 
-def test_cluster_without_checkpoint_dir_is_refused():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_dir(_Session(**{"spark.master": "spark://host:7077"}), "x")
 
+class _Session:
+    def __init__(self, context, **conf):
+        self.sparkContext, self.conf = context, conf
 
-def test_local_session_gets_its_own_folder():
-    s = _Session(**{"spark.master": "local[2]"})
-    path = scratch_dir(s, "x")
-    assert s.conf.get("spark.checkpoint.dir") and path.startswith(s.conf.get("spark.checkpoint.dir"))
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_cluster_needs_a_shared_folder(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(_Session(_Context(master)), "x")
+    with pytest.raises(RuntimeError, match="names no file system"):
+        scratch_dir(_Session(_Context(master, default="file:///"), **{"spark.checkpoint.dir": "/tmp/x"}), "x")
+    assert scratch_dir(_Session(_Context(master), **{"spark.checkpoint.dir": "/shared"}), "x").startswith("/shared/x-")
+    address = {"spark.checkpoint.dir": "file:///mnt/shared/"}
+    assert scratch_dir(_Session(_Context(master, default="file:///"), **address), "x").startswith("file:///mnt/shared/x-")
+
+
+def test_release_drops_folders_and_schemas(spark, monkeypatch):
+    monkeypatch.setattr(session, "_STORED", {})
+    path = scratch_dir(spark, "t-release")
+    spark.range(2).write.parquet(path)
+    spark.sql(f"CREATE NAMESPACE spark_catalog.t_release LOCATION '{path}/db'")
+    scratch_schema(spark, "spark_catalog.t_release")
+    spark.range(2).write.saveAsTable("spark_catalog.t_release.t")
+    assert release_scratch(spark) == 2 and release_scratch(spark) == 0
+    assert not spark.catalog.databaseExists("t_release")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_scale_conf_has_no_cap_of_its_own():
+    assert scale_conf(30 << 40, 8000)["spark.sql.shuffle.partitions"] == str((30 << 40) // (128 << 20))
+    assert scale_conf(30 << 40, 8000, max_partitions=65_536)["spark.sql.shuffle.partitions"] == "65536"

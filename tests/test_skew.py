@@ -119,8 +119,12 @@ def test_third_of_orders_with_null_customer_is_split(spark, skew_conf, tmp_path)
 
 def test_hot_keys_finds_the_heavy_customer(spark, tmp_path):
     orders = _orders_scan(spark, tmp_path)
-    assert hot_keys(orders, "Customer_ID", 0.05) == [7]  # a third of the rows; nulls are not keys
-    assert hot_keys(orders.filter("Customer_ID <> 7"), "Customer_ID", 0.05) == []
+    assert hot_keys(orders, ["Customer_ID"], 0.05) == {"Customer_ID": [7]}  # a third of the rows; nulls are not keys
+    assert hot_keys(orders.filter("Customer_ID <> 7"), ["Customer_ID"], 0.05) == {"Customer_ID": []}
+    both = hot_keys(orders, ["Customer_ID", "Product_ID"], 0.05)
+    assert both == {**hot_keys(orders, ["Customer_ID"], 0.05), **hot_keys(orders, ["Product_ID"], 0.05)}
+    with pytest.raises(ValueError, match="min_share"):
+        hot_keys(orders, ["Customer_ID"], 1e-9)
 
 
 def test_salted_join_equals_plain_left_join(spark, rows):

@@ -1,3 +1,6 @@
+import json
+import tempfile
+
 import pytest
 
 from strata.session import scratch_dir
@@ -7,7 +10,7 @@ from strata.sources.sinks import ensure_schema, require_rows, write_table
 
 
 def test_csv_infers_schema_and_reads_directory(spark):
-    root = scratch_dir(spark, "t-csv")
+    root = tempfile.mkdtemp(prefix="t-csv-")
     with open(f"{root}/a.csv", "w") as f:
         f.write("Product ID,Sub-Category,price\n1,x,1.5\n2,y,2.25\n")
     df = read_csv(spark, root)
@@ -16,21 +19,8 @@ def test_csv_infers_schema_and_reads_directory(spark):
     assert df.count() == 2
 
 
-def test_inference_sampling_ratio(spark):
-    root = scratch_dir(spark, "t-csv")
-    with open(f"{root}/a.csv", "w") as f:
-        f.write("k,v\n" + "".join(f"{i},{i * 0.5}\n" for i in range(200)))
-    df = read_csv(spark, root, sampling_ratio=0.5)
-    assert dict(df.dtypes) == {"k": "int", "v": "double"} and df.count() == 200
-    with open(f"{root}/b.json", "w") as f:
-        f.write("".join(f'{{"k": {i}}}\n' for i in range(50)))
-    assert read_json(spark, f"{root}/b.json", sampling_ratio=0.2).count() == 50
-    with pytest.raises(ValueError):
-        read_csv(spark, root, sampling_ratio=0)
-
-
 def test_csv_with_schema_and_delimiter(spark):
-    root = scratch_dir(spark, "t-csv")
+    root = tempfile.mkdtemp(prefix="t-csv-")
     with open(f"{root}/a.csv", "w") as f:
         f.write("a;b\n1;x\n")
     df = read_csv(spark, root, delimiter=";", schema="a bigint, b string")
@@ -38,7 +28,7 @@ def test_csv_with_schema_and_delimiter(spark):
 
 
 def test_json_lines_vs_multiline(spark):
-    root = scratch_dir(spark, "t-json")
+    root = tempfile.mkdtemp(prefix="t-json-")
     with open(f"{root}/lines.json", "w") as f:
         f.write('{"a": 1}\n{"a": 2}\n')
     assert read_json(spark, f"{root}/lines.json").count() == 2
@@ -49,6 +39,42 @@ def test_json_lines_vs_multiline(spark):
     assert read_json(spark, f"{root}/array.json", multi_line=True).count() == 2
 
 
+def test_declared_schema_refuses_records_that_do_not_fit(spark):
+    root = tempfile.mkdtemp(prefix="t-json-")
+    with open(f"{root}/pretty.json", "w") as f:
+        json.dump([{"a": 1}, {"a": 2}], f, indent=2)
+    path, ddl = f"{root}/pretty.json", "a bigint"
+    assert read_json(spark, path, multi_line=True, schema=ddl).count() == 2
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        read_json(spark, path, schema=ddl).collect()
+    assert read_json(spark, path, schema=ddl, bad_records="null").where("a is not null").count() == 0
+    with pytest.raises(ValueError, match="bad_records"):
+        read_json(spark, path, schema=ddl, bad_records="skip")
+
+
+def test_reader_options_travel_with_the_source(spark):
+    root = tempfile.mkdtemp(prefix="t-json-")
+    with open(f"{root}/pretty.json", "w") as f:
+        json.dump([{"a": 1}, {"a": 2}], f, indent=2)
+    source = SourceSpec(f"{root}/pretty.json", "json", "a bigint", {"multi_line": True})
+    assert read_source(spark, source).count() == 2
+    with open(f"{root}/a.csv", "w") as f:
+        f.write("1;x\n2;y\n")
+    source = SourceSpec(f"{root}/a.csv", "csv", "a bigint, b string", {"delimiter": ";", "header": False})
+    assert read_source(spark, source).count() == 2
+    assert read_source(spark, source, header=True).count() == 1  # the caller's word counts
+
+
+def test_a_second_read_sees_appended_files(spark):
+    from strata.sources.adapters import read_tpch
+
+    root = tempfile.mkdtemp(prefix="t-tpch-")
+    spark.range(5).write.parquet(f"{root}/part.parquet")
+    assert read_tpch(spark, root, "part").count() == 5
+    spark.range(7).write.mode("append").parquet(f"{root}/part.parquet")
+    assert read_tpch(spark, root, "part").count() == 12
+
+
 def test_missing_path_is_file_not_found(spark):
     with pytest.raises(FileNotFoundError):
         read_csv(spark, "/nonexistent/strata/x.csv")
