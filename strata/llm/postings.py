@@ -36,6 +36,7 @@ REPLICAS = 6
 BOUNDARY = 1.15  # a boundary vector's further centroids: at most so many times as far
 RATIO = 1.18  # lists a query reads: centroids at most so many times as far as the nearest
 PART_ROWS = 4000
+HELD_QUERIES = 100_000  # queries whose nearest a task holds before it sends them on
 DEGREE = 16  # neighbours of a centroid in the graph
 
 
@@ -191,26 +192,32 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         "dim", "list", F.pmod(F.xxhash64("vec_id", "v"), F.col("parts")).cast("int").alias("part"),
         F.lit(0).alias("side"), "vec_id", "v")
 
-    def nearest(ids, x, query_ids, q):
-        out = []
+    def nearest(ids, x, query_ids, q, best):
+        """Adds a list's nearest to those that the task has for each query."""
         for i in range(0, len(q), 256):
             d2 = squared(q[i : i + 256], x)
             for j, row in enumerate(d2):
-                query = query_ids[i + j]
+                query = int(query_ids[i + j])
                 row = np.where(ids == query, np.inf, row)
                 m = min(k, len(row))
                 edge = np.partition(row, m - 1)[m - 1]
                 near = np.flatnonzero((row <= edge * (1 + 1e-9) + 1e-9) & np.isfinite(row))
-                score = exact_distance(q[i + j], x[near])
-                best = np.lexsort((ids[near], score))[:k]
-                out += [(query, a, s) for a, s in zip(ids[near][best].tolist(), score[best].tolist())]
-        if out:
-            a, b, c = zip(*out)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c)],
-                                             names=["query_id", "vec_id", "score"])
+                score, found = exact_distance(q[i + j], x[near]), ids[near]
+                if query in best:
+                    score, found = np.concatenate([best[query][0], score]), np.concatenate([best[query][1], found])
+                order = np.lexsort((found, score))
+                order = order[np.sort(np.unique(found[order], return_index=True)[1])][:k]  # boundary vectors once
+                best[query] = score[order], found[order]
+
+    def flushed(best):
+        sizes = [len(f) for _, f in best.values()]
+        columns = [np.repeat(np.fromiter(best, np.int64, len(best)), sizes), *(
+            np.concatenate([np.empty(0, t), *(x[n] for x in best.values())]) for n, t in ((1, np.int64), (0, np.float64)))]
+        best.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
 
     def scan(batches):
-        key, x, ids = None, [], []
+        key, x, ids, best = None, [], [], {}
         for batch in batches:
             dim, lists, part, side, vec = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(5))
             cuts = np.flatnonzero(np.any([np.diff(c) != 0 for c in (dim, lists, part, side)], axis=0)) + 1
@@ -226,7 +233,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                     ids.append(vec[a:b])
                 elif x:
                     x, ids = [np.concatenate(x)], [np.concatenate(ids)]
-                    yield from nearest(ids[0], x[0], vec[a:b], v)
+                    nearest(ids[0], x[0], vec[a:b], v, best)
+                    if len(best) > HELD_QUERIES:
+                        yield flushed(best)
+        yield flushed(best)
 
     rows = held.union(asked).repartition("dim", "list", "part").sortWithinPartitions("dim", "list", "part", "side")
     found = rows.mapInArrow(scan, "query_id bigint, vec_id bigint, score double")
