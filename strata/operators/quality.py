@@ -20,7 +20,7 @@ Scale notes:
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -62,6 +62,18 @@ def null_name_rows(df: DataFrame, column: str = "customer_name") -> DataFrame:
     return df.filter(F.col(column).isNull())
 
 
+def bad_number(column: str = "Profit") -> Column:
+    """A value that is no finite number: rounding to a decimal would lose it silently."""
+    x = F.col(column).cast("double")
+    return F.isnan(x) | (F.abs(x) == float("inf"))
+
+
+def bad_number_rows(df: DataFrame, column: str = "Profit") -> DataFrame:
+    """Rows whose value is NaN or infinite.  Silver money is DECIMAL, which has
+    neither, so such a profit becomes null there; this check is where it shows."""
+    return df.filter(bad_number(column))
+
+
 def excess_decimal_rows(df: DataFrame, column: str = "Profit") -> DataFrame:
     """K5: values with more than two decimal places (numeric test)."""
     return df.filter(has_more_than_2_decimals(column))
@@ -166,9 +178,19 @@ def _rounded_sum(value: Column) -> Column:
     return F.round(F.sum(value), 2).cast("decimal(38,2)")
 
 
-def profit_totals(bronze_orders: DataFrame, silver_orders: DataFrame, gold: DataFrame) -> DataFrame:
+def _same_profit(bronze: str) -> Column:
+    return (F.col(bronze).eqNullSafe(F.col("silver_profit"))
+            & F.col("silver_profit").eqNullSafe(F.col("gold_profit")))
+
+
+def profit_totals(bronze_orders: DataFrame, silver_orders: DataFrame, gold: DataFrame,
+                  layers_distinct: bool = False) -> DataFrame:
     """K8: rounded profit totals of each layer (each de-duplicated first), one row.
 
+    ``layers_distinct=True`` says that the layers hold distinct rows, as this
+    library's writers store them: then no layer is de-duplicated (a shuffle of
+    all its columns) and partial sums are all that moves.
+
     ``bronze_profit`` sums the raw values as the reference does; because
     silver rounds every row to cents first, ``round(sum(x)) <> sum(round(x))``
     in general, so ``passed`` compares the per-row-rounded bronze total with
@@ -176,25 +198,24 @@ def profit_totals(bronze_orders: DataFrame, silver_orders: DataFrame, gold: Data
     layer is aggregated once (both bronze totals in the same pass); the three
     one-row results are stacked and folded into one row, with no cross join.
     """
+    def rows(df: DataFrame) -> DataFrame:
+        return df if layers_distinct else df.dropDuplicates()
+
     null = F.lit(None).cast("decimal(38,2)")
-    b = bronze_orders.dropDuplicates().agg(
+    b = rows(bronze_orders).agg(
         _rounded_sum(F.col("Profit")).alias("bronze_profit"),
         _rounded_sum(round_money("Profit")).alias("bronze_rounded_profit"),
         null.alias("silver_profit"), null.alias("gold_profit"))
-    s = silver_orders.dropDuplicates().agg(
+    s = rows(silver_orders).agg(
         null.alias("bronze_profit"), null.alias("bronze_rounded_profit"),
         _rounded_sum(F.col("Profit")).alias("silver_profit"), null.alias("gold_profit"))
-    g = gold.dropDuplicates().agg(
+    g = rows(gold).agg(
         null.alias("bronze_profit"), null.alias("bronze_rounded_profit"),
         null.alias("silver_profit"), _rounded_sum(F.col("Profit")).alias("gold_profit"))
     names = ("bronze_profit", "bronze_rounded_profit", "silver_profit", "gold_profit")
     wide = b.unionByName(s).unionByName(g).agg(*[F.max(n).alias(n) for n in names])
-    eq = F.col("silver_profit").eqNullSafe(F.col("gold_profit"))
-    return wide.select(
-        *names,
-        (F.col("bronze_rounded_profit").eqNullSafe(F.col("silver_profit")) & eq).alias("passed"),
-        (F.col("bronze_profit").eqNullSafe(F.col("silver_profit")) & eq).alias("passed_raw"),
-    )
+    return wide.select(*names, _same_profit("bronze_rounded_profit").alias("passed"),
+                       _same_profit("bronze_profit").alias("passed_raw"))
 
 
 def category_counts(silver_products: DataFrame, bronze_products: DataFrame,
@@ -226,14 +247,18 @@ def category_value_differences(silver_products: DataFrame, bronze_products: Data
             .unionByName(s.subtract(b).withColumn("missing_from", F.lit("bronze"))))
 
 
-def gold_group_totals(silver_orders: DataFrame, gold: DataFrame) -> DataFrame:
+def gold_group_totals(silver_orders: DataFrame, gold: DataFrame,
+                      extra: Mapping[str, Column] | None = None) -> DataFrame:
     """Per five-key group: profit recomputed from silver, profit stored in
-    gold, and the number of gold rows.
+    gold, and the number of gold rows; ``extra`` adds aggregates over the
+    tagged rows (g: 1 for a gold row, excess: a silver profit with more than
+    two decimals).
 
     Both sides are tagged and unioned, then aggregated once on the five keys
     (nulls group together, like the gold aggregation itself), with partial
     aggregation before the shuffle; no full outer join on nullable keys.
     """
+    extra = extra or {}
     expected = silver_orders.select(
         year_of("Order_Date").alias("Year"),
         F.col("Category").alias("Product_Category"),
@@ -241,15 +266,16 @@ def gold_group_totals(silver_orders: DataFrame, gold: DataFrame) -> DataFrame:
         "Customer_ID", "customer_name",
         F.col("Profit").cast("decimal(38,2)").alias("e"),
         F.lit(None).cast("decimal(38,2)").alias("a"),
-        F.lit(0).alias("g"))
+        F.lit(0).alias("g"),
+        F.coalesce(has_more_than_2_decimals("Profit"), F.lit(False)).alias("excess"))
     actual = gold.select(*GOLD_KEYS,
                          F.lit(None).cast("decimal(38,2)").alias("e"),
                          F.col("Profit").cast("decimal(38,2)").alias("a"),
-                         F.lit(1).alias("g"))
+                         F.lit(1).alias("g"), F.lit(False).alias("excess"))
     return expected.unionByName(actual).groupBy(*GOLD_KEYS).agg(
         F.round(F.sum("e"), 2).alias("expected_profit"),
         F.sum("a").alias("actual_profit"),
-        F.sum("g").alias("gold_rows"))
+        F.sum("g").alias("gold_rows"), *[a.alias(n) for n, a in extra.items()])
 
 
 def _mismatch() -> Column:
@@ -330,6 +356,23 @@ def is_non_empty(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+def type_violations(df: DataFrame, table_name: str, column: str, allowed: Sequence[str]) -> DataFrame:
+    """K3 / K4 over the rows: (table_name, column_name, rows_checked, violations,
+    passed), a row whose value is not of an allowed type being a violation."""
+    wrong = ~F.typeof(F.col(column)).isin(list(allowed))
+    return df.agg(F.count(F.lit(1)).alias("rows_checked"), F.count_if(wrong).alias("violations")).select(
+        F.lit(table_name).alias("table_name"), F.lit(column).alias("column_name"), "rows_checked",
+        "violations", (F.col("violations") == 0).alias("passed"))
+
+
+def missing_column_rows(df: DataFrame, table_name: str, required: Iterable[str]) -> DataFrame:
+    """K6 as rows: (table_name, column_name, n_rows) of every required column
+    that the frame lacks, with the rows that lack it."""
+    missing = F.array(*[F.lit(c) for c in missing_columns(df, required)]).cast("array<string>")
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(table_name).alias("table_name"), F.explode(missing).alias("column_name"), "n_rows")
+
+
 # ------------------------------------------------------------------ report
 
 @dataclass(frozen=True)
@@ -401,6 +444,7 @@ class LayerFrames:
     gold: DataFrame
 
 
+# The exact column names that the column check asks for.
 SILVER_CUSTOMER_COLUMNS = ("customer_id", "customer_name", "country")
 SILVER_PRODUCT_COLUMNS = ("Product_ID", "Category", "Sub_Category")
 SILVER_ORDER_COLUMNS = ("Product_ID", "Customer_ID", "Discount", "Order_ID", "Price", "Profit",
@@ -408,11 +452,85 @@ SILVER_ORDER_COLUMNS = ("Product_ID", "Customer_ID", "Discount", "Order_ID", "Pr
                         "customer_name", "country", "Category", "Sub_Category")
 
 
-def quality_report(spark: SparkSession, t: LayerFrames) -> DataFrame:
-    """All fifteen checks (plus the null-name count) as one DataFrame.
+def _entry(check: str, table_name: str, column: str | None, violations: Column) -> Column:
+    return F.struct(F.lit(check).alias("check_name"), F.lit(table_name).alias("table_name"),
+                    F.lit(column).cast("string").alias("column_name"),
+                    F.coalesce(violations, F.lit(0)).cast("long").alias("violations"))
+
 
-    One action evaluates everything; row rules share a scan per table, and
-    the non-empty checks ride on those scans.
+def keyed_rule_counts(df: DataFrame, table_name: str, key: str, rules: Sequence[RowRule]) -> DataFrame:
+    """K1, K2, K7 and the row rules of one table in one scan, a report row each.
+
+    Everything is first counted per key value (partial counts before the one
+    shuffle, which the uniqueness check needs anyway) and then added up.
+    """
+    per_key = df.groupBy(F.col(key).alias("k")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(r.violation).alias(f"r{i}") for i, r in enumerate(rules)])
+    wide = per_key.agg(
+        F.sum("n").alias("n"), F.sum(F.when(F.col("k").isNull(), F.col("n"))).alias("nulls"),
+        F.count_if(F.col("n") > 1).alias("repeated"), *[F.sum(f"r{i}").alias(f"r{i}") for i in range(len(rules))])
+    entries = [_entry("pk_null", table_name, key, F.col("nulls")), _entry("pk_unique", table_name, key, F.col("repeated")),
+               _entry("non_empty", table_name, None, F.col("n").isNull().cast("long")),
+               *[_entry(r.check, table_name, r.column, F.col(f"r{i}")) for i, r in enumerate(rules)]]
+    return wide.select(F.inline(F.array(*entries))).withColumn("passed", F.col("violations") == 0)
+
+
+def fact_counts(bronze_orders: DataFrame, silver_orders: DataFrame, gold: DataFrame,
+                profit_layers: bool) -> DataFrame:
+    """All counting checks of the fact's three layers, one scan of each layer.
+
+    Bronze gives its row rules and both profit totals; silver and gold meet in
+    the per-group totals of the accuracy check, from which the row rules, the
+    grouping, the year range and their profit totals come as well.  The two
+    one-row results are stacked, so that the totals can be compared
+    (``profit_layers``, for layers of distinct rows), and unfolded.
+    """
+    money = "decimal(38,2)"
+    b = bronze_orders.agg(
+        F.count_if(unparsed_date("Order_Date")).alias("dates"),
+        F.count_if(has_more_than_2_decimals("Profit")).alias("decimals"),
+        F.count_if(bad_number("Profit")).alias("numbers"),
+        _rounded_sum(round_money("Profit")).alias("total"))
+    b = b.select(
+        F.array(_entry("date_unparsed", "bronze_orders", "Order_Date", F.col("dates")),
+                _entry("decimal_places", "bronze_orders", "Profit", F.col("decimals")),
+                _entry("bad_number", "bronze_orders", "Profit", F.col("numbers"))).alias("entries"),
+        F.col("total").alias("bronze_profit"), F.lit(None).cast(money).alias("silver_profit"),
+        F.lit(None).cast(money).alias("gold_profit"))
+    groups = gold_group_totals(silver_orders, gold, {
+        "silver_rows": F.sum(1 - F.col("g")), "excess": F.count_if(F.col("excess"))})
+    g = groups.agg(
+        F.sum("silver_rows").alias("silver_rows"), F.sum("excess").alias("excess"),
+        F.sum(F.when(year_out_of_range("Year"), F.col("gold_rows"))).alias("years"),
+        F.count_if(F.col("gold_rows") > 1).alias("grouping"), F.count_if(_mismatch()).alias("accuracy"),
+        F.sum("expected_profit").cast(money).alias("silver_profit"),
+        F.sum("actual_profit").cast(money).alias("gold_profit"))
+    g = g.select(
+        F.array(_entry("decimal_places", "silver_orders", "Profit", F.col("excess")),
+                _entry("non_empty", "silver_orders", None, (F.coalesce("silver_rows", F.lit(0)) == 0).cast("long")),
+                _entry("year_range", "gold", "Year", F.col("years")),
+                _entry("gold_grouping", "gold", None, F.col("grouping")),
+                _entry("gold_accuracy", "gold", "Profit", F.col("accuracy"))).alias("entries"),
+        F.lit(None).cast(money).alias("bronze_profit"), "silver_profit", "gold_profit")
+    both = b.unionByName(g).agg(
+        F.flatten(F.collect_list("entries")).alias("entries"),
+        *[F.max(c).alias(c) for c in ("bronze_profit", "silver_profit", "gold_profit")])
+    entries = F.col("entries")
+    if profit_layers:
+        differs = (~_same_profit("bronze_profit")).cast("long")
+        entries = F.concat(entries, F.array(_entry("profit_layers", "gold", "Profit", differs)))
+    return both.select(F.inline(entries)).withColumn("passed", F.col("violations") == 0)
+
+
+def quality_report(spark: SparkSession, t: LayerFrames, layers_distinct: bool = False) -> DataFrame:
+    """All fifteen checks (plus the null-name and bad-number counts) as one DataFrame.
+
+    One action evaluates everything, in ten scans: of each dimension one for
+    its own rules and one as the foreign keys' target, of the fact's layers one
+    for all counting checks, and of silver orders one for its foreign keys.
+    ``layers_distinct=True`` (see ``profit_totals``) takes the profit totals
+    from the same scans; for layers that may hold repeated rows they are a pass
+    of their own, which de-duplicates each layer.
     """
     meta = metadata_rows(spark, [
         ("date_type", "silver_orders", "Order_Date", 0 if is_date_column(t.silver_orders, "Order_Date") else 1),
@@ -424,39 +542,23 @@ def quality_report(spark: SparkSession, t: LayerFrames) -> DataFrame:
         ("columns", "silver_orders", None, len(missing_columns(t.silver_orders, SILVER_ORDER_COLUMNS))),
     ])
     parts = [
-        row_rule_counts(t.silver_customer, "silver_customer", [
-            RowRule("pk_null", "customer_id", F.col("customer_id").isNull()),
+        keyed_rule_counts(t.silver_customer, "silver_customer", "customer_id", [
             RowRule("name_format", "customer_name", is_not_letters_only("customer_name")),
             RowRule("null_name", "customer_name", F.col("customer_name").isNull()),
-        ], non_empty=True),
-        row_rule_counts(t.silver_products, "silver_products", [
-            RowRule("pk_null", "Product_ID", F.col("Product_ID").isNull()),
-        ], non_empty=True),
-        row_rule_counts(t.bronze_orders, "bronze_orders", [
-            RowRule("date_unparsed", "Order_Date", unparsed_date("Order_Date")),
-            RowRule("decimal_places", "Profit", has_more_than_2_decimals("Profit")),
-        ]),
-        row_rule_counts(t.silver_orders, "silver_orders", [
-            RowRule("decimal_places", "Profit", has_more_than_2_decimals("Profit")),
-        ], non_empty=True),
-        row_rule_counts(t.gold, "gold", [
-            RowRule("year_range", "Year", year_out_of_range("Year")),
         ]),
-        count_rows(duplicate_keys(t.silver_customer, "customer_id"), "pk_unique", "silver_customer", "customer_id"),
-        count_rows(duplicate_keys(t.silver_products, "Product_ID"), "pk_unique", "silver_products", "Product_ID"),
+        keyed_rule_counts(t.silver_products, "silver_products", "Product_ID", []),
+        fact_counts(t.bronze_orders, t.silver_orders, t.gold, profit_layers=layers_distinct),
         missing_key_counts(t.silver_orders, [
             ForeignKey("fk_customer", "Customer_ID", t.silver_customer, "customer_id"),
             ForeignKey("fk_product", "Product_ID", t.silver_products, "Product_ID"),
         ]).select("check_name", F.lit("silver_orders").alias("table_name"), "column_name",
                   "violations", (F.col("violations") == 0).alias("passed")),
-        gold_group_counts(t.silver_orders, t.gold).select(
-            "check_name", F.lit("gold").alias("table_name"), "column_name", "violations",
-            (F.col("violations") == 0).alias("passed")),
         count_rows(category_counts(t.silver_products, t.bronze_products).filter(~F.col("passed")),
                    "category_sets", "silver_products", "Category,Sub_Category"),
-        count_rows(profit_totals(t.bronze_orders, t.silver_orders, t.gold).filter(~F.col("passed")),
-                   "profit_layers", "gold", "Profit"),
     ]
+    if not layers_distinct:
+        parts.append(count_rows(profit_totals(t.bronze_orders, t.silver_orders, t.gold).filter(~F.col("passed")),
+                                "profit_layers", "gold", "Profit"))
     out = meta
     for p in parts:
         out = out.unionByName(p)

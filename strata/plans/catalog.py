@@ -1,8 +1,11 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
-Every query reads the whole given tables (through the bronze adapters) and
-returns a lazy DataFrame; money leaves as DOUBLE so results compare across
-engines.
+Every query reads the whole given tables (through the bronze adapters); money
+leaves as DOUBLE so results compare across engines.  The returned frame is
+lazy, but a query that reads a layer several times, or that is about writing,
+first runs the jobs that store it (``dq_report``, ``dq_gold_*``,
+``dq_profit_layers`` and everything under "sources/sinks").  What they store
+stays until ``session.release_scratch``.
 """
 
 from __future__ import annotations
@@ -11,13 +14,23 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators import gold, silver
 from strata.operators import quality as Q
 from strata.operators.naming import clean_column_names
-from strata.plans.layers import STORABLE, build_layers, decimals_as_double
-from strata.plans.pipeline import MedallionSources, ingest_table, prepare_schemas, run_medallion
-from strata.session import scratch_dir
+from strata.plans.layers import GOLD_INPUTS, STORABLE, build_layers, decimals_as_double
+from strata.plans.pipeline import (
+    MedallionSources,
+    check_tables,
+    ingest_table,
+    prepare_schemas,
+    process_bronze,
+    process_gold,
+    process_silver,
+    run_medallion,
+)
+from strata.session import scratch_dir, scratch_schema
 from strata.settings import LayerNames, SourceSpec
 from strata.sources import variants as V
 from strata.sources.adapters import load_bronze
@@ -116,15 +129,60 @@ def dq_decimal_places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_non_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    L = build_layers(spark, sf_dir)
-    return (Q.empty_table_row(L.silver_customer, "silver_customer")
-            .unionByName(Q.empty_table_row(L.silver_products, "silver_products"))
-            .unionByName(Q.empty_table_row(L.silver_orders, "silver_orders")))
+    """Projection, de-duplication and left joins never empty a layer, so each
+    silver table has rows exactly if its bronze input has (README D11): the
+    probe reads the inputs, without the de-duplication or the joins."""
+    b = load_bronze(spark, sf_dir)
+    return (Q.empty_table_row(b.customer.select("customer_id"), "silver_customer")
+            .unionByName(Q.empty_table_row(b.products.select("Product_ID"), "silver_products"))
+            .unionByName(Q.empty_table_row(b.orders.select("Row_ID"), "silver_orders")))
+
+
+def dq_non_empty_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7 on tables that lost their rows: no product has this category, no customer this key."""
+    b = load_bronze(spark, sf_dir)
+    return (Q.empty_table_row(b.products.filter("Category = 'none such'"), "no_products")
+            .unionByName(Q.empty_table_row(b.customer.filter("customer_id < 0"), "no_customers"))
+            .unionByName(Q.empty_table_row(b.customer.filter("customer_id = 1"), "one_customer")))
+
+
+def dq_string_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 over the rows, on the customer sheet and on one whose names arrive as numbers."""
+    raw = load_bronze(spark, sf_dir).customer
+    typed = raw.withColumn("customer_name", F.col("customer_id") * 2)
+    return (Q.type_violations(raw, "bronze_customer", "customer_name", ("string",))
+            .unionByName(Q.type_violations(raw, "bronze_customer", "country", ("string",)))
+            .unionByName(Q.type_violations(typed, "customer_typed", "customer_name", ("string",))))
+
+
+def dq_date_type_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4, type side, over the rows: parsed orders against the raw ones, whose dates are strings."""
+    raw = load_bronze(spark, sf_dir).orders
+    dates = ("date", "timestamp", "timestamp_ntz")
+    return (Q.type_violations(silver.parse_orders(raw), "silver_orders", "Order_Date", dates)
+            .unionByName(Q.type_violations(raw, "bronze_orders", "Order_Date", dates)))
+
+
+def dq_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 on silver tables that lack a column, or have it in another case, and on whole ones."""
+    customer, products = silver_customer(spark, sf_dir), silver_products(spark, sf_dir)
+    return (Q.missing_column_rows(customer, "silver_customer", Q.SILVER_CUSTOMER_COLUMNS)
+            .unionByName(Q.missing_column_rows(customer.drop("country", "customer_name"), "customer_lost",
+                                               Q.SILVER_CUSTOMER_COLUMNS))
+            .unionByName(Q.missing_column_rows(products.withColumnRenamed("Category", "category"),
+                                               "products_renamed", Q.SILVER_PRODUCT_COLUMNS)))
+
+
+def dq_bad_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NaN and infinite profits, which the money type cannot hold."""
+    rows = Q.bad_number_rows(V.orders_bad_number(load_bronze(spark, sf_dir).orders))
+    return rows.select("Row_ID", "Order_ID", F.col("Profit").cast("string").alias("profit_text"))
 
 
 def dq_profit_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    L = build_layers(spark, sf_dir, store=("silver_orders",))
-    return decimals_as_double(Q.profit_totals(L.bronze.orders, L.silver_orders, L.gold))
+    """The layers as the pipeline builds them are distinct, so nothing is de-duplicated here."""
+    L = build_layers(spark, sf_dir, store={"silver_orders": GOLD_INPUTS})
+    return decimals_as_double(Q.profit_totals(L.bronze.orders, L.silver_orders, L.gold, layers_distinct=True))
 
 
 def dq_category_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,12 +238,12 @@ def dq_fk_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_gold_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    L = build_layers(spark, sf_dir, store=("silver_orders", "gold"))
+    L = build_layers(spark, sf_dir, store={"silver_orders": GOLD_INPUTS, "gold": None})
     return decimals_as_double(Q.gold_mismatches(L.silver_orders, V.gold_dup(L.gold)))
 
 
 def dq_gold_total(spark: SparkSession, sf_dir: str) -> DataFrame:
-    L = build_layers(spark, sf_dir, store=("silver_orders",))
+    L = build_layers(spark, sf_dir, store={"silver_orders": GOLD_INPUTS})
     return decimals_as_double(Q.gold_total_accuracy(L.silver_orders, L.gold))
 
 
@@ -194,7 +252,8 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_report(spark, Q.LayerFrames(
         bronze_orders=L.bronze.orders, bronze_customer=L.bronze.customer,
         bronze_products=L.bronze.products, silver_customer=L.silver_customer,
-        silver_products=L.silver_products, silver_orders=L.silver_orders, gold=L.gold))
+        silver_products=L.silver_products, silver_orders=L.silver_orders, gold=L.gold),
+        layers_distinct=True)
 
 
 QUERIES.update({
@@ -203,6 +262,11 @@ QUERIES.update({
     "dq_date_type": dq_date_type,
     "dq_decimal_places": dq_decimal_places,
     "dq_non_empty": dq_non_empty,
+    "dq_non_empty_planted": dq_non_empty_planted,
+    "dq_string_type": dq_string_type,
+    "dq_date_type_schema": dq_date_type_schema,
+    "dq_columns": dq_columns,
+    "dq_bad_number": dq_bad_number,
     "dq_profit_layers": dq_profit_layers,
     "dq_category_sets": dq_category_sets,
     "dq_category_values": dq_category_values,
@@ -233,25 +297,44 @@ ORDERS_DDL = ("Row_ID BIGINT, Order_ID BIGINT, Order_Date STRING, Ship_Date STRI
               "Profit DECIMAL(18,4)")
 
 
-def _run_names(tag: str) -> LayerNames:
+def _run_names(spark: SparkSession, tag: str) -> LayerNames:
     uid = uuid.uuid4().hex[:10]
-    return LayerNames(bronze_schema=f"bronze_{tag}_{uid}", silver_schema=f"silver_{tag}_{uid}",
-                      gold_schema=f"gold_{tag}_{uid}")
+    names = LayerNames(bronze_schema=f"bronze_{tag}_{uid}", silver_schema=f"silver_{tag}_{uid}",
+                       gold_schema=f"gold_{tag}_{uid}")
+    for schema in (names.bronze_schema, names.silver_schema, names.gold_schema):
+        scratch_schema(spark, f"{names.catalog}.{schema}")
+    return names
+
 
+# Orders of one pretty-printed file: bounded by the key, not by the data's size.
+ORDERS_PER_FILE = 5_000
 
-def _land_files(spark: SparkSession, sf_dir: str, root: str) -> MedallionSources:
+
+def _write_json_arrays(orders: DataFrame, path: str) -> None:
+    """Many files, each one pretty-printed JSON array, as an export tool leaves them."""
+    rows = orders.groupBy(F.floor(F.col("Order_ID") / ORDERS_PER_FILE).alias("file")).agg(
+        F.collect_list(F.to_json(F.struct(*orders.columns), {"pretty": "true"})).alias("records"))
+    text = F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]"))
+    rows.select(text.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+
+
+def _land_files(spark: SparkSession, sf_dir: str, root: str, multi_line: bool = False) -> MedallionSources:
     """Write the raw inputs as the reference receives them: products CSV with
-    raw headers, orders as JSON Lines, customers as a landed table."""
+    raw headers, orders as JSON (Lines, or pretty-printed arrays), customers as
+    a landed table."""
     b = load_bronze(spark, sf_dir)
     b.products.toDF(*RAW_PRODUCT_HEADERS).write.mode("overwrite").option("header", True).csv(
         f"{root}/raw/products")
-    b.orders.write.mode("overwrite").json(f"{root}/raw/orders")
-    landing = _run_names("landing")
+    if multi_line:
+        _write_json_arrays(b.orders, f"{root}/raw/orders")
+    else:
+        b.orders.write.mode("overwrite").json(f"{root}/raw/orders")
+    landing = _run_names(spark, "landing")
     prepare_schemas(spark, landing, f"{root}/landing")
     landing_table = landing.bronze("customer_worksheet")
     write_table(b.customer, landing_table, dedup=False)
     return MedallionSources(
-        orders=SourceSpec(f"{root}/raw/orders", "json", ORDERS_DDL),
+        orders=SourceSpec(f"{root}/raw/orders", "json", ORDERS_DDL, {"multi_line": multi_line}),
         products=SourceSpec(f"{root}/raw/products", "csv", RAW_PRODUCT_DDL),
         customer=SourceSpec(landing_table, "table"),
     )
@@ -277,7 +360,7 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "tables")
-    names = _run_names("copy")
+    names = _run_names(spark, "copy")
     prepare_schemas(spark, names, root)
     landing = names.bronze("customer_worksheet")
     write_table(load_bronze(spark, sf_dir).customer, landing, dedup=False)
@@ -286,36 +369,90 @@ def table_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "tables")
-    names = _run_names("dedup")
+    names = _run_names(spark, "dedup")
     prepare_schemas(spark, names, root)
     target = names.bronze(names.bronze_orders)
     write_table(V.orders_dup(load_bronze(spark, sf_dir).orders), target)
     return decimals_as_double(read_table(spark, target))
 
 
+def json_multiline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "json")
+    _write_json_arrays(load_bronze(spark, sf_dir).orders, f"{root}/orders")
+    return decimals_as_double(read_json(spark, f"{root}/orders", multi_line=True, schema=ORDERS_DDL).dropDuplicates())
+
+
+def _run(spark: SparkSession, sf_dir: str, tag: str, multi_line: bool = False) -> tuple[LayerNames, DataFrame]:
+    root = scratch_dir(spark, tag)
+    sources = _land_files(spark, sf_dir, root, multi_line)
+    names = _run_names(spark, tag)
+    return names, run_medallion(spark, sources, names, root=root)
+
+
 def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_dir(spark, "medallion")
-    sources = _land_files(spark, sf_dir, root)
-    return decimals_as_double(run_medallion(spark, sources, _run_names("run"), root=root))
+    return decimals_as_double(_run(spark, sf_dir, "run")[1])
 
 
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders landed as several JSON files, ingested as a file stream in
-    several micro-batches; the bronze table's distinct rows are the orders."""
-    from strata.streaming import INGEST_BATCH_COLUMN, ingest_files
+def medallion_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run on orders that arrive as pretty-printed JSON arrays."""
+    return decimals_as_double(_run(spark, sf_dir, "pretty", multi_line=True)[1])
 
-    root = scratch_dir(spark, "stream")
-    load_bronze(spark, sf_dir).orders.write.mode("overwrite").json(f"{root}/landing")
-    names = _run_names("stream")
+
+def medallion_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks over the tables that a run has written."""
+    return check_tables(spark, _run(spark, sf_dir, "report")[0])
+
+
+def _stream_orders(spark: SparkSession, sf_dir: str, root: str, names: LayerNames) -> DataFrame:
+    """Orders, some of them twice, landed as several JSON files and ingested in several micro-batches."""
+    from strata.streaming import ingest_files
+
+    orders = V.orders_dup(load_bronze(spark, sf_dir).orders)
+    orders.repartition(8).write.mode("overwrite").json(f"{root}/landing")
     prepare_schemas(spark, names, root)
-    table = ingest_files(spark, SourceSpec(f"{root}/landing", "json", ORDERS_DDL),
-                         names.bronze(names.bronze_orders), f"{root}/_checkpoint",
-                         max_files_per_trigger=2)
-    return decimals_as_double(table.drop(INGEST_BATCH_COLUMN).dropDuplicates())
+    return ingest_files(spark, SourceSpec(f"{root}/landing", "json", ORDERS_DDL),
+                        names.bronze(names.bronze_orders), f"{root}/_checkpoint", max_files_per_trigger=2)
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decimals_as_double(_stream_orders(spark, sf_dir, scratch_dir(spark, "stream"), _run_names(spark, "stream")))
+
+
+def stream_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver and gold over a streamed bronze table whose copies lie in different batches."""
+    root, names = scratch_dir(spark, "stream"), _run_names(spark, "streamed")
+    _stream_orders(spark, sf_dir, root, names)
+    sources = _land_files(spark, sf_dir, f"{root}/dimensions")
+    process_bronze(spark, sources.products, names.bronze(names.bronze_products))
+    ingest_table(spark, sources.customer.path, names.bronze(names.bronze_customer))
+    process_silver(spark, names)
+    return decimals_as_double(process_gold(spark, names))
+
+
+def silver_orders_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver orders with both joins salted for the keys of at least 0.1 % of the rows, and for null keys."""
+    b = load_bronze(spark, sf_dir)
+    return decimals_as_double(silver.enrich_orders(
+        b.orders, silver.enrich_customers(b.customer), silver.enrich_products(b.products), salt_buckets=4,
+        hot_key_share=0.001))
+
+
+def silver_orders_broadcast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver orders with dimensions broadcast where they are measured to be small."""
+    L = build_layers(spark, sf_dir, store=("silver_customer", "silver_products"))
+    return decimals_as_double(silver.enrich_orders(
+        L.bronze.orders, L.silver_customer, L.silver_products, broadcast_max_rows=1_000_000,
+        dimensions_distinct=True))
 
 
 QUERIES.update({
     "stream_ingest": stream_ingest,
+    "stream_medallion": stream_medallion,
+    "json_multiline_roundtrip": json_multiline_roundtrip,
+    "medallion_multiline": medallion_multiline,
+    "medallion_report": medallion_report,
+    "silver_orders_salted": silver_orders_salted,
+    "silver_orders_broadcast": silver_orders_broadcast,
     "clean_names": clean_names,
     "csv_roundtrip": csv_roundtrip,
     "json_roundtrip": json_roundtrip,

@@ -6,7 +6,7 @@ parquet tables to its result, so Catalyst optimises it end to end.
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,34 +30,45 @@ class Layers:
 STORABLE = ("bronze_orders", "silver_customer", "silver_products", "silver_orders", "gold")
 
 
-def build_layers(spark: SparkSession, sf_dir: str, store: Collection[str] = ()) -> Layers:
+#: What gold and its checks read of silver orders.
+GOLD_INPUTS = ("Order_Date", "Category", "Sub_Category", "Customer_ID", "customer_name", "Profit")
+
+
+def build_layers(spark: SparkSession, sf_dir: str,
+                 store: Mapping[str, Sequence[str] | None] | Sequence[str] = ()) -> Layers:
     """All layers as lazy plans over the given tables.
 
     ``store`` names layers (of ``STORABLE``) to write once to the shared
     scratch folder and read back, for callers that consume them several
-    times.  Store only what is read more than once: each stored layer costs
+    times; as a mapping it also names the columns to keep of each (None: all),
+    since a write cannot be pruned to what its readers need later.  Store only what is read more than once: each stored layer costs
     one full write, and a layer read once is cheaper recomputed in the plan
     of its single consumer.
     """
     unknown = set(store) - set(STORABLE)
     if unknown:
         raise ValueError(f"cannot store {sorted(unknown)}; storable layers are {STORABLE}")
+    columns = store if isinstance(store, Mapping) else dict.fromkeys(store)
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        return materialize(df.select(*columns[name]) if columns[name] else df, name.replace("_", "-"))
+
     b = load_bronze(spark, sf_dir)
     if "bronze_orders" in store:
-        b = Bronze(orders=materialize(b.orders, "bronze-orders"), customer=b.customer,
+        b = Bronze(orders=stored(b.orders, "bronze_orders"), customer=b.customer,
                    products=b.products)
     sc = silver.enrich_customers(b.customer)
     if "silver_customer" in store:
-        sc = materialize(sc, "silver-customer")
+        sc = stored(sc, "silver_customer")
     sp = silver.enrich_products(b.products)
     if "silver_products" in store:
-        sp = materialize(sp, "silver-products")
+        sp = stored(sp, "silver_products")
     so = silver.enrich_orders(b.orders, sc, sp, dimensions_distinct=True)
     if "silver_orders" in store:
-        so = materialize(so, "silver-orders")
+        so = stored(so, "silver_orders")
     g = gold.gold_profit(so)
     if "gold" in store:
-        g = materialize(g, "gold")
+        g = stored(g, "gold")
     return Layers(bronze=b, silver_customer=sc, silver_products=sp, silver_orders=so, gold=g)
 
 

@@ -124,6 +124,20 @@ def _non_empty(table: str) -> str:
             f"count(*) > 0 AS passed FROM (SELECT 1 FROM {table} LIMIT 1)")
 
 
+def _types(table: str, column: str, allowed: str, shown: str | None = None) -> str:
+    wrong = f"count(*) FILTER (WHERE typeof({column}) NOT IN ({allowed}))"
+    return (f"SELECT '{shown or table}' AS table_name, '{column}' AS column_name, count(*) AS rows_checked, "
+            f"{wrong} AS violations, {wrong} = 0 AS passed FROM {table}")
+
+
+def _lacking(table: str, required: tuple[str, ...]) -> str:
+    """Required names that no column of the table has, by the table's own description."""
+    names = ", ".join(f"('{c}')" for c in required)
+    return (f"SELECT '{table}' AS table_name, r.column_name, (SELECT count(*) FROM {table}) AS n_rows "
+            f"FROM (VALUES {names}) r(column_name) "
+            f"WHERE r.column_name NOT IN (SELECT unnest(json_keys(to_json(t))) FROM (SELECT * FROM {table} LIMIT 1) t)")
+
+
 def _distinct_counts(table: str, alias: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(DISTINCT {c}) "
@@ -191,6 +205,7 @@ _REPORT = "\nUNION ALL\n".join([
     _rule("date_unparsed", "bronze_orders", "Order_Date",
           "Order_Date IS NOT NULL AND " + _PARSE.format(c="Order_Date") + " IS NULL"),
     _rule("decimal_places", "bronze_orders", "Profit", "round(Profit, 2) <> Profit"),
+    _rule("bad_number", "bronze_orders", "Profit", "NOT isfinite(CAST(Profit AS DOUBLE))"),
     _rule("decimal_places", "silver_orders", "Profit", "round(Profit, 2) <> Profit"),
     _rule("year_range", "gold", "Year", _BAD_YEAR),
     _count_rows("pk_unique", "silver_customer", "customer_id",
@@ -233,6 +248,28 @@ ORACLE.update({
         "WHERE round(Profit, 2) <> Profit"),
     "dq_non_empty": with_layers("\nUNION ALL\n".join(
         _non_empty(t) for t in ("silver_customer", "silver_products", "silver_orders"))),
+    "dq_non_empty_planted": with_layers("\nUNION ALL\n".join(
+        _non_empty(t) for t in ("no_products", "no_customers", "one_customer")), {
+            "no_products": "SELECT * FROM bronze_products WHERE Category = 'none such'",
+            "no_customers": "SELECT * FROM bronze_customer WHERE customer_id < 0",
+            "one_customer": "SELECT * FROM bronze_customer WHERE customer_id = 1"}),
+    "dq_string_type": with_layers("\nUNION ALL\n".join([
+        _types("bronze_customer", "customer_name", "'VARCHAR'"),
+        _types("bronze_customer", "country", "'VARCHAR'"),
+        _types("customer_typed", "customer_name", "'VARCHAR'")]), {
+            "customer_typed": "SELECT customer_id, customer_id * 2 AS customer_name FROM bronze_customer"}),
+    "dq_date_type_schema": with_layers("\nUNION ALL\n".join([
+        _types("orders_parsed", "Order_Date", "'DATE', 'TIMESTAMP'", "silver_orders"),
+        _types("bronze_orders", "Order_Date", "'DATE', 'TIMESTAMP'")])),
+    "dq_columns": with_layers("\nUNION ALL\n".join([
+        _lacking("silver_customer", ("customer_id", "customer_name", "country")),
+        _lacking("customer_lost", ("customer_id", "customer_name", "country")),
+        _lacking("products_renamed", ("Product_ID", "Category", "Sub_Category"))]), {
+            "customer_lost": "SELECT customer_id FROM silver_customer",
+            "products_renamed": "SELECT Product_ID, Category AS category, Sub_Category FROM silver_products"}),
+    "dq_bad_number": with_layers(
+        "SELECT Row_ID, Order_ID, CASE WHEN Order_ID % 251 = 0 THEN 'NaN' ELSE 'Infinity' END AS profit_text "
+        "FROM bronze_orders WHERE Order_ID % 251 = 0 OR Order_ID % 257 = 0"),
     "dq_profit_layers": with_layers(_PROFIT_TOTALS),
     "dq_category_sets": with_layers(
         "SELECT column_name, silver_distinct, bronze_distinct, silver_distinct = bronze_distinct AS passed "
@@ -298,4 +335,10 @@ ORACLE.update({
     "dedup_overwrite": with_layers(_BRONZE_ORDERS_DISTINCT),
     "stream_ingest": with_layers(_BRONZE_ORDERS_DISTINCT),
     "medallion_run": ORACLE["gold_profit"],
+    "stream_medallion": ORACLE["gold_profit"],
+    "json_multiline_roundtrip": with_layers(_BRONZE_ORDERS_DISTINCT),
+    "medallion_multiline": ORACLE["gold_profit"],
+    "medallion_report": ORACLE["dq_report"],
+    "silver_orders_salted": ORACLE["silver_orders"],
+    "silver_orders_broadcast": ORACLE["silver_orders"],
 })

@@ -19,6 +19,7 @@ from strata.operators.silver import enrich_customers, enrich_orders, enrich_prod
 from strata.settings import LayerNames, SourceSpec
 from strata.sources.readers import read_source, read_table
 from strata.sources.sinks import ensure_schema, require_rows, write_table
+from strata.streaming.ingest import bronze_rows
 
 
 def prepare_schemas(spark: SparkSession, names: LayerNames, root: str | None = None) -> None:
@@ -26,6 +27,11 @@ def prepare_schemas(spark: SparkSession, names: LayerNames, root: str | None = N
         ensure_schema(spark, names.catalog, schema, f"{root}/{schema}.db" if root else None)
 
 
+def read_bronze(spark: SparkSession, names: LayerNames, table: str) -> DataFrame:
+    """A bronze table as silver and the checks read it, whether a batch or a stream wrote it."""
+    return bronze_rows(read_table(spark, names.bronze(table)))
+
+
 def process_bronze(spark: SparkSession, source: SourceSpec, target_table: str,
                    fmt: str = "parquet", **read_options) -> DataFrame:
     """Read a raw source, normalise its column names, de-dup-overwrite the bronze table.
@@ -63,9 +69,9 @@ def process_silver(spark: SparkSession, names: LayerNames = LayerNames(), fmt: s
     joins never turn a non-empty input empty, so no silver plan has to be
     run twice just to be counted.
     """
-    bc = read_table(spark, names.bronze(names.bronze_customer))
-    bo = read_table(spark, names.bronze(names.bronze_orders))
-    bp = read_table(spark, names.bronze(names.bronze_products))
+    bc = read_bronze(spark, names, names.bronze_customer)
+    bo = read_bronze(spark, names, names.bronze_orders)
+    bp = read_bronze(spark, names, names.bronze_products)
     require_rows({names.bronze_customer: bc, names.bronze_orders: bo,
                   names.bronze_products: bp}, "bronze tables")
     sc = enrich_customers(bc, email_fallback=email_fallback)
@@ -128,9 +134,9 @@ def run_medallion(spark: SparkSession, sources: MedallionSources,
 def layer_tables(spark: SparkSession, names: LayerNames = LayerNames()) -> LayerFrames:
     """The seven written layer tables, as the quality checks take them."""
     return LayerFrames(
-        bronze_orders=read_table(spark, names.bronze(names.bronze_orders)),
-        bronze_customer=read_table(spark, names.bronze(names.bronze_customer)),
-        bronze_products=read_table(spark, names.bronze(names.bronze_products)),
+        bronze_orders=read_bronze(spark, names, names.bronze_orders),
+        bronze_customer=read_bronze(spark, names, names.bronze_customer),
+        bronze_products=read_bronze(spark, names, names.bronze_products),
         silver_customer=read_table(spark, names.silver(names.silver_customer)),
         silver_products=read_table(spark, names.silver(names.silver_products)),
         silver_orders=read_table(spark, names.silver(names.silver_orders)),
@@ -141,6 +147,7 @@ def check_tables(spark: SparkSession, names: LayerNames = LayerNames()) -> DataF
     """All checks over the written layers (one report DataFrame, lazily).
 
     Every layer is a stored table here, so each check scans a table and no
-    layer is recomputed, however many checks read it.
+    layer is recomputed, however many checks read it.  This library's writers
+    store distinct rows, so the profit totals need no de-duplication.
     """
-    return quality_report(spark, layer_tables(spark, names))
+    return quality_report(spark, layer_tables(spark, names), layers_distinct=True)

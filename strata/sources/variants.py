@@ -15,6 +15,8 @@ DUP_CUSTOMER_EVERY = 200     # customers_dup_key: second row (country 'X') per k
 NULL_CUSTOMER_KEY_EVERY = 300
 LOST_CATEGORY = "ECONOMY"    # products_lost: this category is missing from silver
 DUP_GOLD_CUSTOMER_EVERY = 97  # gold_dup: groups of Customer_ID % 97 == 0 appear twice
+NAN_PROFIT_EVERY = 251       # orders_bad_number: Profit NaN when Order_ID % 251 == 0
+INFINITE_PROFIT_EVERY = 257  # and infinite when Order_ID % 257 == 0
 BAD_YEAR_CUSTOMER_BELOW = 30  # gold_bad_year: Year null / 1989 / 12000 by Customer_ID % 3
 
 
@@ -22,6 +24,14 @@ def orders_dup(bronze_orders: DataFrame) -> DataFrame:
     return bronze_orders.unionByName(bronze_orders.filter(F.col("Order_ID") % DUP_ORDER_EVERY == 0))
 
 
+def orders_bad_number(bronze_orders: DataFrame) -> DataFrame:
+    """Profit as DOUBLE, as an undeclared JSON source gives it, with NaN and infinite values."""
+    k = F.col("Order_ID")
+    return bronze_orders.withColumn(
+        "Profit", F.when(k % NAN_PROFIT_EVERY == 0, F.lit(float("nan")))
+        .when(k % INFINITE_PROFIT_EVERY == 0, F.lit(float("inf"))).otherwise(F.col("Profit").cast("double")))
+
+
 def customers_dup_key(silver_customer: DataFrame) -> DataFrame:
     extra = (silver_customer.filter(F.col("customer_id") % DUP_CUSTOMER_EVERY == 0)
              .withColumn("country", F.lit("X")))

@@ -2,19 +2,22 @@
 
 Semantics versus the batch ``process_bronze``:
 * every micro-batch is cleaned and de-duplicated, then written to its own
-  partition ``_ingest_batch=<id>`` with dynamic partition overwrite, so a
-  batch re-run after a failure replaces its own output instead of appending
-  it twice (the sink is idempotent; the checkpoint makes the source
-  exactly-once);
-* copies that arrive in *different* batches stay in bronze.  Silver
-  de-duplicates the orders before joining and every check de-duplicates its
-  layer first, so silver, gold and all checks are the same as with the batch
-  ingest.  Keeping whole-table uniqueness here would mean either scanning the
-  whole bronze table per batch or keeping every row in streaming state.
+  partition ``_ingest_batch=<id>``, which it always overwrites, so a batch
+  re-run after a failure replaces its own output instead of appending it twice
+  (the sink is idempotent; the checkpoint makes the source exactly-once);
+* the table is created, empty, before the first batch, and a batch is stored by
+  column name: one whose columns or types differ from the table's is refused;
+* copies that arrive in *different* batches lie in different partitions.
+  ``bronze_rows`` is the table's content: the distinct rows without the batch
+  column, the same whatever files a batch happened to hold.  Silver and the
+  checks read every bronze table through it (``plans.pipeline``).  Keeping
+  whole-table uniqueness in storage would mean either scanning the whole bronze
+  table per batch or keeping every row in streaming state.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,44 +27,74 @@ from strata.settings import SourceSpec
 INGEST_BATCH_COLUMN = "_ingest_batch"
 
 
+def bronze_rows(table: DataFrame) -> DataFrame:
+    """A bronze table's rows: of a streamed one, distinct and without the batch column."""
+    if INGEST_BATCH_COLUMN not in table.columns:
+        return table
+    return table.drop(INGEST_BATCH_COLUMN).dropDuplicates()
+
+
+def create_bronze_table(spark: SparkSession, target_table: str, like: DataFrame, fmt: str) -> None:
+    """The empty partitioned table for batches shaped ``like`` this one, unless it exists.
+
+    Files that a lost attempt left in the table's folder do not stand in the
+    way: the table is then laid over that folder, and as its partitions are
+    only those that batches write (and overwrite), the files are not read.
+    """
+    if spark.catalog.tableExists(target_table):
+        return
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema)
+    create = (f"CREATE TABLE IF NOT EXISTS {target_table} ({columns}, {INGEST_BATCH_COLUMN} BIGINT) "
+              f"USING {fmt} PARTITIONED BY ({INGEST_BATCH_COLUMN})")
+    try:
+        spark.sql(create)
+    except PySparkException as e:
+        if "LOCATION_ALREADY_EXISTS" not in str(e):
+            raise
+        schema, name = target_table.rsplit(".", 1)
+        described = spark.sql(f"DESCRIBE NAMESPACE {schema}").where("info_name = 'Location'").first()
+        spark.sql(f"{create} LOCATION '{described['info_value']}/{name}'")
+
+
 def _batch_writer(target_table: str, fmt: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         out = clean_column_names(batch).dropDuplicates()
-        if not spark.catalog.tableExists(target_table):
-            (out.withColumn(INGEST_BATCH_COLUMN, F.lit(batch_id).cast("long"))
-             .write.format(fmt).partitionBy(INGEST_BATCH_COLUMN).saveAsTable(target_table))
-            return
+        create_bronze_table(spark, target_table, out, fmt)
+        stored = {f.name: f.dataType for f in spark.read.table(target_table).schema if f.name != INGEST_BATCH_COLUMN}
+        given = {f.name: f.dataType for f in out.schema}
+        if stored != given:
+            raise ValueError(f"batch {batch_id} does not fit {target_table}: {given} against {stored}")
         # A static partition spec replaces exactly this batch's partition,
         # whatever spark.sql.sources.partitionOverwriteMode says.
-        view = f"strata_ingest_batch_{abs(hash(target_table))}"
-        out.createOrReplaceTempView(view)
-        cols = ", ".join(f"`{c}`" for c in out.columns)
-        spark.sql(f"INSERT OVERWRITE TABLE {target_table} "
-                  f"PARTITION ({INGEST_BATCH_COLUMN} = {int(batch_id)}) SELECT {cols} FROM {view}")
-        spark.catalog.dropTempView(view)
+        columns = ", ".join(f"`{c}`" for c in stored)
+        spark.sql(f"INSERT OVERWRITE TABLE {target_table} PARTITION ({INGEST_BATCH_COLUMN} = {int(batch_id)}) "
+                  f"({columns}) SELECT {columns} FROM {{batch}}", batch=out)
     return write
 
 
 def ingest_files(spark: SparkSession, source: SourceSpec, target_table: str, checkpoint: str,
-                 fmt: str = "parquet", max_files_per_trigger: int | None = None,
-                 header: bool = True, multi_line: bool = False) -> DataFrame:
+                 fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
     """Ingest every not-yet-seen file under ``source.path`` into ``target_table``.
 
-    ``source.schema`` is required (a stream cannot infer one).  ``checkpoint``
-    must be on the shared file system (e.g. under ``spark.checkpoint.dir``).
-    Blocks until the available files are processed; returns the table.
+    ``source.schema`` is required (a stream cannot infer one);
+    ``source.options`` may hold header, delimiter, multi_line and bad_records.
+    ``checkpoint`` must be on the shared file system (e.g. under
+    ``spark.checkpoint.dir``).  Blocks until the available files are processed;
+    returns the table's rows (``bronze_rows``).
     """
     if source.schema is None:
         raise ValueError("a streaming ingest needs source.schema")
-    kind = source.kind.lower()
-    reader = spark.readStream.schema(source.schema)
+    kind, options = source.kind.lower(), source.options
+    mode = {"fail": "FAILFAST", "null": "PERMISSIVE"}[options.get("bad_records", "fail")]
+    reader = spark.readStream.schema(source.schema).option("mode", mode)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if kind == "csv":
-        stream = reader.option("header", header).csv(source.path)
+        stream = (reader.option("header", options.get("header", True))
+                  .option("delimiter", options.get("delimiter", ",")).csv(source.path))
     elif kind == "json":
-        stream = reader.option("multiLine", multi_line).json(source.path)
+        stream = reader.option("multiLine", options.get("multi_line", False)).json(source.path)
     else:
         raise ValueError(f"Invalid source file type: {source.kind!r} (expected csv or json)")
     query = (stream.writeStream.foreachBatch(_batch_writer(target_table, fmt))
@@ -71,4 +104,4 @@ def ingest_files(spark: SparkSession, source: SourceSpec, target_table: str, che
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return spark.read.table(target_table)
+    return bronze_rows(spark.read.table(target_table))

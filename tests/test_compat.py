@@ -55,7 +55,7 @@ def test_checks_that_fail_on_planted_noise(layers):
 def test_pipeline_names(spark, layers):
     b, *_ = layers
     root = scratch_dir(spark, "t-compat")
-    names = _run_names("compat")
+    names = _run_names(spark, "compat")
     prepare_schemas(spark, names, root)
     sc, sp, so = C.process_silver(spark, b.customer, b.orders, b.products, "so", "sc", "sp",
                                   names.silver_schema, names.catalog)

@@ -13,7 +13,7 @@ from strata.session import scratch_dir
 def medallion(spark):
     root = scratch_dir(spark, "t-medallion")
     sources = catalog._land_files(spark, SF_SMALL, root)
-    names = catalog._run_names("t")
+    names = catalog._run_names(spark, "t")
     from strata.plans.pipeline import run_medallion
     gold = run_medallion(spark, sources, names, root=root)
     return names, gold
@@ -58,7 +58,7 @@ def test_layers_reconcile(spark, medallion):
 
 def test_silver_refuses_empty_bronze(spark):
     root = scratch_dir(spark, "t-empty")
-    names = catalog._run_names("empty")
+    names = catalog._run_names(spark, "empty")
     prepare_schemas(spark, names, root)
     spark.createDataFrame([], "customer_id bigint, customer_name string, email string, country string") \
         .write.saveAsTable(names.bronze(names.bronze_customer))
@@ -120,5 +120,5 @@ def test_salted_pipeline_gives_the_same_gold(spark, medallion):
     names, gold = medallion
     root = scratch_dir(spark, "t-medallion-salted")
     sources = catalog._land_files(spark, SF_SMALL, root)
-    salted = run_medallion(spark, sources, catalog._run_names("ts"), root=root, salt_buckets=4)
+    salted = run_medallion(spark, sources, catalog._run_names(spark, "ts"), root=root, salt_buckets=4)
     assert salted.exceptAll(gold).isEmpty() and gold.exceptAll(salted).isEmpty()

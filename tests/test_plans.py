@@ -95,3 +95,43 @@ def test_shuffle_counts_do_not_grow(spark, no_auto_broadcast):
 
     assert shape(physical_plan(E.queries()["silver_orders"](spark, SF_SMALL)))["shuffles"] == 10
     assert shape(physical_plan(E.queries()["gold_profit"](spark, SF_SMALL)))["shuffles"] == 11
+
+
+def _stored_layers(spark, tmp_path):
+    from strata.operators.quality import LayerFrames
+
+    L = build_layers(spark, SF_SMALL)
+    frames = dict(bronze_orders=L.bronze.orders, bronze_customer=L.bronze.customer, bronze_products=L.bronze.products,
+                  silver_customer=L.silver_customer, silver_products=L.silver_products,
+                  silver_orders=L.silver_orders, gold=L.gold)
+    for name, df in frames.items():
+        df.write.parquet(str(tmp_path / name))
+    return LayerFrames(**{name: spark.read.parquet(str(tmp_path / name)) for name in frames})
+
+
+def test_report_scans_each_stored_layer_once_per_purpose(spark, tmp_path):
+    from strata.operators.quality import profit_totals, quality_report
+
+    t = _stored_layers(spark, tmp_path)
+    plan = physical_plan(quality_report(spark, t, layers_distinct=True))
+    assert operator_count(plan, "Scan parquet") == 10
+    totals = physical_plan(profit_totals(t.bronze_orders, t.silver_orders, t.gold, layers_distinct=True))
+    assert "hashpartitioning" not in totals  # partial sums only: no row is dealt out
+    # bronze: its four columns at most; gold is the only layer read in full
+    assert all("Ship_Mode" not in s for s in read_schemas(plan))
+
+
+def test_gold_checks_store_only_what_they_read(spark):
+    from strata.plans.layers import GOLD_INPUTS
+
+    L = build_layers(spark, SF_SMALL, store={"silver_orders": GOLD_INPUTS})
+    assert L.silver_orders.columns == list(GOLD_INPUTS)
+    with pytest.raises(ValueError, match="cannot store"):
+        build_layers(spark, SF_SMALL, store={"silver": None})
+
+
+def test_non_empty_probe_has_no_dimension_join_or_dedup(spark):
+    import __spark_entry__ as E
+
+    plan = physical_plan(E.queries()["dq_non_empty"](spark, SF_SMALL))
+    assert "LeftOuter" not in plan

@@ -219,3 +219,37 @@ def test_row_rules_carry_the_non_empty_check(rows):
     empty = {r["check_name"]: (r["violations"], r["passed"])
              for r in Q.row_rule_counts(df.filter("false"), "t", [], non_empty=True).collect()}
     assert empty == {"non_empty": (1, False)}
+
+
+def test_bad_numbers(rows):
+    df = rows([(1.5,), (float("nan"),), (float("-inf"),), (None,)], "Profit double")
+    assert Q.bad_number_rows(df).count() == 2
+    assert Q.bad_number_rows(rows([(Decimal("1.5"),)], "Profit decimal(18,4)")).count() == 0
+
+
+def test_type_violations_and_missing_columns_as_rows(rows):
+    df = rows([("a", 1), ("b", 2)], "s string, i int")
+    assert tuple(Q.type_violations(df, "t", "s", ("string",)).first()) == ("t", "s", 2, 0, True)
+    assert tuple(Q.type_violations(df, "t", "i", ("string",)).first()) == ("t", "i", 2, 2, False)
+    assert [tuple(r) for r in Q.missing_column_rows(df, "t", ("s", "S", "x")).collect()] == [("t", "S", 2), ("t", "x", 2)]
+    assert Q.missing_column_rows(df, "t", ("s",)).count() == 0
+
+
+def test_keyed_rule_counts(rows):
+    df = rows([(1, "a"), (1, None), (None, "b1"), (2, None)], "k bigint, name string")
+    rules = [Q.RowRule("null_name", "name", df.name.isNull())]
+    got = {r["check_name"]: r["violations"] for r in Q.keyed_rule_counts(df, "t", "k", rules).collect()}
+    assert got == {"pk_null": 1, "pk_unique": 1, "non_empty": 0, "null_name": 2}
+    empty = {r["check_name"]: (r["violations"], r["passed"]) for r in Q.keyed_rule_counts(df.limit(0), "t", "k", rules).collect()}
+    assert empty == {"pk_null": (0, True), "pk_unique": (0, True), "non_empty": (1, False), "null_name": (0, True)}
+
+
+def test_report_is_the_same_for_distinct_layers(spark):
+    from strata.plans.layers import build_layers
+
+    L = build_layers(spark, "/root/testdata/sf0.001")
+    frames = Q.LayerFrames(
+        bronze_orders=L.bronze.orders, bronze_customer=L.bronze.customer, bronze_products=L.bronze.products,
+        silver_customer=L.silver_customer, silver_products=L.silver_products, silver_orders=L.silver_orders, gold=L.gold)
+    plain, distinct = (sorted(map(tuple, Q.quality_report(spark, frames, layers_distinct=d).collect()), key=str) for d in (False, True))
+    assert plain == distinct and len(plain) == 26
