@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.session import scratch_dir
+
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 
@@ -23,14 +24,8 @@ def vocabulary(name: str) -> str:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder's path under ``spark.checkpoint.dir``; a folder of our own only where that is unset and local."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="strata-llm-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    """A new folder's path under ``spark.checkpoint.dir``; ``session.release_scratch`` drops it."""
+    return scratch_dir(spark, f"llm-{purpose}")
 
 
 def ship(spark: SparkSession) -> None:

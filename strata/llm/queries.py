@@ -3,6 +3,7 @@
 from strata.llm.capfilters import op10_cap_filters
 from strata.llm.langid import op3_language
 from strata.llm.mainparts import op2_host_paths
+from strata.llm.oracle import ORACLE
 from strata.llm.packing import op7_packing
 from strata.llm.postings import op1_postings
 from strata.llm.simhash import op5_simhash
@@ -24,4 +25,4 @@ QUERIES = {
     "op10_cap_filters": op10_cap_filters,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
