@@ -32,6 +32,7 @@ WINDOW = 64
 HIDDEN = 8
 SAMPLE_DOCS = 500  # rows a language, about
 SNIPPET = 320  # characters of each
+STEPS = 500  # of the descent
 MAX_LANGUAGES = 1000
 UNDETERMINED = "und"
 #: Bytes that letters are made of: ASCII letters and every byte of a longer character.
@@ -145,22 +146,21 @@ class Tagger:
         gb = self.back.backward(kb, gs[::-1, :, k:])
         return [*ga, *gb, flat.T @ flat_d, flat_d.sum(axis=0)]
 
-    def train(self, windows, labels, epochs: int = 6, batch: int = 128, rate: float = 0.02, seed: int = 11):
-        """Adam over shuffled windows."""
+    def train(self, windows, labels, steps: int = STEPS, batch: int = 128, rate: float = 0.02, seed: int = 11):
+        """Adam over shuffled windows, again and again: as many steps for a small sample as for a large one."""
         rng = np.random.default_rng(seed)
         params = self.params()
-        m, v, t = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-        total = max(1, epochs * -(-len(windows) // batch))
-        for _ in range(epochs):
-            order = rng.permutation(len(windows))
-            for i in range(0, len(order), batch):
-                own = order[i : i + batch]
-                t += 1
-                lr = rate * (1 - (t - 1) / total) + 1e-4
-                for p, g, a, b in zip(params, self.step(windows[own], labels[own]), m, v):
-                    a += 0.1 * (g - a)
-                    b += 0.001 * (g * g - b)
-                    p -= lr * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.999**t)) + 1e-8)
+        m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+        order = np.empty(0, np.int64)
+        for t in range(1, steps + 1 if len(windows) else 1):
+            if not len(order):
+                order = rng.permutation(len(windows))
+            own, order = order[:batch], order[batch:]
+            lr = rate * (1 - (t - 1) / steps) + 1e-4
+            for p, g, a, b in zip(params, self.step(windows[own], labels[own]), m, v):
+                a += 0.1 * (g - a)
+                b += 0.001 * (g * g - b)
+                p -= lr * (a / (1 - 0.9**t)) / (np.sqrt(b / (1 - 0.999**t)) + 1e-8)
         return self
 
     def sums(self, windows: np.ndarray, group: int = 4096) -> tuple[np.ndarray, np.ndarray]:
