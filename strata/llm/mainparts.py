@@ -50,14 +50,14 @@ BLOCK = frozenset(
 CONTAINER = frozenset("article body center div main section td".split())
 #: Elements that are never main text.
 DROPPED = frozenset("aside button dialog fieldset footer form head input label menu nav".split())
-ROLES = frozenset("banner complementary contentinfo dialog alertdialog form menu menubar navigation search".split())
+ROLES = frozenset("alert banner complementary contentinfo dialog alertdialog form menu menubar navigation search".split())
 #: Words of class names and ids that mark a part as not main text.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promoted promotion banner outbrain "
     "taboola cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription "
     "signup paywall share sharing social sidebar aside widget widgets related recommended recommendations menu nav navbar "
     "navigation breadcrumb breadcrumbs header masthead topbar footer comment comments respond replies disqus login search "
-    "searchbox pagination pager toolbar skip tags byline".split())
+    "searchbox pagination pager".split())
 #: Words that show that a part belongs to the article, whatever else its name says.
 OWN = frozenset("article content entry post story main body text".split())
 #: An open element that another of the same group ends.
@@ -228,20 +228,21 @@ class Page:
         return f"{'>'.join(reversed(names))}#{self.paths()[node]:016x}"
 
     def text(self, path: str | None) -> str:
-        """Blocks below the elements on ``path``, else below the page's own best container."""
-        inside = [False] * len(self.key)
-        if path:
-            wanted = int(path.rpartition("#")[2], 16)
-            for i, p in enumerate(self.paths()):
-                inside[i] = i > 0 and (inside[self.parent[i]] or p == wanted)
-        found = [t for t, n, _ in self.blocks if inside[n]]
+        """Blocks below the elements on ``path``; without such blocks below those on the path of the page's own
+        best container; without a container all blocks."""
+        paths = self.paths()
+        found = self._below(int(path.rpartition("#")[2], 16), paths) if path else []
         if not found:
             top, _ = self.best()
-            for i in range(1, len(inside)):
-                inside[i] = inside[self.parent[i]] or i == top
-            found = [t for t, n, _ in self.blocks if inside[n] or not top]
+            found = self._below(paths[top], paths) if top else [t for t, _, _ in self.blocks]
         return "\n".join(found)
 
+    def _below(self, wanted: int, paths: list[int]) -> list[str]:
+        inside = [False] * len(paths)
+        for i in range(1, len(paths)):
+            inside[i] = inside[self.parent[i]] or paths[i] == wanted
+        return [t for t, n, _ in self.blocks if inside[n]]
+
 
 def generalised(classes: str) -> list[str]:
     return sorted({re.sub(r"[0-9]+", "#", c) for c in classes.split()})

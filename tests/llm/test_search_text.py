@@ -207,3 +207,18 @@ def test_pipeline_stages(spark):
         before = after
     pieces = pipeline.STAGES[-1][1](spark, kept, "").collect()
     assert Counter(r["doc_id"] for r in pieces).keys() == {d for d, _ in before}
+
+
+@pytest.mark.parametrize("body, want", [
+    ("<div id=main-nav><a href=/>Home</a></div><div class='entry-content'><div class='article-header'><h1>Title</h1></div>"
+     "<p class=byline>By Ann</p><p>Text one.</p><table><tr><td>cell</td></tr></table></div><div class='sideBar'><p>More</p></div>",
+     "Title\nBy Ann\nText one.\ncell"),
+    ("<main><h1>T</h1><p>A&nbsp;b<!-- x -->c<script>no()</script>d</p><section id=comments><article><p>First, really!</p></article></section>"
+     "<div role=alert><p>Notice me</p></div></main>", "T\nA bcd"),
+    ("<nav>menu</nav><h1>Flat</h1><p>One, two, three.</p><p hidden>gone</p><footer><p>end</p></footer>", "Flat\nOne, two, three."),
+    ("<ARTICLE><P>Upper<BR/>case<UL><LI>x<LI>y</UL></ARTICLE><div class='advert ad-1'>ad</div>", "Upper case\nx\ny"),
+    ("<div class=wrap><div class=text><p>Part one, of the text.</p></div><div class=ad><p>buy</p></div><div class=text><p>Part two, of it.</p>"
+     "<form><p>Sign up, now</p><input name=a></form></div></div>", "Part one, of the text.\nPart two, of it."),
+])
+def test_parts_of_pages(body, want):
+    assert Page(f"<html><head><title>no</title></head><body>{body}</body></html>").text(None) == want
