@@ -172,7 +172,8 @@ def one_of_each_group(docs: DataFrame, words: int = 3, radius: int = 2) -> DataF
     first = rows.select("doc_id", "_row", "fp").groupBy("fp").agg(F.min(order).alias("first"))
     kept = first.join(group, "fp").groupBy("group").agg(F.min("first").alias("first"))
     kept = written(kept.select(F.col("first")["row"].alias("_row")), "simhash-kept")
-    return rows.join(kept, "_row", "left_semi").select("doc.*")
+    # the kept row numbers grow with the documents: dealt out, never broadcast, at every size
+    return rows.join(kept.hint("shuffle_hash"), "_row", "left_semi").select("doc.*")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
