@@ -170,7 +170,7 @@ class ChunkEncoder:
 
     keep_space = True
 
-    def __init__(self, path: str, max_entries: int = 1_200_000, max_ids: int = 16_000_000):
+    def __init__(self, path: str, max_entries: int = 1_000_000, max_ids: int = 8_000_000):
         self.tokenizer = load_tokenizer(path)
         self.max_entries, self.max_ids = max_entries, max_ids
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
