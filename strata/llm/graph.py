@@ -31,10 +31,11 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         # large star: each node's larger neighbours point to the smallest of its neighbourhood
         both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = written(least, "components")  # a table of its own: AQE can split the join at a hot node
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = written(large, "components")
         # small star: a node and its smaller neighbours point to the smallest of them
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = written(large.groupBy("a").agg(F.min("b").alias("m")), "components")
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         pairs = written(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "components")
         now = _state(pairs)
