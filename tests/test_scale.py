@@ -26,9 +26,11 @@ def test_broadcast_only_under_counted_bound(spark):
 
 def test_scale_conf_sizes_partitions():
     conf = scale_conf(30 * 10**12, cores=8000)
-    assert conf["spark.sql.shuffle.partitions"] == "65536"  # capped: 223,517 wanted
+    assert conf["spark.sql.shuffle.partitions"] == "223518"  # no cap unless the caller sets one
+    capped = scale_conf(30 * 10**12, cores=8000, max_partitions=65_536)
+    assert capped["spark.sql.shuffle.partitions"] == "65536"
     assert scale_conf(2 * 10**12, cores=1000)["spark.sql.shuffle.partitions"] == str(-(-2 * 10**12 // (128 << 20)))
-    assert scale_conf(30 * 10**12, cores=40000)["spark.sql.shuffle.partitions"] == "120000"  # 3 per core
+    assert scale_conf(10**12, cores=40000)["spark.sql.shuffle.partitions"] == "120000"  # 3 per core
     assert scale_conf(10**6, cores=8)["spark.sql.shuffle.partitions"] == "24"
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
