@@ -9,7 +9,10 @@ farther (``BOUNDARY``), up to ``REPLICAS``. A query walks a graph of the
 centroids in memory, best first, and reads every list whose centroid is at most
 ``RATIO`` times as far as the nearest one (distance-ratio pruning). Vectors of
 selected lists are compared exactly. Lists longer than ``PART_ROWS`` are split by
-a hash, and a query reads all parts.
+a hash, and a query reads all parts. Equal rows are one row from the start, and
+wherever ``k`` is counted, ids are counted, not rows: a query's lists hold more
+than ``k`` ids, and each part gives its ``k`` nearest ids, so an id with many
+different vectors takes one place.
 
 Defined results: vectors that are null, empty, zero or not finite, and rows
 without an id, take no part; rows of one id are one candidate, with its smallest
@@ -130,8 +133,8 @@ def lists_of(x: np.ndarray, graph: CentroidGraph) -> tuple[np.ndarray, np.ndarra
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query; both frames from ``valid_vectors``."""
     spark = vectors.sparkSession
-    vectors = written(vectors, "postings-vectors")
-    queries = written(queries, "postings-queries")
+    vectors = written(vectors.dropDuplicates(["vec_id", "v"]), "postings-vectors")
+    queries = written(queries.dropDuplicates(["vec_id", "v"]), "postings-queries")
     sizes = {r["d"]: r["n"] for r in vectors.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"))
              .orderBy(F.desc("n")).limit(100).collect()}
     n = sum(sizes.values())
@@ -141,6 +144,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     if n and sample.num_rows == 0:
         sample = vectors.limit(1000).toArrow()
     if n:
+        sample = sample.sort_by("vec_id")  # the rows' order after a shuffle differs from run to run
         for _, x in matrices(sample.combine_chunks().to_batches()[0]):
             lists = min(MAX_LISTS, max(1, sizes.get(x.shape[1], 0) // LIST_ROWS))
             graphs[x.shape[1]] = CentroidGraph(fit_centroids(x, lists))
@@ -161,8 +165,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 
     postings = written(vectors.mapInArrow(index, keys), "postings")
     # at most MAX_LISTS rows a vector length: bounded
-    counts = postings.groupBy("dim", "list").agg(F.count("*").alias("n"), F.count_if("first").alias("own"))
-    counts = written(counts, "postings-counts")
+    # n: rows; own: ids, each counted in one list only, so that lists together hold at least the sum
+    homes = postings.where("first").groupBy("dim", "vec_id").agg(F.min("list").alias("list"))
+    counts = postings.groupBy("dim", "list").agg(F.count("*").alias("n")).join(
+        homes.groupBy("dim", "list").agg(F.count("*").alias("own")), ["dim", "list"], "left")
+    counts = written(counts.select("dim", "list", "n", F.coalesce("own", F.lit(0)).alias("own")), "postings-counts")
     known = {(r["dim"], r["list"]): r["own"] for r in counts.collect()}
     parts = F.broadcast(counts.select("dim", "list", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts")))
 
@@ -174,7 +181,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                 graph = graph_of(d)
                 sizes_here = np.array([known.get((d, j), 0) for j in range(len(graph.c))])
                 least = 8
-                while True:  # lists that hold more than k vectors in all, if there are so many
+                while True:  # lists that hold more than k ids in all, if there are so many
                     dist, chosen = graph.search(q, RATIO, least)
                     if least >= len(graph.c) or (chosen @ sizes_here).min() > k:
                         break
@@ -193,14 +200,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         F.lit(0).alias("side"), "vec_id", "v")
 
     def nearest(ids, x, query_ids, q, best):
-        """Adds a list's nearest to those that the task has for each query."""
+        """Adds a list's nearest ids to those that the task has for each query; ``ids`` in order."""
+        starts = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1))
         for i in range(0, len(q), 256):
             d2 = squared(q[i : i + 256], x)
             for j, row in enumerate(d2):
                 query = int(query_ids[i + j])
                 row = np.where(ids == query, np.inf, row)
-                m = min(k, len(row))
-                edge = np.partition(row, m - 1)[m - 1]
+                least = row if len(starts) == len(row) else np.minimum.reduceat(row, starts)  # of each id
+                m = min(k, len(least))
+                edge = np.partition(least, m - 1)[m - 1]
                 near = np.flatnonzero((row <= edge * (1 + 1e-9) + 1e-9) & np.isfinite(row))
                 score, found = exact_distance(q[i + j], x[near]), ids[near]
                 if query in best:
@@ -217,7 +226,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
 
     def scan(batches):
-        key, x, ids, best = None, [], [], {}
+        key, x, ids, in_order, best = None, [], [], False, {}
         for batch in batches:
             dim, lists, part, side, vec = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(5))
             cuts = np.flatnonzero(np.any([np.diff(c) != 0 for c in (dim, lists, part, side)], axis=0)) + 1
@@ -226,13 +235,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                     continue
                 now = (dim[a], lists[a], part[a])
                 if now != key:
-                    key, x, ids = now, [], []
+                    key, x, ids, in_order = now, [], [], False
                 (_, v), = matrices(batch.slice(a, b - a))
                 if side[a] == 0:
                     x.append(v)
                     ids.append(vec[a:b])
                 elif x:
-                    x, ids = [np.concatenate(x)], [np.concatenate(ids)]
+                    if len(x) > 1 or not in_order:
+                        x, ids = np.concatenate(x), np.concatenate(ids)
+                        order = np.argsort(ids, kind="stable")
+                        x, ids, in_order = [x[order]], [ids[order]], True
                     nearest(ids[0], x[0], vec[a:b], v, best)
                     if len(best) > HELD_QUERIES:
                         yield flushed(best)

@@ -44,6 +44,36 @@ def test_search_edges(spark, monkeypatch):
     assert search(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def found_of(spark, rows):
+    vectors = valid_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3))
+    got = {(r["query_id"], r["rank"], r["vec_id"]) for r in search(vectors, vectors.where("vec_id % 100 = 0")).collect()}
+    use = [(i, np.array(v, np.float64)) for i, v in rows]
+    return got, brute_nearest(use, [(i, v) for i, v in {i: v for i, v in use if i % 100 == 0}.items()], 10)
+
+
+def test_search_counts_ids_not_rows(spark):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(300, 16)).astype(np.float32)
+    once = [(i, v.tolist()) for i, v in enumerate(x)]
+    for rows in (
+        once * 2,  # every row twice
+        once + [(7, (x[100] + 0.01 * r.normal(size=16)).astype(np.float32).tolist()) for _ in range(60)],  # one id, near a query
+        once + [once[7]] * 150,  # one id holds a third of the rows, all equal
+    ):
+        got, want = found_of(spark, rows)
+        assert got == want and len(got) == 30
+
+
+def test_search_reads_lists_until_they_hold_k_ids(spark, monkeypatch):
+    monkeypatch.setattr(postings, "LIST_ROWS", 5)
+    r = np.random.default_rng(8)
+    # around the query lie 600 vectors of one id, all others far away
+    rows = [(100, [1.0] + [0.0] * 7)] + [(1, (r.normal(size=8) * 0.1 + np.eye(8)[0]).astype(np.float32).tolist()) for _ in range(600)]
+    rows += [(200 + k, (r.normal(size=8) * 0.1 + 30 * np.eye(8)[1]).astype(np.float32).tolist()) for k in range(1, 30)]
+    got, want = found_of(spark, rows)
+    assert got == want and len(got) == 10
+
+
 def test_recall_and_scores(spark):
     r = np.random.default_rng(1)
     x = r.normal(size=(6000, 32)).astype(np.float32)
