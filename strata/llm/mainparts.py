@@ -34,7 +34,9 @@ from strata.llm.common import table, written
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|svg|iframe|select|object|math|canvas)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|noscript|template|textarea|title|svg|iframe|select|object|math|canvas)(?=[\s/>])"
+    r"(?:(?:(?<=<svg)|(?<=<math))(?:\"[^\"]*\"|'[^']*'|[^>\"'])*?/>"  # only these two end in their own tag
+    r"|[^>]*>.*?(?:</\1\s*>|\Z))"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
     r"|</?[a-zA-Z][^<>]*(?:>|\Z)",

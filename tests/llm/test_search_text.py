@@ -252,3 +252,16 @@ def test_pipeline_stages(spark):
 ])
 def test_parts_of_pages(body, want):
     assert Page(f"<html><head><title>no</title></head><body>{body}</body></html>").text(None) == want
+
+
+@pytest.mark.parametrize("body, want", [
+    ("<header><svg-icon name=logo></svg-icon><title-bar>Site</title-bar></header><article><p>One, two.</p><p>Three.</p></article>"
+     "<footer><svg><text>no</text></svg></footer>", "One, two.\nThree."),
+    ("<article><p>One, two.</p><select-menu><p>Three.</p></select-menu><template-x></template-x><p>Four <svg-icon id=a/>five.</p></article>",
+     "One, two.\nThree.\nFour five."),
+    ("<nav><svg viewBox='0 0 1 1'/></nav><article><p>One <svg class=\"a>b\" />two.</p><p>x<math/>y</p><svg\n><text>no</text></svg ><p>End.</p></article>",
+     "One two.\nx y\nEnd."),
+    ("<article><p>One <svg data-x='a/>b'><path d='M0'/><text>no</text></svg>two.</p><object data=x/>no</object><p>End.</p></article>", "One two.\nEnd."),
+])
+def test_names_that_begin_like_skipped_elements(body, want):
+    assert Page(f"<html><head><title>no</title></head><body>{body}</body></html>").text(None) == want
