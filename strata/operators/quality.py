@@ -184,12 +184,13 @@ def _same_profit(bronze: str) -> Column:
 
 
 def profit_totals(bronze_orders: DataFrame, silver_orders: DataFrame, gold: DataFrame,
-                  layers_distinct: bool = False) -> DataFrame:
+                  layers_distinct: bool = False, bronze_distinct: bool | None = None) -> DataFrame:
     """K8: rounded profit totals of each layer (each de-duplicated first), one row.
 
     ``layers_distinct=True`` says that the layers hold distinct rows, as this
     library's writers store them: then no layer is de-duplicated (a shuffle of
-    all its columns) and partial sums are all that moves.
+    all its columns) and partial sums are all that moves.  ``bronze_distinct``
+    says otherwise for bronze alone (raw orders that no writer has stored).
 
     ``bronze_profit`` sums the raw values as the reference does; because
     silver rounds every row to cents first, ``round(sum(x)) <> sum(round(x))``
@@ -198,11 +199,14 @@ def profit_totals(bronze_orders: DataFrame, silver_orders: DataFrame, gold: Data
     layer is aggregated once (both bronze totals in the same pass); the three
     one-row results are stacked and folded into one row, with no cross join.
     """
-    def rows(df: DataFrame) -> DataFrame:
-        return df if layers_distinct else df.dropDuplicates()
+    if bronze_distinct is None:
+        bronze_distinct = layers_distinct
+
+    def rows(df: DataFrame, distinct: bool = layers_distinct) -> DataFrame:
+        return df if distinct else df.dropDuplicates()
 
     null = F.lit(None).cast("decimal(38,2)")
-    b = rows(bronze_orders).agg(
+    b = rows(bronze_orders, bronze_distinct).agg(
         _rounded_sum(F.col("Profit")).alias("bronze_profit"),
         _rounded_sum(round_money("Profit")).alias("bronze_rounded_profit"),
         null.alias("silver_profit"), null.alias("gold_profit"))
@@ -476,20 +480,30 @@ def keyed_rule_counts(df: DataFrame, table_name: str, key: str, rules: Sequence[
 
 
 def fact_counts(bronze_orders: DataFrame, silver_orders: DataFrame, gold: DataFrame,
-                profit_layers: bool) -> DataFrame:
+                profit_layers: bool, bronze_distinct: bool = True) -> DataFrame:
     """All counting checks of the fact's three layers, one scan of each layer.
 
     Bronze gives its row rules and both profit totals; silver and gold meet in
     the per-group totals of the accuracy check, from which the row rules, the
     grouping, the year range and their profit totals come as well.  The two
     one-row results are stacked, so that the totals can be compared
-    (``profit_layers``, for layers of distinct rows), and unfolded.
+    (``profit_layers``, for layers of distinct rows), and unfolded.  Without
+    ``bronze_distinct`` equal bronze rows become one row that knows how many
+    they were: the row rules count them all, the total counts them once.
     """
     money = "decimal(38,2)"
+    if bronze_distinct:
+        counted = F.count_if
+    else:
+        bronze_orders = bronze_orders.groupBy(*bronze_orders.columns).agg(F.count("*").alias("_copies"))
+
+        def counted(rule: Column) -> Column:
+            return F.coalesce(F.sum(F.when(rule, F.col("_copies"))), F.lit(0))
+
     b = bronze_orders.agg(
-        F.count_if(unparsed_date("Order_Date")).alias("dates"),
-        F.count_if(has_more_than_2_decimals("Profit")).alias("decimals"),
-        F.count_if(bad_number("Profit")).alias("numbers"),
+        counted(unparsed_date("Order_Date")).alias("dates"),
+        counted(has_more_than_2_decimals("Profit")).alias("decimals"),
+        counted(bad_number("Profit")).alias("numbers"),
         _rounded_sum(round_money("Profit")).alias("total"))
     b = b.select(
         F.array(_entry("date_unparsed", "bronze_orders", "Order_Date", F.col("dates")),
@@ -522,7 +536,8 @@ def fact_counts(bronze_orders: DataFrame, silver_orders: DataFrame, gold: DataFr
     return both.select(F.inline(entries)).withColumn("passed", F.col("violations") == 0)
 
 
-def quality_report(spark: SparkSession, t: LayerFrames, layers_distinct: bool = False) -> DataFrame:
+def quality_report(spark: SparkSession, t: LayerFrames, layers_distinct: bool = False,
+                   bronze_distinct: bool | None = None) -> DataFrame:
     """All fifteen checks (plus the null-name and bad-number counts) as one DataFrame.
 
     One action evaluates everything, in ten scans: of each dimension one for
@@ -530,8 +545,11 @@ def quality_report(spark: SparkSession, t: LayerFrames, layers_distinct: bool =
     for all counting checks, and of silver orders one for its foreign keys.
     ``layers_distinct=True`` (see ``profit_totals``) takes the profit totals
     from the same scans; for layers that may hold repeated rows they are a pass
-    of their own, which de-duplicates each layer.
+    of their own, which de-duplicates each layer.  ``bronze_distinct=False``
+    de-duplicates bronze orders alone, in their one scan.
     """
+    if bronze_distinct is None:
+        bronze_distinct = layers_distinct
     meta = metadata_rows(spark, [
         ("date_type", "silver_orders", "Order_Date", 0 if is_date_column(t.silver_orders, "Order_Date") else 1),
         ("string_type", "bronze_customer", "customer_name",
@@ -547,7 +565,8 @@ def quality_report(spark: SparkSession, t: LayerFrames, layers_distinct: bool =
             RowRule("null_name", "customer_name", F.col("customer_name").isNull()),
         ]),
         keyed_rule_counts(t.silver_products, "silver_products", "Product_ID", []),
-        fact_counts(t.bronze_orders, t.silver_orders, t.gold, profit_layers=layers_distinct),
+        fact_counts(t.bronze_orders, t.silver_orders, t.gold, profit_layers=layers_distinct,
+                    bronze_distinct=bronze_distinct or not layers_distinct),
         missing_key_counts(t.silver_orders, [
             ForeignKey("fk_customer", "Customer_ID", t.silver_customer, "customer_id"),
             ForeignKey("fk_product", "Product_ID", t.silver_products, "Product_ID"),
@@ -557,8 +576,8 @@ def quality_report(spark: SparkSession, t: LayerFrames, layers_distinct: bool =
                    "category_sets", "silver_products", "Category,Sub_Category"),
     ]
     if not layers_distinct:
-        parts.append(count_rows(profit_totals(t.bronze_orders, t.silver_orders, t.gold).filter(~F.col("passed")),
-                                "profit_layers", "gold", "Profit"))
+        totals = profit_totals(t.bronze_orders, t.silver_orders, t.gold, bronze_distinct=bronze_distinct)
+        parts.append(count_rows(totals.filter(~F.col("passed")), "profit_layers", "gold", "Profit"))
     out = meta
     for p in parts:
         out = out.unionByName(p)

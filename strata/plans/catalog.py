@@ -181,9 +181,10 @@ def dq_bad_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_profit_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The layers as the pipeline builds them are distinct, so nothing is de-duplicated here."""
+    """Silver and gold are distinct as the pipeline builds them; the raw orders are de-duplicated here."""
     L = build_layers(spark, sf_dir, store={"silver_orders": GOLD_INPUTS})
-    return decimals_as_double(Q.profit_totals(L.bronze.orders, L.silver_orders, L.gold, layers_distinct=True))
+    return decimals_as_double(Q.profit_totals(L.bronze.orders, L.silver_orders, L.gold,
+                                              layers_distinct=True, bronze_distinct=False))
 
 
 def dq_category_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +255,7 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         bronze_orders=L.bronze.orders, bronze_customer=L.bronze.customer,
         bronze_products=L.bronze.products, silver_customer=L.silver_customer,
         silver_products=L.silver_products, silver_orders=L.silver_orders, gold=L.gold),
-        layers_distinct=True)
+        layers_distinct=True, bronze_distinct=False)
 
 
 QUERIES.update({
