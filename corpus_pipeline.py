@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.common import WORD_BPE, ship, table, vocabulary, written
-from strata.llm.langid import UNDETERMINED, identify, train_on
+from strata.llm.langid import UNDETERMINED, Tagger, identify, train_on
 from strata.llm.packing import pack
 from strata.llm.simhash import one_of_each_group
 from strata.llm.substring import remove_repeats
@@ -23,9 +23,12 @@ LEAST_SCORE = 0.4
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects texts without a letter and texts of no recognisable language."""
+    """Rejects texts without a letter and texts of no recognisable language; only the former if no row is labelled."""
     ship(spark)
-    rows = identify(docs, train_on(docs), keep=COLUMNS)
+    tagger = train_on(docs)
+    if not tagger.languages:
+        tagger = Tagger(["any"])  # the only language, so every text with a letter is in it
+    rows = identify(docs, tagger, keep=COLUMNS)
     return rows.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
 

@@ -265,3 +265,11 @@ def test_parts_of_pages(body, want):
 ])
 def test_names_that_begin_like_skipped_elements(body, want):
     assert Page(f"<html><head><title>no</title></head><body>{body}</body></html>").text(None) == want
+
+
+def test_pipeline_keeps_lettered_texts_without_labels(spark):
+    import corpus_pipeline as pipeline
+
+    rows = [(1, "some words", None, "s", 1), (2, "文字", None, "s", 1), (3, "12 !!", None, "s", 1), (4, None, None, "s", 1), (None, "x" * 5000, None, "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in pipeline.language_id(spark, docs, "").collect()} == {1, 2, None}
