@@ -13,7 +13,8 @@ allocated by an explicit rule:
 
 Sections must not overlap; a token's bytes outside every section count nowhere.
 
-Defined results: null or empty text has one empty section with no tokens;
+Defined results: null or empty text has one empty section with no tokens; given
+sections that are null or have a null bound are left out;
 repeated rows are counted row by row; null ids stay; an empty table gives no
 rows; other columns are left out.
 """
@@ -84,7 +85,8 @@ def token_counts(docs: DataFrame, tokenizer: str, sections: str | None = None, r
         raise ValueError(f"rule must be one of {RULES}")
     columns = [F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")]
     if sections:
-        spans = F.transform(F.col(sections), lambda s: F.array(s["start"].cast("bigint"), s["end"].cast("bigint")))
+        known = F.filter(sections, lambda s: s["start"].isNotNull() & s["end"].isNotNull())
+        spans = F.transform(known, lambda s: F.array(s["start"].cast("bigint"), s["end"].cast("bigint")))
         columns.append(F.sort_array(spans).alias("spans"))
     names = [x.split()[0] for x in SCHEMA.split(", ")]
 

@@ -161,6 +161,13 @@ def test_token_counts_given_sections(made, spark):
     assert sum(r["n_tokens"] for r in rows if r["doc_id"] == 1) < rows[0]["doc_tokens"]
 
 
+def test_token_counts_sections_with_null_bounds(spark):
+    docs = spark.createDataFrame([(1, "one two", [None, (0, 3), (None, 5), (3, None)]), (2, "abc", [(None, None)])],
+                                 "doc_id long, text string, parts array<struct<start:int,end:int>>")
+    rows = token_counts(docs, vocabulary(BYTE_BPE), sections="parts").collect()
+    assert [(r["doc_id"], r["section"], r["start"], r["end"]) for r in rows] == [(1, 0, 0, 3)]
+
+
 @pytest.mark.parametrize("stable", [True, False])
 def test_word_table(made, spark, edge_docs, edge_rows, no_docs, stable):
     _, tokenizer = made[BYTE_BPE]
