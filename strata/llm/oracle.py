@@ -49,8 +49,49 @@ counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
 SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
 FROM least LEFT JOIN counts USING (vec_id)"""
 
+#: crc32 bit by bit: a byte is met, and -1 shifts once.
+_CRC32 = """xor(list_reduce([CAST(4294967295 AS BIGINT)] || flatten(list_transform(str_split(CAST(conv_id AS VARCHAR), ''),
+      lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295)"""
+
+#: Every prefix of every rebuilt conversation by the hash of its turns; a node's ancestors are its smallest member's prefixes.
+PREFIXES = rf"""
+WITH keyed AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text,
+         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT conv_id, k, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS i FROM keyed),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, n, h, least(h, coalesce(base_n, 0)) AS front
+  FROM (SELECT conv_id, count(*) AS n, {_CRC32} % 4 AS h FROM turns GROUP BY conv_id)
+  LEFT JOIN (SELECT conv_id AS base_id, count(*) AS base_n FROM turns GROUP BY conv_id) ON base_id = conv_id - conv_id % 20),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS d, '' AS k, 0 AS words FROM convs c UNION ALL
+  SELECT c.conv_id, t.i, t.k, t.words FROM convs c JOIN turns t ON t.conv_id = c.base AND t.i <= c.h UNION ALL
+  SELECT c.conv_id, t.i - c.h + c.front, t.k, t.words FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.i > c.h),
+prefixes AS (
+  SELECT conv_id, d, words, string_agg(k, ',') OVER (PARTITION BY conv_id ORDER BY d) AS prefix,
+         d = max(d) OVER (PARTITION BY conv_id) AS last FROM rebuilt),
+members AS (SELECT *, min(conv_id) OVER (PARTITION BY d, prefix) AS owner FROM prefixes),
+nodes AS (
+  SELECT owner, d, count(*) AS n_convs, max(words) AS words,
+         string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last) AS ends FROM members GROUP BY owner, d),
+parents AS (
+  SELECT n.*, m.owner AS parent FROM nodes n LEFT JOIN members m ON m.conv_id = n.owner AND m.d = n.d - 1),
+children AS (SELECT parent AS owner, d - 1 AS d, count(*) AS n_children FROM parents WHERE parent IS NOT NULL GROUP BY ALL),
+counted AS (SELECT p.*, coalesce(n_children, 0) AS n_children FROM parents p LEFT JOIN children USING (owner, d)),
+sums AS (
+  SELECT m.owner, m.d, sum((c.n_convs - 1) * c.words) AS saved, count(*) FILTER (WHERE c.n_children = 0) AS leaves
+  FROM counted c JOIN members m ON m.conv_id = c.owner AND m.d <= c.d GROUP BY ALL)
+SELECT owner AS conv_id, CAST(d AS BIGINT) AS depth, parent AS parent_conv_id, n_convs, CAST(n_children AS BIGINT) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM counted JOIN sums USING (owner, d)"""
+
 ORACLE = {
     "op1_postings": NEAREST,
     "op8_substring": REPEATS,
     "op10_cap_filters": NEAR_DUPLICATES,
+    "op13_prefix_trie": PREFIXES,
 }

@@ -6,6 +6,7 @@ from strata.llm.mainparts import op2_host_paths
 from strata.llm.oracle import ORACLE
 from strata.llm.packing import op7_packing
 from strata.llm.postings import op1_postings
+from strata.llm.prefixtrie import op13_prefix_trie
 from strata.llm.simhash import op5_simhash
 from strata.llm.substring import op8_substring
 from strata.llm.tokencounts import op9_token_counts
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_substring": op8_substring,
     "op9_token_counts": op9_token_counts,
     "op10_cap_filters": op10_cap_filters,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
