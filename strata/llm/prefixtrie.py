@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import table, written
 
-SHARD = 4080  # conversation ids a shard, a multiple of the rebuild's 20
+SHARD = 960  # conversation ids a shard, a multiple of the rebuild's 20
 BAND = 128  # positions held at a time
 ROOT = bytes(16)
 WORD = "[^\\x20\\x09-\\x0D]+"

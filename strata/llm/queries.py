@@ -1,12 +1,14 @@
 """Registered queries of the operators; SQL twins where SQL can say the same."""
 
 from strata.llm.capfilters import op10_cap_filters
+from strata.llm.fim import op11_fim
 from strata.llm.langid import op3_language
 from strata.llm.mainparts import op2_host_paths
 from strata.llm.oracle import ORACLE
 from strata.llm.packing import op7_packing
 from strata.llm.postings import op1_postings
 from strata.llm.prefixtrie import op13_prefix_trie
+from strata.llm.secretscan import op12_secrets
 from strata.llm.simhash import op5_simhash
 from strata.llm.substring import op8_substring
 from strata.llm.tokencounts import op9_token_counts
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_substring": op8_substring,
     "op9_token_counts": op9_token_counts,
     "op10_cap_filters": op10_cap_filters,
+    "op11_fim": op11_fim,
+    "op12_secrets": op12_secrets,
     "op13_prefix_trie": op13_prefix_trie,
 }
 

@@ -17,6 +17,7 @@ from strata.llm.oracle import ORACLE
 from strata.llm.queries import QUERIES
 
 from .test_dedup import brute_fingerprint, brute_repeats, groups
+from .test_fim_secrets_trie import brute_base, sha
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,14 +32,14 @@ def collected(spark, name):
 
 
 def test_all_are_registered():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     rel = con.sql(ORACLE[name])
     names, want = rel.columns, rel.fetchall()
@@ -91,6 +92,22 @@ def test_op5(spark, docs):
     assert {r["doc_id"]: tuple(r)[1:] for r in collected(spark, "op5_simhash")} == want
 
 
+def test_op12(spark, docs):
+    """Base spans against the contract's patterns; whatever the network adds touches none of them."""
+    got = {r["doc_id"]: r for r in collected(spark, "op12_secrets")}
+    assert len(got) == len(docs)
+    for d, x in docs:
+        base = brute_base(x or "")
+        listed = [f"{k}:{a}:{b}" for a, b, k in base]
+        assert [got[d][f"n_{k}"] for k in ("assign", "access", "hex")] == [sum(s[2] == k for s in base) for k in ("assign", "access", "hex")]
+        assert got[d]["base_sha256"] == sha(",".join(listed))
+        spans = [s for s in got[d]["spans"].split(",") if s]
+        assert [s for s in spans if not s.startswith("model")] == listed
+        for s in spans:
+            kind, a, b = s.split(":")
+            assert kind != "model" or not any(int(a) < e and s < int(b) for s, e, _ in base)
+
+
 def check_pieces(rows, docs):
     t = load_tokenizer(vocabulary(WORD_BPE))
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
