@@ -23,9 +23,10 @@ from strata.operators import gold as _gold
 from strata.operators import quality as Q
 from strata.operators import silver as _silver
 from strata.operators.naming import clean_column_names
-from strata.settings import SourceSpec
+from strata.plans.pipeline import write_silver
+from strata.settings import LayerNames, SourceSpec
 from strata.sources.readers import read_catalogue_table, read_csv, read_json, read_source
-from strata.sources.sinks import require_rows, write_table
+from strata.sources.sinks import write_table
 
 
 # ---------------------------------------------------------------- sources/sinks
@@ -88,18 +89,16 @@ def process_silver(spark: SparkSession, customer_df: DataFrame, orders_df: DataF
                    silver_dst_schema_name: str, dst_catalogue_name: str,
                    fmt: str = "parquet") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Returns (customers, products, orders) as written."""
-    require_rows({"customer": customer_df, "orders": orders_df, "products": products_df},
-                 "bronze tables")
-    prefix = f"{dst_catalogue_name}.{silver_dst_schema_name}"
-    sc = _silver.enrich_customers(customer_df)
-    sp = _silver.enrich_products(products_df)
-    write_table(sc, f"{prefix}.{silver_customer_dst_table_name}", fmt, dedup=False)
-    write_table(sp, f"{prefix}.{silver_products_dst_table_name}", fmt, dedup=False)
-    sc_t = spark.table(f"{prefix}.{silver_customer_dst_table_name}")
-    sp_t = spark.table(f"{prefix}.{silver_products_dst_table_name}")
-    write_table(_silver.enrich_orders(orders_df, sc_t, sp_t, dimensions_distinct=True),
-                f"{prefix}.{silver_orders_dst_table_name}", fmt, dedup=False)
-    return sc_t, sp_t, spark.table(f"{prefix}.{silver_orders_dst_table_name}")
+    def write(df: DataFrame, table: str) -> DataFrame:
+        name = f"{dst_catalogue_name}.{silver_dst_schema_name}.{table}"
+        write_table(df, name, fmt, dedup=False)
+        return spark.table(name)
+
+    names = LayerNames(bronze_customer="customer", bronze_orders="orders", bronze_products="products",
+                       silver_customer=silver_customer_dst_table_name, silver_orders=silver_orders_dst_table_name,
+                       silver_products=silver_products_dst_table_name)
+    tables = write_silver(customer_df, orders_df, products_df, names, write)
+    return tables.customer, tables.products, tables.orders
 
 
 def process_gold_table(spark: SparkSession, silver_orders_df: DataFrame, dst_catalogue_name: str,

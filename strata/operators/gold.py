@@ -56,6 +56,41 @@ def profit_by_customer_year(gold: DataFrame) -> DataFrame:
             .agg(_rounded_total("Profit", REPORT_TOTAL)).orderBy(F.desc("Year")))
 
 
+#: The four reports by their grouping columns.
+REPORTS = {
+    "year": ("Year",),
+    "year_category": ("Year", "Product_Category"),
+    "customer": ("Customer_ID", "customer_name"),
+    "customer_year": ("Year", "Customer_ID"),
+}
+LATTICE_KEYS = ("Year", "Product_Category", "Customer_ID", "customer_name")
+
+
+def report_lattice(gold: DataFrame) -> DataFrame:
+    """All four reports at once: (report, Year, Product_Category, Customer_ID, customer_name, total).
+
+    Grouping sets: gold is read once, each row stands once for every report
+    (Expand) and is summed up before the one shuffle.  ``report`` comes from the
+    grouping id, so a null key of a group is not mistaken for a column that the
+    report does not group by.  Keys that a report lacks are null.
+    """
+    def bits(keys):  # of the grouping id: 1 for a column that is not grouped by
+        return sum(1 << (len(LATTICE_KEYS) - 1 - i) for i, k in enumerate(LATTICE_KEYS) if k not in keys)
+
+    name = F.lit(None).cast("string")
+    for report, keys in REPORTS.items():
+        name = F.when(F.col("_set") == bits(keys), report).otherwise(name)
+    sums = gold.groupingSets([[F.col(k) for k in keys] for keys in REPORTS.values()], *LATTICE_KEYS).agg(
+        _rounded_total("Profit", REPORT_TOTAL), F.grouping_id().alias("_set"))
+    return sums.select(name.alias("report"), *LATTICE_KEYS, REPORT_TOTAL)
+
+
+def report_of(lattice: DataFrame, report: str) -> DataFrame:
+    """One report of a (stored) lattice, with its own columns and order."""
+    rows = lattice.where(F.col("report") == report).select(*REPORTS[report], REPORT_TOTAL)
+    return rows.orderBy(F.desc(REPORT_TOTAL if report == "customer" else "Year"))
+
+
 def silver_category_profit(silver_orders: DataFrame) -> DataFrame:
     """Cross-check straight from silver: unrounded sum by order year, category, sub-category."""
     return (silver_orders

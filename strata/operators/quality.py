@@ -536,6 +536,19 @@ def fact_counts(bronze_orders: DataFrame, silver_orders: DataFrame, gold: DataFr
     return both.select(F.inline(entries)).withColumn("passed", F.col("violations") == 0)
 
 
+def schema_rows(t: LayerFrames) -> list[tuple[str, str, str | None, int]]:
+    """The schema checks (K3, K4, K6): (check, table, column, violations), without a job."""
+    return [
+        ("date_type", "silver_orders", "Order_Date", 0 if is_date_column(t.silver_orders, "Order_Date") else 1),
+        ("string_type", "bronze_customer", "customer_name",
+         0 if is_string_column(t.bronze_customer, "customer_name") else 1),
+        ("string_type", "bronze_customer", "country", 0 if is_string_column(t.bronze_customer, "country") else 1),
+        ("columns", "silver_customer", None, len(missing_columns(t.silver_customer, SILVER_CUSTOMER_COLUMNS))),
+        ("columns", "silver_products", None, len(missing_columns(t.silver_products, SILVER_PRODUCT_COLUMNS))),
+        ("columns", "silver_orders", None, len(missing_columns(t.silver_orders, SILVER_ORDER_COLUMNS))),
+    ]
+
+
 def quality_report(spark: SparkSession, t: LayerFrames, layers_distinct: bool = False,
                    bronze_distinct: bool | None = None) -> DataFrame:
     """All fifteen checks (plus the null-name and bad-number counts) as one DataFrame.
@@ -550,15 +563,7 @@ def quality_report(spark: SparkSession, t: LayerFrames, layers_distinct: bool =
     """
     if bronze_distinct is None:
         bronze_distinct = layers_distinct
-    meta = metadata_rows(spark, [
-        ("date_type", "silver_orders", "Order_Date", 0 if is_date_column(t.silver_orders, "Order_Date") else 1),
-        ("string_type", "bronze_customer", "customer_name",
-         0 if is_string_column(t.bronze_customer, "customer_name") else 1),
-        ("string_type", "bronze_customer", "country", 0 if is_string_column(t.bronze_customer, "country") else 1),
-        ("columns", "silver_customer", None, len(missing_columns(t.silver_customer, SILVER_CUSTOMER_COLUMNS))),
-        ("columns", "silver_products", None, len(missing_columns(t.silver_products, SILVER_PRODUCT_COLUMNS))),
-        ("columns", "silver_orders", None, len(missing_columns(t.silver_orders, SILVER_ORDER_COLUMNS))),
-    ])
+    meta = metadata_rows(spark, schema_rows(t))
     parts = [
         keyed_rule_counts(t.silver_customer, "silver_customer", "customer_id", [
             RowRule("name_format", "customer_name", is_not_letters_only("customer_name")),

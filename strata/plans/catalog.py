@@ -19,21 +19,31 @@ from pyspark.sql import functions as F
 from strata.operators import gold, silver
 from strata.operators import quality as Q
 from strata.operators.naming import clean_column_names
+from strata.operators.observed import WriteChecks
+from strata.operators.survivorship import losing_rows, survivors
 from strata.plans.layers import GOLD_INPUTS, build_layers, decimals_as_double
 from strata.plans.pipeline import (
+    CUSTOMER_RULES,
+    QUARANTINE,
     MedallionSources,
     check_tables,
+    check_written,
+    gold_of,
     ingest_table,
     prepare_schemas,
     process_bronze,
     process_gold,
     process_silver,
+    publish_medallion,
     run_medallion,
 )
+from strata.plans.incremental import gold_rows, refresh_gold_from_versions, write_gold_groups
+from strata.plans.publish import LayerStore
 from strata.session import scratch_dir, scratch_schema
 from strata.settings import LayerNames, SourceSpec
 from strata.sources import variants as V
 from strata.sources.adapters import load_bronze
+from strata.sources.quarantine import read_split
 from strata.sources.readers import read_csv, read_json, read_table
 from strata.sources.sinks import write_table
 
@@ -84,7 +94,13 @@ def report_silver_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_as_double(gold.silver_category_profit(build_layers(spark, sf_dir).silver_orders))
 
 
+def report_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four gold reports from one scan of gold and one shuffle."""
+    return decimals_as_double(gold.report_lattice(build_layers(spark, sf_dir).gold))
+
+
 QUERIES: dict[str, Query] = {
+    "report_lattice": report_lattice,
     "silver_customer": silver_customer,
     "silver_customer_email_fallback": silver_customer_email_fallback,
     "silver_products": silver_products,
@@ -384,11 +400,12 @@ def json_multiline_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_as_double(read_json(spark, f"{root}/orders", multi_line=True, schema=ORDERS_DDL).dropDuplicates())
 
 
-def _run(spark: SparkSession, sf_dir: str, tag: str, multi_line: bool = False) -> tuple[LayerNames, DataFrame]:
+def _run(spark: SparkSession, sf_dir: str, tag: str, multi_line: bool = False,
+         checks: WriteChecks | None = None) -> tuple[LayerNames, DataFrame]:
     root = scratch_dir(spark, tag)
     sources = _land_files(spark, sf_dir, root, multi_line)
     names = _run_names(spark, tag)
-    return names, run_medallion(spark, sources, names, root=root)
+    return names, run_medallion(spark, sources, names, root=root, checks=checks)
 
 
 def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -405,7 +422,14 @@ def medallion_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_tables(spark, _run(spark, sf_dir, "report")[0])
 
 
-def _stream_orders(spark: SparkSession, sf_dir: str, root: str, names: LayerNames) -> DataFrame:
+def medallion_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report, its row rules counted by the jobs that wrote the tables."""
+    checks = WriteChecks()
+    names, _ = _run(spark, sf_dir, "observed", checks=checks)
+    return check_written(spark, checks, names)
+
+
+def _stream_orders(spark: SparkSession, sf_dir: str, root: str, names: LayerNames, distinct: bool = False) -> DataFrame:
     """Orders, some of them twice, landed as several JSON files and ingested in several micro-batches."""
     from strata.streaming import ingest_files
 
@@ -413,7 +437,7 @@ def _stream_orders(spark: SparkSession, sf_dir: str, root: str, names: LayerName
     orders.repartition(8).write.mode("overwrite").json(f"{root}/landing")
     prepare_schemas(spark, names, root)
     return ingest_files(spark, SourceSpec(f"{root}/landing", "json", ORDERS_DDL),
-                        names.bronze(names.bronze_orders), f"{root}/_checkpoint", max_files_per_trigger=2)
+                        names.bronze(names.bronze_orders), f"{root}/_checkpoint", max_files_per_trigger=2, distinct=distinct)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -421,9 +445,9 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver and gold over a streamed bronze table whose copies lie in different batches."""
+    """Silver and gold over a streamed bronze table that leaves out copies from earlier batches on arrival."""
     root, names = scratch_dir(spark, "stream"), _run_names(spark, "streamed")
-    _stream_orders(spark, sf_dir, root, names)
+    _stream_orders(spark, sf_dir, root, names, distinct=True)
     sources = _land_files(spark, sf_dir, f"{root}/dimensions")
     process_bronze(spark, sources.products, names.bronze(names.bronze_products))
     ingest_table(spark, sources.customer.path, names.bronze(names.bronze_customer))
@@ -453,6 +477,7 @@ QUERIES.update({
     "json_multiline_roundtrip": json_multiline_roundtrip,
     "medallion_multiline": medallion_multiline,
     "medallion_report": medallion_report,
+    "medallion_observed": medallion_observed,
     "silver_orders_salted": silver_orders_salted,
     "silver_orders_broadcast": silver_orders_broadcast,
     "clean_names": clean_names,
@@ -462,3 +487,136 @@ QUERIES.update({
     "dedup_overwrite": dedup_overwrite,
     "medallion_run": medallion_run,
 })
+
+
+# ------------------------------------------------------- versioned layers
+
+
+def _customer_survivors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    customers = V.customers_hot_key(silver_customer(spark, sf_dir))
+    return customers, survivors(customers, ("customer_id",), [F.expr(r) for r in CUSTOMER_RULES])
+
+
+def silver_orders_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver orders against customers with repeated keys, one of them hot: one survivor a key, so no order is multiplied."""
+    b = load_bronze(spark, sf_dir)
+    return decimals_as_double(silver.enrich_orders(
+        b.orders, _customer_survivors(spark, sf_dir)[1], silver.enrich_products(b.products), dimensions_distinct=True))
+
+
+def dimension_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer rows that lost against their key's survivor, and those without a key."""
+    return losing_rows(*_customer_survivors(spark, sf_dir), ("customer_id",))
+
+
+class _Killed(BaseException):
+    """Ends a run as a lost driver would, between two writes."""
+
+
+def published_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of two published versions. Between them a run dies after some of its
+    writes; the second overwrites silver orders from itself (the even orders)."""
+    root, names = scratch_dir(spark, "published"), LayerNames()
+    store = LayerStore(spark, f"{root}/store")
+    sources = _land_files(spark, sf_dir, root)
+    publish_medallion(spark, store, sources, names)
+    try:
+        with store.run() as run:
+            run.write(store.read("silver.silver_customer").limit(0), "silver.silver_customer")
+            raise _Killed
+    except _Killed:
+        pass
+    with store.run() as run:
+        orders = run.write(run.read("silver.silver_orders").where("Order_ID % 2 = 0"), "silver.silver_orders", dedup=False)
+        write_gold_groups(run, orders, "gold.profit")
+    versions = [gold_of(store, names, n).withColumn("version", F.lit(n)) for n in store.versions()]
+    return decimals_as_double(versions[0].unionByName(versions[1]))
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold after inserted, corrected and deleted order lines, by the difference of
+    two silver versions; ``rewritten`` marks the years whose files are new."""
+    store = LayerStore(spark, f"{scratch_dir(spark, 'incremental')}/store")
+    new = build_layers(spark, sf_dir, store={"silver_orders": None}).silver_orders
+    with store.run() as run:
+        write_gold_groups(run, run.write(V.orders_before(new), "silver.silver_orders", dedup=False), "gold.profit")
+    with store.run() as run:
+        old, now = run.read("silver.silver_orders"), run.write(new, "silver.silver_orders", dedup=False)
+        years = refresh_gold_from_versions(run, "gold.profit", old, now)
+    before, after = (set(store.version(n).tables["gold.profit"].parts.items()) for n in (1, 2))
+    fresh = {name for name, _ in after - before}
+    assert len(fresh) == len(years)
+    rewritten = F.coalesce(F.concat(F.lit("Year="), F.col("Year").cast("string")).isin(sorted(fresh)), F.lit(False))
+    return decimals_as_double(gold_rows(store.read("gold.profit")).withColumn("rewritten", rewritten))
+
+
+# ------------------------------------------------------------- quarantine
+
+#: Planted records that do not fit: cut lines, and values of another type.
+CUT_ORDER_EVERY, BAD_QUANTITY_EVERY = 17, 19
+CUT_PRODUCT_EVERY, BAD_PRICE_EVERY = 13, 29
+
+
+def _order_lines(orders: DataFrame) -> DataFrame:
+    """Orders as JSON lines, some of which are cut or hold a word for a number."""
+    k = F.col("Order_ID")
+    start = F.concat(F.lit('{"Row_ID":'), F.col("Row_ID").cast("string"))
+    return orders.select(
+        F.when(k % CUT_ORDER_EVERY == 0, F.concat(start, F.lit(',"Order_')))
+        .when(k % BAD_QUANTITY_EVERY == 0, F.concat(start, F.lit(',"Quantity":"many","Profit":"much"}')))
+        .otherwise(F.to_json(F.struct(*orders.columns))).alias("value"))
+
+
+def _kept_and_quarantined(rows: DataFrame, quarantine: DataFrame) -> DataFrame:
+    kept = rows.select("Row_ID", "Order_ID", "Order_Date", F.col("Profit").cast("double").alias("Profit"),
+                       F.lit(None).cast("string").alias("raw"), F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(quarantine.select("raw", "reason"), allowMissingColumns=True)
+
+
+def quarantine_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of which some lines do not fit: the bronze rows, and the quarantined records with their reasons."""
+    root, names = scratch_dir(spark, "quarantine"), _run_names(spark, "quarantine")
+    _order_lines(load_bronze(spark, sf_dir).orders).write.text(f"{root}/orders")
+    prepare_schemas(spark, names, root)
+    kept = names.bronze(names.bronze_orders + QUARANTINE)
+    rows = process_bronze(spark, SourceSpec(f"{root}/orders", "json", ORDERS_DDL), names.bronze(names.bronze_orders),
+                          quarantine_table=kept)
+    return _kept_and_quarantined(rows, read_table(spark, kept))
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records as a file stream in several micro-batches."""
+    from strata.streaming import ingest_files
+
+    root, names = scratch_dir(spark, "quarantine"), _run_names(spark, "quarantine")
+    _order_lines(load_bronze(spark, sf_dir).orders).repartition(6).write.text(f"{root}/orders")
+    prepare_schemas(spark, names, root)
+    kept = names.bronze(names.bronze_orders + QUARANTINE)
+    rows = ingest_files(spark, SourceSpec(f"{root}/orders", "json", ORDERS_DDL), names.bronze(names.bronze_orders),
+                        f"{root}/_checkpoint", max_files_per_trigger=3, quarantine_table=kept)
+    return _kept_and_quarantined(rows, read_table(spark, kept))
+
+
+def quarantine_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products of which some lines have too few fields or a word for a price."""
+    root = scratch_dir(spark, "quarantine")
+    products = load_bronze(spark, sf_dir).products
+    k = F.col("Product_ID")
+    fields = [F.col(c).cast("string") for c in products.columns]
+    line = (F.when(k % CUT_PRODUCT_EVERY == 0, F.concat_ws(",", *fields[:3]))
+            .when(k % BAD_PRICE_EVERY == 0, F.concat_ws(",", *fields[:4], F.lit("free"))).otherwise(F.concat_ws(",", *fields)))
+    products.select(line.alias("value")).write.text(f"{root}/products")
+    split = read_split(spark, SourceSpec(f"{root}/products", "csv", RAW_PRODUCT_DDL, {"header": False}))
+    rows = clean_column_names(split.rows).withColumns({c: F.lit(None).cast("string") for c in ("raw", "reason")})
+    return rows.unionByName(split.quarantine.select("raw", "reason"), allowMissingColumns=True)
+
+
+QUERIES.update({
+    "quarantine_json": quarantine_json,
+    "stream_quarantine": stream_quarantine,
+    "quarantine_csv": quarantine_csv,
+    "silver_orders_survivors": silver_orders_survivors,
+    "dimension_rejects": dimension_rejects,
+    "published_medallion": published_medallion,
+    "gold_incremental": gold_incremental,
+})

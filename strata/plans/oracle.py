@@ -339,6 +339,79 @@ ORACLE.update({
     "json_multiline_roundtrip": with_layers(_BRONZE_ORDERS_DISTINCT),
     "medallion_multiline": ORACLE["gold_profit"],
     "medallion_report": ORACLE["dq_report"],
+    "medallion_observed": ORACLE["dq_report"],
     "silver_orders_salted": ORACLE["silver_orders"],
     "silver_orders_broadcast": ORACLE["silver_orders"],
 })
+
+
+# ------------------------------------------------------- versioned layers
+
+_UNIQUE = {
+    "hot_customer": """
+SELECT * FROM silver_customer
+UNION ALL SELECT customer_id, customer_name, 'X' FROM silver_customer WHERE customer_id % 200 = 0
+UNION ALL SELECT 7, customer_name, 'Z' || CAST(customer_id AS VARCHAR) FROM silver_customer WHERE customer_id % 3 = 0
+UNION ALL SELECT NULL, customer_name, country FROM silver_customer WHERE customer_id % 300 = 0""",
+    "one_customer": """
+SELECT customer_id, customer_name, country FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY customer_name IS NOT NULL DESC, country IS NOT NULL DESC,
+    customer_name DESC NULLS LAST, country DESC NULLS LAST) AS place FROM hot_customer WHERE customer_id IS NOT NULL)
+WHERE place = 1""",
+}
+
+_GOLD_OUT = "Year, Product_Category, Product_Sub_Category, Customer_ID, customer_name, CAST(Profit AS DOUBLE) AS Profit"
+
+ORACLE.update({
+    "silver_orders_survivors": with_layers("""
+SELECT o.Row_ID, o.Order_ID, o.Ship_Date, o.Ship_Mode, o.Customer_ID, o.Product_ID, o.Quantity, o.Price, o.Discount,
+       CAST(o.Profit AS DOUBLE) AS Profit, o.Order_Date, c.customer_name, c.country, p.Category, p.Sub_Category
+FROM (SELECT DISTINCT * FROM orders_parsed) o
+LEFT JOIN one_customer c ON o.Customer_ID = c.customer_id
+LEFT JOIN silver_products p ON o.Product_ID = p.Product_ID""", _UNIQUE),
+    "dimension_rejects": with_layers("""
+SELECT *, 'lost_to_survivor' AS reason FROM
+  (SELECT DISTINCT * FROM hot_customer WHERE customer_id IS NOT NULL EXCEPT SELECT * FROM one_customer)
+UNION ALL SELECT DISTINCT *, 'null_key' FROM hot_customer WHERE customer_id IS NULL""", _UNIQUE),
+    "published_medallion": with_layers(f"""
+SELECT 1 AS version, {_GOLD_OUT} FROM gold
+UNION ALL SELECT 2, {_GOLD_OUT} FROM even_gold""", {"even_gold": """
+SELECT CAST(year(Order_Date) AS INTEGER) AS Year, Category AS Product_Category, Sub_Category AS Product_Sub_Category,
+       Customer_ID, customer_name, round(sum(Profit), 2) AS Profit
+FROM silver_orders WHERE Order_ID % 2 = 0 GROUP BY ALL"""}),
+    "gold_incremental": with_layers(f"SELECT {_GOLD_OUT}, coalesce(Year IN (1996, 1997), false) AS rewritten FROM gold"),
+})
+
+
+# ------------------------------------------------------------- quarantine
+
+_QUARANTINED_ORDERS = with_layers("""
+SELECT Row_ID, Order_ID, Order_Date, CAST(Profit AS DOUBLE) AS Profit,
+       CAST(NULL AS VARCHAR) AS raw, CAST(NULL AS VARCHAR) AS reason
+FROM (SELECT DISTINCT * FROM bronze_orders) WHERE Order_ID % 17 <> 0 AND Order_ID % 19 <> 0
+UNION ALL
+SELECT NULL, NULL, NULL, NULL,
+       '{"Row_ID":' || Row_ID || CASE WHEN Order_ID % 17 = 0 THEN ',"Order_' ELSE ',"Quantity":"many","Profit":"much"}' END,
+       CASE WHEN Order_ID % 17 = 0 THEN 'malformed' ELSE 'bad value: Quantity, Profit' END
+FROM bronze_orders WHERE Order_ID % 17 = 0 OR Order_ID % 19 = 0""")
+
+ORACLE.update({
+    "quarantine_json": _QUARANTINED_ORDERS,
+    "stream_quarantine": _QUARANTINED_ORDERS,
+    "quarantine_csv": with_layers("""
+SELECT *, CAST(NULL AS VARCHAR) AS raw, CAST(NULL AS VARCHAR) AS reason
+FROM bronze_products WHERE Product_ID % 13 <> 0 AND Product_ID % 29 <> 0
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL,
+       Product_ID || ',' || Category || ',' || Sub_Category || CASE WHEN Product_ID % 13 = 0 THEN '' ELSE ',' || Product_Name || ',free' END,
+       CASE WHEN Product_ID % 13 = 0 THEN 'malformed' ELSE 'bad value: Price per product' END
+FROM bronze_products WHERE Product_ID % 13 = 0 OR Product_ID % 29 = 0"""),
+})
+
+ORACLE["report_lattice"] = with_layers("\nUNION ALL\n".join(
+    f"SELECT '{report}' AS report, "
+    + ", ".join(k if k in keys else f"CAST(NULL AS {kind}) AS {k}" for k, kind in (
+        ("Year", "INTEGER"), ("Product_Category", "VARCHAR"), ("Customer_ID", "BIGINT"), ("customer_name", "VARCHAR")))
+    + f", CAST(round(sum(Profit), 2) AS DOUBLE) AS total_profit_by_year FROM gold GROUP BY {', '.join(keys)}"
+    for report, keys in (("year", ("Year",)), ("year_category", ("Year", "Product_Category")),
+                         ("customer", ("Customer_ID", "customer_name")), ("customer_year", ("Year", "Customer_ID")))))

@@ -24,7 +24,7 @@ def _condition(e: AnalysisException) -> str | None:
     return get() if get else None
 
 
-def _load(path: str, load: Callable[[], DataFrame]) -> DataFrame:
+def load_files(path: str, load: Callable[[], DataFrame]) -> DataFrame:
     """Run a file load; a missing path becomes FileNotFoundError, other errors propagate."""
     try:
         return load()
@@ -53,7 +53,7 @@ def read_csv(spark: SparkSession, path: str, header: bool = True, infer_schema:
         reader = _with_schema(reader, schema, bad_records)
     else:
         reader = reader.option("inferSchema", infer_schema)
-    return _load(path, lambda: reader.csv(path))
+    return load_files(path, lambda: reader.csv(path))
 
 
 def read_json(spark: SparkSession, path: str, multi_line: bool = False,
@@ -69,7 +69,7 @@ def read_json(spark: SparkSession, path: str, multi_line: bool = False,
     reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
         reader = _with_schema(reader, schema, bad_records)
-    return _load(path, lambda: reader.json(path))
+    return load_files(path, lambda: reader.json(path))
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 
 def ensure_schema(spark: SparkSession, catalog: str, schema: str, location: str | None = None) -> None:
@@ -13,29 +13,42 @@ def ensure_schema(spark: SparkSession, catalog: str, schema: str, location: str
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {catalog}.{schema}{loc}")
 
 
-def write_table(df: DataFrame, table: str, fmt: str = "parquet", dedup: bool = True,
-                partition_by: Sequence[str] | None = None, mode: str = "overwrite") -> None:
-    """Full-row de-duplicate, then (over)write ``table`` with the frame's schema.
+Watch = Callable[[DataFrame], DataFrame]
+
+
+def laid_out(df: DataFrame, dedup: bool = True, partition_by: Sequence[str] | None = None,
+             watch: Watch | None = None) -> DataFrameWriter:
+    """A writer of the frame, full-row de-duplicated unless told otherwise.
 
     The de-dup is a hash aggregation with map-side partial aggregation, so a
     row copied into a third of the input reaches the shuffle once per map
-    task.  Overwriting a table that the same plan reads from is refused by
-    Spark (UNSUPPORTED_OVERWRITE.TABLE); write to a new table instead.
-
-    A partitioned write is rebalanced on the partition columns first
+    task.  A partitioned write is rebalanced on the partition columns first
     (``REBALANCE`` hint): without it every task writes a file into every
     partition folder it holds (tasks x folders small files); with it each
     folder's rows meet in a few tasks, and AQE splits a folder holding a
     large share of the rows into advisory-size pieces instead of one task.
+    ``watch`` is applied to the rows as they are written
+    (``operators.observed.WriteChecks.watch``).
     """
     out = df.dropDuplicates() if dedup else df
     if partition_by:
         out = out.hint("rebalance", *partition_by)
-    writer = out.write.format(fmt).mode(mode)
+    if watch:
+        out = watch(out)
+    return out.write.partitionBy(*partition_by) if partition_by else out.write
+
+
+def write_table(df: DataFrame, table: str, fmt: str = "parquet", dedup: bool = True,
+                partition_by: Sequence[str] | None = None, mode: str = "overwrite",
+                watch: Watch | None = None) -> None:
+    """(Over)write ``table`` with the frame's rows (``laid_out``) and schema.
+
+    Overwriting a table that the same plan reads from is refused by Spark
+    (UNSUPPORTED_OVERWRITE.TABLE); a ``plans.publish`` run can do that.
+    """
+    writer = laid_out(df, dedup, partition_by, watch).format(fmt).mode(mode)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
 
 

@@ -17,6 +17,9 @@ LOST_CATEGORY = "ECONOMY"    # products_lost: this category is missing from silv
 DUP_GOLD_CUSTOMER_EVERY = 97  # gold_dup: groups of Customer_ID % 97 == 0 appear twice
 NAN_PROFIT_EVERY = 251       # orders_bad_number: Profit NaN when Order_ID % 251 == 0
 INFINITE_PROFIT_EVERY = 257  # and infinite when Order_ID % 257 == 0
+HOT_CUSTOMER = 7             # customers_hot_key: every third customer's row again under this key
+CHANGED_YEARS = (1996, 1997)  # orders_before: only orders of these years differ
+INSERTED_EVERY, CORRECTED_EVERY, DELETED_EVERY = 10, 7, 11  # of Order_ID; remainders 3, 0 and 5
 BAD_YEAR_CUSTOMER_BELOW = 30  # gold_bad_year: Year null / 1989 / 12000 by Customer_ID % 3
 
 
@@ -38,6 +41,30 @@ def customers_dup_key(silver_customer: DataFrame) -> DataFrame:
     return silver_customer.unionByName(extra)
 
 
+def customers_hot_key(silver_customer: DataFrame) -> DataFrame:
+    """Keys with two rows, null keys, and one key that holds a quarter of all rows, each with another country."""
+    hot = (silver_customer.filter(F.col("customer_id") % 3 == 0)
+           .withColumn("country", F.concat(F.lit("Z"), F.col("customer_id").cast("string")))
+           .withColumn("customer_id", F.lit(HOT_CUSTOMER).cast(silver_customer.schema["customer_id"].dataType)))
+    null = silver_customer.filter(F.col("customer_id") % NULL_CUSTOMER_KEY_EVERY == 0).withColumn(
+        "customer_id", F.lit(None).cast(silver_customer.schema["customer_id"].dataType))
+    return customers_dup_key(silver_customer).unionByName(hot).unionByName(null)
+
+
+def orders_before(silver_orders: DataFrame) -> DataFrame:
+    """An earlier version of silver orders: some lines not there yet, some with
+    another profit, some that are deleted later (with a category of their own)."""
+    year, k = F.year("Order_Date"), F.col("Order_ID")
+    money = silver_orders.schema["Profit"].dataType
+    early, late = (F.coalesce(year == y, F.lit(False)) for y in CHANGED_YEARS)
+    there = silver_orders.filter(~(early & (k % INSERTED_EVERY == 3)))
+    there = there.withColumn("Profit", F.when(late & (k % CORRECTED_EVERY == 0), F.col("Profit") + 1)
+                             .otherwise(F.col("Profit")).cast(money))
+    deleted = silver_orders.filter(early & (k % DELETED_EVERY == 5)).withColumn("Row_ID", -F.col("Row_ID")).withColumn(
+        "Category", F.lit("GONE"))
+    return there.unionByName(deleted)
+
+
 def customers_null_key(silver_customer: DataFrame) -> DataFrame:
     k = F.col("customer_id")
     return silver_customer.withColumn(

@@ -10,9 +10,14 @@ Semantics versus the batch ``process_bronze``:
 * copies that arrive in *different* batches lie in different partitions.
   ``bronze_rows`` is the table's content: the distinct rows without the batch
   column, the same whatever files a batch happened to hold.  Silver and the
-  checks read every bronze table through it (``plans.pipeline``).  Keeping
-  whole-table uniqueness in storage would mean either scanning the whole bronze
-  table per batch or keeping every row in streaming state.
+  checks read every bronze table through it (``plans.pipeline``);
+* with ``distinct=True`` copies from earlier batches are left out on arrival
+  instead, and readers need no de-duplication.  A second table, ``<table>_seen``,
+  holds the 128-bit digests of all stored rows, bucketed by digest: a batch is
+  shuffled once by digest, which also meets its own copies, and joins its
+  buckets, so the history is neither shuffled nor read at full width (16 bytes a
+  row).  Digests of the batch itself are left out of the join, so a batch that
+  runs again after a failure anywhere stores the same rows.
 """
 
 from __future__ import annotations
@@ -23,15 +28,36 @@ from pyspark.sql import functions as F
 
 from strata.operators.naming import clean_column_names
 from strata.settings import SourceSpec
+from strata.sources.quarantine import (
+    declared,
+    parser_options,
+    split_stored,
+    stored_split,
+    with_corrupt_column,
+    with_file,
+)
+from strata.sources.readers import BAD_RECORDS
 
 INGEST_BATCH_COLUMN = "_ingest_batch"
+#: Of a stored row in a table of distinct rows: its digest.
+DIGEST = ("_digest_a", "_digest_b")
+SEEN = "_seen"
 
 
-def bronze_rows(table: DataFrame) -> DataFrame:
-    """A bronze table's rows: of a streamed one, distinct and without the batch column."""
+def with_digest(df: DataFrame) -> DataFrame:
+    """Two 64-bit hashes of the whole row; nulls count by their place, and equal rows have equal digests."""
+    known = [F.col(f"`{c}`").isNull() for c in df.columns]
+    whole = [F.col(f"`{c}`") for c in df.columns]
+    return df.withColumns({d: F.xxhash64(F.lit(i), *known, *whole) for i, d in enumerate(DIGEST)})
+
+
+def bronze_rows(table: DataFrame, distinct: bool = True) -> DataFrame:
+    """A bronze table's rows: of a streamed one, without the batch column, and distinct unless told otherwise
+    (a table whose rows carry their digests is distinct as it is stored)."""
     if INGEST_BATCH_COLUMN not in table.columns:
         return table
-    return table.drop(INGEST_BATCH_COLUMN).dropDuplicates()
+    rows = table.drop(INGEST_BATCH_COLUMN, *DIGEST)
+    return rows.dropDuplicates() if distinct and DIGEST[0] not in table.columns else rows
 
 
 def create_bronze_table(spark: SparkSession, target_table: str, like: DataFrame, fmt: str) -> None:
@@ -56,29 +82,81 @@ def create_bronze_table(spark: SparkSession, target_table: str, like: DataFrame,
         spark.sql(f"{create} LOCATION '{described['info_value']}/{name}'")
 
 
-def _batch_writer(target_table: str, fmt: str):
+def _seen_table(spark: SparkSession, target_table: str, fmt: str) -> tuple[str, int]:
+    """(name, buckets) of the digests' table; a new one gets as many buckets as the session has shuffle partitions."""
+    seen = target_table + SEEN
+    if not spark.catalog.tableExists(seen):
+        columns = ", ".join(f"{d} BIGINT" for d in DIGEST)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {seen} ({columns}, {INGEST_BATCH_COLUMN} BIGINT) USING {fmt} "
+                  f"PARTITIONED BY ({INGEST_BATCH_COLUMN}) CLUSTERED BY ({', '.join(DIGEST)}) "
+                  f"INTO {spark.conf.get('spark.sql.shuffle.partitions')} BUCKETS")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {seen}").where("col_name = 'Num Buckets'").first()
+    return seen, int(described["data_type"])
+
+
+def _put_distinct(rows: DataFrame, batch_id: int, target_table: str, fmt: str) -> None:
+    """Stores the batch's rows that no earlier batch has stored, then their digests."""
+    spark = rows.sparkSession
+    seen, buckets = _seen_table(spark, target_table, fmt)
+    earlier = spark.read.table(seen).where(F.col(INGEST_BATCH_COLUMN) != batch_id).select(*DIGEST)
+    batch = with_digest(rows).repartition(buckets, *DIGEST).dropDuplicates(list(DIGEST))
+    _put(batch.join(earlier.hint("shuffle_hash"), list(DIGEST), "left_anti").select(*rows.columns, *DIGEST),
+         batch_id, target_table, fmt)
+    stored = spark.read.table(target_table).where(F.col(INGEST_BATCH_COLUMN) == batch_id).select(*DIGEST)
+    spark.sql(f"INSERT OVERWRITE TABLE {seen} PARTITION ({INGEST_BATCH_COLUMN} = {int(batch_id)}) "
+              f"SELECT {', '.join(DIGEST)} FROM {{stored}}", stored=stored)
+
+
+def _put(out: DataFrame, batch_id: int, target_table: str, fmt: str) -> None:
+    """Stores a batch's rows as exactly its partition of the table."""
+    spark = out.sparkSession
+    create_bronze_table(spark, target_table, out, fmt)
+    stored = {f.name: f.dataType for f in spark.read.table(target_table).schema if f.name != INGEST_BATCH_COLUMN}
+    given = {f.name: f.dataType for f in out.schema}
+    if stored != given:
+        raise ValueError(f"batch {batch_id} does not fit {target_table}: {given} against {stored}")
+    # A static partition spec replaces exactly this batch's partition,
+    # whatever spark.sql.sources.partitionOverwriteMode says.
+    columns = ", ".join(f"`{c}`" for c in stored)
+    spark.sql(f"INSERT OVERWRITE TABLE {target_table} PARTITION ({INGEST_BATCH_COLUMN} = {int(batch_id)}) "
+              f"({columns}) SELECT {columns} FROM {{batch}}", batch=out)
+
+
+def _put_rows(rows: DataFrame, batch_id: int, target_table: str, fmt: str, distinct: bool) -> None:
+    rows = clean_column_names(rows)
+    if distinct:
+        _put_distinct(rows, batch_id, target_table, fmt)
+    else:
+        _put(rows.dropDuplicates(), batch_id, target_table, fmt)
+
+
+def _batch_writer(target_table: str, fmt: str, distinct: bool = False):
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        out = clean_column_names(batch).dropDuplicates()
-        create_bronze_table(spark, target_table, out, fmt)
-        stored = {f.name: f.dataType for f in spark.read.table(target_table).schema if f.name != INGEST_BATCH_COLUMN}
-        given = {f.name: f.dataType for f in out.schema}
-        if stored != given:
-            raise ValueError(f"batch {batch_id} does not fit {target_table}: {given} against {stored}")
-        # A static partition spec replaces exactly this batch's partition,
-        # whatever spark.sql.sources.partitionOverwriteMode says.
-        columns = ", ".join(f"`{c}`" for c in stored)
-        spark.sql(f"INSERT OVERWRITE TABLE {target_table} PARTITION ({INGEST_BATCH_COLUMN} = {int(batch_id)}) "
-                  f"({columns}) SELECT {columns} FROM {{batch}}", batch=out)
+        _put_rows(batch, batch_id, target_table, fmt, distinct)
+    return write
+
+
+def _splitting_writer(target_table: str, quarantine_table: str, source: SourceSpec, fmt: str, distinct: bool):
+    """Rows and quarantined records of a batch, each into its own partition; the batch is parsed once."""
+    schema = declared(source.schema)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        split = split_stored(stored_split(batch), source, schema)
+        _put(split.quarantine, batch_id, quarantine_table, fmt)
+        _put_rows(split.rows, batch_id, target_table, fmt, distinct)
     return write
 
 
 def ingest_files(spark: SparkSession, source: SourceSpec, target_table: str, checkpoint: str,
-                 fmt: str = "parquet", max_files_per_trigger: int | None = None) -> DataFrame:
+                 fmt: str = "parquet", max_files_per_trigger: int | None = None,
+                 quarantine_table: str | None = None, distinct: bool = False) -> DataFrame:
     """Ingest every not-yet-seen file under ``source.path`` into ``target_table``.
 
     ``source.schema`` is required (a stream cannot infer one);
     ``source.options`` may hold header, delimiter, multi_line and bad_records.
+    With ``quarantine_table`` records that do not fit go there (raw text, file,
+    reason; ``sources.quarantine``) instead of failing the batch.
+    ``distinct=True`` stores no row twice, whatever batches its copies arrive in.
     ``checkpoint`` must be on the shared file system (e.g. under
     ``spark.checkpoint.dir``).  Blocks until the available files are processed;
     returns the table's rows (``bronze_rows``).
@@ -86,18 +164,24 @@ def ingest_files(spark: SparkSession, source: SourceSpec, target_table: str, che
     if source.schema is None:
         raise ValueError("a streaming ingest needs source.schema")
     kind, options = source.kind.lower(), source.options
-    mode = {"fail": "FAILFAST", "null": "PERMISSIVE"}[options.get("bad_records", "fail")]
-    reader = spark.readStream.schema(source.schema).option("mode", mode)
+    if kind not in ("csv", "json"):
+        raise ValueError(f"Invalid source file type: {source.kind!r} (expected csv or json)")
+    read_options = parser_options(source)
+    reader = spark.readStream
+    if quarantine_table:
+        reader = reader.schema(with_corrupt_column(declared(source.schema))).options(**read_options)
+    else:
+        del read_options["columnNameOfCorruptRecord"]
+        read_options["mode"] = BAD_RECORDS[options.get("bad_records", "fail")]
+        reader = reader.schema(source.schema).options(**read_options)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if kind == "csv":
-        stream = (reader.option("header", options.get("header", True))
-                  .option("delimiter", options.get("delimiter", ",")).csv(source.path))
-    elif kind == "json":
-        stream = reader.option("multiLine", options.get("multi_line", False)).json(source.path)
+    stream = reader.csv(source.path) if kind == "csv" else reader.json(source.path)
+    if quarantine_table:
+        stream, write = with_file(stream), _splitting_writer(target_table, quarantine_table, source, fmt, distinct)
     else:
-        raise ValueError(f"Invalid source file type: {source.kind!r} (expected csv or json)")
-    query = (stream.writeStream.foreachBatch(_batch_writer(target_table, fmt))
+        write = _batch_writer(target_table, fmt, distinct)
+    query = (stream.writeStream.foreachBatch(write)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())

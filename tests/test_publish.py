@@ -1,0 +1,303 @@
+"""Versioned layers: one swap a run, runs that die, conflicts, partitions, incremental gold."""
+
+import datetime as dt
+import random
+from decimal import Decimal
+
+import pytest
+
+from conftest import SF_SMALL
+from strata.operators.deltas import LINES, SIGN, apply_deltas, gold_deltas, gold_groups, signed_difference, signed_rows
+from strata.operators.gold import gold_profit
+from strata.plans import catalog, pipeline
+from strata.plans.incremental import gold_rows, refresh_gold, refresh_gold_from_versions, write_gold_groups
+from strata.plans.publish import LayerStore, PublishConflict
+from strata.session import scratch_dir
+
+SILVER = "Order_Date date, Category string, Sub_Category string, Customer_ID long, customer_name string, Profit decimal(18,2)"
+
+
+@pytest.fixture
+def store(spark):
+    return LayerStore(spark, scratch_dir(spark, "t-store"))
+
+
+def content(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def ids(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "id long")
+
+
+def test_before_the_first_run_there_is_nothing(store):
+    assert store.versions() == [] and store.version().tables == {} and store.tables() == {}
+    with pytest.raises(KeyError):
+        store.read("t")
+
+
+def test_versions_and_views(spark, store):
+    with store.run() as run:
+        run.write(ids(spark, 1, 1, 2), "silver.t")
+    with store.run() as run:
+        run.write(ids(spark, 3), "silver.t")
+        run.write(ids(spark, 9), "gold.u")
+    assert store.versions() == [1, 2]
+    assert content(store.read("silver.t", 1)) == [(1,), (2,)] and content(store.read("silver.t")) == [(3,)]
+    assert sorted(store.register_views()) == ["gold_u", "silver_t"]
+    assert [r[0] for r in spark.sql("SELECT id FROM gold_u").collect()] == [9]
+
+
+@pytest.mark.parametrize("writes", [0, 1, 2, 3])
+def test_a_run_that_dies_between_any_two_writes_is_never_seen(spark, store, writes):
+    names = ["a", "b", "c"]
+    with store.run() as run:
+        for n in names:
+            run.write(ids(spark, 1), n)
+    held = store.tables()
+    run = store.begin()  # the driver dies: nothing is cleaned up
+    for n in names[:writes]:
+        run.write(ids(spark, 2), n)
+    assert {n: content(t) for n, t in store.tables().items()} == {n: [(1,)] for n in names}
+    with store.run() as again:  # and the next run isn't hindered
+        for n in names:
+            again.write(ids(spark, 3), n)
+    assert {n: content(t) for n, t in store.tables().items()} == {n: [(3,)] for n in names}
+    assert {n: content(t) for n, t in held.items()} == {n: [(1,)] for n in names}  # readers keep their version
+
+
+def test_a_failed_block_drops_what_it_staged(spark, store):
+    with pytest.raises(ZeroDivisionError):
+        with store.run() as run:
+            run.write(ids(spark, 1), "t")
+            1 / 0
+    assert store.versions() == [] and store.files.names(f"{store.root}/data") == []
+
+
+def test_a_table_may_be_overwritten_from_itself(spark, store):
+    with store.run() as run:
+        run.write(ids(spark, 1, 2, 3), "t")
+    with store.run() as run:
+        run.write(run.read("t").selectExpr("id * 10 AS id"), "t")
+        assert content(run.read("t")) == [(10,), (20,), (30,)] and content(store.read("t")) == [(1,), (2,), (3,)]
+    assert content(store.read("t")) == [(10,), (20,), (30,)]
+
+
+def test_the_second_of_two_runs_is_refused(spark, store):
+    first, second = store.begin(), store.begin()
+    first.write(ids(spark, 1), "t")
+    second.write(ids(spark, 2), "t")
+    assert second.publish() == 1
+    with pytest.raises(PublishConflict):
+        first.publish()
+    assert store.versions() == [1] and content(store.read("t")) == [(2,)]
+
+
+def test_empty_tables_stop_a_run(spark, store):
+    with pytest.raises(ValueError, match="No data in staged tables: t"):
+        with store.run() as run:
+            run.write(ids(spark).limit(0), "t")
+            run.publish(non_empty=["t"])
+    assert store.versions() == []
+
+
+def test_a_table_is_staged_once_a_run(spark, store):
+    run = store.begin()
+    run.write(ids(spark, 1), "t")
+    with pytest.raises(ValueError, match="already staged"):
+        run.write(ids(spark, 2), "t")
+
+
+def test_vacuum(spark, store):
+    for k in range(4):
+        with store.run() as run:
+            run.write(ids(spark, k), "t")
+            if k == 0:
+                run.write(ids(spark, 7), "kept")
+    lost = store.begin()
+    lost.write(ids(spark, 99), "t")
+    assert store.vacuum(keep=2) == []  # all folders are young
+    assert len(store.vacuum(keep=2, grace_seconds=0)) == 2  # version 2's run, and the one that died
+    assert store.versions() == [3, 4]
+    assert content(store.read("t")) == [(3,)] and content(store.read("t", 3)) == [(2,)] and content(store.read("kept")) == [(7,)]
+    with pytest.raises(ValueError):
+        store.vacuum(keep=0)
+
+
+def years(spark, *rows):
+    return spark.createDataFrame(list(rows), "Year int, n long")
+
+
+def test_partitions_are_replaced_one_by_one(spark, store):
+    with store.run() as run:
+        run.write(years(spark, (1, 10), (2, 20), (3, 30), (None, 40)), "t", partition_by="Year")
+    before = dict(store.version().tables["t"].parts)
+    with store.run() as run:
+        run.replace_partitions(years(spark, (2, 21), (None, 41)), "t", [2, 3, None])
+    after = store.version().tables["t"].parts
+    assert content(store.read("t")) == [(1, 10), (2, 21), (None, 41)]
+    assert {n for n in after if after[n] == before.get(n)} == {"Year=1"} and "Year=3" not in after
+    assert content(store.read("t", 1)) == [(1, 10), (2, 20), (3, 30), (None, 40)]
+    run = store.begin()
+    with pytest.raises(ValueError, match="not to be replaced"):
+        run.replace_partitions(years(spark, (1, 5), (2, 6)), "t", [2])
+    with pytest.raises(ValueError, match="does not fit"):
+        store.begin().replace_partitions(ids(spark, 1), "t", [2])
+
+
+def test_partitions_are_pruned(spark, store):
+    with store.run() as run:
+        run.write(years(spark, (1, 10), (2, 20)), "t", partition_by="Year")
+    with store.run() as run:
+        run.replace_partitions(years(spark, (2, 21)), "t", [2])
+    read = store.read("t").where("Year = 2")
+    assert content(read) == [(2, 21)] and {f.split("/")[-2] for f in read.inputFiles()} >= {"Year=2"}
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(Year" in plan
+
+
+# ---------------------------------------------------------------- medallion runs
+
+@pytest.fixture(scope="module")
+def sources(spark):
+    return catalog._land_files(spark, SF_SMALL, scratch_dir(spark, "t-sources"))
+
+
+def test_publish_medallion(spark, store, sources):
+    assert pipeline.publish_medallion(spark, store, sources, unique_keys=True) == 1
+    assert sorted(store.version().tables) == [
+        "bronze.bronze_customer", "bronze.bronze_orders", "bronze.bronze_products", "gold.profit", "silver.silver_customer",
+        "silver.silver_customer_rejected", "silver.silver_orders", "silver.silver_products", "silver.silver_products_rejected"]
+    assert content(pipeline.gold_of(store)) == content(gold_profit(store.read("silver.silver_orders")))
+
+
+@pytest.mark.parametrize("writes", range(1, 8))
+def test_a_medallion_run_killed_after_any_write(spark, sources, published, monkeypatch, writes):
+    """The driver dies after each write in turn: readers stay on version 1 in all layers."""
+    from strata.plans.publish import Run
+
+    store, want = published
+    done, real = [], Run._stage
+
+    def stage(self, *args):
+        if len(done) == writes:
+            raise KeyboardInterrupt
+        done.append(args[1])
+        return real(self, *args)
+
+    monkeypatch.setattr(Run, "_stage", stage)
+    if writes < 7:
+        with pytest.raises(KeyboardInterrupt):
+            pipeline.publish_medallion(spark, store, sources)
+    else:
+        monkeypatch.setattr(Run, "publish", lambda self, non_empty=(): (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            pipeline.publish_medallion(spark, store, sources)
+    assert len(done) == writes and store.versions() == [1]
+    assert {n: t.parts for n, t in store.version().tables.items()} == want
+    assert all(t.limit(1).count() == 1 for t in store.tables().values())
+
+
+@pytest.fixture(scope="module")
+def published(spark, sources):
+    store = LayerStore(spark, scratch_dir(spark, "t-store"))
+    pipeline.publish_medallion(spark, store, sources)
+    return store, {n: t.parts for n, t in store.version().tables.items()}
+
+
+def test_refresh_medallion(spark, sources, tmp_path):
+    """New sources: gold equals a rebuild, and only the years that changed are written."""
+    from dataclasses import replace
+
+    store = LayerStore(spark, scratch_dir(spark, "t-store"))
+    pipeline.publish_medallion(spark, store, sources)
+    old = dict(store.version().tables["gold.profit"].parts)
+    orders = spark.read.schema(catalog.ORDERS_DDL).json(sources.orders.path)
+    changed = orders.where("NOT (Order_Date LIKE '%1995' AND Order_ID % 3 = 0)").selectExpr(
+        "* EXCEPT (Profit)", "CASE WHEN Order_Date LIKE '%1997' THEN Profit * 2 ELSE Profit END AS Profit")
+    path = f"{scratch_dir(spark, 't-orders')}/orders"
+    changed.write.json(path)
+    version, years = pipeline.refresh_medallion(spark, store, replace(sources, orders=replace(sources.orders, path=path)))
+    assert (version, years) == (2, [1995, 1997])
+    new = store.version().tables["gold.profit"].parts
+    assert {n for n in new if new[n] != old[n]} == {"Year=1995", "Year=1997"}
+    assert content(pipeline.gold_of(store)) == content(gold_profit(store.read("silver.silver_orders")))
+
+
+# ---------------------------------------------------------------- incremental gold
+
+def silver_rows(seed, n=300):
+    r = random.Random(seed)
+    day = lambda: r.choice([None] + [dt.date(y, 5, 1) for y in (1994, 1995, 1996, 1997)])
+    return [(day(), r.choice("AB"), r.choice(["x", None]), r.randrange(4), "n",
+             r.choice([None, Decimal(r.randrange(-500, 500)) / 100])) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_deltas_equal_a_rebuild(spark, seed):
+    r = random.Random(seed)
+    old = silver_rows(seed)
+    new = [x for x in old if r.random() < 0.8] + silver_rows(seed + 50, 40)
+    if seed == 3:
+        new = [x for x in old if x[3] != 2]  # whole groups go
+    a, b = (spark.createDataFrame(rows, SILVER) for rows in (old, new))
+    want = content(gold_profit(b))
+    for signed in (signed_rows(a, b), signed_difference(a, b)):
+        got = apply_deltas(gold_groups(a), gold_deltas(signed))
+        assert content(gold_rows(got)) == want and got.where(f"{LINES} < 1").count() == 0
+
+
+def test_signed_difference(spark):
+    a, b = ids(spark, 1, 1, 2, 3), ids(spark, 1, 2, 2, 4)
+    assert content(signed_difference(a, b)) == [(1, -1), (2, 1), (3, -1), (4, 1)]
+    assert signed_difference(a, a).count() == 0
+
+
+def test_refresh_touches_only_changed_years(spark, store):
+    old = silver_rows(9)
+    with store.run() as run:
+        write_gold_groups(run, spark.createDataFrame(old, SILVER), "gold")
+    new = [x for x in old if x[0] is None or x[0].year != 1994] + [(dt.date(1996, 1, 1), "A", "x", 1, "n", Decimal("5.00")),
+                                                                    (None, "C", "x", 1, "n", Decimal("1.00"))]
+    before = dict(store.version().tables["gold"].parts)
+    files = {f for f in store.read("gold").inputFiles() if "Year=1995" in f or "Year=1997" in f}
+    a, b = (spark.createDataFrame(rows, SILVER) for rows in (old, new))
+    with store.run() as run:
+        assert refresh_gold_from_versions(run, "gold", a, b) == [1994, 1996, None]
+    after = store.version().tables["gold"].parts
+    assert "Year=1994" not in after  # all its lines are deleted
+    assert {n for n in after if after[n] == before[n]} == {"Year=1995", "Year=1997"}
+    assert files <= set(store.read("gold").inputFiles())
+    assert content(gold_rows(store.read("gold"))) == content(gold_profit(b))
+
+
+def test_refresh_by_a_change_feed(spark, store):
+    old = silver_rows(10)
+    feed = [(*old[0], -1), (*silver_rows(11, 1)[0], 1)]
+    with store.run() as run:
+        write_gold_groups(run, spark.createDataFrame(old, SILVER), "gold")
+    with store.run() as run:
+        refresh_gold(run, "gold", spark.createDataFrame(feed, f"{SILVER}, {SIGN} int"))
+    want = gold_profit(spark.createDataFrame(old[1:] + silver_rows(11, 1), SILVER))
+    assert content(gold_rows(store.read("gold"))) == content(want)
+
+
+def test_without_changes_nothing_is_written(spark, store):
+    df = spark.createDataFrame(silver_rows(12), SILVER)
+    with store.run() as run:
+        write_gold_groups(run, df, "gold")
+    before = store.version().tables["gold"].parts
+    with store.run() as run:
+        assert refresh_gold_from_versions(run, "gold", df, df.repartition(5)) == []
+    assert store.version().tables["gold"].parts == before
+
+
+def test_changes_that_do_not_fit_are_refused(spark, store):
+    df = spark.createDataFrame(silver_rows(13), SILVER)
+    with store.run() as run:
+        write_gold_groups(run, df, "gold")
+    never = [(dt.date(1995, 1, 1), "Z", "x", 1, "n", Decimal("5.00"), -1)]
+    with pytest.raises(ValueError, match="do not fit"):
+        with store.run() as run:
+            refresh_gold(run, "gold", spark.createDataFrame(never, f"{SILVER}, {SIGN} int"))
+    assert store.versions() == [1]

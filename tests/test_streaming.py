@@ -131,3 +131,53 @@ def test_stream_needs_a_schema_and_a_file_format(spark):
         ingest_files(spark, SourceSpec(f"{root}/x", "csv"), "t", f"{root}/ckpt")
     with pytest.raises(ValueError, match="Invalid source file type"):
         ingest_files(spark, SourceSpec(f"{root}/x", "xlsx", DDL), "t", f"{root}/ckpt")
+
+
+@pytest.mark.parametrize("per_trigger", [1, None])
+def test_distinct_on_arrival(spark, per_trigger):
+    """Copies from other batches are not stored; readers need no de-duplication."""
+    root, tag = scratch_dir(spark, "t-stream"), f"distinct{per_trigger}"
+    names = _names(tag)
+    prepare_schemas(spark, names, root)
+    table, src = names.bronze("orders"), SourceSpec(f"{root}/landing", "csv", DDL)
+    rows = [[(1, "a", 1.0), (1, "a", 1.0), (2, None, 2.0)], [(2, None, 2.0), (2, "b", None), (None, "b", 2.0)], [(1, "a", 1.0), (3, "c", 0.0), (3, "c", -0.0)]]
+    for part in rows:
+        spark.createDataFrame(part, DDL).coalesce(1).write.option("header", True).csv(f"{root}/landing", mode="append")
+    out = ingest_files(spark, src, table, f"{root}/ckpt", max_files_per_trigger=per_trigger, distinct=True)
+    want = sorted({x for part in rows for x in part}, key=repr)
+    assert sorted(map(tuple, out.collect()), key=repr) in (want, [w for w in want if repr(w) != repr((3, "c", -0.0))])
+    assert out.columns == ["Order_ID", "Sub_Category", "Profit"]
+    assert spark.table(table).count() == out.count() == spark.table(table + "_seen").count() == 5
+    assert "Aggregate" not in read_bronze(spark, names, "orders")._jdf.queryExecution().optimizedPlan().toString()
+    spark.createDataFrame([(1, "a", 1.0), (9, "z", 1.0)], DDL).coalesce(1).write.option("header", True).csv(f"{root}/landing", mode="append")
+    assert ingest_files(spark, src, table, f"{root}/ckpt", distinct=True).count() == 6
+
+
+def test_a_batch_that_runs_again_stores_the_same_rows(spark):
+    """Whichever of its two writes was the last to succeed."""
+    names = _names("distinct_replay")
+    prepare_schemas(spark, names, scratch_dir(spark, "t-stream"))
+    table = names.bronze("orders")
+    write = _batch_writer(table, "parquet", distinct=True)
+    first, second = (spark.createDataFrame(x, DDL) for x in ([(1, "a", 1.0), (2, "b", 2.0)], [(2, "b", 2.0), (3, "c", 3.0)]))
+    write(first, 0)
+    write(second, 1)
+    write(second, 1)
+    spark.sql(f"ALTER TABLE {table}_seen DROP PARTITION ({INGEST_BATCH_COLUMN} = 1)")  # died between the two writes
+    write(second, 1)
+    assert sorted(r[0] for r in spark.table(table).collect()) == [1, 2, 3] and spark.table(table + "_seen").count() == 3
+
+
+def test_arrival_moves_rows_once_and_no_history(spark):
+    """The full-width rows have one exchange; the bucketed digests have none."""
+    from strata.streaming.ingest import DIGEST, _seen_table, with_digest
+
+    names = _names("distinct_plan")
+    prepare_schemas(spark, names, scratch_dir(spark, "t-stream"))
+    _batch_writer(names.bronze("o"), "parquet", distinct=True)(spark.createDataFrame([(1, "a", 1.0)], DDL), 0)
+    seen, buckets = _seen_table(spark, names.bronze("o"), "parquet")
+    rows = spark.createDataFrame([(1, "a", 1.0)], DDL)
+    batch = with_digest(rows).repartition(buckets, *DIGEST).dropDuplicates(list(DIGEST))
+    earlier = spark.table(seen).where(f"{INGEST_BATCH_COLUMN} != 1").select(*DIGEST)
+    plan = batch.join(earlier.hint("shuffle_hash"), list(DIGEST), "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Bucketed: true" in plan
