@@ -1,9 +1,14 @@
 """HTML extraction (2): consensus host paths.
 
 1. Each page is read into its block elements, and its containers are scored by
-   the paragraphs they hold (length, commas, share of text in links; menus,
-   headers, footers, asides, forms, adverts, notices and comments count nowhere).
-   The page votes for the generalised tag-class path of its best container.
+   the paragraphs they hold (length, commas, share of text in links). Elements that
+   are menus, footers or asides by their tag count nowhere; headers, forms and
+   elements marked by class, id, role or style as adverts, notices, sidebars and the
+   like count nowhere unless they hold most of the page's score and no article or
+   main element stands beside them: then the mark speaks of the page (a form around
+   all of it, a layout name), not of a part. Comments stay out unless nearly all
+   the score is theirs. The page votes for the generalised tag-class path of its
+   best container.
 2. Spark adds the votes by host and path (partial sums before the shuffle) and
    takes each host's winning path.
 3. Pages join their host's path and are extracted anew from the elements on it; a
@@ -12,7 +17,7 @@
 
 Generalised: digits in a class count as one sign, and classes are sorted. White
 space (a line break is one) becomes one space inside a block; blocks are joined by
-one line end.
+one line end. A page is read in time linear in its length, malformed or not.
 
 Defined results: null or empty html gives an empty text; a null url shares one
 host with other urls that have none; a null page_id stays; repeated rows are
@@ -32,174 +37,248 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import table, written
 
+#: Each token ends somewhere whatever follows, so no text is looked at twice: a tag that is never closed
+#: ends before the next "<" that stands in no quoted value.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|svg|iframe|select|object|math|canvas)(?=[\s/>])"
-    r"(?:(?:(?<=<svg)|(?<=<math))(?:\"[^\"]*\"|'[^']*'|[^>\"'])*?/>"  # only these two end in their own tag
-    r"|[^>]*>.*?(?:</\1\s*>|\Z))"
     r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>"
-    r"|</?[a-zA-Z][^<>]*(?:>|\Z)",
-    re.DOTALL | re.IGNORECASE,
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:=\s*+(?:\"[^\"]*\"|'[^']*')|[^<>])*+)(?:>|(?=<)|\Z)",
+    re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
-WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
+#: Elements whose content is no text of the page, up to their end tag.
+RAW = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^<>]*+>?", re.IGNORECASE) for t in
+       "script style noscript template textarea title svg iframe select object canvas".split()}
+ATTRIBUTE = re.compile(r"([^\s=/\"'<>]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>]++)))?")
+ATTRIBUTES = frozenset("class id role hidden style aria-hidden".split())
+WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr param".split())
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul "
     "head caption legend optgroup option".split())
-CONTAINER = frozenset("article body center div main section td".split())
-#: Elements that are never main text.
-DROPPED = frozenset("aside button dialog fieldset footer form head input label menu nav".split())
+CONTAINER = frozenset("article body center div form main section td".split())
+#: Elements that are never main text; and those that are not unless the page's score is theirs.
+DROPPED = frozenset("annotation annotation-xml aside button dialog footer head input label menu nav".split())
+DOUBTFUL = frozenset("fieldset form".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog alertdialog form menu menubar navigation search".split())
-#: Words of class names and ids that mark a part as not main text.
-MARKS = frozenset(
+COMMENTS = frozenset("comment comments respond replies disqus".split())
+#: What a name must come down to, to mark a part as not main text.
+MARKS = COMMENTS | frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored sponsors promo promoted promotion banner outbrain "
     "taboola cookie cookies consent gdpr notice notification alert popup modal overlay newsletter subscribe subscription "
     "signup paywall share sharing social sidebar aside widget widgets related recommended recommendations menu nav navbar "
-    "navigation breadcrumb breadcrumbs header masthead topbar footer comment comments respond replies disqus login search "
-    "searchbox pagination pager".split())
-#: Words that show that a part belongs to the article, whatever else its name says.
-OWN = frozenset("article content entry post story main body text".split())
+    "navigation breadcrumb breadcrumbs header masthead topbar footer login search searchbox pagination pager".split())
+#: Marks that speak for the whole name where they begin it ("related-stories").
+FIRST = frozenset("related recommended sponsored promoted newsletter".split())
+#: Words of which a name may tell its place or form after what it is ("sidebar-inner", "comment-list").
+FORM = frozenset(
+    "area article articles bar block body bottom box button buttons card cards col column columns container content contents "
+    "grid group heading holder icons inner item items label layout left link links list lists media message module outer "
+    "panel post posts region right row section slot space text this title tools top unit units wrap wrapper zone".split())
+#: "has-sidebar", "page-with-sidebar", "comments-open": states, which name no part.
+BEFORE_STATE, STATE = frozenset("has with without no".split()), frozenset("allowed closed count disabled enabled off on open".split())
+#: Words that show that a header is the article's own.
+OWN = frozenset("article content entry post story".split())
 #: An open element that another of the same group ends.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
         "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table body html div article section main td".split())
 
+NONE, PART, COMMENT = range(3)
+#: Shares of the page's score at which a marked element is the page, not a part.
+MOST, NEARLY_ALL = 0.5, 0.95
 
-def attributes(text: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(text)} if text.strip() else {}
-
-
-def is_dropped(tag: str, a: dict[str, str], in_article: bool) -> bool:
-    """Whether an element is one of the parts that are not main text."""
-    if tag in DROPPED or (tag == "header" and not in_article):
-        return True
-    if not a:
-        return False
-    if "hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in ROLES:
-        return True
-    if "display:none" in a.get("style", "").replace(" ", "").lower():
-        return True
-    if tag in ("body", "html", "article", "main"):
-        return any(w in ("comment", "comments") for w in name_words(a))
-    words = name_words(a)
-    marked = words & MARKS
-    # "article-header" is the article's own
-    return bool(marked - {"header"}) or bool(marked and not words & OWN)
 
-
-def name_words(a: dict[str, str]) -> set[str]:
-    return {w.lower() for w in WORD.findall(f"{a.get('class', '')} {a.get('id', '')}")}
+def attributes(text: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    if text.strip():
+        for m in ATTRIBUTE.finditer(text):
+            name = m[1].lower()
+            if name in ATTRIBUTES:
+                found.setdefault(name, m[2] or m[3] or m[4] or "")
+    return found
+
+
+def mark_of(name: str) -> str | None:
+    """The mark that a class name or id comes down to: its last word, after words of state and form."""
+    words = [w.lower() for w in WORD.findall(name) if len(w) > 1]
+    for i, w in enumerate(words):
+        if w in BEFORE_STATE:
+            words = words[:i]
+            break
+    if not words or words[-1] in STATE:
+        return None
+    whole = set(words)
+    while len(words) > 1 and words[-1] in FORM:
+        words.pop()
+    last = words[-1]
+    if last == "header" and whole & OWN:
+        return None
+    return last if last in MARKS else words[0] if words[0] in FIRST else None
+
+
+def marked(tag: str, a: dict[str, str], in_article: bool) -> int:
+    """Whether an element says that it is no main text, or comments."""
+    if tag in ("body", "html"):
+        return NONE
+    marks = {mark_of(n) for n in f"{a.get('class', '')} {a.get('id', '')}".split()} if a else set()
+    if marks & COMMENTS:
+        return COMMENT
+    if tag in ("article", "main"):
+        return NONE
+    if marks - {None} or tag in DOUBTFUL or (tag == "header" and not in_article):
+        return PART
+    if a and ("hidden" in a or a.get("aria-hidden") == "true" or a.get("role", "").lower() in ROLES
+              or "display:none" in a.get("style", "").replace(" ", "").lower()):
+        return PART
+    return NONE
+
+
+def score_of(text: str, linked: int) -> float:
+    """A paragraph's score: length and commas, less its share of text in links."""
+    return (1 + min(len(text) / 100, 3) + text.count(",")) * (1 - min(1.0, linked / len(text)))
 
 
 class Page:
     """Elements and text blocks of one page."""
 
     def __init__(self, source: str):
-        self.parent, self.key, self.tag, self.out, self.link, self.own = [-1], [""], ["#"], [False], [False], [False]
-        self.blocks: list[tuple[str, int, int]] = []  # text, element, characters in links
+        # of each element: its parent, name, whether its text is never main text, its mark, the nearest marked element,
+        # whether it is in a link or in an article, and the nearest container
+        self.parent, self.key, self.tag, self.never, self.mark, self.marked = [-1], [""], ["#"], [False], [NONE], [0]
+        self.link, self.own, self.home = [False], [False], [0]
+        self._read_blocks: list[tuple[list, int]] = []  # (text, nearest marked element, in a link) of each run, block element
         self._read(source)
+        self.blocks: list[tuple[str, int, int]] = []  # text, element, characters in links
+        self._decide()
 
     def _read(self, source: str) -> None:
-        stack, held, linked, at = [0], [], 0, 0
+        stack, held, at = [0], [], 0
         tags = self.tag
+        places: dict[str, list[int]] = {}  # of the open elements in the stack, by tag
+        blocks, scopes = [0], [0]
 
         def flush():
-            nonlocal linked
             if held:
-                text = " ".join("".join(held).split())
-                if text:
-                    node = next(n for n in reversed(stack) if tags[n] in BLOCK or n == 0)
-                    self.blocks.append((text, node, linked))
+                self._read_blocks.append((held[:], stack[blocks[-1]]))
                 held.clear()
-            linked = 0
 
         def add_text(text):
-            nonlocal linked
             top = stack[-1]
-            if text and not self.out[top]:
-                if "&" in text:
-                    text = entities.unescape(text)
-                held.append(text)
-                if self.link[top]:
-                    linked += len(text.strip())
-
-        for m in TOKEN.finditer(source):
+            if text and not self.never[top]:
+                held.append((entities.unescape(text) if "&" in text else text, self.marked[top], self.link[top]))
+
+        def space():
+            if not self.never[stack[-1]]:
+                held.append((" ", self.marked[stack[-1]], False))
+
+        def cut(place):
+            while len(stack) > place:
+                t = tags[stack.pop()]
+                places[t].pop()
+                if t in BLOCK:
+                    blocks.pop()
+                if t in SCOPE:
+                    scopes.pop()
+
+        def last(tag):
+            return places[tag][-1] if places.get(tag) else 0
+
+        def end_in_scope(tag):
+            place = last(tag)
+            if place and place >= scopes[-1]:
+                cut(place)
+
+        while m := TOKEN.search(source, at):
             a, b = m.span()
             if a > at:
                 add_text(source[at:a])
             at = b
-            name = m[3]
-            if name is None:
-                if m[1] and m[1].lower() not in ("script", "style", "noscript", "template"):
-                    held.append(" ")
+            if m[2] is None:
                 continue
-            tag = name.lower()
+            tag = m[2].lower()
             block = tag in BLOCK
-            if m[2]:
-                place = self._open_at(stack, tag, block)
-                if place:
+            if m[1]:
+                place = last(tag)
+                if place and (block or blocks[-1] <= place) and (not block or tag in SCOPE or scopes[-1] <= place):
                     if block:
                         flush()
-                    del stack[place:]
+                    cut(place)
+                continue
+            closed = m[3].endswith("/")
+            if tag in RAW:
+                if tag != "svg" or not closed:
+                    end = RAW[tag].search(source, at)
+                    at = end.end() if end else len(source)
+                if tag not in ("script", "style", "noscript", "template"):
+                    space()
                 continue
             if block:
                 flush()
                 for other in ENDS.get(tag, ()):
-                    place = self._in_scope(stack, other)
-                    if place:
-                        del stack[place:]
-                place = self._in_scope(stack, "p")
-                if place:
-                    del stack[place:]
-            if tag in VOID:
-                held.append(" ")
+                    end_in_scope(other)
+                end_in_scope("p")
+            if tag in VOID or (tag == "math" and closed):
+                space()
                 continue
-            top, own = stack[-1], attributes(m[4])
+            top, own = stack[-1], attributes(m[3])
             article = self.own[top] or tag in ("article", "main")
+            node = len(tags)
+            mark = marked(tag, own, article)
             self.parent.append(top)
             tags.append(tag)
             self.key.append(f"{tag}.{'.'.join(generalised(own['class']))}" if own.get("class") else tag)
-            self.out.append(self.out[top] or is_dropped(tag, own, article))
+            self.never.append(self.never[top] or tag in DROPPED)
+            self.mark.append(mark)
+            self.marked.append(node if mark else self.marked[top])
             self.link.append(self.link[top] or tag == "a")
             self.own.append(article)
-            stack.append(len(tags) - 1)
-            if m[4].endswith("/") and not block:
-                stack.pop()
+            self.home.append(node if tag in CONTAINER else self.home[top])
+            if closed and not block:
+                continue
+            places.setdefault(tag, []).append(len(stack))
+            if block:
+                blocks.append(len(stack))
+            if tag in SCOPE:
+                scopes.append(len(stack))
+            stack.append(node)
         add_text(source[at:])
         flush()
 
-    def _open_at(self, stack, tag, block):
-        """Place in the stack of the element that an end tag ends, or 0."""
-        for place in range(len(stack) - 1, 0, -1):
-            other = self.tag[stack[place]]
-            if other == tag:
-                return place
-            if not block and other in BLOCK:
-                return 0
-            if block and tag not in SCOPE and other in SCOPE:
-                return 0
-        return 0
-
-    def _in_scope(self, stack, tag):
-        for place in range(len(stack) - 1, 0, -1):
-            other = self.tag[stack[place]]
-            if other == tag:
-                return place
-            if other in SCOPE:
-                return 0
-        return 0
+    def _decide(self) -> None:
+        """Takes the blocks that are main text: marks hold unless the score says that they mean the page."""
+        n = len(self.tag)
+        score, own, found = [0.0] * n, [0.0] * n, []
+        for runs, node in self._read_blocks:
+            plain = [r for r in runs if r[1] == self.marked[node]]  # runs in marked inline elements count nowhere
+            text = " ".join("".join(r[0] for r in plain).split())
+            if text:
+                s = score_of(text, sum(len(r[0].strip()) for r in plain if r[2]))
+                score[node] += s
+                own[node] += s if self.own[node] else 0
+        for i in range(n - 1, 0, -1):
+            score[self.parent[i]] += score[i]
+            own[self.parent[i]] += own[i]
+        out = [False] * n
+        for i in range(1, n):
+            out[i] = out[self.parent[i]]
+            if self.mark[i] and not out[i]:
+                least = NEARLY_ALL if self.mark[i] == COMMENT else MOST
+                out[i] = score[i] <= least * score[0] or own[0] - own[i] > 1e-9
+        for runs, node in self._read_blocks:
+            runs = [r for r in runs if not out[r[1]]]
+            text = " ".join("".join(r[0] for r in runs).split())
+            if text and not out[node]:
+                found.append((text, node, sum(len(r[0].strip()) for r in runs if r[2])))
+        self.blocks, self._read_blocks = found, []
 
     def best(self) -> tuple[int, float]:
         """(container with the highest score, score); (0, 0) without one."""
         scores: dict[int, float] = {}
         for text, node, linked in self.blocks:
-            s = (1 + min(len(text) / 100, 3) + text.count(",")) * (1 - min(1.0, linked / len(text)))
+            s = score_of(text, linked)
             for share in (1.0, 0.5):
-                while node > 0 and self.tag[node] not in CONTAINER:
-                    node = self.parent[node]
+                node = self.home[node]
                 if node <= 0:
                     break
                 scores[node] = scores.get(node, 0) + s * share * (1.5 if self.tag[node] in ("article", "main") else 1)

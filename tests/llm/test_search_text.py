@@ -1,6 +1,7 @@
 """Posting lists, language ID, HTML extraction and the pipeline."""
 
 import math
+import time
 import random
 from collections import Counter
 
@@ -267,6 +268,59 @@ def test_names_that_begin_like_skipped_elements(body, want):
     assert Page(f"<html><head><title>no</title></head><body>{body}</body></html>").text(None) == want
 
 
+LONG = "<p>" + "One sentence, of some length, that counts as text here. " * 3 + "</p>"
+LONG_TEXT = " ".join(LONG[3:-4].split())
+
+
+@pytest.mark.parametrize("attribute", [
+    'class="content has-sidebar"', 'id="page-with-sidebar"', 'class="article social-science"', 'class="search-engine-story"',
+    'class="layout-sidebar-right"', 'class="post comments-open"', "hidden", "style='display: none'", 'class="article-header"',
+    'class="no-sidebar widget-free"', 'role="search"', 'class="ad-free reading"', "aria-hidden=true", 'data-id="ad" class="x"'])
+def test_a_mark_on_what_holds_the_article(attribute):
+    page = f"<html><body><nav>x</nav><div {attribute}>{LONG}{LONG}</div><div class=sidebar><p>More, here.</p></div><footer>f</footer></body></html>"
+    assert Page(page).text(None) == f"{LONG_TEXT}\n{LONG_TEXT}"
+
+
+@pytest.mark.parametrize("part", [
+    "<div class=sidebar-inner>%s</div>", "<div id=comment-list>%s</div>", "<section class='post-comments'>%s</section>", "<div hidden>%s</div>",
+    "<div class='related-stories'>%s</div>", "<form>%s</form>", "<div role=banner>%s</div>", "<div class=adContainer>%s</div>", "<header>%s</header>",
+    "<div class='cookieConsentBanner'>%s</div>", "<ul class='share-buttons'><li>%s</ul>", "<p>x <span class=ad>%s</span></p>", "<aside>%s</aside>"])
+def test_marked_parts_beside_the_article(part):
+    """A part with less than the article's score goes, in the article's container too; beside an article element any part does."""
+    small = "Some words, of a part."
+    want = f"{LONG_TEXT}\n{LONG_TEXT}" + ("\nx" if part.startswith("<p>") else "")
+    assert Page(f"<html><body><div class=content>{LONG}{LONG}{part % small}</div></body></html>").text(None) == want
+    if not part.startswith("<p>"):
+        page = f"<html><body><article><p>Short, but it is the article.</p></article>{part % (LONG * 4)}</body></html>"
+        assert Page(page).text(None) == "Short, but it is the article."
+
+
+def test_a_form_around_the_page():
+    page = (f"<html><body><form id=aspnetForm method=post><input type=hidden name=__VIEWSTATE><div class=header>Site</div><ul class=menu><li>a</ul>"
+            f"<div class=content><h1>Title</h1>{LONG}{LONG}<form><p>Sign up, here.</p></form></div><div class=sidebar><p>x, y</p></div></form></body></html>")
+    assert Page(page).text(None) == f"Title\n{LONG_TEXT}\n{LONG_TEXT}"
+
+
+def test_math_is_text():
+    page = "<article><p>Energy is <math><mi>E</mi>=<mi>m</mi><annotation encoding=tex>E=m</annotation></math> here.</p></article>"
+    assert Page(page).text(None) == "Energy is E=m here."
+
+
+def test_comments_stay_out_however_long():
+    page = f"<html><body><div class=post><h1>T</h1>{LONG}</div><div id=comments>{LONG * 8}</div></body></html>"
+    assert Page(page).text(None) == f"T\n{LONG_TEXT}"
+
+
+@pytest.mark.parametrize("unit", ["<a b ", "<b>", "<b>x<p>y", "<span>", '<a ="<a "', "<ul><li>x", "<svg ", "<script>", '<a class="', "<!--", "<div class=ad>x,",
+                                  "</p>", "&", "<svg>x</svg", "<", "<a ='", "<a x='\"<b y=\"'", "<td><table>", "<a class ", "<p hidden>z"])
+def test_malformed_pages_take_linear_time(unit):
+    """1 MB of anything takes seconds; twice as much, no more than about twice as long."""
+    n = 1_000_000 // len(unit)
+    begin = time.process_time()
+    Page(unit * n)
+    assert time.process_time() - begin < 12
+
+
 def test_pipeline_keeps_lettered_texts_without_labels(spark):
     import corpus_pipeline as pipeline
 
