@@ -37,17 +37,21 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0
        sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM split LEFT JOIN kept USING (doc_id)"""
 
-NEAR_DUPLICATES = f"""
-WITH RECURSIVE {_VECTORS},
-unit AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS size FROM vectors),
+NEAR_DUPLICATES = """
+WITH RECURSIVE
+numbered AS (SELECT vec_id, embedding, row_number() OVER () AS r FROM embeddings),
+unit AS (
+  SELECT r, v, sqrt(list_dot_product(v, v)) AS size FROM (SELECT r, CAST(embedding AS DOUBLE[]) AS v FROM numbered
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
 links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b
-  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.9),
-reached AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a),
-least AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id),
-counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
-SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
-FROM least LEFT JOIN counts USING (vec_id)"""
+  SELECT a.r AS a, b.r AS b FROM unit a JOIN unit b
+  ON a.r <> b.r AND len(a.v) = len(b.v) AND list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.9),
+reached AS (SELECT r, r AS other FROM numbered UNION SELECT x.r, l.b FROM reached x JOIN links l ON x.other = l.a),
+least AS (SELECT x.r, min(n.vec_id) AS component_id FROM reached x JOIN numbered n ON n.r = x.other GROUP BY x.r),
+counts AS (SELECT a AS r, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM numbered JOIN least USING (r) LEFT JOIN counts USING (r)"""
 
 #: Units, cut points and forms from the hash of the id; the restored text is the text.
 FILL_IN_MIDDLE = r"""

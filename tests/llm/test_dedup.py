@@ -181,6 +181,13 @@ def valid(v):
 def test_near_duplicates(spark, monkeypatch):
     monkeypatch.setattr(capfilters, "PART_ROWS", 16)  # so that the hot filters are split
     rows = vectors_with_copies()
+    # rows that share an id are vectors of their own: two components meet in ids 5000 and 5001 but not in a row
+    r = np.random.default_rng(8)
+    a, b = r.normal(size=(2, 24))
+    rows += [(5000, a.tolist(), "x"), (5000, b.tolist(), "x"), (4900, (a + 0.01).tolist(), "x"), (5001, (b + 0.01).tolist(), "x"), (5001, b.tolist(), "x")]
+    # one id with a third of all rows: different vectors, among them copies and near copies of others
+    rows += [(5100, v.tolist(), "x") for v in r.normal(size=(90, 24))]
+    rows += [(5100, (np.array(rows[k][1]) * 1.5 + 0.01).tolist(), "x") for k in range(20)] + [(5100, rows[3][1], "x")] * 3
     frame = spark.createDataFrame(rows, VECTOR_SCHEMA).repartition(3)
     use = [(i, np.array(v, np.float64)) for i, v, _ in rows if i is not None and valid(v)]
     cos = lambda a, b: len(a) == len(b) and a @ b / math.sqrt((a @ a) * (b @ b)) >= 0.9
@@ -204,14 +211,32 @@ def test_shared_filters_at_the_threshold():
     w = r.normal(size=u.shape)
     w -= (w * u).sum(axis=1, keepdims=True) * u
     w /= np.linalg.norm(w, axis=1, keepdims=True)
-    code = ProductCode(64)
+    code = ProductCode(64, 0.9)
     a = set(zip(*(x.tolist() for x in code.filters(u))))
-    assert Counter(r for r, _ in a)[0] >= capfilters.LEAST
-    for rho, least in ((0.9, 0.98), (0.95, 0.998)):
+    # the cap selects: hardly a vector exceeds no filter, and all filters that a vector exceeds are its own
+    left, right = code.strengths(u[:200])
+    beyond = [set(np.flatnonzero((left[k][:, None] + right[k] >= code.cap).ravel())) for k in range(200)]
+    assert sum(len(b) < capfilters.LEAST for b in beyond) <= 8 and 30 < np.mean([len(b) for b in beyond]) < 150
+    assert all(b == {f for r, f in a if r == k} for k, b in enumerate(beyond) if len(b) >= capfilters.LEAST)
+    assert min(Counter(r for r, _ in a).values()) >= capfilters.LEAST and len({r for r, _ in a}) == len(u)
+    for rho, least in ((0.9, 0.98), (0.95, 0.995)):
         b = set(zip(*(x.tolist() for x in code.filters(rho * u + math.sqrt(1 - rho**2) * w))))
         assert len({r for r, _ in a & b}) >= least * len(u)
 
 
+@pytest.mark.parametrize("d", [1, 2, 3, 4, 7, 10])
+def test_filters_of_few_dimensions(d):
+    """Few directions differ there, so there are few filters; pairs at the threshold still meet."""
+    r = np.random.default_rng(d)
+    code = ProductCode(d, 0.9)
+    u, w = r.normal(size=(2, 300, d))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    w -= (w * u).sum(axis=1, keepdims=True) * u
+    v = 0.9 * u + math.sqrt(0.19) * w / np.maximum(np.linalg.norm(w, axis=1, keepdims=True), 1e-30) if d > 1 else 3 * u
+    a, b = (set(zip(*(x.tolist() for x in code.filters(x / np.linalg.norm(x, axis=1, keepdims=True))))) for x in (u, v))
+    assert len({r for r, _ in a & b}) >= 0.95 * len(u) and max(Counter(r for r, _ in a).values()) <= 2 ** min(18, d + d % 2)
+
+
 def test_substring_rejects_short_windows(no_docs):
     with pytest.raises(ValueError):
         remove_repeats(no_docs, window=substring.K - 1)
