@@ -1,14 +1,14 @@
 """Approximate nearest neighbours (1): balanced posting lists.
 
 After SPANN (Chen et al., 2021). Centroids are fitted on the driver from a
-bounded sample (``SAMPLE`` vectors, by a hash of the id) by balanced bisection
-and a few means steps; their number follows the count of vectors up to
-``MAX_LISTS``. Every vector is indexed: it goes to the list of its nearest
+bounded sample (``SAMPLE`` vectors, by a hash of the id) by balanced bisection;
+their number follows the count of vectors up to ``MAX_LISTS``. Every vector is indexed: it goes to the list of its nearest
 centroid and, as a boundary vector, to further lists whose centroid is hardly
 farther (``BOUNDARY``), up to ``REPLICAS``. A query walks a graph of the
 centroids in memory, best first, and reads every list whose centroid is at most
-``RATIO`` times as far as the nearest one (distance-ratio pruning). Vectors of
-selected lists are compared exactly. Lists longer than ``PART_ROWS`` are split by
+``RATIO`` times as far as the nearest one (distance-ratio pruning), but ``FEWEST``
+lists at least, so small tables are searched whole. Vectors of selected lists are
+compared exactly. Lists longer than ``PART_ROWS`` are split by
 a hash, and a query reads all parts. Equal rows are one row from the start, and
 wherever ``k`` is counted, ids are counted, not rows: a query's lists hold more
 than ``k`` ids, and each part gives its ``k`` nearest ids, so an id with many
@@ -35,20 +35,26 @@ from strata.llm.vectors import exact_distance, matrices, pieces, valid_vectors
 SAMPLE = 20_000  # vectors for fitting
 MAX_LISTS = 2048
 LIST_ROWS = 100  # vectors a list has until MAX_LISTS is reached
-REPLICAS = 6
-BOUNDARY = 1.15  # a boundary vector's further centroids: at most so many times as far
-RATIO = 1.18  # lists a query reads: centroids at most so many times as far as the nearest
+REPLICAS = 4
+FEWEST = 8
+BOUNDARY = 1.1  # a boundary vector's further centroids: at most so many times as far
+RATIO = 1.12  # lists a query reads: centroids at most so many times as far as the nearest
 PART_ROWS = 4000
 HELD_QUERIES = 100_000  # queries whose nearest a task holds before it sends them on
 DEGREE = 16  # neighbours of a centroid in the graph
+BEAM = 32  # nearest centroids met whose neighbours are met too
 
 
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1), 0)
 
 
-def fit_centroids(sample: np.ndarray, lists: int, rounds: int = 5, seed: int = 3) -> np.ndarray:
-    """At most ``lists`` centroids: the largest cluster is halved at a median, then means steps."""
+def fit_centroids(sample: np.ndarray, lists: int, seed: int = 3) -> np.ndarray:
+    """At most ``lists`` centroids: the largest cluster is halved at a median, which keeps the lists balanced.
+
+    Means steps afterwards would draw centroids together in the middle of dense
+    clusters, and lists there grow long and alike (measured: less recall for more work).
+    """
     rng = np.random.default_rng(seed)
     clusters = [np.arange(len(sample))]
     while len(clusters) < lists:
@@ -63,12 +69,6 @@ def fit_centroids(sample: np.ndarray, lists: int, rounds: int = 5, seed: int = 3
         order = np.argsort(x @ (far - other), kind="stable")
         clusters += [own[order[: len(own) // 2]], own[order[len(own) // 2 :]]]
     centroids = np.array([sample[c].mean(axis=0) for c in clusters])
-    for _ in range(rounds):
-        near = squared(sample, centroids).argmin(axis=1)
-        n = np.bincount(near, minlength=len(centroids))
-        sums = np.zeros_like(centroids)
-        np.add.at(sums, near, sample)
-        centroids[n > 0] = sums[n > 0] / n[n > 0, None]
     return np.unique(centroids, axis=0)
 
 
@@ -88,16 +88,16 @@ class CentroidGraph:
     def search(self, q: np.ndarray, ratio: float, least: int) -> tuple[np.ndarray, np.ndarray]:
         """(distance to each centroid met, else inf; which are selected): all that are at most ``ratio``
         times as far as the nearest, and ``least`` at least. A centroid within the ratio, or among the
-        nearest ``least``, has its neighbours met."""
+        nearest ``BEAM`` met, has its neighbours met; that widens the walk, not the selection."""
         n, m = len(q), len(self.c)
         dist = np.full((n, m), np.inf)
         opened = np.zeros((n, m), bool)
         dist[:, self.entry] = np.sqrt(squared(q, self.c[[self.entry]]))[:, 0]
-        least = min(max(least, 2 * DEGREE), m)
+        least, beam = min(least, m), min(max(least, BEAM), m)
         rows = np.arange(n)
         while len(rows):
             limit = dist[rows].min(axis=1) * ratio
-            nth = np.partition(dist[rows], least - 1, axis=1)[:, least - 1]
+            nth = np.partition(dist[rows], beam - 1, axis=1)[:, beam - 1]
             open_now = (dist[rows] <= np.maximum(limit, nth)[:, None]) & ~opened[rows] & np.isfinite(dist[rows])
             go = open_now.any(axis=1)
             r, c = np.nonzero(open_now)
@@ -180,7 +180,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
                 d = q.shape[1]
                 graph = graph_of(d)
                 sizes_here = np.array([known.get((d, j), 0) for j in range(len(graph.c))])
-                least = 8
+                least = FEWEST
                 while True:  # lists that hold more than k ids in all, if there are so many
                     dist, chosen = graph.search(q, RATIO, least)
                     if least >= len(graph.c) or (chosen @ sizes_here).min() > k:

@@ -327,3 +327,28 @@ def test_pipeline_keeps_lettered_texts_without_labels(spark):
     rows = [(1, "some words", None, "s", 1), (2, "文字", None, "s", 1), (3, "12 !!", None, "s", 1), (4, None, None, "s", 1), (None, "x" * 5000, None, "s", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     assert {r["doc_id"] for r in pipeline.language_id(spark, docs, "").collect()} == {1, 2, None}
+
+
+def test_lists_that_prune():
+    """50,000 clustered vectors: the lists stay balanced, and a small share of the table holds nearly all neighbours."""
+    r = np.random.default_rng(0)
+    centres = r.normal(size=(300, 64))
+    x = centres[r.integers(0, 300, 50_000)] + 0.5 * r.normal(size=(50_000, 64))
+    graph = CentroidGraph(fit_centroids(x[r.permutation(len(x))[:postings.SAMPLE]], 500))
+    rows, lists, first = postings.lists_of(x, graph)
+    assert first.sum() == len(x) and set(rows[first]) == set(range(len(x)))
+    sizes = np.bincount(lists[first], minlength=len(graph.c))
+    assert sizes.max() <= 6 * len(x) / len(graph.c)
+    order = np.argsort(lists, kind="stable")
+    held = np.split(rows[order], np.searchsorted(lists[order], np.arange(1, len(graph.c))))
+    queries = np.arange(0, len(x), 500)
+    _, chosen = graph.search(x[queries], postings.RATIO, postings.FEWEST)
+    found = compared = 0
+    for q, own in zip(queries, chosen):
+        d = ((x - x[q]) ** 2).sum(axis=1)
+        d[q] = np.inf
+        true = np.argpartition(d, 10)[:10]
+        read = np.concatenate([held[k] for k in np.flatnonzero(own)])
+        compared += len(read)
+        found += np.isin(true, read).sum()
+    assert found >= 0.95 * 10 * len(queries) and compared < 0.1 * len(x) * len(queries)
