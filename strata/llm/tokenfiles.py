@@ -12,7 +12,8 @@ into memory again.
 
 Defined results: null text is an empty text (its end id is written); null ids
 come first, with an id of 0 and ``null_docs`` in the manifest counting them;
-rows of one id are ordered by a hash of their text; an empty table gives an
+rows of one id are ordered by a hash of their text; equal rows, however many,
+spread over the partitions by their place in the input; an empty table gives an
 empty folder with a manifest; other columns are left out.
 """
 
@@ -83,7 +84,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     rows = (
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .withColumn("tie", F.xxhash64("text"))
-        .repartitionByRange("doc_id", "tie")
+        .withColumn("copy", F.monotonically_increasing_id())  # equal rows, however many, spread over the partitions
+        .repartitionByRange("doc_id", "tie", "copy")
         .sortWithinPartitions("doc_id", "tie")
         .select("doc_id", "text")
     )

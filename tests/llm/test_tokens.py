@@ -2,13 +2,14 @@
 
 import hashlib
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from strata.llm import packing
 from strata.llm.common import BYTE_BPE, WORD_BPE, shared_folder, vocabulary
 from strata.llm.encode import ByteLevelEncoder, WordEncoder, load_tokenizer
 from strata.llm.packing import SumOfSquares, pack
@@ -87,6 +88,47 @@ def test_sum_of_squares_level():
     assert p.best_level(3) == min(change, key=lambda h: (change[h], -h)) == 4
 
 
+@pytest.mark.parametrize("lengths", ["long", "mixed", "full", "skewed", "short"])
+def test_open_windows_are_bounded(lengths):
+    """Rests that fit nowhere are cut while streaming; every id lies in one piece, in order, and hardly any wait for the end."""
+    r = np.random.default_rng(1)
+    sizes = {"long": [1200] * 10_000, "mixed": r.integers(1, 3000, 10_000).tolist(), "full": [2047] * 5000,
+             "skewed": (r.pareto(1.2, 10_000) * 200 + 1).astype(int).tolist(), "short": [1] * 100_000}[lengths]
+    pieces = []
+    p = SumOfSquares(2048, 0, lambda *x: pieces.append(x))
+    for d, n in enumerate(sizes):
+        p.add(d, np.arange(n, dtype="<u4"))
+        assert p.n_open <= packing.OPEN
+    left = sum(len(x[2]) for windows in p.open.values() for w in windows for x in w)
+    assert p.n_open == sum(map(len, p.open.values())) == p.levels.sum() and left < 0.02 * sum(sizes)
+    p.finish()
+    at, windows = Counter(), defaultdict(list)
+    for d, start, ids, total, sequence, offset in sorted(pieces, key=lambda x: x[:2]):
+        assert start == at[d] == ids[0] and total == sizes[d] and len(ids)
+        at[d] += len(ids)
+        windows[sequence].append((offset, len(ids)))
+    assert [at[d] for d in range(len(sizes))] == sizes
+    for parts in windows.values():
+        ends = [o + n for o, n in sorted(parts)]
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1].bit_count() == 1
+
+
+def test_equal_rows_spread_over_files(spark):
+    """A row that makes up most of the table fills several files, and comes out as often as it went in."""
+    rows = [(7, "the same text again")] * 3000 + [(k, f"text {k}") for k in range(40)]
+    folder, small = shared_folder(spark, "test-files"), "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(small, "false")  # the table is small: its partitions would be joined again
+    try:
+        manifest = write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), folder, vocabulary(BYTE_BPE))
+    finally:
+        spark.conf.set(small, "true")
+    got = read_token_files(spark, folder).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(d for d, _ in rows)
+    assert len(manifest) >= 4 and max(m["n_docs"] for m in manifest) < 2000
+    starts = sorted((r["start"], r["doc_id"], r["n_tokens"]) for r in got)
+    assert [s for s, _, _ in starts] == np.cumsum([0, *(n for _, _, n in starts)])[:-1].tolist() and [d for _, d, _ in starts] == sorted(d for d, _ in rows)
+
+
 def test_token_files(made, spark, edge_docs, edge_rows, no_docs):
     _, tokenizer = made[BYTE_BPE]
     folder = shared_folder(spark, "test-files")
