@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import gold, silver
 from strata.operators import quality as Q
+from strata.operators.late import YEAR
 from strata.operators.naming import clean_column_names
 from strata.operators.observed import WriteChecks
 from strata.operators.survivorship import losing_rows, survivors
@@ -37,7 +38,8 @@ from strata.plans.pipeline import (
     publish_medallion,
     run_medallion,
 )
-from strata.plans.incremental import gold_rows, refresh_gold_from_versions, write_gold_groups
+from strata.plans.incremental import gold_rows, refresh_gold, refresh_gold_from_versions, write_gold_groups
+from strata.plans.late import resolve_late, write_orders_and_index
 from strata.plans.publish import LayerStore
 from strata.session import scratch_dir, scratch_schema
 from strata.settings import LayerNames, SourceSpec
@@ -45,7 +47,7 @@ from strata.sources import variants as V
 from strata.sources.adapters import load_bronze
 from strata.sources.quarantine import read_split
 from strata.sources.readers import read_csv, read_json, read_table
-from strata.sources.sinks import write_table
+from strata.sources.sinks import materialize, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -324,13 +326,19 @@ def _run_names(spark: SparkSession, tag: str) -> LayerNames:
     return names
 
 
-# Orders of one pretty-printed file: bounded by the key, not by the data's size.
-ORDERS_PER_FILE = 5_000
+# Records of one pretty-printed file, whatever the keys.
+RECORDS_PER_FILE = 5_000
 
 
 def _write_json_arrays(orders: DataFrame, path: str) -> None:
-    """Many files, each one pretty-printed JSON array, as an export tool leaves them."""
-    rows = orders.groupBy(F.floor(F.col("Order_ID") / ORDERS_PER_FILE).alias("file")).agg(
+    """Many files, each one pretty-printed JSON array, as an export tool leaves them.
+
+    A file takes consecutive rows of one partition, so no key makes a file
+    large; the numbers are stored first, so that a task which runs again does
+    not deal its rows out anew.
+    """
+    numbered = materialize(orders.withColumn("_file", F.expr(f"monotonically_increasing_id() div {RECORDS_PER_FILE}")), "json-files")
+    rows = numbered.groupBy("_file").agg(
         F.collect_list(F.to_json(F.struct(*orders.columns), {"pretty": "true"})).alias("records"))
     text = F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]"))
     rows.select(text.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
@@ -550,6 +558,22 @@ def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_as_double(gold_rows(store.read("gold.profit")).withColumn("rewritten", rewritten))
 
 
+def late_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver orders after every fifth customer and every seventh product arrived later than their orders; gold follows."""
+    store = LayerStore(spark, f"{scratch_dir(spark, 'late')}/store")
+    b = load_bronze(spark, sf_dir)
+    customers, products = silver.enrich_customers(b.customer), silver.enrich_products(b.products)
+    with store.run() as run:
+        early = [run.write(customers.where("customer_id % 5 <> 0"), "silver.silver_customer", dedup=False),
+                 run.write(products.where("Product_ID % 7 <> 0"), "silver.silver_products", dedup=False)]
+        orders = silver.enrich_orders(b.orders, *early, dimensions_distinct=True)
+        write_gold_groups(run, write_orders_and_index(run, orders), "gold.profit")
+    with store.run() as run:
+        _, signed = resolve_late(run, customers, products)
+        refresh_gold(run, "gold.profit", signed)
+    return decimals_as_double(store.read("silver.silver_orders").drop(YEAR))
+
+
 # ------------------------------------------------------------- quarantine
 
 #: Planted records that do not fit: cut lines, and values of another type.
@@ -619,4 +643,5 @@ QUERIES.update({
     "dimension_rejects": dimension_rejects,
     "published_medallion": published_medallion,
     "gold_incremental": gold_incremental,
+    "late_dimensions": late_dimensions,
 })

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.deltas import LINES, apply_deltas, gold_deltas, gold_groups, signed_rows
@@ -21,11 +21,11 @@ def gold_rows(groups: DataFrame) -> DataFrame:
     return groups.select(*GOLD_KEYS, "Profit")
 
 
-def in_years(years: list) -> "F.Column":
-    """Whether Year is one of ``years``, null included if listed: a predicate that prunes partitions."""
+def in_years(years: list, column: str = "Year") -> Column:
+    """Whether the year is one of ``years``, null included if listed: a predicate that prunes partitions."""
     known = [y for y in years if y is not None]
-    wanted = F.col("Year").isin(known) if known else F.lit(False)
-    return wanted | F.col("Year").isNull() if None in years else wanted
+    wanted = F.col(column).isin(known) if known else F.lit(False)
+    return wanted | F.col(column).isNull() if None in years else wanted
 
 
 def refresh_gold(run: Run, table: str, signed: DataFrame) -> list:

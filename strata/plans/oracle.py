@@ -415,3 +415,4 @@ ORACLE["report_lattice"] = with_layers("\nUNION ALL\n".join(
     + f", CAST(round(sum(Profit), 2) AS DOUBLE) AS total_profit_by_year FROM gold GROUP BY {', '.join(keys)}"
     for report, keys in (("year", ("Year",)), ("year_category", ("Year", "Product_Category")),
                          ("customer", ("Customer_ID", "customer_name")), ("customer_year", ("Year", "Customer_ID")))))
+ORACLE["late_dimensions"] = ORACLE["silver_orders"]
