@@ -35,6 +35,7 @@ and kept false; an empty table gives no rows; other columns are left out.
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,7 @@ PAIRS = 400  # random pairs from which a cap is set
 LEAST = 8  # filters of a vector that exceeds fewer
 PART_ROWS = 1500
 DECODED = 100  # vectors decoded at a time
+HELD = 50_000  # linked vectors whose filters a task holds
 MARGIN = 1e-5  # single-precision cosines nearer than this to the threshold are computed anew
 
 
@@ -142,17 +144,36 @@ def shared_before(filters: list[np.ndarray], filter_id: int, i, j) -> np.ndarray
     return out
 
 
-def linked_pairs(a: np.ndarray, b: np.ndarray, threshold: float, same: bool):
+class Vectors:
+    """Rows of one part: numbers, copies, side, vectors with their norms and single-precision unit vectors."""
+
+    def __init__(self, node, copies, side, x):
+        self.node, self.copies, self.side, self.x = node, copies, side, x
+        self.norm = np.sqrt((x * x).sum(axis=1))
+        self.unit = (x / self.norm[:, None]).astype(np.float32)
+
+    def part(self, rows) -> "Vectors":
+        out = object.__new__(Vectors)
+        out.__dict__ = {n: v[rows] for n, v in self.__dict__.items()}
+        return out
+
+    @staticmethod
+    def joined(parts: list["Vectors"]) -> "Vectors":
+        out = object.__new__(Vectors)
+        out.__dict__ = {n: np.concatenate([getattr(p, n) for p in parts]) for n in parts[0].__dict__}
+        return out
+
+
+def linked_pairs(a: Vectors, b: Vectors, threshold: float, same: bool):
     """(i, j) with cosine >= threshold, in double precision; with ``same`` (a is b) i < j."""
-    na, nb = (np.sqrt((x * x).sum(axis=1)) for x in (a, b))
-    c = (a / na[:, None]).astype(np.float32) @ (b / nb[:, None]).astype(np.float32).T
+    c = a.unit @ b.unit.T
     near = c >= threshold - MARGIN
     if same:
-        near &= np.tri(len(a), len(b), -1, dtype=bool).T
+        near = np.triu(near, 1)
     i, j = np.nonzero(near)
     sure = c[i, j] >= threshold + MARGIN
     for x in np.flatnonzero(~sure):
-        sure[x] = a[i[x]] @ b[j[x]] / (na[i[x]] * nb[j[x]]) >= threshold
+        sure[x] = a.x[i[x]] @ b.x[j[x]] / (a.norm[i[x]] * b.norm[j[x]]) >= threshold
     return i[sure], j[sure]
 
 
@@ -202,54 +223,66 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.9) -> DataFrame:
         "dim", "filter", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"),
         (F.col("part") > F.col("other")).cast("int").alias("side"), "node", "copies", "v")
 
-    def compare(batches):
-        key, held = None, []
+    def parts_of(batches):
+        """(dim, filter, a, b) and rows of each stretch of equal keys; a key may go on in the next stretch."""
         for batch in batches:
             columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(4)]
-            cuts = np.flatnonzero(np.any([np.diff(c) != 0 for c in columns], axis=0)) + 1
-            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
-                if a == b:
-                    continue
-                now = tuple(int(c[a]) for c in columns)
-                if now != key and held:
-                    yield from task(key, held)
-                    held = []
-                key = now
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield from task(key, held)
-
-    def task(key, held):
+            cuts = (np.flatnonzero(np.any([np.diff(c) != 0 for c in columns], axis=0)) + 1).tolist()
+            rows = [batch.column(c).to_numpy() for c in ("node", "copies", "side")]
+            of_length = {x.shape[1]: (own, Vectors(*(r[own] for r in rows), x)) for own, x in matrices(batch)}
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+                if a < b:
+                    own, vectors = of_length[int(columns[0][a])]
+                    first = int(np.searchsorted(own, a))
+                    yield tuple(int(c[a]) for c in columns), vectors.part(slice(first, first + b - a))
+
+    def compare(batches):
+        decoded: dict[int, np.ndarray] = {}
+        out = []
+        for key, stretches in groupby(parts_of(batches), key=lambda p: p[0]):
+            found = task(key, [v for _, v in stretches], decoded)
+            if found:
+                out.append(found)
+            if len(out) >= 1000:
+                yield made(out)
+                out = []
+        yield made(out)
+
+    def made(out):
+        columns = [np.concatenate([np.empty(0, np.int64), *(o[k] for o in out)]) for k in range(3)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "links", "label"])
+
+    def task(key, held, decoded):
+        """(numbers, links counted here, least number reached here) of the rows with links."""
         _, filter_id, a, b = key
-        data = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-        side = data.column("side").to_numpy()
-        nodes, copies = data.column("node").to_numpy(), data.column("copies").to_numpy()
-        if len(nodes) < 2:
-            return
-        (_, x), = matrices(data)
+        rows = held[0] if len(held) == 1 else Vectors.joined(held)
+        if len(rows.node) < 2:
+            return None
         if a == b:
-            left = right = np.arange(len(nodes))
+            i, j = linked_pairs(rows, rows, threshold, True)
         else:
-            left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        if not len(left) or not len(right):
-            return
-        i, j = linked_pairs(x[left], x[right], threshold, a == b)
+            left, right = np.flatnonzero(rows.side == 0), np.flatnonzero(rows.side == 1)
+            i, j = linked_pairs(rows.part(left), rows.part(right), threshold, False)
+            i, j = left[i], right[j]
         if not len(i):
-            return
-        i, j = left[i], right[j]
-        rows = np.unique(np.concatenate([i, j]))
-        labels, _ = least_labels(nodes, nodes, np.concatenate([i, j]), np.concatenate([j, i]))
-        r, f = filters_of(x[rows], threshold)
-        filters = np.split(f, np.flatnonzero(np.diff(r)) + 1)
-        at = np.full(len(nodes), -1)
-        at[rows] = np.arange(len(rows))
-        counted = ~shared_before(filters, filter_id, at[i], at[j])
+            return None
+        linked, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+        i, j = at[:len(i)], at[len(i):]
+        node, copies = rows.node[linked], rows.copies[linked]
+        labels, _ = least_labels(node, node, np.concatenate([i, j]), np.concatenate([j, i]))
+        new = np.array([k for k, n in enumerate(node.tolist()) if n not in decoded], np.int64)
+        if len(new):
+            if len(decoded) > HELD:
+                decoded.clear()
+                new = np.arange(len(node))
+            r, f = filters_of(rows.x[linked[new]], threshold)
+            decoded.update(zip(node[new].tolist(), np.split(f, np.flatnonzero(np.diff(r)) + 1)))
+        counted = ~shared_before([decoded[n] for n in node.tolist()], filter_id, i, j)
         i, j = i[counted], j[counted]
-        links = np.zeros(len(nodes), np.int64)
+        links = np.zeros(len(node), np.int64)
         np.add.at(links, i, copies[j])
         np.add.at(links, j, copies[i])
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[rows]), pa.array(links[rows]), pa.array(labels[rows])],
-                                         names=["node", "links", "label"])
+        return node, links, labels
 
     groups = placed.repartition("dim", "filter", "a", "b").sortWithinPartitions("dim", "filter", "a", "b")
     counted = written(groups.mapInArrow(compare, "node bigint, links bigint, label bigint"), "cap-links")
