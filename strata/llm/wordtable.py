@@ -8,8 +8,9 @@
 2. A bucket's task encodes each distinct word once and sends the ids back.
 3. Ids join their block by position: a block keeps, for each word of each
    document, the word's number in the block's table.
-4. Decoding joins each id with its piece (a table bounded by the vocabulary) and
-   reads the pieces' bytes as UTF-8.
+4. Decoding joins each id with its piece and reads the pieces' bytes as UTF-8. The
+   id-to-piece table is bounded by the vocabulary and an id is its row number, so
+   every task holds it and the join is a gather by id, without a shuffle.
 
 The split is made twice, once for the words and once for the blocks: the input
 must give the same rows in the same order on every read, as files do. Pass
