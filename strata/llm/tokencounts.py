@@ -11,10 +11,14 @@ allocated by an explicit rule:
 * ``majority``: to the section that holds most of its bytes, ties to the earlier;
 * ``split``: to every section it touches, in proportion to its bytes.
 
-Sections must not overlap; a token's bytes outside every section count nowhere.
+Where given sections overlap, the text is the part of the section that starts
+first (of equal starts the shorter), so no byte counts twice; the result still
+names each section by its given span. A token's bytes outside every section count
+nowhere.
 
 Defined results: null or empty text has one empty section with no tokens; given
-sections that are null or have a null bound are left out;
+sections that are null, have a null bound or end before they start are left out;
+bounds beyond the text are taken back to it;
 repeated rows are counted row by row; null ids stay; an empty table gives no
 rows; other columns are left out.
 """
@@ -45,6 +49,15 @@ def line_spans(text: bytes) -> np.ndarray:
     return np.column_stack([np.concatenate([[0], ends[:-1]]), ends])
 
 
+def apart(spans: np.ndarray) -> np.ndarray:
+    """Spans in order of start and end, each without what earlier ones hold."""
+    if not len(spans):
+        return spans
+    before = np.concatenate([[0], np.maximum.accumulate(spans[:, 1])[:-1]])
+    start = np.maximum(spans[:, 0], before)
+    return np.column_stack([start, np.maximum(start, spans[:, 1])])
+
+
 def share(tokens: np.ndarray, spans: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
     """(tokens of each section, crossing tokens that touch it).
 
@@ -85,7 +98,7 @@ def token_counts(docs: DataFrame, tokenizer: str, sections: str | None = None, r
         raise ValueError(f"rule must be one of {RULES}")
     columns = [F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")]
     if sections:
-        known = F.filter(sections, lambda s: s["start"].isNotNull() & s["end"].isNotNull())
+        known = F.filter(sections, lambda s: F.coalesce(s["start"] <= s["end"], F.lit(False)))
         spans = F.transform(known, lambda s: F.array(s["start"].cast("bigint"), s["end"].cast("bigint")))
         columns.append(F.sort_array(spans).alias("spans"))
     names = [x.split()[0] for x in SCHEMA.split(", ")]
@@ -112,10 +125,10 @@ def token_counts(docs: DataFrame, tokenizer: str, sections: str | None = None, r
                         shown = np.array(given[i] or [], np.int64).reshape(-1, 2)
                         n = len(text) if chars is None else int(chars[-1])
                         shown = np.clip(shown, 0, n)
-                        spans = shown
+                        spans = apart(shown)
                         if chars is not None:
                             leads = np.append(np.flatnonzero(np.diff(chars)), len(text))
-                            spans = leads[shown]
+                            spans = leads[spans]
                     counts, crossing = share(tokens, spans, rule)
                     k = len(spans)
                     values = ([doc_ids[i]] * k, range(k), shown[:, 0].tolist(), shown[:, 1].tolist(),

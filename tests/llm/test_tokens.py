@@ -210,6 +210,27 @@ def test_token_counts_sections_with_null_bounds(spark):
     assert [(r["doc_id"], r["section"], r["start"], r["end"]) for r in rows] == [(1, 0, 0, 3)]
 
 
+def test_token_counts_of_overlapping_sections(made, spark):
+    """Text in several sections belongs to the one that starts first; a section that ends before it starts is none."""
+    encoder, tokenizer = made[BYTE_BPE]
+    text = "déjà vu encore, the overlapping sections of one text"
+    given = [(5, 20), (0, 9), (5, 12), (30, 18), (18, 18), (15, 40), (35, 99), (-3, 2), (0, 9)]
+    docs = spark.createDataFrame([(1, text, given)], "doc_id long, text string, parts array<struct<start:int,end:int>>")
+    got = [(r["start"], r["end"], round(r["n_tokens"], 6)) for r in token_counts(docs, vocabulary(BYTE_BPE), sections="parts", rule="split").collect()]
+    sections = sorted((min(max(a, 0), len(text)), min(max(b, 0), len(text))) for a, b in given if a <= b)
+    assert [g[:2] for g in got] == sections
+    owner = []  # of each byte
+    for place, c in enumerate(text):
+        owner += [next((k for k, (a, b) in enumerate(sections) if a <= place < b), None)] * len(c.encode())
+    want, at = [0.0] * len(sections), 0
+    for size in encoder.piece_bytes[plain(tokenizer, text)].tolist():
+        for k in owner[at:at + size]:
+            if k is not None:
+                want[k] += 1 / size
+        at += size
+    assert [g[2] for g in got] == [round(w, 6) for w in want]
+
+
 @pytest.mark.parametrize("stable", [True, False])
 def test_word_table(made, spark, edge_docs, edge_rows, no_docs, stable):
     _, tokenizer = made[BYTE_BPE]
