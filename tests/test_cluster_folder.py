@@ -16,6 +16,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 # Each of these stopped there with RuntimeError ("names no file system") before it had stored anything.
 STORING = (
     "dedup_overwrite",
+    "dq_gold_accuracy",
 )
 
 
