@@ -17,6 +17,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 STORING = (
     "dedup_overwrite",
     "dq_gold_accuracy",
+    "dq_gold_total",
 )
 
 
