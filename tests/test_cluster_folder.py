@@ -18,6 +18,7 @@ STORING = (
     "dedup_overwrite",
     "dq_gold_accuracy",
     "dq_gold_total",
+    "dq_profit_layers",
 )
 
 
