@@ -19,6 +19,7 @@ STORING = (
     "dq_gold_accuracy",
     "dq_gold_total",
     "dq_profit_layers",
+    "dq_report",
 )
 
 
