@@ -20,6 +20,7 @@ STORING = (
     "dq_gold_total",
     "dq_profit_layers",
     "dq_report",
+    "gold_incremental",
 )
 
 
