@@ -21,6 +21,7 @@ STORING = (
     "dq_profit_layers",
     "dq_report",
     "gold_incremental",
+    "json_multiline_roundtrip",
 )
 
 
