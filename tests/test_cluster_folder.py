@@ -22,6 +22,7 @@ STORING = (
     "dq_report",
     "gold_incremental",
     "json_multiline_roundtrip",
+    "json_roundtrip",
 )
 
 
