@@ -23,6 +23,7 @@ STORING = (
     "gold_incremental",
     "json_multiline_roundtrip",
     "json_roundtrip",
+    "late_dimensions",
 )
 
 
