@@ -24,6 +24,7 @@ STORING = (
     "json_multiline_roundtrip",
     "json_roundtrip",
     "late_dimensions",
+    "medallion_multiline",
 )
 
 
