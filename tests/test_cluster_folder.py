@@ -25,6 +25,7 @@ STORING = (
     "json_roundtrip",
     "late_dimensions",
     "medallion_multiline",
+    "medallion_observed",
 )
 
 
