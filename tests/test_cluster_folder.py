@@ -26,6 +26,7 @@ STORING = (
     "late_dimensions",
     "medallion_multiline",
     "medallion_observed",
+    "medallion_report",
 )
 
 
