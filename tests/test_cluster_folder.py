@@ -27,6 +27,7 @@ STORING = (
     "medallion_multiline",
     "medallion_observed",
     "medallion_report",
+    "medallion_run",
 )
 
 
