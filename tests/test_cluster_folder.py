@@ -28,6 +28,7 @@ STORING = (
     "medallion_observed",
     "medallion_report",
     "medallion_run",
+    "published_medallion",
 )
 
 
