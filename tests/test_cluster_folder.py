@@ -29,6 +29,7 @@ STORING = (
     "medallion_report",
     "medallion_run",
     "published_medallion",
+    "quarantine_csv",
 )
 
 
