@@ -30,6 +30,7 @@ STORING = (
     "medallion_run",
     "published_medallion",
     "quarantine_csv",
+    "quarantine_json",
 )
 
 
