@@ -31,6 +31,7 @@ STORING = (
     "published_medallion",
     "quarantine_csv",
     "quarantine_json",
+    "silver_orders_broadcast",
 )
 
 
