@@ -32,6 +32,7 @@ STORING = (
     "quarantine_csv",
     "quarantine_json",
     "silver_orders_broadcast",
+    "silver_orders_salted",
 )
 
 
