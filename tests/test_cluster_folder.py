@@ -33,6 +33,7 @@ STORING = (
     "quarantine_json",
     "silver_orders_broadcast",
     "silver_orders_salted",
+    "stream_ingest",
 )
 
 
