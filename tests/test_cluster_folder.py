@@ -34,6 +34,7 @@ STORING = (
     "silver_orders_broadcast",
     "silver_orders_salted",
     "stream_ingest",
+    "stream_medallion",
     "stream_quarantine",
 )
 
