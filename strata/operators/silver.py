@@ -39,6 +39,7 @@ from strata.operators.joins import (
     hot_keys,
     salted_left_join,
 )
+from strata.sources.sinks import Stage
 
 CUSTOMER_COLUMNS = ("customer_id", "customer_name", "country")
 PRODUCT_COLUMNS = ("Product_ID", "Category", "Sub_Category")
@@ -85,9 +86,11 @@ def join_dimensions(orders: DataFrame, customers: DataFrame, products: DataFrame
                     broadcast_max_rows: int | None = None,
                     broadcast_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                     salt_buckets: int = 0, hot_customers: Sequence = (),
-                    hot_products: Sequence = ()) -> DataFrame:
+                    hot_products: Sequence = (), stage: Stage | None = None) -> DataFrame:
     """Left outer joins USING Customer_ID then Product_ID; unmatched keys get nulls.
 
+    ``stage`` stores the orders between the joins (``sources.sinks.staged``).
+
     With ``salt_buckets`` > 1 each join is salted (``joins.salted_left_join``):
     orders of the listed hot keys, and of null keys, spread over that many
     tasks without relying on AQE.  The rows are the same either way.
@@ -95,10 +98,11 @@ def join_dimensions(orders: DataFrame, customers: DataFrame, products: DataFrame
     cust = _dimension(customers.withColumnRenamed("customer_id", "Customer_ID"),
                       broadcast_max_rows, broadcast_max_bytes)
     prod = _dimension(products, broadcast_max_rows, broadcast_max_bytes)
+    stage = stage or (lambda df: df)
     if salt_buckets > 1:
-        with_cust = salted_left_join(orders, cust, "Customer_ID", list(hot_customers), salt_buckets)
+        with_cust = stage(salted_left_join(orders, cust, "Customer_ID", list(hot_customers), salt_buckets))
         return salted_left_join(with_cust, prod, "Product_ID", list(hot_products), salt_buckets)
-    return orders.join(cust, "Customer_ID", "left").join(prod, "Product_ID", "left")
+    return stage(orders.join(cust, "Customer_ID", "left")).join(prod, "Product_ID", "left")
 
 
 def enrich_orders(order_df: DataFrame, customer_df: DataFrame, product_df: DataFrame,
@@ -106,7 +110,7 @@ def enrich_orders(order_df: DataFrame, customer_df: DataFrame, product_df: DataF
                   broadcast_max_rows: int | None = None,
                   broadcast_max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
                   dimensions_distinct: bool = False,
-                  salt_buckets: int = 0, hot_key_share: float = 0.01) -> DataFrame:
+                  salt_buckets: int = 0, hot_key_share: float = 0.01, stage: Stage | None = None) -> DataFrame:
     """Silver orders: parsed, rounded, de-duplicated, joined to both dimensions.
 
     Distinct output needs distinct dimensions, so by default they are
@@ -120,10 +124,16 @@ def enrich_orders(order_df: DataFrame, customer_df: DataFrame, product_df: DataF
     that hold at least ``hot_key_share`` of the raw orders (found by one
     pass over the raw orders for both, before the joins), for clusters where AQE's
     skew split is off or does not apply.
+
+    ``stage`` (``sources.sinks.staged``) stores the orders after the
+    de-duplication and between the joins, so that no execution holds more than
+    one shuffle of the fact on disk: for writers, whose result is stored anyway.
     """
     orders = parse_orders(order_df, date_formats).dropDuplicates()
+    if stage:
+        orders = stage(orders)
     if not dimensions_distinct:
         customer_df, product_df = customer_df.dropDuplicates(), product_df.dropDuplicates()
     hot = hot_keys(order_df, ("Customer_ID", "Product_ID"), hot_key_share) if salt_buckets > 1 else {}
     return join_dimensions(orders, customer_df, product_df, broadcast_max_rows, broadcast_max_bytes,
-                           salt_buckets, hot.get("Customer_ID", ()), hot.get("Product_ID", ()))
+                           salt_buckets, hot.get("Customer_ID", ()), hot.get("Product_ID", ()), stage)

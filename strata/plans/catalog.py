@@ -41,13 +41,13 @@ from strata.plans.pipeline import (
 from strata.plans.incremental import gold_rows, refresh_gold, refresh_gold_from_versions, write_gold_groups
 from strata.plans.late import resolve_late, write_orders_and_index
 from strata.plans.publish import LayerStore
-from strata.session import scratch_dir, scratch_schema
+from strata.session import scratch_dir, scratch_schema, shuffles_dropped
 from strata.settings import LayerNames, SourceSpec
 from strata.sources import variants as V
 from strata.sources.adapters import load_bronze
 from strata.sources.quarantine import read_split
 from strata.sources.readers import read_csv, read_json, read_table
-from strata.sources.sinks import materialize, write_table
+from strata.sources.sinks import staged, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -328,6 +328,30 @@ def _run_names(spark: SparkSession, tag: str) -> LayerNames:
 
 # Records of one pretty-printed file, whatever the keys.
 RECORDS_PER_FILE = 5_000
+# Lines of one landed file: a compressed file is read by one task.
+LINES_PER_FILE = 500_000
+# Of the files that a stream takes in, each writing task leaves this many.
+STREAM_PARTS = 8
+
+
+def _land(rows: DataFrame, path: str, fmt: str, part: str | None = None) -> None:
+    """Rows as compressed text files (JSON lines, or text as it is): plain ones take several times the given tables' disk."""
+    writer = rows.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", LINES_PER_FILE)
+    with shuffles_dropped(rows.sparkSession):
+        (writer.partitionBy(part) if part else writer).format(fmt).save(path)
+
+
+def _land_for_stream(rows: DataFrame, path: str, fmt: str, triggers: int) -> tuple[str, int]:
+    """Rows landed as at least ``STREAM_PARTS`` files; returns the files' folders and how many files a trigger takes
+    so that a stream has about ``triggers`` micro-batches.
+
+    Every task deals its rows out over all parts, so nothing is shuffled for
+    it, and files stay small however large the table is.
+    """
+    _land(rows.withColumn("part", F.monotonically_increasing_id() % STREAM_PARTS), path, fmt, "part")
+    hadoop = rows.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/part=*/*")
+    files = hadoop.getFileSystem(rows.sparkSession.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return f"{path}/part=*", max(1, -(-len(files) // triggers))
 
 
 def _write_json_arrays(orders: DataFrame, path: str) -> None:
@@ -337,33 +361,41 @@ def _write_json_arrays(orders: DataFrame, path: str) -> None:
     large; the numbers are stored first, so that a task which runs again does
     not deal its rows out anew.
     """
-    numbered = materialize(orders.withColumn("_file", F.expr(f"monotonically_increasing_id() div {RECORDS_PER_FILE}")), "json-files")
-    rows = numbered.groupBy("_file").agg(
-        F.collect_list(F.to_json(F.struct(*orders.columns), {"pretty": "true"})).alias("records"))
-    text = F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]"))
-    rows.select(text.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    with staged(orders.sparkSession) as stage:
+        numbered = stage(orders.withColumn("_file", F.expr(f"monotonically_increasing_id() div {RECORDS_PER_FILE}")))
+        rows = numbered.groupBy("_file").agg(
+            F.collect_list(F.to_json(F.struct(*orders.columns), {"pretty": "true"})).alias("records"))
+        text = F.concat(F.lit("[\n"), F.array_join("records", ",\n"), F.lit("\n]"))
+        with shuffles_dropped(orders.sparkSession):
+            rows.select(text.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 1).option(
+                "compression", "gzip").text(path)
+
+
+def _land_dimensions(spark: SparkSession, sf_dir: str, root: str) -> tuple[SourceSpec, SourceSpec]:
+    """Products as CSV with raw headers, and customers as a landed table."""
+    b = load_bronze(spark, sf_dir)
+    b.products.toDF(*RAW_PRODUCT_HEADERS).write.mode("overwrite").option("header", True).csv(
+        f"{root}/raw/products")
+    landing = _run_names(spark, "landing")
+    prepare_schemas(spark, landing, f"{root}/landing")
+    landing_table = landing.bronze("customer_worksheet")
+    write_table(b.customer, landing_table, dedup=False)
+    return SourceSpec(f"{root}/raw/products", "csv", RAW_PRODUCT_DDL), SourceSpec(landing_table, "table")
 
 
 def _land_files(spark: SparkSession, sf_dir: str, root: str, multi_line: bool = False) -> MedallionSources:
     """Write the raw inputs as the reference receives them: products CSV with
     raw headers, orders as JSON (Lines, or pretty-printed arrays), customers as
     a landed table."""
-    b = load_bronze(spark, sf_dir)
-    b.products.toDF(*RAW_PRODUCT_HEADERS).write.mode("overwrite").option("header", True).csv(
-        f"{root}/raw/products")
+    orders = load_bronze(spark, sf_dir).orders
     if multi_line:
-        _write_json_arrays(b.orders, f"{root}/raw/orders")
+        _write_json_arrays(orders, f"{root}/raw/orders")
     else:
-        b.orders.write.mode("overwrite").json(f"{root}/raw/orders")
-    landing = _run_names(spark, "landing")
-    prepare_schemas(spark, landing, f"{root}/landing")
-    landing_table = landing.bronze("customer_worksheet")
-    write_table(b.customer, landing_table, dedup=False)
+        _land(orders, f"{root}/raw/orders", "json")
+    products, customer = _land_dimensions(spark, sf_dir, root)
     return MedallionSources(
         orders=SourceSpec(f"{root}/raw/orders", "json", ORDERS_DDL, {"multi_line": multi_line}),
-        products=SourceSpec(f"{root}/raw/products", "csv", RAW_PRODUCT_DDL),
-        customer=SourceSpec(landing_table, "table"),
-    )
+        products=products, customer=customer)
 
 
 def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -380,7 +412,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "json")
-    load_bronze(spark, sf_dir).orders.write.mode("overwrite").json(f"{root}/orders")
+    _land(load_bronze(spark, sf_dir).orders, f"{root}/orders", "json")
     return decimals_as_double(read_json(spark, f"{root}/orders", schema=ORDERS_DDL).dropDuplicates())
 
 
@@ -441,11 +473,10 @@ def _stream_orders(spark: SparkSession, sf_dir: str, root: str, names: LayerName
     """Orders, some of them twice, landed as several JSON files and ingested in several micro-batches."""
     from strata.streaming import ingest_files
 
-    orders = V.orders_dup(load_bronze(spark, sf_dir).orders)
-    orders.repartition(8).write.mode("overwrite").json(f"{root}/landing")
+    landed, files = _land_for_stream(V.orders_dup(load_bronze(spark, sf_dir).orders), f"{root}/landing", "json", triggers=4)
     prepare_schemas(spark, names, root)
-    return ingest_files(spark, SourceSpec(f"{root}/landing", "json", ORDERS_DDL),
-                        names.bronze(names.bronze_orders), f"{root}/_checkpoint", max_files_per_trigger=2, distinct=distinct)
+    return ingest_files(spark, SourceSpec(landed, "json", ORDERS_DDL),
+                        names.bronze(names.bronze_orders), f"{root}/_checkpoint", max_files_per_trigger=files, distinct=distinct)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,9 +487,9 @@ def stream_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver and gold over a streamed bronze table that leaves out copies from earlier batches on arrival."""
     root, names = scratch_dir(spark, "stream"), _run_names(spark, "streamed")
     _stream_orders(spark, sf_dir, root, names, distinct=True)
-    sources = _land_files(spark, sf_dir, f"{root}/dimensions")
-    process_bronze(spark, sources.products, names.bronze(names.bronze_products))
-    ingest_table(spark, sources.customer.path, names.bronze(names.bronze_customer))
+    products, customer = _land_dimensions(spark, sf_dir, f"{root}/dimensions")
+    process_bronze(spark, products, names.bronze(names.bronze_products))
+    ingest_table(spark, customer.path, names.bronze(names.bronze_customer))
     process_silver(spark, names)
     return decimals_as_double(process_gold(spark, names))
 
@@ -566,8 +597,10 @@ def late_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     with store.run() as run:
         early = [run.write(customers.where("customer_id % 5 <> 0"), "silver.silver_customer", dedup=False),
                  run.write(products.where("Product_ID % 7 <> 0"), "silver.silver_products", dedup=False)]
-        orders = silver.enrich_orders(b.orders, *early, dimensions_distinct=True)
-        write_gold_groups(run, write_orders_and_index(run, orders), "gold.profit")
+        with staged(spark) as stage:
+            orders = silver.enrich_orders(b.orders, *early, dimensions_distinct=True, stage=stage)
+            orders = write_orders_and_index(run, orders)
+        write_gold_groups(run, orders, "gold.profit")
     with store.run() as run:
         _, signed = resolve_late(run, customers, products)
         refresh_gold(run, "gold.profit", signed)
@@ -600,7 +633,7 @@ def _kept_and_quarantined(rows: DataFrame, quarantine: DataFrame) -> DataFrame:
 def quarantine_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of which some lines do not fit: the bronze rows, and the quarantined records with their reasons."""
     root, names = scratch_dir(spark, "quarantine"), _run_names(spark, "quarantine")
-    _order_lines(load_bronze(spark, sf_dir).orders).write.text(f"{root}/orders")
+    _land(_order_lines(load_bronze(spark, sf_dir).orders), f"{root}/orders", "text")
     prepare_schemas(spark, names, root)
     kept = names.bronze(names.bronze_orders + QUARANTINE)
     rows = process_bronze(spark, SourceSpec(f"{root}/orders", "json", ORDERS_DDL), names.bronze(names.bronze_orders),
@@ -613,11 +646,11 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     from strata.streaming import ingest_files
 
     root, names = scratch_dir(spark, "quarantine"), _run_names(spark, "quarantine")
-    _order_lines(load_bronze(spark, sf_dir).orders).repartition(6).write.text(f"{root}/orders")
+    landed, files = _land_for_stream(_order_lines(load_bronze(spark, sf_dir).orders), f"{root}/orders", "text", triggers=2)
     prepare_schemas(spark, names, root)
     kept = names.bronze(names.bronze_orders + QUARANTINE)
-    rows = ingest_files(spark, SourceSpec(f"{root}/orders", "json", ORDERS_DDL), names.bronze(names.bronze_orders),
-                        f"{root}/_checkpoint", max_files_per_trigger=3, quarantine_table=kept)
+    rows = ingest_files(spark, SourceSpec(landed, "json", ORDERS_DDL), names.bronze(names.bronze_orders),
+                        f"{root}/_checkpoint", max_files_per_trigger=files, quarantine_table=kept)
     return _kept_and_quarantined(rows, read_table(spark, kept))
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
+from strata.session import release_folder, scratch_dir, shuffles_dropped
+
 
 def ensure_schema(spark: SparkSession, catalog: str, schema: str, location: str | None = None) -> None:
     """Create ``catalog.schema`` if missing (optionally at a given folder)."""
@@ -49,7 +52,8 @@ def write_table(df: DataFrame, table: str, fmt: str = "parquet", dedup: bool = T
     writer = laid_out(df, dedup, partition_by, watch).format(fmt).mode(mode)
     if fmt == "delta":
         writer = writer.option("overwriteSchema", "true")
-    writer.saveAsTable(table)
+    with shuffles_dropped(df.sparkSession):
+        writer.saveAsTable(table)
 
 
 def require_rows(frames: Mapping[str, DataFrame], what: str = "input") -> None:
@@ -72,9 +76,41 @@ def materialize(df: DataFrame, purpose: str = "frame") -> DataFrame:
     re-reads the copy rather than recomputing from the raw inputs.  Unlike
     ``DataFrame.checkpoint`` the plan runs once (no count-then-write).
     """
-    from strata.session import scratch_dir
+    return _stored(df, scratch_dir(df.sparkSession, purpose))
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
-    spark = df.sparkSession
-    path = scratch_dir(spark, purpose)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+Stage = Callable[[DataFrame], DataFrame]
+
+
+@contextmanager
+def staged(spark: SparkSession) -> Iterator[Stage]:
+    """``stage(df)`` stores a step of a longer plan and gives the copy back, for the next step to read.
+
+    The shuffle files of one execution lie on disk together until it ends, so
+    a plan that moves the whole fact several times holds as many copies of it.
+    Stored step by step it holds one shuffle and the copy it reads: each copy
+    is dropped when the next one is stored, the last one at the end of the
+    block.  So a step reads the copy before it and none older, and frames that
+    read the last copy must be written inside the block.
+    """
+    last: list[str] = []
+
+    def stage(df: DataFrame) -> DataFrame:
+        path = scratch_dir(spark, "stage")
+        copy = _stored(df, path)
+        if last:
+            release_folder(spark, last.pop())
+        last.append(path)
+        return copy
+
+    try:
+        yield stage
+    finally:
+        if last:
+            release_folder(spark, last.pop())
