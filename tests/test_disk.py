@@ -102,7 +102,7 @@ def test_a_failing_block_leaves_no_copy_and_a_folder_is_released_once(spark, fol
     assert gone(spark, path) and ("folder", path) not in session._STORED[spark.sparkContext.applicationId]
 
 
-@pytest.mark.parametrize("name, ends", [("json_roundtrip", ".json.gz")])
+@pytest.mark.parametrize("name, ends", [("json_roundtrip", ".json.gz"), ("json_multiline_roundtrip", ".txt.gz")])
 def test_roundtrips_land_compressed_files(spark, folders, name, ends):
     rows = catalog.QUERIES[name](spark, SF_SMALL)
     root = folders["json"][0]
