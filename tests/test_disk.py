@@ -109,3 +109,22 @@ def test_roundtrips_land_compressed_files(spark, folders, name, ends):
     assert files(f"{root}/orders", ends) and not files(f"{root}/orders", ".json", ".txt")
     assert rows.count() > 0 and all(gone(spark, f) for f in folders.get("stage", []))
     assert "json-files" not in folders
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_streamed_orders_land_compressed_in_several_batches(spark, folders, distinct):
+    root, names = scratch_dir(spark, "t-stream"), catalog._run_names(spark, "disk")
+    rows = catalog._stream_orders(spark, SF_SMALL, root, names, distinct)
+    assert files(f"{root}/landing", ".json.gz") and not files(f"{root}/landing", ".json")
+    batches = spark.table(names.bronze(names.bronze_orders)).select(INGEST_BATCH_COLUMN).distinct().count()
+    assert 3 <= batches <= 4 and content(rows) == content(catalog.load_bronze(spark, SF_SMALL).orders.distinct())
+
+
+def test_a_stream_landing_holds_every_row_in_bounded_files(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "LINES_PER_FILE", 50)
+    rows = spark.range(3_000).selectExpr("id", "if(id % 3 = 0, null, 'x') AS s").repartition(2)
+    glob, per_trigger = catalog._land_for_stream(rows, f"{scratch_dir(spark, 't-land')}/in", "json", triggers=4)
+    read = spark.read.schema("id long, s string").json(glob)
+    assert content(read) == content(rows)
+    sizes = [r["count"] for r in read.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) <= 50 and 3 <= -(-len(sizes) // per_trigger) <= 4
