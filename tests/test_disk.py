@@ -120,6 +120,12 @@ def test_streamed_orders_land_compressed_in_several_batches(spark, folders, dist
     assert 3 <= batches <= 4 and content(rows) == content(catalog.load_bronze(spark, SF_SMALL).orders.distinct())
 
 
+def test_stream_medallion_lands_its_orders_once(spark, folders):
+    catalog.QUERIES["stream_medallion"](spark, SF_SMALL)
+    root = folders["stream"][0]
+    assert files(f"{root}/landing", ".json.gz") and not os.path.exists(f"{root}/dimensions/raw/orders".removeprefix("file:"))
+
+
 def test_a_stream_landing_holds_every_row_in_bounded_files(spark, monkeypatch):
     monkeypatch.setattr(catalog, "LINES_PER_FILE", 50)
     rows = spark.range(3_000).selectExpr("id", "if(id % 3 = 0, null, 'x') AS s").repartition(2)
