@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import release_folder, scratch_dir, shuffles_dropped
 from strata.settings import SourceSpec
 from strata.sources.readers import load_files
 
@@ -35,10 +36,15 @@ _CORRUPT, _BAD = "_corrupt_record", "_bad"
 
 @dataclass(frozen=True)
 class SplitRead:
-    """``rows`` as the schema declares them, ``quarantine`` as (raw, file, reason)."""
+    """``rows`` as the schema declares them, ``quarantine`` as (raw, file, reason); ``folder`` holds the records of both."""
 
     rows: DataFrame
     quarantine: DataFrame
+    folder: str
+
+    def release(self) -> None:
+        """Drops the stored records, once rows and quarantine have been written elsewhere."""
+        release_folder(self.rows.sparkSession, self.folder)
 
 
 def declared(schema: str | T.StructType) -> T.StructType:
@@ -78,20 +84,15 @@ def _reason(source: SourceSpec, schema: T.StructType) -> Column:
             .when(named != "", F.concat(F.lit("bad value: "), named)).otherwise(F.lit("unreadable")))
 
 
-def split_stored(stored: DataFrame, source: SourceSpec, schema: T.StructType) -> SplitRead:
-    """Rows and quarantine of stored records (``with_file``, written and read back)."""
-    rows = stored.where(~F.col(_BAD)).select(*[F.col(f"`{n}`") for n in schema.names])
-    bad = stored.where(F.col(_BAD)).select(F.col(_CORRUPT).alias(RAW), FILE, _reason(source, schema).alias(REASON))
-    return SplitRead(rows, bad)
-
-
-def stored_split(marked: DataFrame) -> DataFrame:
+def stored_split(marked: DataFrame, source: SourceSpec, schema: T.StructType) -> SplitRead:
     """Writes ``with_file`` records, good and bad ones in a folder each, and reads them back: a filter on either reads its folder only."""
-    from strata.session import scratch_dir
-
     path = scratch_dir(marked.sparkSession, "split")
-    marked.write.partitionBy(_BAD).parquet(path)
-    return marked.sparkSession.read.schema(marked.schema).parquet(path)
+    with shuffles_dropped(marked.sparkSession):
+        marked.write.partitionBy(_BAD).option("compression", "zstd").parquet(path)
+    stored = marked.sparkSession.read.schema(marked.schema).parquet(path)
+    rows = stored.where(~F.col(_BAD)).select(*[F.col(f"`{n}`") for n in schema.names])
+    bad = stored.where(F.col(_BAD)).select(F.col(_CORRUPT).alias(RAW), FILE, _reason(source, schema).alias(REASON))
+    return SplitRead(rows, bad, path)
 
 
 def read_split(spark: SparkSession, source: SourceSpec) -> SplitRead:
@@ -104,4 +105,4 @@ def read_split(spark: SparkSession, source: SourceSpec) -> SplitRead:
     schema = declared(source.schema)
     reader = spark.read.schema(with_corrupt_column(schema)).options(**parser_options(source))
     records = load_files(source.path, lambda: getattr(reader, kind)(source.path))
-    return split_stored(stored_split(with_file(records)), source, schema)
+    return stored_split(with_file(records), source, schema)

@@ -31,7 +31,6 @@ from strata.settings import SourceSpec
 from strata.sources.quarantine import (
     declared,
     parser_options,
-    split_stored,
     stored_split,
     with_corrupt_column,
     with_file,
@@ -141,9 +140,10 @@ def _splitting_writer(target_table: str, quarantine_table: str, source: SourceSp
     schema = declared(source.schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        split = split_stored(stored_split(batch), source, schema)
+        split = stored_split(batch, source, schema)
         _put(split.quarantine, batch_id, quarantine_table, fmt)
         _put_rows(split.rows, batch_id, target_table, fmt, distinct)
+        split.release()
     return write
 
 

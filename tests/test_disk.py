@@ -111,6 +111,13 @@ def test_roundtrips_land_compressed_files(spark, folders, name, ends):
     assert "json-files" not in folders
 
 
+def test_stream_quarantine_takes_several_batches_and_drops_their_copies(spark, folders):
+    catalog.QUERIES["stream_quarantine"](spark, SF_SMALL)
+    root = folders["quarantine"][0]
+    assert files(f"{root}/orders", ".txt.gz") and not files(f"{root}/orders", ".txt")
+    assert len(folders["split"]) >= 2 and all(gone(spark, f) for f in folders["split"])
+
+
 @pytest.mark.parametrize("distinct", [False, True])
 def test_streamed_orders_land_compressed_in_several_batches(spark, folders, distinct):
     root, names = scratch_dir(spark, "t-stream"), catalog._run_names(spark, "disk")
