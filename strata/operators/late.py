@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.silver import CUSTOMER_COLUMNS, PRODUCT_COLUMNS, join_dimensions
+from strata.sources.sinks import Stage
 
 YEAR = "Order_Year"
 
@@ -36,7 +37,8 @@ def arrived(index: DataFrame, key: str, dimension: DataFrame, dimension_key: str
     return index.join(dimension.select(F.col(dimension_key).alias(key)), key, "left_semi")
 
 
-def joined_again(orders: DataFrame, customers: DataFrame, products: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Orders with their attributes looked up anew, one dimension row a key given."""
+def joined_again(orders: DataFrame, customers: DataFrame, products: DataFrame, columns: Sequence[str],
+                 stage: Stage | None = None) -> DataFrame:
+    """Orders with their attributes looked up anew, one dimension row a key given (``stage``: see ``join_dimensions``)."""
     attributes = [c for c in (*CUSTOMER_COLUMNS[1:], *PRODUCT_COLUMNS[1:]) if c in orders.columns]
-    return join_dimensions(orders.drop(*attributes), customers, products).select(*columns)
+    return join_dimensions(orders.drop(*attributes), customers, products, stage=stage).select(*columns)

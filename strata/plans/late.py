@@ -11,6 +11,7 @@ from strata.operators.late import YEAR, arrived, joined_again, unresolved_keys,
 from strata.plans.incremental import in_years
 from strata.plans.publish import Run
 from strata.settings import LayerNames
+from strata.sources.sinks import staged
 
 #: Suffix of a dimension's index of keys that have orders but no row.
 UNRESOLVED = "_unresolved"
@@ -23,8 +24,13 @@ def _dimensions(names: LayerNames) -> list[tuple[str, str, str]]:
 
 
 def write_orders_and_index(run: Run, silver_orders: DataFrame, names: LayerNames = LayerNames()) -> DataFrame:
-    """Silver orders by year, and for each dimension (staged or current) the index of unresolved keys."""
-    orders = run.write(with_year(silver_orders), f"{names.silver_schema}.{names.silver_orders}", dedup=False, partition_by=YEAR)
+    """Silver orders by year, and for each dimension (staged or current) the index of unresolved keys.
+
+    The orders are stored before they are dealt out by year, which moves all of them once more (``sources.sinks.staged``).
+    """
+    with staged(run.store.spark) as stage:
+        orders = run.write(stage(with_year(silver_orders)), f"{names.silver_schema}.{names.silver_orders}", dedup=False,
+                           partition_by=YEAR)
     for table, key, order_key in _dimensions(names):
         run.write(unresolved_keys(orders, order_key, run.read(table), key), table + UNRESOLVED, dedup=False)
     return orders
@@ -52,5 +58,7 @@ def resolve_late(run: Run, customers: DataFrame, products: DataFrame, names: Lay
     if not years:
         return [], None
     old = run.read(orders_table).where(in_years(years, YEAR))
-    new = run.replace_partitions(joined_again(old, *frames, columns=old.columns), orders_table, years)
+    with staged(run.store.spark) as stage:
+        again = stage(joined_again(old, *frames, columns=old.columns, stage=stage))
+        new = run.replace_partitions(again, orders_table, years)
     return years, signed_rows(old, new.where(in_years(years, YEAR)))

@@ -111,6 +111,11 @@ def test_roundtrips_land_compressed_files(spark, folders, name, ends):
     assert "json-files" not in folders
 
 
+def test_late_dimensions_stores_each_join_and_the_orders_before_their_years(spark, folders, steps):
+    catalog.QUERIES["late_dimensions"](spark, SF_SMALL)
+    assert sorted(steps) == [1, 2, 2] and all(gone(spark, f) for f in folders["stage"])
+
+
 def test_stream_quarantine_takes_several_batches_and_drops_their_copies(spark, folders):
     catalog.QUERIES["stream_quarantine"](spark, SF_SMALL)
     root = folders["quarantine"][0]
