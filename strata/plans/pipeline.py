@@ -25,7 +25,7 @@ from strata.plans.publish import LayerStore, Run
 from strata.settings import LayerNames, SourceSpec
 from strata.sources.quarantine import read_split
 from strata.sources.readers import read_source, read_table
-from strata.sources.sinks import Watch, ensure_schema, require_rows, write_table
+from strata.sources.sinks import Watch, ensure_schema, require_rows, staged, write_table
 from strata.streaming.ingest import bronze_rows
 
 
@@ -51,10 +51,10 @@ def process_bronze(spark: SparkSession, source: SourceSpec, target_table: str,
     if quarantine_table:
         split = read_split(spark, replace(source, options={**source.options, **read_options}))
         write_table(split.quarantine, quarantine_table, fmt, dedup=False)
-        df = split.rows
+        write_table(clean_column_names(split.rows), target_table, fmt, watch=watch)
+        split.release()
     else:
-        df = read_source(spark, source, **read_options)
-    write_table(clean_column_names(df), target_table, fmt, watch=watch)
+        write_table(clean_column_names(read_source(spark, source, **read_options)), target_table, fmt, watch=watch)
     return read_table(spark, target_table)
 
 
@@ -111,10 +111,11 @@ def write_silver(customer: DataFrame, orders: DataFrame, products: DataFrame, na
         sc_t, sp_t = write(sc, names.silver_customer), write(sp, names.silver_products)
     # The dimension tables were just written from enrich_customers /
     # enrich_products, so they are distinct: no second de-dup shuffle.
-    so = enrich_orders(orders, sc_t, sp_t, broadcast_max_rows=broadcast_max_rows,
-                       broadcast_max_bytes=broadcast_max_bytes, dimensions_distinct=True,
-                       salt_buckets=salt_buckets)
-    return SilverTables(customer=sc_t, products=sp_t, orders=write(so, names.silver_orders))
+    with staged(orders.sparkSession) as stage:
+        so = enrich_orders(orders, sc_t, sp_t, broadcast_max_rows=broadcast_max_rows,
+                           broadcast_max_bytes=broadcast_max_bytes, dimensions_distinct=True,
+                           salt_buckets=salt_buckets, stage=stage)
+        return SilverTables(customer=sc_t, products=sp_t, orders=write(so, names.silver_orders))
 
 
 def _write_unique(df: DataFrame, key: str, rules: Sequence[str], table: str,
@@ -200,11 +201,12 @@ def _stage_bronze_and_silver(spark: SparkSession, run: Run, sources: MedallionSo
         if quarantine and source.kind.lower() != "table":
             split = read_split(spark, source)
             run.write(split.quarantine, f"{names.bronze_schema}.{table}{QUARANTINE}", dedup=False)
-            df = clean_column_names(split.rows)
+            bronze[table] = run.write(clean_column_names(split.rows), f"{names.bronze_schema}.{table}")
+            split.release()
         else:
             df = read_source(spark, source)
             df = df if source.kind.lower() == "table" else clean_column_names(df)
-        bronze[table] = run.write(df, f"{names.bronze_schema}.{table}")
+            bronze[table] = run.write(df, f"{names.bronze_schema}.{table}")
 
     def write(df: DataFrame, table: str) -> DataFrame:
         return run.write(df, f"{names.silver_schema}.{table}", dedup=False)

@@ -102,6 +102,23 @@ def test_a_failing_block_leaves_no_copy_and_a_folder_is_released_once(spark, fol
     assert gone(spark, path) and ("folder", path) not in session._STORED[spark.sparkContext.applicationId]
 
 
+def test_staged_silver_equals_the_single_plan(spark):
+    orders = spark.createDataFrame(
+        [(1, 1, "1/2/1995", "m", 1, 1, 1.004), (1, 1, "1/2/1995", "m", 1, 1, 1.0), (2, 2, "n/a", None, None, 9, None),
+         (2, 2, "n/a", None, None, 9, None)],
+        "Row_ID long, Order_ID long, Order_Date string, Ship_Mode string, Customer_ID long, Product_ID long, Profit double")
+    customers = spark.createDataFrame([(1, "Ann", "X"), (1, "Bob", "X"), (None, "No", "Y")],
+                                      "customer_id long, customer_name string, country string")
+    products = spark.createDataFrame([(1, "C", "S")], "Product_ID long, Category string, Sub_Category string")
+    for salt in (0, 3):
+        with staged(spark) as stage:
+            one = silver.enrich_orders(orders, customers, products, salt_buckets=salt)
+            steps = silver.enrich_orders(orders, customers, products, salt_buckets=salt, stage=stage)
+            assert steps.dtypes == one.dtypes and content(steps) == content(one) and steps.count() == 3
+            again = late.joined_again(one, customers.limit(2), products, one.columns, stage=stage)
+            assert content(again) == content(late.joined_again(one, customers.limit(2), products, one.columns))
+
+
 @pytest.mark.parametrize("name, ends", [("json_roundtrip", ".json.gz"), ("json_multiline_roundtrip", ".txt.gz")])
 def test_roundtrips_land_compressed_files(spark, folders, name, ends):
     rows = catalog.QUERIES[name](spark, SF_SMALL)
@@ -111,6 +128,14 @@ def test_roundtrips_land_compressed_files(spark, folders, name, ends):
     assert "json-files" not in folders
 
 
+@pytest.mark.parametrize("name, purpose", [("medallion_run", "run")])
+def test_runs_land_compressed_orders_and_store_silver_step_by_step(spark, folders, steps, name, purpose):
+    catalog.QUERIES[name](spark, SF_SMALL)
+    landed = f"{folders[purpose][0]}/raw/orders"
+    assert files(landed, ".gz") and not files(landed, ".json", ".txt")
+    assert 2 in steps and all(gone(spark, f) for f in folders["stage"])
+
+
 def test_late_dimensions_stores_each_join_and_the_orders_before_their_years(spark, folders, steps):
     catalog.QUERIES["late_dimensions"](spark, SF_SMALL)
     assert sorted(steps) == [1, 2, 2] and all(gone(spark, f) for f in folders["stage"])
