@@ -141,6 +141,13 @@ def test_late_dimensions_stores_each_join_and_the_orders_before_their_years(spar
     assert sorted(steps) == [1, 2, 2] and all(gone(spark, f) for f in folders["stage"])
 
 
+def test_quarantine_lands_compressed_lines_and_drops_its_copy(spark, folders):
+    catalog.QUERIES["quarantine_json"](spark, SF_SMALL)
+    root = folders["quarantine"][0]
+    assert files(f"{root}/orders", ".txt.gz") and not files(f"{root}/orders", ".txt")
+    assert len(folders["split"]) == 1 and gone(spark, folders["split"][0])
+
+
 def test_stream_quarantine_takes_several_batches_and_drops_their_copies(spark, folders):
     catalog.QUERIES["stream_quarantine"](spark, SF_SMALL)
     root = folders["quarantine"][0]
@@ -171,3 +178,12 @@ def test_a_stream_landing_holds_every_row_in_bounded_files(spark, monkeypatch):
     assert content(read) == content(rows)
     sizes = [r["count"] for r in read.groupBy(F.input_file_name()).count().collect()]
     assert max(sizes) <= 50 and 3 <= -(-len(sizes) // per_trigger) <= 4
+
+
+def test_bronze_with_quarantine_keeps_all_records(spark, folders):
+    root, names = scratch_dir(spark, "t-raw"), LayerNames(bronze_schema="bronze_disk", silver_schema="silver_disk", gold_schema="gold_disk")
+    spark.createDataFrame([('{"a": 1}',), ('{"a": "x"}',), ('{"a": 1}',), ("{",)], "value string").write.text(f"{root}/in")
+    pipeline.prepare_schemas(spark, names, root)
+    rows = pipeline.process_bronze(spark, SourceSpec(f"{root}/in", "json", "a INT"), names.bronze("t"), quarantine_table=names.bronze("q"))
+    assert content(rows) == [(1,)] and spark.table(names.bronze("q")).count() == 2
+    assert gone(spark, folders["split"][0])
