@@ -80,6 +80,28 @@ def test_writes_run_with_shuffle_cleanup_and_the_setting_is_put_back(spark):
     spark.conf.unset(SHUFFLE_CLEANUP)
 
 
+def test_every_writer_asks_for_the_cleanup(spark, monkeypatch):
+    seen = []
+
+    @contextmanager
+    def asked(spark):
+        seen.append(1)
+        with shuffles_dropped(spark):
+            yield
+
+    from strata.plans import publish
+    for module in (sinks, quarantine, catalog, publish):
+        monkeypatch.setattr(module, "shuffles_dropped", asked)
+    df, root = spark.createDataFrame([(1, "a")], "id int, s string"), scratch_dir(spark, "t-asked")
+    write_table(df, "default.t_disk_asked")
+    sinks.materialize(df)
+    catalog._land(df, f"{root}/json", "json")
+    with LayerStore(spark, f"{root}/store").run() as run:
+        run.write(df, "a.b")
+    assert len(seen) == 4
+    spark.sql("DROP TABLE default.t_disk_asked")
+
+
 def test_stages_keep_the_rows_and_only_the_last_copy(spark, folders):
     df = spark.createDataFrame([(1, "a"), (None, None), (1, "a")], "id int, s string")
     with staged(spark) as stage:
@@ -128,7 +150,7 @@ def test_roundtrips_land_compressed_files(spark, folders, name, ends):
     assert "json-files" not in folders
 
 
-@pytest.mark.parametrize("name, purpose", [("medallion_run", "run"), ("medallion_multiline", "pretty")])
+@pytest.mark.parametrize("name, purpose", [("medallion_run", "run"), ("medallion_multiline", "pretty"), ("published_medallion", "published")])
 def test_runs_land_compressed_orders_and_store_silver_step_by_step(spark, folders, steps, name, purpose):
     catalog.QUERIES[name](spark, SF_SMALL)
     landed = f"{folders[purpose][0]}/raw/orders"
