@@ -150,7 +150,7 @@ def test_roundtrips_land_compressed_files(spark, folders, name, ends):
     assert "json-files" not in folders
 
 
-@pytest.mark.parametrize("name, purpose", [("medallion_run", "run"), ("medallion_multiline", "pretty"), ("published_medallion", "published"), ("medallion_observed", "observed")])
+@pytest.mark.parametrize("name, purpose", [("medallion_run", "run"), ("medallion_multiline", "pretty"), ("published_medallion", "published"), ("medallion_observed", "observed"), ("medallion_report", "report")])
 def test_runs_land_compressed_orders_and_store_silver_step_by_step(spark, folders, steps, name, purpose):
     catalog.QUERIES[name](spark, SF_SMALL)
     landed = f"{folders[purpose][0]}/raw/orders"
